@@ -20,5 +20,6 @@ def days_between(later, earlier) -> Column:
 def date_bit(as_of: Column, day: Column) -> Column:
     """Bit for ``day`` in the mask as of ``as_of``: 1 << (31 - days since); 0 outside 0..31."""
     d = F.datediff(as_of, day)
-    return F.when((d >= 0) & (d <= 31), F.shiftleft(F.lit(1).cast("bigint"), (F.lit(31) - d).cast("int"))) \
+    # 2^k for k <= 31 is exact in a double, so pow + cast is an exact shift.
+    return F.when((d >= 0) & (d <= 31), F.pow(F.lit(2.0), F.lit(31) - d).cast("bigint")) \
         .otherwise(F.lit(0).cast("bigint"))

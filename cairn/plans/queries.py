@@ -164,3 +164,143 @@ def actors_scd_incremental(spark, sf_dir):
                              start="start_year", end="end_year", current="current_year")
     return scd.scd2_incremental(prev, snaps, "actorid", "current_year", ["quality_class", "is_active"], y,
                                 start="start_year", end="end_year", current="current_year")
+
+
+# ------------------------------------------------------- activity / facts ---
+
+import datetime as _dt  # noqa: E402
+
+from cairn.operators import facts as fa  # noqa: E402
+from cairn.plans.render import join_values  # noqa: E402
+
+
+def _day(s: str, delta: int = 0) -> str:
+    return (_dt.date.fromisoformat(s) + _dt.timedelta(days=delta)).isoformat()
+
+
+def day_range(col: str, day: str):
+    """``col`` within [day, day+1): a range on the raw timestamp, so Parquet statistics prune."""
+    return (F.col(col) >= F.lit(day).cast("timestamp_ntz")) & (F.col(col) < F.lit(_day(day, 1)).cast("timestamp_ntz"))
+
+
+def _user_activity(spark, sf_dir):
+    return cu.daily_activity(td.web_events(spark, sf_dir), ["user_id"])
+
+
+def _user_browser_activity(spark, sf_dir):
+    e = td.web_events(spark, sf_dir).where(F.col("user_id").isNotNull())
+    d = td.devices(spark, sf_dir).select("device_id", "browser_type")
+    return e.join(d, "device_id").select("user_id", "browser_type", F.to_date("event_time").alias("date")).distinct()
+
+
+def _user_daily_hits(spark, sf_dir):
+    e = td.web_events(spark, sf_dir).where(F.col("user_id").isNotNull())
+    return e.groupBy("user_id", F.to_date("event_time").alias("date")).agg(F.count(F.lit(1)).alias("hits"))
+
+
+@query
+def users_cumulated(spark, sf_dir):
+    act = _user_activity(spark, sf_dir)
+    d = P["as_of_day"]
+    prev = cu.dates_cumulated(act, ["user_id"], _day(d, -1))
+    out = cu.dates_cumulated_step(prev, act, ["user_id"], d)
+    return out.select("user_id", join_values("dates_active").alias("dates_active"),
+                      F.size("dates_active").cast("bigint").alias("n_dates"), "date")
+
+
+@query
+def datelist_int(spark, sf_dir):
+    states = cu.dates_cumulated(_user_activity(spark, sf_dir), ["user_id"], P["as_of_day"])
+    return cu.date_list_bits(states)
+
+
+@query
+def user_devices_cumulated(spark, sf_dir):
+    act = _user_browser_activity(spark, sf_dir)
+    d = P["as_of_day"]
+    prev_long = cu.dates_cumulated(act, ["user_id", "browser_type"], _day(d, -1), name="dates")
+    prev = cu.device_activity_map(prev_long)
+    today = cu.device_activity_map(
+        act.where(F.col("date") == F.lit(d).cast("date")).withColumn("dates", F.array("date")))
+    out = cu.device_activity_step(prev, today, d)
+    entries = F.array_sort(F.map_entries("device_activity_datelist"))
+    txt = F.array_join(F.transform(entries, lambda e: F.concat(e["key"], F.lit("="), join_values(e["value"], "|"))), ";")
+    return out.select("user_id", txt.alias("device_activity_datelist"), "date")
+
+
+@query
+def device_datelist_int(spark, sf_dir):
+    states = cu.dates_cumulated(_user_browser_activity(spark, sf_dir), ["user_id", "browser_type"], P["as_of_day"])
+    return cu.date_list_bits(states)
+
+
+@query
+def hosts_cumulated(spark, sf_dir):
+    act = cu.daily_activity(td.web_events(spark, sf_dir), ["host"])
+    d = P["as_of_day"]
+    prev = cu.dates_cumulated(act, ["host"], _day(d, -1), name="host_activity_datelist")
+    out = cu.dates_cumulated_step(prev, act, ["host"], d, name="host_activity_datelist")
+    return out.select("host", join_values("host_activity_datelist").alias("host_activity_datelist"),
+                      F.size("host_activity_datelist").cast("bigint").alias("n_dates"), "date")
+
+
+@query
+def host_activity_reduced(spark, sf_dir):
+    e = td.web_events(spark, sf_dir)
+    daily = e.groupBy("host", F.to_date("event_time").alias("date")).agg(
+        F.count(F.lit(1)).alias("hit_array"), F.count_distinct("user_id").alias("unique_visitors"))
+    d = P["as_of_day"]
+    prev = fa.monthly_arrays(daily, ["host"], ["hit_array", "unique_visitors"], _day(d, -1))
+    out = fa.monthly_arrays_step(prev, daily, ["host"], ["hit_array", "unique_visitors"], d)
+    return out.select("host", "month_start", join_values("hit_array").alias("hit_array"),
+                      join_values("unique_visitors").alias("unique_visitors"))
+
+
+@query
+def array_metrics_step(spark, sf_dir):
+    daily = _user_daily_hits(spark, sf_dir)
+    d = P["as_of_day"]
+    prev = fa.monthly_arrays(daily, ["user_id"], ["hits"], _day(d, -1))
+    out = fa.monthly_arrays_step(prev, daily, ["user_id"], ["hits"], d)
+    return out.select("user_id", "month_start", F.lit("site_hits").alias("metric_name"),
+                      join_values("hits").alias("metric_array"))
+
+
+@query
+def monthly_user_site_hits(spark, sf_dir):
+    daily = _user_daily_hits(spark, sf_dir)
+    d = P["as_of_day"]
+    prev = fa.monthly_arrays(daily, ["user_id"], ["hits"], _day(d, -1), fill=None, first_found=True)
+    out = fa.monthly_arrays_step(prev, daily, ["user_id"], ["hits"], d, fill=None, first_found=True)
+    return out.select("user_id", join_values("hits").alias("hit_array"), "month_start", "first_found_date",
+                      F.lit(d).cast("date").alias("date_partition"))
+
+
+@query
+def array_metrics_by_day(spark, sf_dir):
+    state = fa.monthly_arrays(_user_daily_hits(spark, sf_dir), ["user_id"], ["hits"], P["as_of_day"])
+    state = state.withColumn("metric_name", F.lit("site_hits"))
+    return fa.sum_by_position(state, ["metric_name", "month_start"], "hits")
+
+
+@query
+def monthly_hits_first_days(spark, sf_dir):
+    state = fa.monthly_arrays(_user_daily_hits(spark, sf_dir), ["user_id"], ["hits"], P["as_of_day"],
+                              fill=None, first_found=True)
+    return fa.first_positions(state, ["month_start"], "hits")
+
+
+@query
+def dedupe_game_details(spark, sf_dir):
+    return fa.dedupe_game_details(td.game_details(spark, sf_dir))
+
+
+@query
+def fct_game_details(spark, sf_dir):
+    return fa.fct_game_details(td.game_details(spark, sf_dir), td.games(spark, sf_dir))
+
+
+@query
+def daily_devices_per_user(spark, sf_dir):
+    e = td.web_events(spark, sf_dir).where(day_range("event_time", P["devices_day"]))
+    return e.groupBy("user_id").agg(F.count_distinct("device_id").alias("num_devices"))
