@@ -304,3 +304,52 @@ def fct_game_details(spark, sf_dir):
 def daily_devices_per_user(spark, sf_dir):
     e = td.web_events(spark, sf_dir).where(day_range("event_time", P["devices_day"]))
     return e.groupBy("user_id").agg(F.count_distinct("device_id").alias("num_devices"))
+
+
+# ---------------------------------------------------------------- patterns ---
+
+from cairn.operators import patterns as pt  # noqa: E402
+
+
+@query
+def growth_accounting(spark, sf_dir):
+    out = pt.growth_accounting(_user_activity(spark, sf_dir), P["growth_day"])
+    return out.select("user_id", "first_active_date", "last_active_date", "daily_active_state",
+                      "weekly_active_state", join_values("dates_active").alias("dates_active"), "date")
+
+
+@query
+def retention_curve(spark, sf_dir):
+    return pt.retention_curve(_user_activity(spark, sf_dir))
+
+
+@query
+def funnel_conversion(spark, sf_dir):
+    return pt.funnel_conversion(td.web_events(spark, sf_dir), P["funnel_target"], min_count=P["funnel_min_count"])
+
+
+@query
+def device_hits_grouping_sets(spark, sf_dir):
+    return pt.device_hits_grouping_sets(td.web_events(spark, sf_dir), td.devices(spark, sf_dir))
+
+
+@query
+def traffic_windows(spark, sf_dir):
+    return pt.traffic_windows(td.web_events(spark, sf_dir), td.devices(spark, sf_dir),
+                              min_total=P["traffic_min_total"])
+
+
+@query
+def game_grouping_sets(spark, sf_dir):
+    return pt.game_grouping_sets(fa.dedupe_game_details(td.game_details(spark, sf_dir)), td.games(spark, sf_dir))
+
+
+@query
+def max_wins_90(spark, sf_dir):
+    return pt.max_wins_in_stretch(td.games(spark, sf_dir), 90)
+
+
+@query
+def longest_streak(spark, sf_dir):
+    return pt.longest_scoring_streak(fa.dedupe_game_details(td.game_details(spark, sf_dir)),
+                                     td.games(spark, sf_dir), 10)
