@@ -90,8 +90,11 @@ def retention_curve(activity: DataFrame, *, user: str = "user_id", end=None) ->
            .groupBy(F.datediff("date", "_first").alias("days_since_first_active"))
            .agg(F.count(F.lit(1)).alias("_active")))
     span = first.groupBy(F.datediff(end_c, "_first").alias("_span")).agg(F.count(F.lit(1)).alias("_n"))
+    every = span.agg(F.max("_span").alias("_m")).select(
+        F.explode(F.sequence(F.lit(0), F.col("_m"))).alias("_span"), F.lit(0).cast("bigint").alias("_n"))
+    hist = every.unionByName(span).groupBy("_span").agg(F.sum("_n").alias("_n"))
     w = Window.orderBy(F.col("_span").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    den = span.select(F.col("_span").alias("days_since_first_active"), F.sum("_n").over(w).alias("n_users"))
+    den = hist.select(F.col("_span").alias("days_since_first_active"), F.sum("_n").over(w).alias("n_users"))
     return (den.join(num, "days_since_first_active", "left")
             .select("days_since_first_active",
                     (F.coalesce("_active", F.lit(0)).cast("double") / F.col("n_users")).alias("pct_active"),
