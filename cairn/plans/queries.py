@@ -353,3 +353,140 @@ def max_wins_90(spark, sf_dir):
 def longest_streak(spark, sf_dir):
     return pt.longest_scoring_streak(fa.dedupe_game_details(td.game_details(spark, sf_dir)),
                                      td.games(spark, sf_dir), 10)
+
+
+# ------------------------------------------------------------------- graph ---
+
+import hashlib as _hashlib  # noqa: E402
+
+from cairn.operators import events as ev  # noqa: E402
+from cairn.operators import graph as gr  # noqa: E402
+from cairn.operators import matches as mt  # noqa: E402
+from cairn.operators import quality as qa  # noqa: E402
+from cairn.session import scratch_path  # noqa: E402
+
+
+def _dd(spark, sf_dir):
+    return fa.dedupe_game_details(td.game_details(spark, sf_dir))
+
+
+@query
+def vertices_game(spark, sf_dir):
+    return gr.game_vertices(td.games(spark, sf_dir))
+
+
+@query
+def vertices_player(spark, sf_dir):
+    return gr.player_vertices(_dd(spark, sf_dir))
+
+
+@query
+def vertices_team(spark, sf_dir):
+    v = gr.team_vertices(td.teams(spark, sf_dir))
+    return v.select("identifier", "type", F.to_json("properties").alias("properties"))
+
+
+@query
+def edges_plays_in(spark, sf_dir):
+    return gr.plays_in_edges(_dd(spark, sf_dir))
+
+
+@query
+def edges_player_player(spark, sf_dir):
+    return gr.player_player_edges(_dd(spark, sf_dir))
+
+
+@query
+def edges_plays_on(spark, sf_dir):
+    return gr.plays_on_edges(_dd(spark, sf_dir))
+
+
+@query
+def graph_matchups(spark, sf_dir):
+    dd = _dd(spark, sf_dir)
+    return gr.matchups(gr.player_vertices(dd), gr.player_player_edges(dd))
+
+
+# ----------------------------------------------------------------- matches ---
+
+@query
+def match_avg_kills(spark, sf_dir):
+    return mt.avg_kills_per_player(td.match_details(spark, sf_dir), td.matches(spark, sf_dir), 10)
+
+
+@query
+def match_top_playlist(spark, sf_dir):
+    return mt.matches_played_by(td.matches(spark, sf_dir), td.match_details(spark, sf_dir), "playlist_id")
+
+
+@query
+def match_top_map(spark, sf_dir):
+    return mt.matches_played_by(td.matches(spark, sf_dir), td.match_details(spark, sf_dir), "map_name",
+                                td.maps(spark, sf_dir))
+
+
+@query
+def match_top_medal_map(spark, sf_dir):
+    return mt.medal_count_by_map(td.medals_matches_players(spark, sf_dir), td.medals(spark, sf_dir),
+                                 td.matches(spark, sf_dir), td.maps(spark, sf_dir), P["medal"])
+
+
+def _tag(sf_dir: str) -> str:
+    return _hashlib.md5(sf_dir.rstrip("/").encode()).hexdigest()[:8]
+
+
+@query
+def match_joined(spark, sf_dir):
+    tag = _tag(sf_dir)
+    names = {k: f"cairn_{k}_b16_{tag}" for k in ("match_details", "matches", "medals_matches_players")}
+    mt.write_bucketed(td.match_details(spark, sf_dir), names["match_details"])
+    mt.write_bucketed(td.matches(spark, sf_dir), names["matches"])
+    mt.write_bucketed(td.medals_matches_players(spark, sf_dir), names["medals_matches_players"])
+    return mt.bucketed_match_join(spark, names["match_details"], names["matches"], names["medals_matches_players"],
+                                  td.maps(spark, sf_dir), td.medals(spark, sf_dir))
+
+
+@query
+def bucket_filter_avg(spark, sf_dir):
+    tag = _tag(sf_dir)
+    scores = td.match_scores(spark, sf_dir)
+    mt.write_bucketed(scores, f"cairn_scores_b16_{tag}")
+    scores.write.mode("overwrite").format("parquet").saveAsTable(f"cairn_scores_plain_{tag}")
+    m = P["bucket_match"]
+    return mt.bucket_filter_avg(spark, f"cairn_scores_b16_{tag}", m, "bucketed").unionByName(
+        mt.bucket_filter_avg(spark, f"cairn_scores_plain_{tag}", m, "plain"))
+
+
+@query
+def layout_size_report(spark, sf_dir):
+    e = td.web_events(spark, sf_dir).withColumn("event_date", F.to_date("event_time"))
+    d = td.devices(spark, sf_dir).withColumnsRenamed({"browser_type": "browser_family", "os_type": "os_family"})
+    df = e.join(d, "device_id", "left")
+    return mt.layout_size_report(spark, df, scratch_path(spark, "layout"), "event_date", ["event_date", "host"])
+
+
+# ----------------------------------------------------------- quality/events ---
+
+@query
+def key_audit(spark, sf_dir):
+    return qa.key_audit(td.game_details(spark, sf_dir), ["game_id", "team_id", "player_id"],
+                        not_null=["game_id", "player_id", "player_name"],
+                        enums={"start_position": ["F", "C", "G"]}, table="game_details")
+
+
+@query
+def events_enriched(spark, sf_dir):
+    return ev.events_enriched(td.web_events(spark, sf_dir), td.devices(spark, sf_dir))
+
+
+@query
+def user_device_rollups(spark, sf_dir):
+    counts = ev.user_device_counts(td.web_events(spark, sf_dir))
+    per_user, per_device = ev.user_device_rollups(counts, td.devices(spark, sf_dir))
+    u = per_user.select(F.lit("user").alias("rollup"), F.col("user_id").alias("id"),
+                        F.lit(None).cast("string").alias("label"), F.col("total_hits").alias("n"),
+                        join_values("devices").alias("members"))
+    d = per_device.select(F.lit("device").alias("rollup"), F.col("device_id").alias("id"),
+                          F.col("device_type").alias("label"), F.size("users").cast("bigint").alias("n"),
+                          join_values("users").alias("members"))
+    return u.unionByName(d)
