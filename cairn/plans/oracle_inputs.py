@@ -59,6 +59,11 @@ SELECT '/' || event_type AS url, {_REF_CASE} AS referrer, user_id, k AS device_i
        '10.' || CAST(user_id % 200 AS VARCHAR) || '.' || CAST(user_id % 7 AS VARCHAR) || '.1' AS ip,
        ts AS event_time, event_type, value
 FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events) e""",
+    "geo_lookup": """
+SELECT c.c_custkey AS user_id,
+       CAST(json_object('country', n.n_name, 'state', r.r_name, 'city', c.c_mktsegment) AS VARCHAR) AS geodata
+FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
+WHERE c.c_acctbal >= 0""",
     "devices": """
 SELECT c.c_custkey AS device_id, n.n_name AS browser_type, r.r_name AS os_type, c.c_mktsegment AS device_type
 FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey""",

@@ -490,3 +490,90 @@ def user_device_rollups(spark, sf_dir):
                           F.col("device_type").alias("label"), F.size("users").cast("bigint").alias("n"),
                           join_values("users").alias("members"))
     return u.unionByName(d)
+
+
+# --------------------------------------------------------------- streaming ---
+
+from cairn.operators import experiments as ex  # noqa: E402
+from cairn.streaming import enrich as sen  # noqa: E402
+from cairn.streaming import sinks as ssk  # noqa: E402
+from cairn.streaming import sources as ssrc  # noqa: E402
+from cairn.streaming import windows as swin  # noqa: E402
+
+
+def _event_stream(spark, sf_dir):
+    return swin.event_time(td.web_events_from(ssrc.file_stream(spark, sf_dir, "events")))
+
+
+def _run_windowed(spark, sf_dir, keys):
+    agg = swin.tumbling_counts(_event_stream(spark, sf_dir), keys)
+    out = scratch_path(spark, "stream-out")
+    ssk.run_available_now(agg, ssk.parquet_batch_writer(out), scratch_path(spark, "stream-ckpt"), mode="update")
+    res = ssk.latest_by_key(spark, out, ["event_hour", *keys])
+    return res.select(F.col("event_hour").cast("timestamp_ntz").alias("event_hour"), *keys,
+                      F.col("num_hits").cast("bigint").alias("num_hits"))
+
+
+@query
+def stream_tumbling_host(spark, sf_dir):
+    return _run_windowed(spark, sf_dir, ["host"])
+
+
+@query
+def stream_tumbling_host_referrer(spark, sf_dir):
+    return _run_windowed(spark, sf_dir, ["host", "referrer"])
+
+
+@query
+def stream_geo_enrich(spark, sf_dir):
+    s = _event_stream(spark, sf_dir)
+    enriched = sen.enrich_with_lookup(s, td.geo_lookup(spark, sf_dir), "user_id", "geodata")
+    rows = enriched.select("ip", "event_timestamp", "referrer", "host", "url", "geodata")
+    out = scratch_path(spark, "stream-out")
+    ssk.run_available_now(rows, ssk.parquet_batch_writer(out), scratch_path(spark, "stream-ckpt"))
+    return spark.read.parquet(out).select("ip", F.col("event_timestamp").cast("timestamp_ntz").alias("event_timestamp"),
+                                          "referrer", "host", "url", "geodata")
+
+
+def _sessions(spark, sf_dir):
+    e = swin.event_time(td.web_events(spark, sf_dir))
+    return swin.sessions(e, ["ip", "host"])
+
+
+@query
+def sessionize(spark, sf_dir):
+    return _sessions(spark, sf_dir).select(
+        "ip", "host", F.col("session_start").cast("timestamp_ntz").alias("session_start"),
+        F.col("session_end").cast("timestamp_ntz").alias("session_end"), "num_events")
+
+
+@query
+def session_host_stats(spark, sf_dir):
+    return swin.session_stats(_sessions(spark, sf_dir), "host")
+
+
+# ------------------------------------------------------------- experiments ---
+
+def _assigned(spark, sf_dir):
+    users = td.web_events(spark, sf_dir).where(F.col("user_id").isNotNull()).select("user_id").distinct()
+    return ex.assign_cells(users, P["experiment"])
+
+
+@query
+def experiment_assignment(spark, sf_dir):
+    return _assigned(spark, sf_dir)
+
+
+@query
+def experiment_readout(spark, sf_dir):
+    """Conversion: a purchase on the user's first active day."""
+    e = td.web_events(spark, sf_dir).where(F.col("user_id").isNotNull()).withColumn("date", F.to_date("event_time"))
+    first = e.groupBy("user_id").agg(F.min("date").alias("_first"))
+    conv = (e.where(F.col("url") == "/purchase").join(first, "user_id").where(F.col("date") == F.col("_first"))
+            .select("user_id").distinct())
+    return ex.readout(_assigned(spark, sf_dir), conv, P["experiment"])
+
+
+@query
+def business_metrics(spark, sf_dir):
+    return ex.daily_business_metrics(td.order_revenue(spark, sf_dir))

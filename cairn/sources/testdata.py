@@ -131,8 +131,12 @@ REFERRER_BY_K = (
 
 
 def web_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """url, referrer, user_id, device_id, host, ip, event_time (timestamp_ntz)."""
-    e = table(spark, sf_dir, "events")
+    """url, referrer, user_id, device_id, host, ip, event_time (timestamp_ntz), event_type, value."""
+    return web_events_from(table(spark, sf_dir, "events"))
+
+
+def web_events_from(e: DataFrame) -> DataFrame:
+    """The web-event projection of the ``events`` table; works on batch and streaming frames."""
     k = F.get_json_object("props", "$.k").cast("bigint")
     ref = None
     for i, url in enumerate(REFERRER_BY_K):
@@ -151,6 +155,18 @@ def web_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def geo_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """user_id -> geodata JSON (country, state, city); customers with a negative
+    balance have no entry, so some lookups miss."""
+    c = table(spark, sf_dir, "customer").where(F.col("c_acctbal") >= 0)
+    n = _nation(spark, sf_dir)
+    r = _region(spark, sf_dir)
+    j = c.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
+    return j.select(F.col("c_custkey").alias("user_id"),
+                    F.to_json(F.struct(F.col("n_name").alias("country"), F.col("r_name").alias("state"),
+                                       F.col("c_mktsegment").alias("city"))).alias("geodata"))
+
+
 def devices(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     n = _nation(spark, sf_dir)
