@@ -48,9 +48,14 @@ def medal_count_by_map(medals_matches_players: DataFrame, medals: DataFrame, mat
 
 # ------------------------------------------------------------ bucketed layout ---
 
-def write_bucketed(df: DataFrame, table: str, key: str = "match_id", buckets: int = BUCKETS) -> None:
-    """Parquet table bucketed and sorted on ``key`` in the session's warehouse."""
-    (df.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key).saveAsTable(table))
+def write_bucketed(df: DataFrame, table: str, path: str, key: str | None = "match_id",
+                   buckets: int = BUCKETS) -> None:
+    """Parquet table at ``path`` (a shared folder), bucketed and sorted on ``key``
+    (plain when ``key`` is None), registered in the catalog as ``table``."""
+    w = df.write.mode("overwrite").format("parquet").option("path", path)
+    if key is not None:
+        w = w.bucketBy(buckets, key).sortBy(key)
+    w.saveAsTable(table)
 
 
 def bucketed_match_join(spark: SparkSession, details_table: str, matches_table: str, medals_table: str,

@@ -439,9 +439,10 @@ def _tag(sf_dir: str) -> str:
 def match_joined(spark, sf_dir):
     tag = _tag(sf_dir)
     names = {k: f"cairn_{k}_b16_{tag}" for k in ("match_details", "matches", "medals_matches_players")}
-    mt.write_bucketed(td.match_details(spark, sf_dir), names["match_details"])
-    mt.write_bucketed(td.matches(spark, sf_dir), names["matches"])
-    mt.write_bucketed(td.medals_matches_players(spark, sf_dir), names["medals_matches_players"])
+    mt.write_bucketed(td.match_details(spark, sf_dir), names["match_details"], scratch_path(spark, "md"))
+    mt.write_bucketed(td.matches(spark, sf_dir), names["matches"], scratch_path(spark, "m"))
+    mt.write_bucketed(td.medals_matches_players(spark, sf_dir), names["medals_matches_players"],
+                      scratch_path(spark, "mmp"))
     return mt.bucketed_match_join(spark, names["match_details"], names["matches"], names["medals_matches_players"],
                                   td.maps(spark, sf_dir), td.medals(spark, sf_dir))
 
@@ -450,8 +451,8 @@ def match_joined(spark, sf_dir):
 def bucket_filter_avg(spark, sf_dir):
     tag = _tag(sf_dir)
     scores = td.match_scores(spark, sf_dir)
-    mt.write_bucketed(scores, f"cairn_scores_b16_{tag}")
-    scores.write.mode("overwrite").format("parquet").saveAsTable(f"cairn_scores_plain_{tag}")
+    mt.write_bucketed(scores, f"cairn_scores_b16_{tag}", scratch_path(spark, "scores-b16"))
+    mt.write_bucketed(scores, f"cairn_scores_plain_{tag}", scratch_path(spark, "scores-plain"), key=None)
     m = P["bucket_match"]
     return mt.bucket_filter_avg(spark, f"cairn_scores_b16_{tag}", m, "bucketed").unionByName(
         mt.bucket_filter_avg(spark, f"cairn_scores_plain_{tag}", m, "plain"))
