@@ -41,7 +41,14 @@ def key_audit(df: DataFrame, keys: Sequence[str], *, not_null: Sequence[str] = (
 
 
 def assert_not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Typed-read nullability contract: fails the job on the first NULL in ``cols``."""
-    conds = [F.assert_true(F.col(c).isNotNull(), F.lit(f"NULL in non-nullable column {c}")) for c in cols]
-    return df.select("*", *[c.alias(f"_chk{i}") for i, c in enumerate(conds)]).drop(
-        *[f"_chk{i}" for i in range(len(conds))]) if conds else df
+    """Typed-read nullability contract: fails the job on the first NULL in ``cols``.
+
+    The check sits in a filter (``assert_true`` returns NULL when it holds), so
+    column pruning cannot remove it."""
+    if not cols:
+        return df
+    cond = None
+    for c in cols:
+        chk = F.assert_true(F.col(c).isNotNull(), F.lit(f"NULL in non-nullable column {c}"))
+        cond = chk.isNull() if cond is None else (cond & chk.isNull())
+    return df.where(cond)

@@ -31,7 +31,8 @@ def tumbling_counts(df: DataFrame, keys: Sequence[str], *, ts: str = "event_time
 
 def sessions(df: DataFrame, keys: Sequence[str], *, ts: str = "event_timestamp", gap: str = "5 minutes",
              watermark: str | None = None) -> DataFrame:
-    """Sessions per keys: events closer than ``gap`` belong to one session.
+    """Sessions per keys: events at most ``gap`` apart belong to one session (a gap of
+    exactly ``gap`` does not split).
 
     Grouped by the ``session_window`` column itself (grouping by its start would
     skip the session merge)."""

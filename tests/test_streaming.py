@@ -39,10 +39,11 @@ def test_late_row_does_not_reopen_window(spark, tmp_path):
 def test_session_gap_boundaries(spark):
     t0 = dt.datetime(2024, 1, 1, 0, 0, 0)
     rows = [_ev(1, t0), _ev(2, t0 + dt.timedelta(minutes=4, seconds=59)),
-            _ev(3, t0 + dt.timedelta(minutes=10)), _ev(4, t0 + dt.timedelta(minutes=20, seconds=1))]
+            _ev(3, t0 + dt.timedelta(minutes=10)), _ev(4, t0 + dt.timedelta(minutes=20, seconds=1)),
+            _ev(5, t0 + dt.timedelta(minutes=25, seconds=1))]
     df = windows.event_time(spark.createDataFrame(rows, sources.EVENTS_SCHEMA), "ts")
     s = windows.sessions(df, ["user_id"]).orderBy("session_start").collect()
-    assert [r.num_events for r in s] == [2, 1, 1]
+    assert [r.num_events for r in s] == [2, 1, 2]   # exactly 5 minutes apart stays one session
 
 
 def test_stream_equals_batch(spark):
