@@ -90,7 +90,7 @@ def first_last_ratio(spark, sf_dir):
 def unnest_history(spark, sf_dir):
     ps = td.player_seasons(spark, sf_dir)
     last = ps.select(F.max("season")).scalar()
-    players = cu.players_backfill(ps, thresholds=P["player_thresholds"]).where(F.col("current_season") == last)
+    players = cu.players_backfill(ps, thresholds=P["player_thresholds"], as_of=last)
     return cu.unnest_history(players)
 
 
