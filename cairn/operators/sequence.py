@@ -109,3 +109,74 @@ def longest_run(df: DataFrame, key: str, order: Sequence[str], flag: str, *, out
             .groupBy(key).agg(F.max("_len").alias("_best")))
     keys = df.groupBy(key).agg(F.count(F.lit(1)).alias("games"))
     return keys.join(runs, key, "left").select(key, "games", F.coalesce("_best", F.lit(0)).cast("bigint").alias(out))
+
+
+# ------------------------------------------------------------------ sessions ---
+
+def _local_sessions(keys: Sequence[str], gap_us: int):
+    """Per sorted partition: ``_lnew`` = starts a session here (a partition's first row of a
+    key counts provisionally), ``_lsid`` = running session number of the key in this partition.
+    State carries across the Arrow batches of one partition."""
+    import numpy as np
+
+    def fn(batches):
+        carry = None                      # (key tuple, last micros, last local session id)
+        for pdf in batches:
+            if pdf.empty:
+                yield pdf.assign(_lnew=pd.Series(dtype="int64"), _lsid=pd.Series(dtype="int64"))
+                continue
+            kdf = pdf[list(keys)]
+            same_prev = (kdf == kdf.shift(1)).all(axis=1).to_numpy().copy()
+            gaps = pdf["_us"].diff().to_numpy().copy()
+            cont = carry is not None and tuple(kdf.iloc[0]) == carry[0]
+            if cont:
+                same_prev[0] = True
+                gaps[0] = pdf["_us"].iloc[0] - carry[1]
+            new = (~same_prev | (np.nan_to_num(gaps, nan=0.0) > gap_us)).astype("int64")
+            grp = np.cumsum(~same_prev)
+            lsid = pd.Series(new).groupby(grp).cumsum().to_numpy()
+            if cont:
+                lsid = lsid + (grp == grp[0]) * carry[2]
+            out = pdf.assign(_lnew=new, _lsid=lsid)
+            carry = (tuple(kdf.iloc[-1]), int(pdf["_us"].iloc[-1]), int(lsid[-1]))
+            yield out
+    return fn
+
+
+def sessions_by_gap(df: DataFrame, keys: Sequence[str], ts: str, gap_seconds: int = 300, *,
+                    partitions: int | None = None) -> DataFrame:
+    """Sessions per keys (a gap longer than ``gap_seconds`` starts a new one): keys...,
+    session_start, session_end (last event + gap), num_events.
+
+    Same result as grouping by ``session_window``, but a key holding most of the
+    events is split over several range partitions instead of one task.
+    """
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    gap_us = int(gap_seconds) * 1_000_000
+    tcol = F.col(ts).cast("timestamp")
+    base = (df.select(*keys, F.col(ts).alias("_ts"), F.unix_micros(tcol).alias("_us"))
+            .repartitionByRange(n, *keys, "_us").sortWithinPartitions(*keys, "_us")
+            .withColumn("_pid", F.spark_partition_id()))
+    schema = T.StructType(base.schema.fields + [T.StructField("_lnew", T.LongType()),
+                                                T.StructField("_lsid", T.LongType())])
+    local = base.mapInPandas(_local_sessions(keys, gap_us), schema)
+    # per (partition, key): first/last event, sessions started inside (the first row counts provisionally)
+    tot = local.groupBy("_pid", *keys).agg(F.min("_us").alias("_first"), F.max("_us").alias("_last"),
+                                           F.max("_lsid").alias("_n"))
+    wk = Window.partitionBy(*keys)
+    wo = wk.orderBy("_pid")
+    spanning = tot.withColumn("_parts", F.count(F.lit(1)).over(wk)).where(F.col("_parts") > 1)
+    prev_last = F.lag("_last", 1).over(wo)
+    # c = -1 when this partition's first event continues the previous partition's last session
+    c = F.when(prev_last.isNull(), 0).when(F.col("_first") - prev_last > gap_us, 0).otherwise(-1)
+    adj = spanning.withColumn("_c", c).withColumn("_adj", F.col("_n") + F.col("_c"))
+    offs = adj.select("_pid", *keys, (F.coalesce(F.sum("_adj").over(wo.rowsBetween(Window.unboundedPreceding, -1)),
+                                                 F.lit(0)) + F.col("_c")).alias("_off"))
+    offs = F.broadcast(offs)          # at most 2(n-1) rows: only keys straddling a range boundary
+    j = local.join(offs, ["_pid", *keys], "left")
+    sid = F.col("_lsid") + F.coalesce("_off", F.lit(0))
+    g = j.groupBy(*keys, sid.alias("_sid")).agg(F.min("_ts").alias("session_start"),
+                                                 F.max("_ts").alias("_end"), F.count(F.lit(1)).alias("num_events"))
+    return g.select(*keys, "session_start", (F.col("_end") + F.expr(f"INTERVAL {int(gap_seconds)} SECONDS"))
+                    .alias("session_end"), "num_events")

@@ -537,8 +537,10 @@ def stream_geo_enrich(spark, sf_dir):
 
 
 def _sessions(spark, sf_dir):
-    e = swin.event_time(td.web_events(spark, sf_dir))
-    return swin.sessions(e, ["ip", "host"])
+    """Batch sessions through the range-partitioned operator (a hot (ip, host) spans tasks);
+    equal to grouping by ``session_window`` (tested)."""
+    from cairn.operators.sequence import sessions_by_gap
+    return sessions_by_gap(td.web_events(spark, sf_dir), ["ip", "host"], "event_time", 300)
 
 
 @query

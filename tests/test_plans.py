@@ -81,3 +81,21 @@ def test_rolling_and_streak_match_window(spark):
     assert r.select("k", "t", "w").exceptAll(ref.select("k", "t", "w")).count() == 0
     streak = sequence.longest_run(df.withColumn("f", F.col("v") == 1), "k", ["t"], "f", partitions=6)
     assert streak.count() == 3
+
+
+def test_sessions_by_gap_equals_session_window_on_hot_key(spark):
+    import datetime as dt
+    from cairn.streaming import windows
+    off = F.col("id") * 200 + F.when(F.col("id") % 5 == 0, 150).otherwise(0) + \
+        F.when(F.col("id") % 7 == 0, 100).otherwise(0)          # gaps of 350 s, 300 s (no split) and less
+    df = spark.range(6000).select(
+        F.when(F.col("id") < 5500, "hot").otherwise(F.concat(F.lit("k"), (F.col("id") % 3).cast("string"))).alias("ip"),
+        F.lit("h").alias("host"),
+        (F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz") + F.make_interval(secs=off.cast("double"))).alias("t"))
+
+    def norm(x):
+        return x.select("ip", "host", F.col("session_start").cast("timestamp_ntz").alias("s"),
+                        F.col("session_end").cast("timestamp_ntz").alias("e"), "num_events")
+    a = norm(sequence.sessions_by_gap(df, ["ip", "host"], "t", 300, partitions=5))
+    b = norm(windows.sessions(windows.event_time(df, "t"), ["ip", "host"]))
+    assert a.count() == b.count() and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
