@@ -28,13 +28,23 @@ def threshold_class(value: Column, thresholds: Sequence[tuple[float, str]], defa
     return expr.otherwise(F.lit(default)) if expr is not None else F.lit(default)
 
 
+def _host_match(host: Column, pattern: str) -> Column:
+    """``pattern`` is the host, a parent domain of it, or one of its labels."""
+    return ((host == pattern) | host.endswith("." + pattern) | host.startswith(pattern + ".")
+            | host.contains("." + pattern + "."))
+
+
 def classify_referrer(ref: Column, rules: Sequence[tuple[str, str]] = REFERRER_RULES,
-                      on_site: Sequence[str] = ON_SITE_PATTERNS) -> Column:
-    """First matching ``LIKE '%pattern%'`` rule names the referrer, else the raw value."""
+                      on_site: Sequence[str] = ON_SITE_PATTERNS, match: str = "like") -> Column:
+    """First matching rule names the referrer, else the raw value.
+
+    ``match='like'``: ``LIKE '%pattern%'`` on the whole URL (the original rule);
+    ``match='host'``: the pattern must match whole labels of the URL's host."""
     all_rules = list(rules) + [(p, "On Site") for p in on_site]
+    host = F.lower(F.parse_url(ref, F.lit("HOST")))
     expr = None
     for pattern, label in all_rules:
-        cond = ref.like(f"%{pattern}%")
+        cond = _host_match(host, pattern) if match == "host" else ref.like(f"%{pattern}%")
         expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
     return expr.otherwise(ref) if expr is not None else ref
 

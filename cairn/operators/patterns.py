@@ -167,23 +167,36 @@ def game_grouping_sets(details: DataFrame, games: DataFrame) -> DataFrame:
 # ---------------------------------------------------------- traffic windows ---
 
 def traffic_windows(events: DataFrame, devices: DataFrame, *, min_total: int = 500,
-                    prev_week: tuple[int, int] = (-13, -6)) -> DataFrame:
+                    prev_week: tuple[int, int] = (-13, -6), frame: str = "rows",
+                    referrer_match: str = "like") -> DataFrame:
     """Per (referrer, url, day): weekly rolling count, previous-week count, share of
-    month and of total. Frames count rows (days with traffic), as in the original;
-    ``prev_week=(-13, -7)`` gives a non-overlapping previous week."""
+    month and of total.
+
+    ``frame='rows'`` counts rows (days with traffic), as in the original;
+    ``frame='range'`` uses calendar days (a day without traffic still takes its
+    place in the week). ``prev_week=(-13, -7)`` gives a non-overlapping previous
+    week. ``referrer_match='host'`` classifies by the referrer's host instead of a
+    substring anywhere in the URL."""
+    label = classify_referrer(F.col("referrer"), match=referrer_match)
     aug = events.join(devices, "device_id").select(
-        "url", classify_referrer(F.col("referrer")).alias("referrer"), F.to_date("event_time").alias("event_date"))
+        "url", label.alias("referrer"), F.to_date("event_time").alias("event_date"))
     agg = aug.groupBy("url", "referrer", "event_date").agg(F.count(F.lit(1)).alias("count"))
     base = Window.partitionBy("referrer", "url")
     ordered = base.orderBy("event_date")
     month = Window.partitionBy("referrer", "url", F.trunc("event_date", "month"))
+    if frame == "range":
+        agg = agg.withColumn("_day", F.unix_date("event_date"))
+        by_day = base.orderBy("_day")
+        week, prev = by_day.rangeBetween(-6, 0), by_day.rangeBetween(*prev_week)
+    else:
+        week, prev = ordered.rowsBetween(-6, 0), ordered.rowsBetween(*prev_week)
     w = (agg
          .withColumn("total_cumulative_sum", F.sum("count").over(base))
          .withColumn("monthly_cumulative_sum", F.sum("count").over(month))
          .withColumn("rolling_cumulative_sum",
                      F.sum("count").over(ordered.rangeBetween(Window.unboundedPreceding, Window.currentRow)))
-         .withColumn("weekly_rolling_count", F.sum("count").over(ordered.rowsBetween(-6, 0)))
-         .withColumn("previous_weekly_rolling_count", F.sum("count").over(ordered.rowsBetween(*prev_week))))
+         .withColumn("weekly_rolling_count", F.sum("count").over(week))
+         .withColumn("previous_weekly_rolling_count", F.sum("count").over(prev)))
     return (w.where((F.col("total_cumulative_sum") > min_total) & F.col("referrer").isNotNull())
             .select("referrer", "url", "event_date", "count", "weekly_rolling_count",
                     "previous_weekly_rolling_count",

@@ -106,3 +106,20 @@ def test_first_last_ratio_zero_guard(spark):
     df = spark.createDataFrame([("p", [(1, 0), (2, 10)], 2)],
                                "player_name string, seasons array<struct<season:long,pts:long>>, current_season long")
     assert cu.first_last_ratio(df).first().ratio_most_recent_to_first == 10.0
+
+
+def test_traffic_window_options(spark):
+    import datetime as dt
+    d0 = dt.datetime(2024, 1, 1, 12)
+    # one url/referrer with traffic on days 0, 1 and 9: rows vs calendar frames differ
+    ev = spark.createDataFrame([("/a", "https://www.pinterest.com/x", 1, d0),
+                                ("/a", "https://www.pinterest.com/x", 1, d0 + dt.timedelta(days=1)),
+                                ("/a", "https://www.pinterest.com/x", 1, d0 + dt.timedelta(days=9))],
+                               "url string, referrer string, device_id long, event_time timestamp_ntz")
+    dev = spark.createDataFrame([(1, "x")], "device_id long, os_type string")
+    rows = {r.event_date.day: r for r in patterns.traffic_windows(ev, dev, min_total=0).collect()}
+    assert rows[10].weekly_rolling_count == 3 and rows[10].referrer == "Twitter"     # LIKE '%t.co%' quirk
+    cal = {r.event_date.day: r for r in patterns.traffic_windows(ev, dev, min_total=0, frame="range",
+                                                                 referrer_match="host").collect()}
+    assert cal[10].weekly_rolling_count == 1 and cal[10].previous_weekly_rolling_count == 2
+    assert cal[10].referrer == "https://www.pinterest.com/x"                          # host match: no quirk
