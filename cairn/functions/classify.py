@@ -41,7 +41,7 @@ def classify_referrer(ref: Column, rules: Sequence[tuple[str, str]] = REFERRER_R
     ``match='like'``: ``LIKE '%pattern%'`` on the whole URL (the original rule);
     ``match='host'``: the pattern must match whole labels of the URL's host."""
     all_rules = list(rules) + [(p, "On Site") for p in on_site]
-    host = F.lower(F.parse_url(ref, F.lit("HOST")))
+    host = F.lower(F.try_parse_url(ref, F.lit("HOST")))   # a malformed URL gives NULL
     expr = None
     for pattern, label in all_rules:
         cond = _host_match(host, pattern) if match == "host" else ref.like(f"%{pattern}%")
