@@ -22,11 +22,13 @@ from cairn.operators.core import change_islands
 
 def scd2_backfill(df: DataFrame, key: str, period: str, tracked: Sequence[str], *,
                   as_of=None, start: str = "start_season", end: str = "end_season",
-                  current: str | None = "current_season") -> DataFrame:
+                  current: str | None = "current_season", current_value=None) -> DataFrame:
     """One row per spell: key, tracked..., start, end[, current].
 
     ``df`` holds one row per (key, period). One shuffle on ``key``: the island
-    window and the spell aggregate share its partitioning.
+    window and the spell aggregate share its partitioning. ``current_value``
+    (a literal or a scalar Column the caller already has) avoids a separate
+    job for the latest period.
     """
     if as_of is not None:
         df = df.where(F.col(period) <= F.lit(as_of))
@@ -35,7 +37,12 @@ def scd2_backfill(df: DataFrame, key: str, period: str, tracked: Sequence[str],
            .agg(F.min(period).alias(start), F.max(period).alias(end))
            .drop("_island"))
     if current is not None:
-        cur = F.lit(as_of) if as_of is not None else df.select(F.max(period)).scalar()
+        if as_of is not None:
+            cur = F.lit(as_of)
+        elif current_value is not None:
+            cur = F.lit(current_value)
+        else:
+            cur = df.select(F.max(period)).scalar()
         out = out.withColumn(current, cur.cast(df.schema[period].dataType))
     return out
 

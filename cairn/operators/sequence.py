@@ -61,14 +61,16 @@ def running_totals(df: DataFrame, key: str, order: Sequence[str], values: Sequen
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = [key, *order, *values]
     df = df.select(key, *order, *[F.col(v).cast("bigint").alias(v) for v in values])
-    base = (df.repartitionByRange(n, key, *order).sortWithinPartitions(key, *order)
-            .withColumn("_pid", F.spark_partition_id()))
+    ranged = df.repartitionByRange(n, key, *order).withColumn("_pid", F.spark_partition_id())
+    base = ranged.sortWithinPartitions(key, *order)
     schema = T.StructType(base.schema.fields + [T.StructField("_lidx", T.LongType())]
                           + [T.StructField(f"_lcum_{v}", T.LongType()) for v in values])
     local = base.mapInPandas(_local_running(key, values), schema)
 
-    tot = local.groupBy("_pid", key).agg(F.max("_lidx").alias("_n"),
-                                          *[F.max(f"_lcum_{v}").alias(f"_s_{v}") for v in values])
+    # per (partition, key) totals straight from the range-partitioned rows (JVM aggregate; the
+    # range exchange is shared with the Python pass, which therefore runs once)
+    tot = ranged.groupBy("_pid", key).agg(F.count(F.lit(1)).alias("_n"),
+                                          *[F.sum(v).alias(f"_s_{v}") for v in values])
     wk = Window.partitionBy(key)
     wo = wk.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = (tot.withColumn("_parts", F.count(F.lit(1)).over(wk)).where(F.col("_parts") > 1)
@@ -89,7 +91,8 @@ def rolling_sum(df: DataFrame, key: str, order: Sequence[str], value: str, width
                 out: str | None = None, partitions: int | None = None) -> DataFrame:
     """Sum of ``value`` over the current row and the ``width - 1`` rows before it, per key."""
     out = out or f"rolling_{value}"
-    rt = running_totals(df, key, order, [value], partitions=partitions)
+    # read twice below (row i and row i - width): written once to the shared checkpoint folder
+    rt = running_totals(df, key, order, [value], partitions=partitions).checkpoint(eager=True)
     back = rt.select(key, (F.col("pos") + width).alias("pos"), F.col(f"cum_{value}").alias("_back"))
     return (rt.join(back, [key, "pos"], "left")
             .select(key, *order, value, "pos",
@@ -160,7 +163,8 @@ def sessions_by_gap(df: DataFrame, keys: Sequence[str], ts: str, gap_seconds: in
             .withColumn("_pid", F.spark_partition_id()))
     schema = T.StructType(base.schema.fields + [T.StructField("_lnew", T.LongType()),
                                                 T.StructField("_lsid", T.LongType())])
-    local = base.mapInPandas(_local_sessions(keys, gap_us), schema)
+    # read twice (boundary table and final rows): written once to the shared checkpoint folder
+    local = base.mapInPandas(_local_sessions(keys, gap_us), schema).checkpoint(eager=True)
     # per (partition, key): first/last event, sessions started inside (the first row counts provisionally)
     tot = local.groupBy("_pid", *keys).agg(F.min("_us").alias("_first"), F.max("_us").alias("_last"),
                                            F.max("_lsid").alias("_n"))

@@ -54,7 +54,13 @@ def _players_rendered(df: DataFrame) -> DataFrame:
 
 
 def _players_all(spark, sf_dir) -> DataFrame:
-    return cu.players_backfill(td.player_seasons(spark, sf_dir), thresholds=P["player_thresholds"])
+    ps = td.player_seasons(spark, sf_dir)
+    return cu.players_backfill(ps, thresholds=P["player_thresholds"], end_period=_last_season(ps))
+
+
+def _last_season(ps: DataFrame):
+    """The latest season as one scalar subquery, shared by every use in a plan."""
+    return ps.select(F.max("season")).scalar()
 
 
 # ------------------------------------------------------ cumulative players ---
@@ -102,8 +108,9 @@ def _player_snapshots(spark, sf_dir) -> DataFrame:
 
 @query
 def scd2_backfill(spark, sf_dir):
+    last = _last_season(td.player_seasons(spark, sf_dir))
     return scd.scd2_backfill(_player_snapshots(spark, sf_dir), "player_name", "current_season",
-                             ["scoring_class", "is_active"])
+                             ["scoring_class", "is_active"], current_value=last)
 
 
 @query
