@@ -96,7 +96,7 @@ def retention_curve(activity: DataFrame, *, user: str = "user_id", end=None) ->
     w = Window.orderBy(F.col("_span").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     den = hist.select(F.col("_span").alias("days_since_first_active"), F.sum("_n").over(w).alias("n_users"))
     return (den.join(num, "days_since_first_active", "left")
-            .select("days_since_first_active",
+            .select(F.col("days_since_first_active").cast("bigint").alias("days_since_first_active"),
                     (F.coalesce("_active", F.lit(0)).cast("double") / F.col("n_users")).alias("pct_active"),
                     F.col("n_users").cast("bigint").alias("n_users")))
 
