@@ -17,6 +17,10 @@ def con():
     return c
 
 
+_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+          "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
 def _norm(v):
     if isinstance(v, float):
         return round(v, 6)
@@ -36,6 +40,10 @@ def test_query_matches_oracle(spark, con, name):
     if sql is None:
         assert df.columns and rows is not None
         return
+    rel = con.sql(sql)
+    otypes = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    stypes = {f.name: _TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    assert stypes == otypes
     cur = con.execute(sql)
     ocols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(ocols)
