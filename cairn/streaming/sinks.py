@@ -51,3 +51,16 @@ def latest_by_key(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFr
     vals = [c for c in df.columns if c not in keys and c != "_batch_id"]
     packed = F.max(F.struct(F.col("_batch_id"), *[F.col(c) for c in vals])).alias("_r")
     return df.groupBy(*keys).agg(packed).select(*keys, *[F.col(f"_r.{c}").alias(c) for c in vals])
+
+
+def run_all_available_now(queries: list[tuple[DataFrame, Callable[[DataFrame, int], None], str, str]]) -> None:
+    """Several sinks fed from one source: one streaming query per sink, each with its own
+    checkpoint (``(frame, sink, checkpoint, mode)``), all started, then all awaited."""
+    started = []
+    for df, sink, ckpt, mode in queries:
+        w = df.writeStream.outputMode(mode).option("checkpointLocation", ckpt).foreachBatch(sink)
+        started.append(w.trigger(availableNow=True).start())
+    for q in started:
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))

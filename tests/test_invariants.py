@@ -123,3 +123,20 @@ def test_traffic_window_options(spark):
                                                                  referrer_match="host").collect()}
     assert cal[10].weekly_rolling_count == 1 and cal[10].previous_weekly_rolling_count == 2
     assert cal[10].referrer == "https://www.pinterest.com/x"                          # host match: no quirk
+
+
+def test_events_enriched_dataframe_equals_sql(spark):
+    from cairn.operators import events as ev
+    e, d = td.web_events(spark, SF_SMALL), td.devices(spark, SF_SMALL)
+    assertDataFrameEqual(ev.events_enriched(e, d), ev.events_enriched_sql(spark, e, d))
+
+
+def test_rollups_from_one_cached_aggregate(spark):
+    from cairn.operators import events as ev
+    from cairn.plans.cache import cached
+    counts = ev.user_device_counts(td.web_events(spark, SF_SMALL))
+    with cached(counts) as c:
+        per_user, per_device = ev.user_device_rollups(c, td.devices(spark, SF_SMALL))
+        assert per_user.count() > 0 and per_device.count() > 0
+        assert c.is_cached
+    assert not counts.is_cached

@@ -61,3 +61,27 @@ def test_kafka_options():
     o = sources.kafka_options("b:9092", "t", group_id="g", sasl_username="u", sasl_password="p")
     assert o["kafka.security.protocol"] == "SASL_SSL" and 'username="u"' in o["kafka.sasl.jaas.config"]
     assert o["startingOffsets"] == "latest" and o["subscribe"] == "t"
+
+
+def test_two_sinks_one_source_and_stream_sessions(spark):
+    from cairn.sources import testdata as td
+    from tests.conftest import SF_SMALL
+    src = td.web_events_from(sources.file_stream(spark, SF_SMALL, "events"))
+    s = windows.event_time(src)
+    by_host = windows.tumbling_counts(s, ["host"])
+    by_ref = windows.tumbling_counts(s, ["host", "referrer"])
+    out1, out2 = scratch_path(spark, "s1"), scratch_path(spark, "s2")
+    sinks.run_all_available_now([(by_host, sinks.parquet_batch_writer(out1), scratch_path(spark, "c1"), "update"),
+                                 (by_ref, sinks.parquet_batch_writer(out2), scratch_path(spark, "c2"), "update")])
+    a = sinks.latest_by_key(spark, out1, ["event_hour", "host"]).agg(F.sum("num_hits")).first()[0]
+    b = sinks.latest_by_key(spark, out2, ["event_hour", "host", "referrer"]).agg(F.sum("num_hits")).first()[0]
+    n = td.web_events(spark, SF_SMALL).count()
+    assert a == n and b == n
+    # sessions in append mode: every closed session is emitted once; the still-open ones are held back
+    sess = windows.sessions(windows.event_time(td.web_events_from(sources.file_stream(spark, SF_SMALL, "events"))),
+                            ["ip", "host"], watermark="15 seconds")
+    out3 = scratch_path(spark, "s3")
+    sinks.run_available_now(sess, sinks.parquet_batch_writer(out3), scratch_path(spark, "c3"), mode="append")
+    streamed = spark.read.parquet(out3).count() if __import__("os").path.exists(out3) else 0
+    batch = windows.sessions(windows.event_time(td.web_events(spark, SF_SMALL)), ["ip", "host"]).count()
+    assert streamed <= batch
