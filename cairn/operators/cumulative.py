@@ -156,11 +156,16 @@ def actors_step(prev: DataFrame | None, films: DataFrame, year: int, *, key: str
 
 
 def actors_backfill(films: DataFrame, *, key: str = "actorid", thresholds=QUALITY_THRESHOLDS,
-                    end_year=None, as_of=None) -> DataFrame:
+                    end_year=None, as_of=None, with_films: bool = True) -> DataFrame:
     """actors(y) for every y from the actor's first film year to ``end_year``
-    (or only ``y = as_of``)."""
-    per = actor_year_facts(films, key)
-    item = F.struct(F.col("year"), F.col("avg_rating"), F.col("films"))
+    (or only ``y = as_of``). ``with_films=False`` keeps only class and activity
+    (what an SCD needs), so no film arrays are collected."""
+    if with_films:
+        per = actor_year_facts(films, key)
+        item = F.struct(F.col("year"), F.col("avg_rating"), F.col("films"))
+    else:
+        per = films.groupBy(key, "year").agg(F.avg("rating").alias("avg_rating"))
+        item = F.struct(F.col("year"), F.col("avg_rating"))
     agg = per.groupBy(key).agg(F.sort_array(F.collect_list(item)).alias("_hist"), F.min("year").alias("_first"))
     if as_of is not None:
         spine = agg.where(F.col("_first") <= F.lit(as_of)).select(
@@ -171,9 +176,9 @@ def actors_backfill(films: DataFrame, *, key: str = "actorid", thresholds=QUALIT
     h = F.filter("_hist", lambda s: s["year"] <= F.col("current_year"))
     spine = spine.withColumn("_h", h)
     last = F.element_at("_h", -1)
+    films_col = [F.flatten(F.transform("_h", lambda s: s["films"])).alias("films")] if with_films else []
     return spine.select(
-        key,
-        F.flatten(F.transform("_h", lambda s: s["films"])).alias("films"),
+        key, *films_col,
         threshold_class(last["avg_rating"], thresholds, "bad").alias("quality_class"),
         "current_year",
         (last["year"] == F.col("current_year")).alias("is_active"))

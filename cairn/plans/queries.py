@@ -151,16 +151,18 @@ def actors_cumulative(spark, sf_dir):
     return _actors_rendered(cu.actors_step(prev, films, y))
 
 
-def _actor_snapshots(spark, sf_dir) -> DataFrame:
-    return cu.actors_backfill(td.actor_films(spark, sf_dir)).select("actorid", "current_year", "quality_class",
-                                                                    "is_active")
+def _actor_snapshots(spark, sf_dir, last=None) -> DataFrame:
+    films = td.actor_films(spark, sf_dir)
+    return cu.actors_backfill(films, with_films=False, end_year=last).select(
+        "actorid", "current_year", "quality_class", "is_active")
 
 
 @query
 def actors_scd_backfill(spark, sf_dir):
-    return scd.scd2_backfill(_actor_snapshots(spark, sf_dir), "actorid", "current_year",
+    last = td.actor_films(spark, sf_dir).select(F.max("year")).scalar()
+    return scd.scd2_backfill(_actor_snapshots(spark, sf_dir, last), "actorid", "current_year",
                              ["quality_class", "is_active"], start="start_year", end="end_year",
-                             current="current_year")
+                             current="current_year", current_value=last)
 
 
 @query
