@@ -7,15 +7,29 @@ be compared with the SQL oracle of the same name (``cairn.plans.oracle``).
 
 from __future__ import annotations
 
+import datetime as _dt
+import hashlib as _hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.operators import cumulative as cu
+from cairn.operators import events as ev
+from cairn.operators import experiments as ex
+from cairn.operators import facts as fa
+from cairn.operators import graph as gr
+from cairn.operators import matches as mt
+from cairn.operators import patterns as pt
+from cairn.operators import quality as qa
 from cairn.operators import scd
-from cairn.plans.render import join_structs
+from cairn.plans.render import join_structs, join_values
+from cairn.session import scratch_path
 from cairn.sources import testdata as td
+from cairn.streaming import enrich as sen
+from cairn.streaming import sinks as ssk
+from cairn.streaming import sources as ssrc
+from cairn.streaming import windows as swin
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -177,11 +191,6 @@ def actors_scd_incremental(spark, sf_dir):
 
 # ------------------------------------------------------- activity / facts ---
 
-import datetime as _dt  # noqa: E402
-
-from cairn.operators import facts as fa  # noqa: E402
-from cairn.plans.render import join_values  # noqa: E402
-
 
 def _day(s: str, delta: int = 0) -> str:
     return (_dt.date.fromisoformat(s) + _dt.timedelta(days=delta)).isoformat()
@@ -317,8 +326,6 @@ def daily_devices_per_user(spark, sf_dir):
 
 # ---------------------------------------------------------------- patterns ---
 
-from cairn.operators import patterns as pt  # noqa: E402
-
 
 @query
 def growth_accounting(spark, sf_dir):
@@ -366,14 +373,6 @@ def longest_streak(spark, sf_dir):
 
 # ------------------------------------------------------------------- graph ---
 
-import hashlib as _hashlib  # noqa: E402
-
-from cairn.operators import events as ev  # noqa: E402
-from cairn.operators import graph as gr  # noqa: E402
-from cairn.operators import matches as mt  # noqa: E402
-from cairn.operators import quality as qa  # noqa: E402
-from cairn.session import scratch_path  # noqa: E402
-
 
 def _dd(spark, sf_dir):
     return fa.dedupe_game_details(td.game_details(spark, sf_dir))
@@ -504,12 +503,6 @@ def user_device_rollups(spark, sf_dir):
 
 # --------------------------------------------------------------- streaming ---
 
-from cairn.operators import experiments as ex  # noqa: E402
-from cairn.streaming import enrich as sen  # noqa: E402
-from cairn.streaming import sinks as ssk  # noqa: E402
-from cairn.streaming import sources as ssrc  # noqa: E402
-from cairn.streaming import windows as swin  # noqa: E402
-
 
 def _event_stream(spark, sf_dir):
     return swin.event_time(td.web_events_from(ssrc.file_stream(spark, sf_dir, "events")))
