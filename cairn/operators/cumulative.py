@@ -102,12 +102,16 @@ def players_schema(today: DataFrame, key, period, attrs, stats):
            T.StructField("current_season", s[period].dataType)])
 
 
-def players_loop(spark: SparkSession, seasons: DataFrame, periods: Sequence[int], **kw) -> DataFrame:
+def players_loop(spark: SparkSession, seasons, periods: Sequence[int], **kw) -> DataFrame:
     """Run ``players_step`` for every period in order; each state is checkpointed
-    to the shared checkpoint folder, so lineage stays one step long."""
+    to the shared checkpoint folder, so lineage stays one step long.
+
+    ``seasons`` is a DataFrame, or a function ``period -> DataFrame`` returning
+    only that period's facts (so each step reads one period)."""
     state = None
     for t in periods:
-        state = players_step(state, seasons, t, **kw).checkpoint(eager=True)
+        today = seasons(t) if callable(seasons) else seasons
+        state = players_step(state, today, t, **kw).checkpoint(eager=True)
     return state
 
 

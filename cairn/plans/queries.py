@@ -86,18 +86,19 @@ def cumulative_entity_backfill(spark, sf_dir):
 
 @query
 def cumulative_entity_step(spark, sf_dir):
-    ps = td.player_seasons(spark, sf_dir)
     t = P["step_season"]
-    prev = cu.players_backfill(ps, thresholds=P["player_thresholds"], as_of=t - 1)
-    return _players_rendered(cu.players_step(prev, ps, t, thresholds=P["player_thresholds"]))
+    prev = cu.players_backfill(td.player_seasons(spark, sf_dir, last=t - 1), thresholds=P["player_thresholds"],
+                               as_of=t - 1)
+    today = td.player_seasons(spark, sf_dir, first=t, last=t)
+    return _players_rendered(cu.players_step(prev, today, t, thresholds=P["player_thresholds"]))
 
 
 @query
 def cumulative_entity_loop(spark, sf_dir):
-    ps = td.player_seasons(spark, sf_dir)
     t = P["step_season"]
-    first = ps.agg(F.min("season")).first()[0]          # one scalar: the first period
-    state = cu.players_loop(spark, ps, list(range(first, t + 1)), thresholds=P["player_thresholds"])
+    first = td.player_seasons(spark, sf_dir).agg(F.min("season")).first()[0]   # one scalar: the first period
+    state = cu.players_loop(spark, lambda y: td.player_seasons(spark, sf_dir, first=y, last=y),
+                            list(range(first, t + 1)), thresholds=P["player_thresholds"])
     return _players_rendered(state)
 
 
@@ -201,45 +202,67 @@ def day_range(col: str, day: str):
     return (F.col(col) >= F.lit(day).cast("timestamp_ntz")) & (F.col(col) < F.lit(_day(day, 1)).cast("timestamp_ntz"))
 
 
-def _user_activity(spark, sf_dir):
-    return cu.daily_activity(td.web_events(spark, sf_dir), ["user_id"])
+def _month_start(day: str) -> str:
+    return day[:8] + "01"
+
+
+def _events(spark, sf_dir, start: str | None = None, end: str | None = None):
+    """Web events with event_time in [start, end) as a range on the raw timestamp column: the
+    bounds reach the Parquet scan (row-group statistics, or partition pruning on a table
+    partitioned by day), so a daily step reads its day, not the whole history."""
+    e = td.web_events(spark, sf_dir)
+    if start is not None:
+        e = e.where(F.col("event_time") >= F.lit(start).cast("timestamp_ntz"))
+    if end is not None:
+        e = e.where(F.col("event_time") < F.lit(end).cast("timestamp_ntz"))
+    return e
+
 
+def _user_activity(spark, sf_dir, start=None, end=None):
+    return cu.daily_activity(_events(spark, sf_dir, start, end), ["user_id"])
 
-def _user_browser_activity(spark, sf_dir):
-    e = td.web_events(spark, sf_dir).where(F.col("user_id").isNotNull())
+
+def _user_browser_activity(spark, sf_dir, start=None, end=None):
+    e = _events(spark, sf_dir, start, end).where(F.col("user_id").isNotNull())
     d = td.devices(spark, sf_dir).select("device_id", "browser_type")
     return e.join(d, "device_id").select("user_id", "browser_type", F.to_date("event_time").alias("date")).distinct()
 
 
-def _user_daily_hits(spark, sf_dir):
-    e = td.web_events(spark, sf_dir).where(F.col("user_id").isNotNull())
+def _user_daily_hits(spark, sf_dir, start=None, end=None):
+    e = _events(spark, sf_dir, start, end).where(F.col("user_id").isNotNull())
     return e.groupBy("user_id", F.to_date("event_time").alias("date")).agg(F.count(F.lit(1)).alias("hits"))
 
 
+def _host_daily(spark, sf_dir, start=None, end=None):
+    e = _events(spark, sf_dir, start, end)
+    return e.groupBy("host", F.to_date("event_time").alias("date")).agg(
+        F.count(F.lit(1)).alias("hit_array"), F.count_distinct("user_id").alias("unique_visitors"))
+
+
 @query
 def users_cumulated(spark, sf_dir):
-    act = _user_activity(spark, sf_dir)
     d = P["as_of_day"]
-    prev = cu.dates_cumulated(act, ["user_id"], _day(d, -1))
-    out = cu.dates_cumulated_step(prev, act, ["user_id"], d)
+    prev = cu.dates_cumulated(_user_activity(spark, sf_dir, end=d), ["user_id"], _day(d, -1))
+    out = cu.dates_cumulated_step(prev, _user_activity(spark, sf_dir, d, _day(d, 1)), ["user_id"], d)
     return out.select("user_id", join_values("dates_active").alias("dates_active"),
                       F.size("dates_active").cast("bigint").alias("n_dates"), "date")
 
 
 @query
 def datelist_int(spark, sf_dir):
-    states = cu.dates_cumulated(_user_activity(spark, sf_dir), ["user_id"], P["as_of_day"])
+    d = P["as_of_day"]
+    states = cu.dates_cumulated(_user_activity(spark, sf_dir, end=_day(d, 1)), ["user_id"], d)
     return cu.date_list_bits(states)
 
 
 @query
 def user_devices_cumulated(spark, sf_dir):
-    act = _user_browser_activity(spark, sf_dir)
     d = P["as_of_day"]
-    prev_long = cu.dates_cumulated(act, ["user_id", "browser_type"], _day(d, -1), name="dates")
+    prev_long = cu.dates_cumulated(_user_browser_activity(spark, sf_dir, end=d), ["user_id", "browser_type"],
+                                   _day(d, -1), name="dates")
     prev = cu.device_activity_map(prev_long)
     today = cu.device_activity_map(
-        act.where(F.col("date") == F.lit(d).cast("date")).withColumn("dates", F.array("date")))
+        _user_browser_activity(spark, sf_dir, d, _day(d, 1)).withColumn("dates", F.array("date")))
     out = cu.device_activity_step(prev, today, d)
     entries = F.array_sort(F.map_entries("device_activity_datelist"))
     txt = F.array_join(F.transform(entries, lambda e: F.concat(e["key"], F.lit("="), join_values(e["value"], "|"))), ";")
@@ -248,63 +271,69 @@ def user_devices_cumulated(spark, sf_dir):
 
 @query
 def device_datelist_int(spark, sf_dir):
-    states = cu.dates_cumulated(_user_browser_activity(spark, sf_dir), ["user_id", "browser_type"], P["as_of_day"])
+    d = P["as_of_day"]
+    states = cu.dates_cumulated(_user_browser_activity(spark, sf_dir, end=_day(d, 1)), ["user_id", "browser_type"], d)
     return cu.date_list_bits(states)
 
 
 @query
 def hosts_cumulated(spark, sf_dir):
-    act = cu.daily_activity(td.web_events(spark, sf_dir), ["host"])
     d = P["as_of_day"]
-    prev = cu.dates_cumulated(act, ["host"], _day(d, -1), name="host_activity_datelist")
-    out = cu.dates_cumulated_step(prev, act, ["host"], d, name="host_activity_datelist")
-    return out.select("host", join_values("host_activity_datelist").alias("host_activity_datelist"),
-                      F.size("host_activity_datelist").cast("bigint").alias("n_dates"), "date")
+    name = "host_activity_datelist"
+    prev = cu.dates_cumulated(cu.daily_activity(_events(spark, sf_dir, end=d), ["host"]), ["host"], _day(d, -1),
+                              name=name)
+    today = cu.daily_activity(_events(spark, sf_dir, d, _day(d, 1)), ["host"])
+    out = cu.dates_cumulated_step(prev, today, ["host"], d, name=name)
+    return out.select("host", join_values(name).alias(name), F.size(name).cast("bigint").alias("n_dates"), "date")
 
 
 @query
 def host_activity_reduced(spark, sf_dir):
-    e = td.web_events(spark, sf_dir)
-    daily = e.groupBy("host", F.to_date("event_time").alias("date")).agg(
-        F.count(F.lit(1)).alias("hit_array"), F.count_distinct("user_id").alias("unique_visitors"))
     d = P["as_of_day"]
-    prev = fa.monthly_arrays(daily, ["host"], ["hit_array", "unique_visitors"], _day(d, -1))
-    out = fa.monthly_arrays_step(prev, daily, ["host"], ["hit_array", "unique_visitors"], d)
+    ms = _month_start(d)
+    metrics = ["hit_array", "unique_visitors"]
+    prev = fa.monthly_arrays(_host_daily(spark, sf_dir, ms, d), ["host"], metrics, _day(d, -1)) if d != ms else None
+    out = fa.monthly_arrays_step(prev, _host_daily(spark, sf_dir, d, _day(d, 1)), ["host"], metrics, d)
     return out.select("host", "month_start", join_values("hit_array").alias("hit_array"),
                       join_values("unique_visitors").alias("unique_visitors"))
 
 
 @query
 def array_metrics_step(spark, sf_dir):
-    daily = _user_daily_hits(spark, sf_dir)
     d = P["as_of_day"]
-    prev = fa.monthly_arrays(daily, ["user_id"], ["hits"], _day(d, -1))
-    out = fa.monthly_arrays_step(prev, daily, ["user_id"], ["hits"], d)
+    ms = _month_start(d)
+    prev = fa.monthly_arrays(_user_daily_hits(spark, sf_dir, ms, d), ["user_id"], ["hits"], _day(d, -1)) \
+        if d != ms else None
+    out = fa.monthly_arrays_step(prev, _user_daily_hits(spark, sf_dir, d, _day(d, 1)), ["user_id"], ["hits"], d)
     return out.select("user_id", "month_start", F.lit("site_hits").alias("metric_name"),
                       join_values("hits").alias("metric_array"))
 
 
 @query
 def monthly_user_site_hits(spark, sf_dir):
-    daily = _user_daily_hits(spark, sf_dir)
     d = P["as_of_day"]
-    prev = fa.monthly_arrays(daily, ["user_id"], ["hits"], _day(d, -1), fill=None, first_found=True)
-    out = fa.monthly_arrays_step(prev, daily, ["user_id"], ["hits"], d, fill=None, first_found=True)
+    ms = _month_start(d)
+    prev = fa.monthly_arrays(_user_daily_hits(spark, sf_dir, ms, d), ["user_id"], ["hits"], _day(d, -1),
+                             fill=None, first_found=True) if d != ms else None
+    out = fa.monthly_arrays_step(prev, _user_daily_hits(spark, sf_dir, d, _day(d, 1)), ["user_id"], ["hits"], d,
+                                 fill=None, first_found=True)
     return out.select("user_id", join_values("hits").alias("hit_array"), "month_start", "first_found_date",
                       F.lit(d).cast("date").alias("date_partition"))
 
 
 @query
 def array_metrics_by_day(spark, sf_dir):
-    state = fa.monthly_arrays(_user_daily_hits(spark, sf_dir), ["user_id"], ["hits"], P["as_of_day"])
-    state = state.withColumn("metric_name", F.lit("site_hits"))
+    d = P["as_of_day"]
+    daily = _user_daily_hits(spark, sf_dir, _month_start(d), _day(d, 1))
+    state = fa.monthly_arrays(daily, ["user_id"], ["hits"], d).withColumn("metric_name", F.lit("site_hits"))
     return fa.sum_by_position(state, ["metric_name", "month_start"], "hits")
 
 
 @query
 def monthly_hits_first_days(spark, sf_dir):
-    state = fa.monthly_arrays(_user_daily_hits(spark, sf_dir), ["user_id"], ["hits"], P["as_of_day"],
-                              fill=None, first_found=True)
+    d = P["as_of_day"]
+    daily = _user_daily_hits(spark, sf_dir, _month_start(d), _day(d, 1))
+    state = fa.monthly_arrays(daily, ["user_id"], ["hits"], d, fill=None, first_found=True)
     return fa.first_positions(state, ["month_start"], "hits")
 
 
@@ -329,7 +358,8 @@ def daily_devices_per_user(spark, sf_dir):
 
 @query
 def growth_accounting(spark, sf_dir):
-    out = pt.growth_accounting(_user_activity(spark, sf_dir), P["growth_day"])
+    d = P["growth_day"]
+    out = pt.growth_accounting(_user_activity(spark, sf_dir, end=_day(d, 1)), d)
     return out.select("user_id", "first_active_date", "last_active_date", "daily_active_state",
                       "weekly_active_state", join_values("dates_active").alias("dates_active"), "date")
 

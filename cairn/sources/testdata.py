@@ -33,13 +33,20 @@ def _region(spark, sf_dir) -> DataFrame:
     return sized_broadcast(table(spark, sf_dir, "region"), max_rows=10_000)
 
 
-def player_seasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+def player_seasons(spark: SparkSession, sf_dir: str, first: int | None = None,
+                   last: int | None = None) -> DataFrame:
     """player_name, college, country, season, gp, pts: one row per (player, season).
 
     A player is a customer, a season a calendar year of orders; gp = orders,
     pts = mean order value in whole units (cents summed exactly, then divided).
+    ``first`` / ``last`` bound the seasons with a range on the raw order date, so
+    the scan prunes (a yearly step reads one year).
     """
     o = table(spark, sf_dir, "orders")
+    if first is not None:
+        o = o.where(F.col("o_orderdate") >= F.lit(f"{first}-01-01").cast("timestamp_ntz"))
+    if last is not None:
+        o = o.where(F.col("o_orderdate") < F.lit(f"{last + 1}-01-01").cast("timestamp_ntz"))
     per = (o.groupBy(F.col("o_custkey"), F.year("o_orderdate").cast("bigint").alias("season"))
            .agg(F.count(F.lit(1)).alias("gp"),
                 F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")).alias("cents")))

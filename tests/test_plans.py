@@ -99,3 +99,14 @@ def test_sessions_by_gap_equals_session_window_on_hot_key(spark):
     a = norm(sequence.sessions_by_gap(df, ["ip", "host"], "t", 300, partitions=5))
     b = norm(windows.sessions(windows.event_time(df, "t"), ["ip", "host"]))
     assert a.count() == b.count() and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_daily_step_reads_only_its_day(spark):
+    df = E.queries()["array_metrics_step"](spark, SF_SMALL)
+    txt = plan_text(df)
+    assert "GreaterThanOrEqual(ts,2024-01-30T00:00)" in txt and "LessThan(ts,2024-01-31T00:00)" in txt
+
+
+def test_yearly_step_reads_only_its_year(spark):
+    txt = plan_text(E.queries()["cumulative_entity_step"](spark, SF_SMALL))
+    assert "GreaterThanOrEqual(o_orderdate,1998-01-01T00:00)" in txt
