@@ -259,3 +259,31 @@ def device_activity_step(yesterday: DataFrame | None, today_map: DataFrame, day,
                             F.coalesce("_t", F.create_map().cast(t.schema["_t"].dataType)),
                             lambda k, a, b: concat_safe(a, b))
     return j.select(user, merged.alias(name), d.alias("date"))
+
+
+def players_catch_up(spark: SparkSession, path: str, seasons_for, until: int, *, first: int | None = None,
+                     period_col: str = "current_season", **kw) -> list[int]:
+    """Bring a stored cumulative table up to ``until``: next period = stored max + 1.
+
+    ``path`` is a Parquet table partitioned by ``period_col`` in a shared folder;
+    ``seasons_for(t)`` returns period t's facts. Every step reads partition t-1,
+    writes partition t with dynamic partition overwrite (a rerun replaces only
+    that period) and never rewrites the partition it reads. Returns the periods run.
+    """
+    from pyspark.errors import AnalysisException
+    try:
+        stored = spark.read.parquet(path)
+        last = stored.agg(F.max(period_col)).first()[0]
+    except AnalysisException:
+        stored, last = None, None
+    start = (last + 1) if last is not None else first
+    if start is None:
+        raise ValueError("empty table: give the first period")
+    done = []
+    for t in range(start, until + 1):
+        prev = None if stored is None and t == start else spark.read.parquet(path).where(F.col(period_col) == t - 1)
+        state = players_step(prev, seasons_for(t), t, **kw)
+        (state.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(period_col).parquet(path))
+        done.append(t)
+    return done

@@ -140,3 +140,16 @@ def test_rollups_from_one_cached_aggregate(spark):
         assert per_user.count() > 0 and per_device.count() > 0
         assert c.is_cached
     assert not counts.is_cached
+
+
+def test_players_catch_up_continues_from_stored_max(spark):
+    from cairn.session import scratch_path
+    path = scratch_path(spark, "players")
+    seasons = lambda y: td.player_seasons(spark, SF_SMALL, first=y, last=y)
+    assert cu.players_catch_up(spark, path, seasons, 1996, first=1995, thresholds=PT) == [1995, 1996]
+    assert cu.players_catch_up(spark, path, seasons, 1998, thresholds=PT) == [1997, 1998]
+    assert cu.players_catch_up(spark, path, seasons, 1998, thresholds=PT) == []          # nothing left to do
+    got = spark.read.parquet(path).where("current_season = 1998").withColumn(
+        "current_season", F.col("current_season").cast("bigint"))      # partition values come back as int
+    back = cu.players_backfill(td.player_seasons(spark, SF_SMALL), thresholds=PT).where("current_season = 1998")
+    assertDataFrameEqual(_canon(got.select(back.columns)), _canon(back))
