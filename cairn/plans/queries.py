@@ -130,11 +130,16 @@ def scd2_backfill(spark, sf_dir):
 
 @query
 def scd2_incremental(spark, sf_dir):
-    snaps = _player_snapshots(spark, sf_dir)
-    prev = scd.scd2_backfill(snaps, "player_name", "current_season", ["scoring_class", "is_active"],
-                             as_of=P["scd_prev_season"])
-    return scd.scd2_incremental(prev, snaps, "player_name", "current_season", ["scoring_class", "is_active"],
-                                P["scd_season"])
+    """SCD(t-1) built from the snapshots up to t-1, then one step with the snapshot of t."""
+    t = P["scd_season"]
+    cols = ["player_name", "current_season", "scoring_class", "is_active"]
+    snaps_before = cu.players_backfill(td.player_seasons(spark, sf_dir, last=t - 1),
+                                       thresholds=P["player_thresholds"], end_period=t - 1).select(*cols)
+    prev = scd.scd2_backfill(snaps_before, "player_name", "current_season", ["scoring_class", "is_active"],
+                             as_of=t - 1)
+    today = cu.players_backfill(td.player_seasons(spark, sf_dir, last=t), thresholds=P["player_thresholds"],
+                                as_of=t).select(*cols)
+    return scd.scd2_incremental(prev, today, "player_name", "current_season", ["scoring_class", "is_active"], t)
 
 
 @query
@@ -182,11 +187,15 @@ def actors_scd_backfill(spark, sf_dir):
 
 @query
 def actors_scd_incremental(spark, sf_dir):
-    snaps = _actor_snapshots(spark, sf_dir)
+    """SCD(y-1) from the yearly snapshots up to y-1, then one step with the snapshot of y."""
+    films = td.actor_films(spark, sf_dir)
     y = P["actor_year"]
-    prev = scd.scd2_backfill(snaps, "actorid", "current_year", ["quality_class", "is_active"], as_of=y - 1,
+    cols = ["actorid", "current_year", "quality_class", "is_active"]
+    before = cu.actors_backfill(films.where(F.col("year") <= y - 1), with_films=False, end_year=y - 1).select(*cols)
+    prev = scd.scd2_backfill(before, "actorid", "current_year", ["quality_class", "is_active"], as_of=y - 1,
                              start="start_year", end="end_year", current="current_year")
-    return scd.scd2_incremental(prev, snaps, "actorid", "current_year", ["quality_class", "is_active"], y,
+    today = cu.actors_backfill(films.where(F.col("year") <= y), with_films=False, as_of=y).select(*cols)
+    return scd.scd2_incremental(prev, today, "actorid", "current_year", ["quality_class", "is_active"], y,
                                 start="start_year", end="end_year", current="current_year")
 
 
