@@ -51,15 +51,19 @@ NOTES = """
 * Hash exchanges follow the entity key of each pipeline, and each one carries partially
   aggregated rows (map-side combine): dedupe, date lists, arrays, audits. Windows sit only on
   per-(entity, period) rows, so a window partition is bounded by the number of periods.
-* Range exchanges with one Python stage are the distributed prefix sums (`max_wins_90`,
-  `longest_streak`, `sessionize`, `session_host_stats`). They replace per-team, per-player and
-  per-(ip, host) windows, which would run one task per key.
+* The distributed prefix sums (`max_wins_90`, `longest_streak`, `sessionize`,
+  `session_host_stats`) range-partition once and run one Python (Arrow) stage. They replace
+  per-team, per-player and per-(ip, host) windows, which would run one task per key. Where their
+  result is read twice it is checkpointed to the shared folder, so the table shows only the plan
+  after the checkpoint.
 * Single-partition exchanges are the one-row scalar subqueries (latest period). The other one is the
   retention histogram, with one row per calendar day.
 * Pushed filters: the daily and yearly steps carry raw-timestamp ranges into the Parquet scan, so a
   step reads its own period. On a day-partitioned table they prune partitions.
-* `match_joined` reads three tables bucketed on `match_id` (16 of 16 buckets) with no exchange
-  between them. `bucket_filter_avg` reads one bucket of 16 for an equality filter.
+* `match_joined` joins three tables bucketed on `match_id`. Above the broadcast threshold (and in
+  `tests/test_plans.py`, where broadcasts are off) the three bucketed scans join with no exchange.
+  At sf0.01, AQE broadcasts the small tables instead. `bucket_filter_avg` reads one bucket of 16
+  for an equality filter.
 """
 out.append(NOTES)
 open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md"), "w").write(
