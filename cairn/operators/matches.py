@@ -48,6 +48,26 @@ def medal_count_by_map(medals_matches_players: DataFrame, medals: DataFrame, mat
 
 # ------------------------------------------------------------ bucketed layout ---
 
+def bytes_on_storage(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of the files under ``paths`` from the file system's metadata (no data read)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        total += path.getFileSystem(conf).getContentSummary(path).getLength()
+    return int(total)
+
+
+def bucket_count(size_bytes: int, target_bytes: int = 1 << 30, minimum: int = BUCKETS) -> int:
+    """Buckets so that one bucket holds about ``target_bytes``: a power of two, at least ``minimum``
+    (16, the layout of the original job, at small sizes; 131,072 buckets for 100 TB at 1 GB each)."""
+    n = minimum
+    while size_bytes / n > target_bytes:
+        n *= 2
+    return n
+
+
 def write_bucketed(df: DataFrame, table: str, path: str, key: str | None = "match_id",
                    buckets: int = BUCKETS) -> None:
     """Parquet table at ``path`` (a shared folder), bucketed and sorted on ``key``

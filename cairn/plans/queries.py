@@ -485,11 +485,14 @@ def _tag(sf_dir: str) -> str:
 @query
 def match_joined(spark, sf_dir):
     tag = _tag(sf_dir)
-    names = {k: f"cairn_{k}_b16_{tag}" for k in ("match_details", "matches", "medals_matches_players")}
-    mt.write_bucketed(td.match_details(spark, sf_dir), names["match_details"], scratch_path(spark, "md"))
-    mt.write_bucketed(td.matches(spark, sf_dir), names["matches"], scratch_path(spark, "m"))
+    # one bucket count for all three tables (co-partitioning needs equal counts), sized from the
+    # largest input on storage: 16 at the test scales, more buckets as the data grows
+    n = mt.bucket_count(mt.bytes_on_storage(spark, [f"{sf_dir.rstrip('/')}/lineitem.parquet"]))
+    names = {k: f"cairn_{k}_b{n}_{tag}" for k in ("match_details", "matches", "medals_matches_players")}
+    mt.write_bucketed(td.match_details(spark, sf_dir), names["match_details"], scratch_path(spark, "md"), buckets=n)
+    mt.write_bucketed(td.matches(spark, sf_dir), names["matches"], scratch_path(spark, "m"), buckets=n)
     mt.write_bucketed(td.medals_matches_players(spark, sf_dir), names["medals_matches_players"],
-                      scratch_path(spark, "mmp"))
+                      scratch_path(spark, "mmp"), buckets=n)
     return mt.bucketed_match_join(spark, names["match_details"], names["matches"], names["medals_matches_players"],
                                   td.maps(spark, sf_dir), td.medals(spark, sf_dir))
 
@@ -498,10 +501,11 @@ def match_joined(spark, sf_dir):
 def bucket_filter_avg(spark, sf_dir):
     tag = _tag(sf_dir)
     scores = td.match_scores(spark, sf_dir)
-    mt.write_bucketed(scores, f"cairn_scores_b16_{tag}", scratch_path(spark, "scores-b16"))
+    n = mt.bucket_count(mt.bytes_on_storage(spark, [f"{sf_dir.rstrip('/')}/lineitem.parquet"]))
+    mt.write_bucketed(scores, f"cairn_scores_b{n}_{tag}", scratch_path(spark, "scores-b"), buckets=n)
     mt.write_bucketed(scores, f"cairn_scores_plain_{tag}", scratch_path(spark, "scores-plain"), key=None)
     m = P["bucket_match"]
-    return mt.bucket_filter_avg(spark, f"cairn_scores_b16_{tag}", m, "bucketed").unionByName(
+    return mt.bucket_filter_avg(spark, f"cairn_scores_b{n}_{tag}", m, "bucketed").unionByName(
         mt.bucket_filter_avg(spark, f"cairn_scores_plain_{tag}", m, "plain"))
 
 

@@ -110,3 +110,9 @@ def test_daily_step_reads_only_its_day(spark):
 def test_yearly_step_reads_only_its_year(spark):
     txt = plan_text(E.queries()["cumulative_entity_step"](spark, SF_SMALL))
     assert "GreaterThanOrEqual(o_orderdate,1998-01-01T00:00)" in txt
+
+
+def test_bucket_count_grows_with_data():
+    from cairn.operators.matches import bucket_count
+    assert bucket_count(10 << 20) == 16
+    assert bucket_count(100 << 40) == 131072          # 100 TB at ~1 GB per bucket
