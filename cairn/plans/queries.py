@@ -514,7 +514,10 @@ def layout_size_report(spark, sf_dir):
     e = td.web_events(spark, sf_dir).withColumn("event_date", F.to_date("event_time"))
     d = td.devices(spark, sf_dir).withColumnsRenamed({"browser_type": "browser_family", "os_type": "os_family"})
     df = e.join(d, "device_id", "left")
-    return mt.layout_size_report(spark, df, scratch_path(spark, "layout"), "event_date", ["event_date", "host"])
+    # the original writes 4 files; keep ~1 GB per output partition as the data grows
+    n = max(4, -(-mt.bytes_on_storage(spark, [f"{sf_dir.rstrip('/')}/events.parquet"]) // (1 << 30)))
+    return mt.layout_size_report(spark, df, scratch_path(spark, "layout"), "event_date", ["event_date", "host"],
+                                 n=n)
 
 
 # ----------------------------------------------------------- quality/events ---
