@@ -558,7 +558,7 @@ def _run_windowed(spark, sf_dir, keys):
     agg = swin.tumbling_counts(_event_stream(spark, sf_dir), keys)
     out = scratch_path(spark, "stream-out")
     ssk.run_available_now(agg, ssk.parquet_batch_writer(out), scratch_path(spark, "stream-ckpt"), mode="update")
-    res = ssk.latest_by_key(spark, out, ["event_hour", *keys])
+    res = ssk.latest_by_key(spark, out, ["event_hour", *keys], schema=agg.schema)
     return res.select(F.col("event_hour").cast("timestamp_ntz").alias("event_hour"), *keys,
                       F.col("num_hits").cast("bigint").alias("num_hits"))
 
@@ -580,7 +580,7 @@ def stream_geo_enrich(spark, sf_dir):
     rows = enriched.select("ip", "event_timestamp", "referrer", "host", "url", "geodata")
     out = scratch_path(spark, "stream-out")
     ssk.run_available_now(rows, ssk.parquet_batch_writer(out), scratch_path(spark, "stream-ckpt"))
-    return spark.read.parquet(out).select("ip", F.col("event_timestamp").cast("timestamp_ntz").alias("event_timestamp"),
+    return ssk.read_batches(spark, out, rows.schema).select("ip", F.col("event_timestamp").cast("timestamp_ntz").alias("event_timestamp"),
                                           "referrer", "host", "url", "geodata")
 
 

@@ -9,11 +9,10 @@ from pyspark.sql import functions as F
 
 
 def parquet_batch_writer(path: str) -> Callable[[DataFrame, int], None]:
-    """foreachBatch function: append the micro-batch with its batch id (idempotent
-    per batch id: a replayed batch overwrites only its own sub-folder)."""
+    """foreachBatch function: each micro-batch goes to its own ``batch_id=<n>`` folder, so a
+    replayed batch (after a failure) overwrites exactly what it wrote before."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("_batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite") \
-            .parquet(f"{path}/_batch_id={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
     return write
 
 
@@ -44,12 +43,23 @@ def run_available_now(df: DataFrame, sink: Callable[[DataFrame, int], None], che
         raise RuntimeError(str(q.exception()))
 
 
-def latest_by_key(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
+def read_batches(spark: SparkSession, path: str, schema) -> DataFrame:
+    """Everything a ``parquet_batch_writer`` wrote (with its batch_id), or an empty frame of
+    ``schema`` (plus batch_id) when the stream produced no micro-batch."""
+    from pyspark.errors import AnalysisException
+    from pyspark.sql import types as T
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        return spark.createDataFrame([], T.StructType(list(schema.fields) + [T.StructField("batch_id", T.IntegerType())]))
+
+
+def latest_by_key(spark: SparkSession, path: str, keys: Sequence[str], schema=None) -> DataFrame:
     """Final value per key of an update-mode output: the row of the latest micro-batch
     (a partial aggregate: max over (batch id, row))."""
-    df = spark.read.parquet(path)
-    vals = [c for c in df.columns if c not in keys and c != "_batch_id"]
-    packed = F.max(F.struct(F.col("_batch_id"), *[F.col(c) for c in vals])).alias("_r")
+    df = read_batches(spark, path, schema) if schema is not None else spark.read.parquet(path)
+    vals = [c for c in df.columns if c not in keys and c != "batch_id"]
+    packed = F.max(F.struct(F.col("batch_id"), *[F.col(c) for c in vals])).alias("_r")
     return df.groupBy(*keys).agg(packed).select(*keys, *[F.col(f"_r.{c}").alias(c) for c in vals])
 
 

@@ -85,3 +85,14 @@ def test_two_sinks_one_source_and_stream_sessions(spark):
     streamed = spark.read.parquet(out3).count() if __import__("os").path.exists(out3) else 0
     batch = windows.sessions(windows.event_time(td.web_events(spark, SF_SMALL)), ["ip", "host"]).count()
     assert streamed <= batch
+
+
+def test_empty_stream_reads_as_empty(spark, tmp_path):
+    src = str(tmp_path / "empty")
+    import os
+    os.makedirs(src)
+    s = windows.event_time(spark.readStream.schema(sources.EVENTS_SCHEMA).parquet(src), "ts")
+    agg = windows.tumbling_counts(s, ["user_id"], count_col="event_type")
+    out = scratch_path(spark, "e-out")
+    sinks.run_available_now(agg, sinks.parquet_batch_writer(out), scratch_path(spark, "e-ck"), mode="update")
+    assert sinks.latest_by_key(spark, out, ["event_hour", "user_id"], schema=agg.schema).count() == 0
