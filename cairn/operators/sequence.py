@@ -11,7 +11,8 @@ running sums with a distributed prefix sum instead:
    sorted partition; vectorised pandas, no per-row Python);
 3. per (partition, key) totals; only keys that span more than one partition
    need an offset, and at most one key can straddle each partition boundary,
-   so the offsets table has at most 2 x partitions rows (checked, broadcast);
+   so the offsets table has at most 2 x partitions rows (broadcast). The local
+   pass is checkpointed once, so the totals and the rows agree on partition ids;
 4. position = local position + offset.
 
 Rolling N-row sums are then ``cum(i) - cum(i - N)`` by an equi-join on
@@ -61,16 +62,16 @@ def running_totals(df: DataFrame, key: str, order: Sequence[str], values: Sequen
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = [key, *order, *values]
     df = df.select(key, *order, *[F.col(v).cast("bigint").alias(v) for v in values])
-    ranged = df.repartitionByRange(n, key, *order).withColumn("_pid", F.spark_partition_id())
-    base = ranged.sortWithinPartitions(key, *order)
+    base = (df.repartitionByRange(n, key, *order).sortWithinPartitions(key, *order)
+            .withColumn("_pid", F.spark_partition_id()))
     schema = T.StructType(base.schema.fields + [T.StructField("_lidx", T.LongType())]
                           + [T.StructField(f"_lcum_{v}", T.LongType()) for v in values])
-    local = base.mapInPandas(_local_running(key, values), schema)
-
-    # per (partition, key) totals straight from the range-partitioned rows (JVM aggregate; the
-    # range exchange is shared with the Python pass, which therefore runs once)
-    tot = ranged.groupBy("_pid", key).agg(F.count(F.lit(1)).alias("_n"),
-                                          *[F.sum(v).alias(f"_s_{v}") for v in values])
+    # The local pass is read twice (boundary totals, final rows). It is written once to the
+    # shared checkpoint folder: both reads then see the same partition ids, whatever the
+    # exchange-reuse setting, and the Python stage never runs twice.
+    local = base.mapInPandas(_local_running(key, values), schema).checkpoint(eager=True)
+    tot = local.groupBy("_pid", key).agg(F.max("_lidx").alias("_n"),
+                                         *[F.max(f"_lcum_{v}").alias(f"_s_{v}") for v in values])
     wk = Window.partitionBy(key)
     wo = wk.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = (tot.withColumn("_parts", F.count(F.lit(1)).over(wk)).where(F.col("_parts") > 1)
@@ -91,8 +92,7 @@ def rolling_sum(df: DataFrame, key: str, order: Sequence[str], value: str, width
                 out: str | None = None, partitions: int | None = None) -> DataFrame:
     """Sum of ``value`` over the current row and the ``width - 1`` rows before it, per key."""
     out = out or f"rolling_{value}"
-    # read twice below (row i and row i - width): written once to the shared checkpoint folder
-    rt = running_totals(df, key, order, [value], partitions=partitions).checkpoint(eager=True)
+    rt = running_totals(df, key, order, [value], partitions=partitions)   # reads a checkpoint twice
     back = rt.select(key, (F.col("pos") + width).alias("pos"), F.col(f"cum_{value}").alias("_back"))
     return (rt.join(back, [key, "pos"], "left")
             .select(key, *order, value, "pos",

@@ -116,3 +116,14 @@ def test_bucket_count_grows_with_data():
     from cairn.operators.matches import bucket_count
     assert bucket_count(10 << 20) == 16
     assert bucket_count(100 << 40) == 131072          # 100 TB at ~1 GB per bucket
+
+
+def test_running_totals_without_exchange_reuse(spark):
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        df = spark.range(6000).select(F.lit(1).alias("k"), F.col("id").alias("t"), (F.col("id") % 2).alias("v"))
+        rt = sequence.running_totals(df.repartition(5), "k", ["t"], ["v"], partitions=6)
+        bad = rt.where((F.col("pos") != F.col("t") + 1) | (F.col("cum_v") != F.floor((F.col("t") + 1) / 2)))
+        assert bad.count() == 0
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")
