@@ -261,29 +261,44 @@ def device_activity_step(yesterday: DataFrame | None, today_map: DataFrame, day,
     return j.select(user, merged.alias(name), d.alias("date"))
 
 
-def players_catch_up(spark: SparkSession, path: str, seasons_for, until: int, *, first: int | None = None,
-                     period_col: str = "current_season", **kw) -> list[int]:
+def catch_up(spark: SparkSession, path: str, step, facts_for, until, *, first=None,
+             period_col: str = "current_season", next_period=lambda t: t + 1) -> list:
     """Bring a stored cumulative table up to ``until``: next period = stored max + 1.
 
     ``path`` is a Parquet table partitioned by ``period_col`` in a shared folder;
-    ``seasons_for(t)`` returns period t's facts. Every step reads partition t-1,
-    writes partition t with dynamic partition overwrite (a rerun replaces only
-    that period) and never rewrites the partition it reads. Returns the periods run.
+    ``step(prev, facts, t)`` is a cumulative step and ``facts_for(t)`` returns only
+    period t's facts. Every step reads partition t-1, writes partition t with
+    dynamic partition overwrite (a rerun replaces only that period) and never
+    rewrites the partition it reads. Returns the periods run.
     """
     from pyspark.errors import AnalysisException
     try:
-        stored = spark.read.parquet(path)
-        last = stored.agg(F.max(period_col)).first()[0]
+        last = spark.read.parquet(path).agg(F.max(period_col)).first()[0]
     except AnalysisException:
-        stored, last = None, None
-    start = (last + 1) if last is not None else first
-    if start is None:
+        last = None
+    t = next_period(last) if last is not None else first
+    if t is None:
         raise ValueError("empty table: give the first period")
-    done = []
-    for t in range(start, until + 1):
-        prev = None if stored is None and t == start else spark.read.parquet(path).where(F.col(period_col) == t - 1)
-        state = players_step(prev, seasons_for(t), t, **kw)
+    done, prev_t = [], last
+    while t <= until:
+        prev = None if prev_t is None else spark.read.parquet(path).where(F.col(period_col) == prev_t)
+        state = step(prev, facts_for(t), t)
         (state.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(period_col).parquet(path))
         done.append(t)
+        prev_t, t = t, next_period(t)
     return done
+
+
+def players_catch_up(spark: SparkSession, path: str, seasons_for, until: int, *, first: int | None = None,
+                     **kw) -> list[int]:
+    """``catch_up`` for the players table (yearly ``players_step``)."""
+    return catch_up(spark, path, lambda prev, facts, t: players_step(prev, facts, t, **kw), seasons_for, until,
+                    first=first)
+
+
+def actors_catch_up(spark: SparkSession, path: str, films, until: int, *, first: int | None = None,
+                    **kw) -> list[int]:
+    """``catch_up`` for the actors table (yearly ``actors_step``; films are filtered per year inside)."""
+    return catch_up(spark, path, lambda prev, facts, t: actors_step(prev, facts, t, **kw), lambda t: films, until,
+                    first=first, period_col="current_year")

@@ -153,3 +153,14 @@ def test_players_catch_up_continues_from_stored_max(spark):
         "current_season", F.col("current_season").cast("bigint"))      # partition values come back as int
     back = cu.players_backfill(td.player_seasons(spark, SF_SMALL), thresholds=PT).where("current_season = 1998")
     assertDataFrameEqual(_canon(got.select(back.columns)), _canon(back))
+
+
+def test_actors_catch_up_equals_backfill(spark):
+    from cairn.session import scratch_path
+    path = scratch_path(spark, "actors")
+    films = td.actor_films(spark, SF_SMALL)
+    assert cu.actors_catch_up(spark, path, films, 1997, first=1995) == [1995, 1996, 1997]
+    got = spark.read.parquet(path).where("current_year = 1997").withColumn(
+        "current_year", F.col("current_year").cast("bigint"))
+    back = cu.actors_backfill(films, as_of=1997)
+    assertDataFrameEqual(_canon(got.select(back.columns)), _canon(back))
