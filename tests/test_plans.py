@@ -127,3 +127,12 @@ def test_running_totals_without_exchange_reuse(spark):
         assert bad.count() == 0
     finally:
         spark.conf.set("spark.sql.exchange.reuse", "true")
+
+
+def test_pair_stats_salting_is_exact(spark):
+    from cairn.operators import facts, graph
+    dd = facts.dedupe_game_details(td.game_details(spark, SF_SMALL))
+    plain = graph.player_pair_stats(dd, hot_game_rows=10_000)
+    salted = graph.player_pair_stats(dd, hot_game_rows=2)          # every game with 3+ players is salted
+    assert plain.count() > 0
+    assert plain.exceptAll(salted).count() == 0 and salted.exceptAll(plain).count() == 0
