@@ -21,8 +21,19 @@ from cairn.plans.joins import sized_broadcast
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
+_READS: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The parquet table ``name``; the (lazy, immutable) DataFrame is reused per session and path,
+    so its file listing and footer read happen once."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    df = _READS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        _READS[key] = df
+    return df
 
 
 def _nation(spark, sf_dir) -> DataFrame:
