@@ -136,3 +136,17 @@ def test_pair_stats_salting_is_exact(spark):
     salted = graph.player_pair_stats(dd, hot_game_rows=2)          # every game with 3+ players is salted
     assert plain.count() > 0
     assert plain.exceptAll(salted).count() == 0 and salted.exceptAll(plain).count() == 0
+
+
+def test_bucket_of_matches_writer_buckets(spark):
+    from cairn.functions.hashing import bucket_of
+    from cairn.operators.matches import write_bucketed
+    from cairn.session import scratch_path
+    scores = td.match_scores(spark, SF_SMALL)
+    name = "t_bucket_check_" + scratch_path(spark, "x")[-6:]
+    write_bucketed(scores, name, scratch_path(spark, "bucket-check"), buckets=16)
+    got = (spark.table(name)
+           .select(F.regexp_extract(F.input_file_name(), r"_(\d{5})\.c000", 1).cast("int").alias("file_bucket"),
+                   bucket_of(F.col("match_id"), 16).alias("computed")))
+    assert got.where(F.col("file_bucket") != F.col("computed")).count() == 0
+    assert got.select("file_bucket").distinct().count() > 1
