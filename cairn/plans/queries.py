@@ -23,6 +23,7 @@ from cairn.operators import matches as mt
 from cairn.operators import patterns as pt
 from cairn.operators import quality as qa
 from cairn.operators import scd
+from cairn.operators import sequence as sq
 from cairn.plans.render import join_structs, join_values
 from cairn.session import scratch_path
 from cairn.sources import testdata as td
@@ -580,15 +581,15 @@ def stream_geo_enrich(spark, sf_dir):
     rows = enriched.select("ip", "event_timestamp", "referrer", "host", "url", "geodata")
     out = scratch_path(spark, "stream-out")
     ssk.run_available_now(rows, ssk.parquet_batch_writer(out), scratch_path(spark, "stream-ckpt"))
-    return ssk.read_batches(spark, out, rows.schema).select("ip", F.col("event_timestamp").cast("timestamp_ntz").alias("event_timestamp"),
-                                          "referrer", "host", "url", "geodata")
+    written = ssk.read_batches(spark, out, rows.schema)
+    return written.select("ip", F.col("event_timestamp").cast("timestamp_ntz").alias("event_timestamp"),
+                          "referrer", "host", "url", "geodata")
 
 
 def _sessions(spark, sf_dir):
     """Batch sessions through the range-partitioned operator (a hot (ip, host) spans tasks);
     equal to grouping by ``session_window`` (tested)."""
-    from cairn.operators.sequence import sessions_by_gap
-    return sessions_by_gap(td.web_events(spark, sf_dir), ["ip", "host"], "event_time", 300)
+    return sq.sessions_by_gap(td.web_events(spark, sf_dir), ["ip", "host"], "event_time", 300)
 
 
 @query
