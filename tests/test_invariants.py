@@ -164,3 +164,20 @@ def test_actors_catch_up_equals_backfill(spark):
         "current_year", F.col("current_year").cast("bigint"))
     back = cu.actors_backfill(films, as_of=1997)
     assertDataFrameEqual(_canon(got.select(back.columns)), _canon(back))
+
+
+def test_scd_spells_are_disjoint_and_cover_all_periods(spark):
+    import __spark_entry__ as E
+    for name, key, start, end, cur in (("scd2_backfill", "player_name", "start_season", "end_season",
+                                        "current_season"),
+                                       ("actors_scd_backfill", "actorid", "start_year", "end_year", "current_year")):
+        scd_df = E.queries()[name](spark, SF_SMALL)
+        spells = {}
+        for r in scd_df.collect():
+            spells.setdefault(r[key], []).append((r[start], r[end], r[cur]))
+        assert spells
+        for k, ss in spells.items():
+            ss.sort()
+            assert all(s <= e for s, e, _ in ss)
+            assert all(ss[i][1] + 1 == ss[i + 1][0] for i in range(len(ss) - 1)), (name, k, ss)   # no gap, no overlap
+            assert ss[-1][1] == ss[-1][2]                                                            # open up to as-of
