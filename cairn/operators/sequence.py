@@ -30,6 +30,24 @@ from pyspark.sql import types as T
 
 
 
+def _same(col: pd.Series, value):
+    """Element-wise equality with ``value`` where NULL equals NULL."""
+    if value is None or (isinstance(value, float) and value != value):
+        return col.isna().to_numpy()
+    return (col == value).fillna(False).to_numpy(dtype=bool)
+
+
+def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join on ``keys`` where NULL matches NULL; the right side's key columns are dropped."""
+    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
+                     *[c for c in right.columns if c not in keys])
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(r[f"_r_{k}"])
+        cond = c if cond is None else (cond & c)
+    return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
+
+
 def _local_running(key: str, values: Sequence[str]):
     def fn(batches):
         carry_key, carry_n, carry_s = None, 0, None
@@ -38,11 +56,11 @@ def _local_running(key: str, values: Sequence[str]):
                 yield pdf.assign(_lidx=pd.Series(dtype="int64"),
                                  **{f"_lcum_{v}": pd.Series(dtype="int64") for v in values})
                 continue
-            g = pdf.groupby(key, sort=False)
+            g = pdf.groupby(key, sort=False, dropna=False)          # a NULL key is a key too
             idx = g.cumcount().astype("int64") + 1
             cums = g[list(values)].cumsum()
             if carry_key is not None:
-                m = (pdf[key] == carry_key).to_numpy()
+                m = _same(pdf[key], carry_key)
                 idx = idx + m * carry_n
                 for j, v in enumerate(values):
                     cums[v] = cums[v] + m * carry_s[j]
@@ -81,7 +99,7 @@ def running_totals(df: DataFrame, key: str, order: Sequence[str], values: Sequen
     # boundary, and each of the n-1 boundaries splits at most one key, so the
     # table holds at most 2(n-1) rows. No size probe (it would run the pipeline twice).
     offs = F.broadcast(offs)
-    j = local.join(offs, ["_pid", key], "left")
+    j = _join_null_safe(local, offs, ["_pid", key])
     return j.select(*cols,
                     (F.col("_lidx") + F.coalesce("_on", F.lit(0))).alias(idx),
                     *[(F.col(f"_lcum_{v}") + F.coalesce(f"_os_{v}", F.lit(0))).cast("bigint").alias(f"cum_{v}")
@@ -94,7 +112,7 @@ def rolling_sum(df: DataFrame, key: str, order: Sequence[str], value: str, width
     out = out or f"rolling_{value}"
     rt = running_totals(df, key, order, [value], partitions=partitions)   # reads a checkpoint twice
     back = rt.select(key, (F.col("pos") + width).alias("pos"), F.col(f"cum_{value}").alias("_back"))
-    return (rt.join(back, [key, "pos"], "left")
+    return (_join_null_safe(rt, back, [key, "pos"])
             .select(key, *order, value, "pos",
                     (F.col(f"cum_{value}") - F.coalesce("_back", F.lit(0))).alias(out)))
 
@@ -111,7 +129,8 @@ def longest_run(df: DataFrame, key: str, order: Sequence[str], flag: str, *, out
     runs = (rt.where(F.col("_miss") == 0).groupBy(key, "cum__miss").agg(F.count(F.lit(1)).alias("_len"))
             .groupBy(key).agg(F.max("_len").alias("_best")))
     keys = df.groupBy(key).agg(F.count(F.lit(1)).alias("games"))
-    return keys.join(runs, key, "left").select(key, "games", F.coalesce("_best", F.lit(0)).cast("bigint").alias(out))
+    return _join_null_safe(keys, runs, [key]).select(key, "games",
+                                                     F.coalesce("_best", F.lit(0)).cast("bigint").alias(out))
 
 
 # ------------------------------------------------------------------ sessions ---
@@ -129,9 +148,12 @@ def _local_sessions(keys: Sequence[str], gap_us: int):
                 yield pdf.assign(_lnew=pd.Series(dtype="int64"), _lsid=pd.Series(dtype="int64"))
                 continue
             kdf = pdf[list(keys)]
-            same_prev = (kdf == kdf.shift(1)).all(axis=1).to_numpy().copy()
+            prev = kdf.shift(1)
+            same_prev = ((kdf == prev) | (kdf.isna() & prev.isna())).all(axis=1).to_numpy().copy()
+            same_prev[0] = False
             gaps = pdf["_us"].diff().to_numpy().copy()
-            cont = carry is not None and tuple(kdf.iloc[0]) == carry[0]
+            first = tuple(None if pd.isna(x) else x for x in kdf.iloc[0])
+            cont = carry is not None and first == carry[0]
             if cont:
                 same_prev[0] = True
                 gaps[0] = pdf["_us"].iloc[0] - carry[1]
@@ -141,7 +163,8 @@ def _local_sessions(keys: Sequence[str], gap_us: int):
             if cont:
                 lsid = lsid + (grp == grp[0]) * carry[2]
             out = pdf.assign(_lnew=new, _lsid=lsid)
-            carry = (tuple(kdf.iloc[-1]), int(pdf["_us"].iloc[-1]), int(lsid[-1]))
+            carry = (tuple(None if pd.isna(x) else x for x in kdf.iloc[-1]), int(pdf["_us"].iloc[-1]),
+                     int(lsid[-1]))
             yield out
     return fn
 
@@ -178,7 +201,7 @@ def sessions_by_gap(df: DataFrame, keys: Sequence[str], ts: str, gap_seconds: in
     offs = adj.select("_pid", *keys, (F.coalesce(F.sum("_adj").over(wo.rowsBetween(Window.unboundedPreceding, -1)),
                                                  F.lit(0)) + F.col("_c")).alias("_off"))
     offs = F.broadcast(offs)          # at most 2(n-1) rows: only keys straddling a range boundary
-    j = local.join(offs, ["_pid", *keys], "left")
+    j = _join_null_safe(local, offs, ["_pid", *keys])
     sid = F.col("_lsid") + F.coalesce("_off", F.lit(0))
     g = j.groupBy(*keys, sid.alias("_sid")).agg(F.min("_ts").alias("session_start"),
                                                  F.max("_ts").alias("_end"), F.count(F.lit(1)).alias("num_events"))

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from cairn.operators import sequence
 
-ROWS = st.lists(st.tuples(st.integers(0, 3), st.integers(0, 400), st.integers(0, 1)), min_size=1, max_size=120)
+ROWS = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.integers(0, 400), st.integers(0, 1)),
+                min_size=1, max_size=120)            # key None = a NULL key, which is a key like any other
 SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
 
 
@@ -26,9 +27,10 @@ def test_rolling_sum_matches_brute_force(spark, rows, parts, width):
     got = {(r.k, r.t, r.i): r.w for r in
            sequence.rolling_sum(df, "k", ["t", "i"], "v", width, out="w", partitions=parts).collect()}
     pdf = pd.DataFrame([(k, t, i, v) for i, (k, t, v) in enumerate(rows)], columns=["k", "t", "i", "v"])
+    pdf["k"] = pdf["k"].astype("float").fillna(-1)
     pdf = pdf.sort_values(["k", "t", "i"])
     pdf["w"] = pdf.groupby("k")["v"].transform(lambda s: s.rolling(width, min_periods=1).sum()).astype(int)
-    want = {(r.k, r.t, r.i): r.w for r in pdf.itertuples()}
+    want = {(None if r.k == -1 else int(r.k), r.t, r.i): r.w for r in pdf.itertuples()}
     assert got == want
 
 
@@ -39,8 +41,10 @@ def test_longest_run_matches_brute_force(spark, rows, parts):
     got = {r.k: r.longest_streak for r in
            sequence.longest_run(df, "k", ["t", "i"], "f", partitions=parts).collect()}
     pdf = pd.DataFrame([(k, t, i, v) for i, (k, t, v) in enumerate(rows)], columns=["k", "t", "i", "v"])
+    pdf["k"] = pdf["k"].astype("float").fillna(-1)
     want = {}
     for k, g in pdf.sort_values(["k", "t", "i"]).groupby("k"):
+        k = None if k == -1 else int(k)
         best = cur = 0
         for v in g["v"]:
             cur = cur + 1 if v == 1 else 0
@@ -53,12 +57,14 @@ def test_longest_run_matches_brute_force(spark, rows, parts):
 @given(rows=ROWS, parts=st.integers(1, 7), gap=st.integers(1, 60))
 def test_sessions_match_brute_force(spark, rows, parts, gap):
     t0 = dt.datetime(2024, 1, 1)
-    data = [(str(k), t0 + dt.timedelta(seconds=t)) for k, t, _ in rows]
+    data = [(None if k is None else str(k), t0 + dt.timedelta(seconds=t)) for k, t, _ in rows]
     df = spark.createDataFrame(data, "ip string, ts timestamp_ntz")
-    got = sorted((r.ip, r.session_start, r.num_events) for r in
+    got = sorted((r.ip or "", r.session_start, r.num_events) for r in
                  sequence.sessions_by_gap(df, ["ip"], "ts", gap, partitions=parts).collect())
     want = []
-    for ip, g in pd.DataFrame(data, columns=["ip", "ts"]).sort_values(["ip", "ts"]).groupby("ip"):
+    pdf = pd.DataFrame(data, columns=["ip", "ts"])
+    pdf["ip"] = pdf["ip"].fillna("")
+    for ip, g in pdf.sort_values(["ip", "ts"]).groupby("ip"):
         start, prev, n = None, None, 0
         for ts in g["ts"]:
             if prev is not None and (ts - prev).total_seconds() > gap:
