@@ -1,0 +1,93 @@
+"""Gap sessions over a stream without sending a hot key's events to one task.
+
+Each micro-batch is sessionized with the range-partitioned batch operator
+(``operators.sequence.sessions_by_gap``); the result is merged with the sessions
+still open after the previous batch (kept in a state folder per batch id under
+the shared checkpoint folder). Only session intervals meet in that merge, never
+raw events. Sessions the watermark has passed are appended to the output; the
+rest become the next batch's state. Events older than the watermark of the
+previous batch are dropped, as Spark's own watermark does.
+
+Every batch writes only its own ``batch_id=<n>`` folders, so a replayed batch
+overwrites exactly what it wrote before.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from cairn.operators.sequence import sessions_by_gap
+
+
+def _read(spark: SparkSession, path: str) -> DataFrame | None:
+    from pyspark.errors import AnalysisException
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        return None
+
+
+def merge_intervals(sessions: DataFrame, keys: Sequence[str], gap_seconds: int) -> DataFrame:
+    """Merge session intervals (keys, session_start, _last, num_events) of one key that lie at
+    most ``gap_seconds`` apart. The window runs over sessions, not events."""
+    w = Window.partitionBy(*keys).orderBy("session_start", "_last")
+    prev_last = F.max("_last").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    new = F.when(prev_last.isNull() | (F.unix_micros("session_start") - F.unix_micros(prev_last)
+                                       > F.lit(gap_seconds * 1_000_000)), 1).otherwise(0)
+    g = sessions.withColumn("_new", new).withColumn(
+        "_grp", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return g.groupBy(*keys, "_grp").agg(F.min("session_start").alias("session_start"),
+                                         F.max("_last").alias("_last"),
+                                         F.sum("num_events").cast("bigint").alias("num_events")).drop("_grp")
+
+
+def gap_sessions_writer(keys: Sequence[str], ts: str, gap_seconds: int, out_path: str, state_path: str, *,
+                        lateness_seconds: int = 0) -> Callable[[DataFrame, int], None]:
+    """foreachBatch function: closed sessions to ``out_path``, open ones to ``state_path``."""
+    gap = F.expr(f"INTERVAL {int(gap_seconds)} SECONDS")
+    late = F.expr(f"INTERVAL {int(lateness_seconds)} SECONDS")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        events = batch.select(*keys, F.col(ts).cast("timestamp").alias("_ts"))
+        meta = _read(spark, f"{state_path}/meta/batch_id={batch_id - 1}") if batch_id > 0 else None
+        max_seen_prev = meta.first()["max_seen"] if meta is not None else None
+        prev = _read(spark, f"{state_path}/open/batch_id={batch_id - 1}") if batch_id > 0 else None
+        if max_seen_prev is not None:                   # drop what the previous watermark has passed
+            events = events.where(F.col("_ts") >= F.lit(max_seen_prev) - late)
+        part = sessions_by_gap(events, keys, "_ts", gap_seconds).select(
+            *keys, "session_start", (F.col("session_end") - gap).alias("_last"), "num_events")
+        max_seen = events.agg(F.max("_ts")).first()[0]
+        if max_seen_prev is not None and (max_seen is None or max_seen_prev > max_seen):
+            max_seen = max_seen_prev
+        both = part if prev is None else prev.select(*keys, "session_start", "_last", "num_events").unionByName(part)
+        merged = merge_intervals(both, keys, gap_seconds)
+        if max_seen is None:
+            closed, still_open = merged.limit(0), merged
+        else:
+            done = (F.col("_last") + gap) < (F.lit(max_seen) - late)
+            closed, still_open = merged.where(done), merged.where(~done)
+        (closed.select(*keys, "session_start", (F.col("_last") + gap).alias("session_end"), "num_events")
+         .write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}"))
+        still_open.write.mode("overwrite").parquet(f"{state_path}/open/batch_id={batch_id}")
+        (spark.range(1).select(F.lit(max_seen).cast("timestamp").alias("max_seen"))
+         .write.mode("overwrite").parquet(f"{state_path}/meta/batch_id={batch_id}"))
+    return write
+
+
+def flush_open_sessions(spark: SparkSession, state_path: str, gap_seconds: int) -> DataFrame | None:
+    """Sessions still open after the last batch (what the end of a finite input closes)."""
+    meta = _read(spark, f"{state_path}/meta")
+    if meta is None:
+        return None
+    last = meta.agg(F.max("batch_id")).first()[0]
+    st = _read(spark, f"{state_path}/open/batch_id={last}")
+    if st is None:
+        return None
+    keys = [c for c in st.columns if c not in ("session_start", "_last", "num_events")]
+    return st.select(*keys, "session_start",
+                     (F.col("_last") + F.expr(f"INTERVAL {int(gap_seconds)} SECONDS")).alias("session_end"),
+                     "num_events")
