@@ -122,3 +122,23 @@ def test_stream_gap_sessions_equal_batch(spark):
     norm = lambda d: d.select("ip", "host", F.col("session_start").cast("timestamp").alias("s"),
                               F.col("session_end").cast("timestamp").alias("e"), "num_events")
     assert norm(got).exceptAll(norm(want)).count() == 0 and norm(want).exceptAll(norm(got)).count() == 0
+
+
+def test_stream_gap_sessions_drop_late_events(spark, tmp_path):
+    from cairn.streaming import sessions as ss
+    src = str(tmp_path / "gs-late")
+    t0 = dt.datetime(2024, 1, 1)
+    _write_events(spark, src, [_ev(1, t0), _ev(2, t0 + dt.timedelta(minutes=2)),
+                               _ev(3, t0 + dt.timedelta(minutes=30))])
+    out, state, ck = scratch_path(spark, "l-out"), scratch_path(spark, "l-state"), scratch_path(spark, "l-ck")
+
+    def run():
+        s = spark.readStream.schema(sources.EVENTS_SCHEMA).parquet(src)
+        sinks.run_available_now(s, ss.gap_sessions_writer(["user_id"], "ts", 300, out, state), ck)
+    run()
+    _write_events(spark, src, [_ev(4, t0 + dt.timedelta(minutes=1))])      # older than the watermark: dropped
+    run()
+    closed = spark.read.parquet(out).drop("batch_id")
+    open_ = ss.flush_open_sessions(spark, state, 300)
+    rows = sorted((r.session_start, r.num_events) for r in closed.unionByName(open_).collect())
+    assert [n for _, n in rows] == [2, 1]
