@@ -74,3 +74,11 @@ def daily_business_metrics(orders: DataFrame) -> DataFrame:
     return daily.join(first, "order_date", "left").select(
         "order_date", "orders", "revenue_cents", "active_customers",
         F.coalesce("new_customers", F.lit(0)).cast("bigint").alias("new_customers"))
+
+
+def daily_engagement(events: DataFrame, *, user: str = "user_id", ts: str = "event_time") -> DataFrame:
+    """Per day: active users, events and events per active user (the engagement table)."""
+    e = events.where(F.col(user).isNotNull())
+    daily = e.groupBy(F.to_date(ts).alias("activity_date")).agg(
+        F.count_distinct(user).alias("active_users"), F.count(F.lit(1)).alias("events"))
+    return daily.withColumn("events_per_user", F.col("events") / F.col("active_users"))

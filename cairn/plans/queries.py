@@ -629,3 +629,8 @@ def experiment_readout(spark, sf_dir):
 @query
 def business_metrics(spark, sf_dir):
     return ex.daily_business_metrics(td.order_revenue(spark, sf_dir))
+
+
+@query
+def business_engagement(spark, sf_dir):
+    return ex.daily_engagement(td.web_events(spark, sf_dir))
