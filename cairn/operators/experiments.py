@@ -82,3 +82,17 @@ def daily_engagement(events: DataFrame, *, user: str = "user_id", ts: str = "eve
     daily = e.groupBy(F.to_date(ts).alias("activity_date")).agg(
         F.count_distinct(user).alias("active_users"), F.count(F.lit(1)).alias("events"))
     return daily.withColumn("events_per_user", F.col("events") / F.col("active_users"))
+
+
+def monthly_business_metrics(orders: DataFrame) -> DataFrame:
+    """Per month: orders, revenue (cents), distinct active customers and new customers
+    (aggregate reporting; customers are counted distinct over the month, not summed per day)."""
+    o = orders.withColumn("month", F.trunc("order_date", "month"))
+    monthly = o.groupBy("month").agg(F.count(F.lit(1)).alias("orders"),
+                                     F.sum("net_cents").cast("bigint").alias("revenue_cents"),
+                                     F.count_distinct("customer_id").alias("active_customers"))
+    first = (orders.groupBy("customer_id").agg(F.trunc(F.min("order_date"), "month").alias("month"))
+             .groupBy("month").agg(F.count(F.lit(1)).alias("new_customers")))
+    return monthly.join(first, "month", "left").select(
+        "month", "orders", "revenue_cents", "active_customers",
+        F.coalesce("new_customers", F.lit(0)).cast("bigint").alias("new_customers"))

@@ -634,3 +634,8 @@ def business_metrics(spark, sf_dir):
 @query
 def business_engagement(spark, sf_dir):
     return ex.daily_engagement(td.web_events(spark, sf_dir))
+
+
+@query
+def business_metrics_monthly(spark, sf_dir):
+    return ex.monthly_business_metrics(td.order_revenue(spark, sf_dir))
