@@ -55,3 +55,22 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("name", ["stream_tumbling_host", "sessionize", "growth_accounting", "max_wins_90",
+                                  "datelist_int", "traffic_windows"])
+def test_results_do_not_depend_on_session_settings(spark, con, name):
+    old = {k: spark.conf.get(k) for k in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled",
+                                          "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "13")
+        df = E.queries()[name](spark, SF_SMALL)
+        rows = [tuple(r) for r in df.collect()]
+        cur = con.execute(E.oracle_sql()[name])
+        ocols = [d[0] for d in cur.description]
+        assert _rows(df.columns, rows) == _rows(ocols, cur.fetchall())
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
