@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.functions.arrays import append_history, concat_safe
+from cairn.functions.arrays import append_history, concat_safe, first_elem, last_elem
 from cairn.functions.classify import threshold_class
 
 # Scoring-class thresholds on points and quality-class thresholds
@@ -117,8 +117,8 @@ def players_loop(spark: SparkSession, seasons, periods: Sequence[int], **kw) ->
 
 def first_last_ratio(players: DataFrame, key: str = "player_name", metric: str = "pts") -> DataFrame:
     """Latest season's metric over the first season's; a zero first value divides by 1."""
-    first = F.get(F.col("seasons"), F.lit(0))[metric]
-    last = F.element_at("seasons", -1)[metric]
+    first = first_elem("seasons")[metric]
+    last = last_elem("seasons")[metric]
     den = F.when(first == 0, F.lit(1)).otherwise(first)
     return players.select(key, "current_season", (last.cast("double") / den).alias("ratio_most_recent_to_first"))
 
