@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, exact_dedup, line_dedup, mixing, sharding
+from . import chat, exact_dedup, line_dedup, mixing, sharding, simhash, token_counts
 from .tables import read
 
 
@@ -19,12 +20,20 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     slim = mixing.sizes(read(spark, sf_dir, "documents"))
     plan = mixing.plan_mix(slim, mixing.ranked_weights(slim, (5, 2, 1)))
     return mixing.taken_words(slim, plan)
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(read(spark, sf_dir, "documents"))
 
@@ -48,4 +57,5 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_extendible_sharding, op2_line_dedup, op4_source_mixing, op8_exact_dedup, op9_chat_format)}
+    op1_extendible_sharding, op2_line_dedup, op3_token_counts, op4_source_mixing, op7_simhash,
+    op8_exact_dedup, op9_chat_format)}
