@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, exact_dedup, line_dedup, mixing, sharding, simhash, token_counts
+from . import chat, exact_dedup, line_dedup, mixing, sharding, simhash, token_counts, toxicity
 from .tables import read
 
 
@@ -56,6 +56,10 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_extendible_sharding, op2_line_dedup, op3_token_counts, op4_source_mixing, op7_simhash,
-    op8_exact_dedup, op9_chat_format)}
+    op8_exact_dedup, op9_chat_format, op10_toxicity)}

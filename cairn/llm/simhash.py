@@ -36,9 +36,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from .tables import written
+from .tables import schema_with, written
 
 SHINGLE_WORDS = 3
 MAX_BITS = 3
@@ -104,7 +104,7 @@ def _majority(h: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 def with_fingerprints(docs: DataFrame, shingle: int = SHINGLE_WORDS) -> DataFrame:
     """Adds ``__fp``, the fingerprint as a signed long, to all columns of ``docs``."""
-    schema = docs.schema.add("__fp", "long")
+    schema = schema_with(docs, "__fp", T.LongType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

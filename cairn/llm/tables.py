@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from cairn.session import scratch_path
 
@@ -25,3 +25,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def schema_with(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
+    """The schema of ``df`` followed by one more column."""
+    return T.StructType([*df.schema.fields, T.StructField(name, kind)])
