@@ -5,7 +5,8 @@ Two bigram models, one of toxic and one of ordinary labelled texts, score every
     P_c(w | v) = max(C_c(v w) - D, 0) / C_c(v) + rest(v) * P_c(w)
     P_c(w)     = (max(K_c(w) - D, 0) + B(w)) / norm_c
 
-C counts bigrams, K_c(w) the distinct words seen before w (Kneser-Ney continuation counts).
+C counts bigrams (the texts that hold one, so that one repetitive text does not count as many), and
+K_c(w) the distinct words seen before w (Kneser-Ney continuation counts).
 ``B`` are backoff counts shared by both classes: the discounted mass spread by the pooled
 continuation counts, plus ``SHARED`` counts for every word. Bigrams seen fewer than ``PAIR_MIN``
 times in both classes together back off to the word, and ``rest`` is pooled too. What was seen too
@@ -43,7 +44,7 @@ from .words import hashed_words, mixed
 MAX_ROWS = 20_000
 CALIBRATE_EVERY = 4
 DISCOUNT = 0.75
-SHARED = 1.0
+SHARED = 4.0
 PAIR_MIN = 64
 WORD_BITS, PAIR_BITS, CONTEXT_BITS = 21, 21, 20
 THRESHOLD = 0.7
@@ -92,11 +93,16 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         texts = b.column("text").cast(pa.large_binary()).to_pylist()
         v, w, at = _pairs(texts)
-        toxic = np.repeat(np.array(b.column("toxic").to_pylist(), bool), np.diff(at))
-        order = np.lexsort((w, v))
-        v, w, toxic = v[order], w[order], toxic[order]
-        first = np.flatnonzero(np.concatenate([[True], (v[1:] != v[:-1]) | (w[1:] != w[:-1])])[:len(v)])
-        sums = [np.add.reduceat(x.astype(np.int64), first) if len(first) else first for x in (~toxic, toxic)]
+        doc = np.repeat(np.arange(len(texts)), np.diff(at))
+        order = np.lexsort((doc, w, v))
+        v, w, doc = v[order], w[order], doc[order]
+        new = np.ones(len(v), bool)
+        new[1:] = (v[1:] != v[:-1]) | (w[1:] != w[:-1])
+        once = new.copy()
+        once[1:] |= doc[1:] != doc[:-1]                     # a text counts once
+        toxic = np.array(b.column("toxic").to_pylist(), bool)[doc] if len(doc) else np.zeros(0, bool)
+        first = np.flatnonzero(new)
+        sums = [np.add.reduceat((x & once).astype(np.int64), first) if len(first) else first for x in (~toxic, toxic)]
         yield pa.record_batch({"v": v[first].view(np.int64), "w": w[first].view(np.int64), "n0": sums[0], "n1": sums[1]})
 
 
