@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontamination, exact_dedup, line_dedup, mixing, sharding, simhash, token_counts, toxicity
+from . import chat, context_mixing, decontamination, exact_dedup, line_dedup, mixing, sharding, simhash, token_counts, toxicity
 from .tables import read
 
 
@@ -30,6 +30,10 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(slim, plan)
 
 
+def op5_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_mixing.score(read(spark, sf_dir, "documents"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -66,4 +70,4 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_extendible_sharding, op2_line_dedup, op3_token_counts, op4_source_mixing,
-    op6_decontamination, op7_simhash, op8_exact_dedup, op9_chat_format, op10_toxicity)}
+    op5_context_mixing, op6_decontamination, op7_simhash, op8_exact_dedup, op9_chat_format, op10_toxicity)}
