@@ -138,7 +138,7 @@ def _cells(embedded: DataFrame, max_bits: int) -> tuple[DataFrame, DataFrame]:
         mask = _signed(((1 << 2 * (hi - lo)) - 1) << 2 * lo)
         home = embedded.select(F.lit(part).alias("part"), F.expr(f"e & {mask}L").alias("cell"), "fp", "e")
         homes.append(home)
-        if max_bits > 1:
+        if max_bits > 0:
             up = (f"transform(sequence({lo}, {hi - 1}), i -> CASE WHEN getbit(e, 2 * i) = 0 THEN cell | shiftleft(1L, 2 * i) "
                   f"WHEN getbit(e, 2 * i + 1) = 0 THEN cell | shiftleft(1L, 2 * i + 1) END)")
             probes.append(home.select("part", F.explode(F.expr(f"filter({up}, x -> x IS NOT NULL)")).alias("cell"), "fp", "e"))
