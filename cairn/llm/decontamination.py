@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .words import hashed_words
+from .words import hashed_words, in_parts
 
 SLOT_BITS = 18
 WINDOW = 64
@@ -57,10 +57,12 @@ def inverse_frequencies(docs: DataFrame) -> np.ndarray:
     """IDF by hashed word, 0 for stop words; from all documents."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            h, at = hashed_words([_plain(t) for t in b.column("text").cast(pa.large_binary()).to_pylist()])
-            doc = np.repeat(np.arange(b.num_rows, dtype=np.int64), np.diff(at))
-            seen = np.unique((doc << SLOT_BITS) | (h >> np.uint64(64 - SLOT_BITS)).astype(np.int64))
-            n = np.bincount(seen & ((1 << SLOT_BITS) - 1), minlength=1 << SLOT_BITS)
+            texts, n = b.column("text").cast(pa.large_binary()).to_pylist(), np.zeros(1 << SLOT_BITS, np.int64)
+            for lo, hi in in_parts(texts):
+                h, at = hashed_words([_plain(t) for t in texts[lo:hi]])
+                doc = np.repeat(np.arange(hi - lo, dtype=np.int64), np.diff(at))
+                seen = np.unique((doc << SLOT_BITS) | (h >> np.uint64(64 - SLOT_BITS)).astype(np.int64))
+                n += np.bincount(seen & ((1 << SLOT_BITS) - 1), minlength=1 << SLOT_BITS)
             slot = np.flatnonzero(n)
             yield pa.record_batch({"slot": slot, "n": n[slot], "docs": np.zeros(len(slot), np.int64)})
             yield pa.record_batch({"slot": np.array([-1]), "n": np.array([b.num_rows]), "docs": np.array([0])})
@@ -157,6 +159,10 @@ def _checked(passage: dict, region: list[bytes]) -> tuple[float, bool] | None:
 
 def _search(texts: list[bytes | None], block: dict) -> list[tuple[int, int, float, float, bool]]:
     """(text, item, cosine, LCS share, answer found) of the texts of one batch."""
+    return [(lo + d, *rest) for lo, hi in in_parts(texts) for d, *rest in _searched(texts[lo:hi], block)]
+
+
+def _searched(texts: list[bytes | None], block: dict) -> list[tuple[int, int, float, float, bool]]:
     plain = [_plain(t) for t in texts]
     h, at = hashed_words(plain)
     slot = (h >> np.uint64(64 - SLOT_BITS)).astype(np.int64)

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .tables import schema_with, written
-from .words import hashed_words, mixed
+from .words import hashed_words, in_parts, mixed
 
 MAX_ROWS = 20_000
 CALIBRATE_EVERY = 4
@@ -92,18 +92,24 @@ def _sampled(docs: DataFrame, sample: DataFrame) -> DataFrame:
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         texts = b.column("text").cast(pa.large_binary()).to_pylist()
-        v, w, at = _pairs(texts)
-        doc = np.repeat(np.arange(len(texts)), np.diff(at))
-        order = np.lexsort((doc, w, v))
-        v, w, doc = v[order], w[order], doc[order]
-        new = np.ones(len(v), bool)
-        new[1:] = (v[1:] != v[:-1]) | (w[1:] != w[:-1])
-        once = new.copy()
-        once[1:] |= doc[1:] != doc[:-1]                     # a text counts once
-        toxic = np.array(b.column("toxic").to_pylist(), bool)[doc] if len(doc) else np.zeros(0, bool)
-        first = np.flatnonzero(new)
-        sums = [np.add.reduceat((x & once).astype(np.int64), first) if len(first) else first for x in (~toxic, toxic)]
-        yield pa.record_batch({"v": v[first].view(np.int64), "w": w[first].view(np.int64), "n0": sums[0], "n1": sums[1]})
+        toxic = np.array(b.column("toxic").to_pylist(), bool)
+        for lo, hi in in_parts(texts):
+            yield _counted(texts[lo:hi], toxic[lo:hi])
+
+
+def _counted(texts: list[bytes | None], toxic: np.ndarray) -> pa.RecordBatch:
+    """Per pair of words how many ordinary and toxic texts hold it."""
+    v, w, at = _pairs(texts)
+    doc = np.repeat(np.arange(len(texts)), np.diff(at))
+    order = np.lexsort((doc, w, v))
+    v, w, doc = v[order], w[order], doc[order]
+    new = np.ones(len(v), bool)
+    new[1:] = (v[1:] != v[:-1]) | (w[1:] != w[:-1])
+    once = new.copy()
+    once[1:] |= doc[1:] != doc[:-1]
+    first = np.flatnonzero(new)
+    sums = [np.add.reduceat((x & once).astype(np.int64), first) if len(first) else first for x in (~toxic[doc], toxic[doc])]
+    return pa.record_batch({"v": v[first].view(np.int64), "w": w[first].view(np.int64), "n0": sums[0], "n1": sums[1]})
 
 
 def _table(rows: DataFrame, bits: int, columns: list[str]) -> list[np.ndarray]:
@@ -153,6 +159,11 @@ def fit_counts(docs: DataFrame, sample: DataFrame) -> dict[str, np.ndarray]:
 
 def ratios(texts: list[bytes | None], model: dict[str, np.ndarray]) -> np.ndarray:
     """Per text: the mean log-likelihood ratio of its two most toxic words (of one, if it has one)."""
+    parts = [_ratios(texts[lo:hi], model) for lo, hi in in_parts(texts)]
+    return np.concatenate([np.zeros(0), *parts])
+
+
+def _ratios(texts: list[bytes | None], model: dict[str, np.ndarray]) -> np.ndarray:
     v, w, at = _pairs(texts)
     word, pair, ctx = _slots(v, w)
     rest = model["rest"][ctx]

@@ -2,12 +2,27 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 SPACES = b" \t\n\x0b\x0c\r"
 STEP_BYTES = 1 << 20
 
 
+def in_parts(texts: list[bytes | None], limit: int = 8 << 20) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of texts of about ``limit`` bytes, so that working memory does not follow the
+    size of an Arrow batch."""
+    lo = 0
+    while lo < len(texts):
+        hi, size = lo, 0
+        while hi < len(texts) and (hi == lo or size < limit):
+            size += len(texts[hi] or b"")
+            hi += 1
+        yield lo, hi
+        lo = hi
+
+
 def hashed_words(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words of all texts, A-Z lower-cased, and the texts' bounds in them.
 
