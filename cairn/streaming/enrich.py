@@ -5,14 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cairn.plans.joins import sized_broadcast
 
-
-def enrich_with_lookup(stream: DataFrame, lookup: DataFrame, key: str, value: str, *, default: str = "{}",
-                       broadcast_max_rows: int = 1_000_000) -> DataFrame:
+def enrich_with_lookup(stream: DataFrame, lookup: DataFrame, key: str, value: str, *, default: str = "{}") -> DataFrame:
     """Left join of each event with ``lookup`` on ``key``; a miss yields ``default``.
 
-    The lookup side is broadcast only after its row count is checked; a larger
-    table stays a shuffle join (run per micro-batch)."""
-    lk = sized_broadcast(lookup.select(key, value), broadcast_max_rows)
-    return stream.join(lk, key, "left").withColumn(value, F.coalesce(F.col(value), F.lit(default)))
+    Each micro-batch is planned on its own: Spark broadcasts the lookup where its size on storage
+    allows, and shuffles both sides otherwise."""
+    return stream.join(lookup.select(key, value), key, "left").withColumn(value, F.coalesce(F.col(value), F.lit(default)))

@@ -16,10 +16,24 @@ def parquet_batch_writer(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def jdbc_batch_writer(url: str, table: str, properties: dict[str, str]) -> Callable[[DataFrame, int], None]:
-    """foreachBatch function appending each micro-batch to a JDBC table (needs the driver jar)."""
+def jdbc_batch_writer(table: str, write_table: Callable[[DataFrame, str, str], None],
+                      committed: Callable[[], int]) -> Callable[[DataFrame, int], None]:
+    """foreachBatch function appending each micro-batch to a table once, replays included.
+
+    Rows carry their ``batch_id``; a batch at or below ``committed()`` (the largest id the table
+    holds) is skipped. ``write_table(frame, table, mode)`` writes, e.g. ``jdbc_write``; the rows of a
+    batch must become visible together, as they do in one database transaction."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.jdbc(url, table, mode="append", properties=properties)
+        if batch_id > committed():
+            write_table(batch.withColumn("batch_id", F.lit(batch_id)), table, "append")
+    return write
+
+
+def jdbc_write(url: str, properties: dict[str, str]) -> Callable[[DataFrame, str, str], None]:
+    """The JDBC form of ``write_table`` (needs the database's driver jar). One partition, so that a
+    batch is one transaction."""
+    def write(frame: DataFrame, table: str, mode: str) -> None:
+        frame.coalesce(1).write.jdbc(url, table, mode=mode, properties=properties)
     return write
 
 
@@ -45,13 +59,18 @@ def run_available_now(df: DataFrame, sink: Callable[[DataFrame, int], None], che
 
 def read_batches(spark: SparkSession, path: str, schema) -> DataFrame:
     """Everything a ``parquet_batch_writer`` wrote (with its batch_id), or an empty frame of
-    ``schema`` (plus batch_id) when the stream produced no micro-batch."""
-    from pyspark.errors import AnalysisException
+    ``schema`` (plus batch_id) when the stream ran no micro-batch, so that the folder does not
+    exist. Anything else that cannot be read raises."""
     from pyspark.sql import types as T
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
+    if not folder_exists(spark, path):
         return spark.createDataFrame([], T.StructType(list(schema.fields) + [T.StructField("batch_id", T.IntegerType())]))
+    return spark.read.parquet(path)
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists in its file system (metadata only)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
 
 
 def latest_by_key(spark: SparkSession, path: str, keys: Sequence[str], schema=None) -> DataFrame:

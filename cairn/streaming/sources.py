@@ -21,11 +21,13 @@ EVENT_TIME_PATTERN = "yyyy-MM-dd'T'HH:mm:ss.SSSX"
 
 def file_stream(spark: SparkSession, directory: str, name: str, schema: T.StructType = EVENTS_SCHEMA,
                 max_files_per_trigger: int | None = None) -> DataFrame:
-    """Stream the parquet file(s) ``<directory>/<name>.parquet`` (new files are picked up as they land)."""
-    r = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+    """Stream the table ``<directory>/<name>.parquet``, a folder of part files or a single file (new
+    files are picked up as they land). The path is written as a pattern because Spark streams a
+    single file only from a pattern."""
+    r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return r.parquet(directory)
+    return r.parquet(f"{directory.rstrip('/')}/{{{name}}}.parquet")
 
 
 def kafka_options(servers: str, topic: str, *, group_id: str | None = None, starting_offsets: str = "latest",

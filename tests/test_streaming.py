@@ -98,47 +98,53 @@ def test_empty_stream_reads_as_empty(spark, tmp_path):
     assert sinks.latest_by_key(spark, out, ["event_hour", "user_id"], schema=agg.schema).count() == 0
 
 
-def test_stream_gap_sessions_equal_batch(spark):
-    """Skew-safe stream sessions over four time-ordered micro-batches = batch sessions of all rows."""
-    from cairn.operators.sequence import sessions_by_gap
-    from cairn.sources import testdata as td
-    from cairn.streaming import sessions as ss
+def test_streams_read_a_folder_of_part_files(spark, tmp_path):
+    from cairn.plans.queries import QUERIES
     from tests.conftest import SF_SMALL
-    ev = td.table(spark, SF_SMALL, "events")
-    src = scratch_path(spark, "gs-src")
-    q = ev.withColumn("_q", F.ntile(4).over(__import__("pyspark.sql", fromlist=["Window"]).Window.orderBy("ts")))
-    for i in range(1, 5):
-        q.where(F.col("_q") == i).drop("_q").coalesce(1).write.parquet(f"{src}/part{i}")
-    stream = td.web_events_from(spark.readStream.schema(sources.EVENTS_SCHEMA).option("maxFilesPerTrigger", 1)
-                                .option("recursiveFileLookup", "true").parquet(src))
-    out, state = scratch_path(spark, "gs-out"), scratch_path(spark, "gs-state")
-    sinks.run_available_now(stream, ss.gap_sessions_writer(["ip", "host"], "event_time", 300, out, state),
-                            scratch_path(spark, "gs-ck"))
-    closed = spark.read.parquet(out).drop("batch_id")
-    open_ = ss.flush_open_sessions(spark, state, 300)
-    got = closed.unionByName(open_) if open_ is not None else closed
-    assert spark.read.parquet(out).select("batch_id").distinct().count() >= 2          # several micro-batches
-    want = sessions_by_gap(td.web_events(spark, SF_SMALL), ["ip", "host"], "event_time", 300)
-    norm = lambda d: d.select("ip", "host", F.col("session_start").cast("timestamp").alias("s"),
-                              F.col("session_end").cast("timestamp").alias("e"), "num_events")
-    assert norm(got).exceptAll(norm(want)).count() == 0 and norm(want).exceptAll(norm(got)).count() == 0
-
-
-def test_stream_gap_sessions_drop_late_events(spark, tmp_path):
-    from cairn.streaming import sessions as ss
-    src = str(tmp_path / "gs-late")
-    t0 = dt.datetime(2024, 1, 1)
-    _write_events(spark, src, [_ev(1, t0), _ev(2, t0 + dt.timedelta(minutes=2)),
-                               _ev(3, t0 + dt.timedelta(minutes=30))])
-    out, state, ck = scratch_path(spark, "l-out"), scratch_path(spark, "l-state"), scratch_path(spark, "l-ck")
-
-    def run():
-        s = spark.readStream.schema(sources.EVENTS_SCHEMA).parquet(src)
-        sinks.run_available_now(s, ss.gap_sessions_writer(["user_id"], "ts", 300, out, state), ck)
-    run()
-    _write_events(spark, src, [_ev(4, t0 + dt.timedelta(minutes=1))])      # older than the watermark: dropped
-    run()
-    closed = spark.read.parquet(out).drop("batch_id")
-    open_ = ss.flush_open_sessions(spark, state, 300)
-    rows = sorted((r.session_start, r.num_events) for r in closed.unionByName(open_).collect())
-    assert [n for _, n in rows] == [2, 1]
+    spark.read.parquet(f"{SF_SMALL}/events.parquet").repartition(4).write.parquet(str(tmp_path / "events.parquet"))
+    for t in ("customer", "nation", "region", "supplier", "part", "orders", "lineitem"):
+        (tmp_path / f"{t}.parquet").symlink_to(f"{SF_SMALL}/{t}.parquet")
+    for name in ("stream_tumbling_host", "stream_tumbling_host_referrer", "stream_geo_enrich", "stream_sessions"):
+        one, many = QUERIES[name](spark, SF_SMALL), QUERIES[name](spark, str(tmp_path))
+        assert one.count() > 0
+        assert one.exceptAll(many).count() == 0 and many.exceptAll(one).count() == 0
+
+
+def test_unreadable_output_raises(spark, tmp_path):
+    import pytest
+    (tmp_path / "batch_id=0").mkdir()
+    (tmp_path / "batch_id=0" / "part-0.parquet").write_bytes(b"not parquet")
+    with pytest.raises(Exception):
+        sinks.read_batches(spark, str(tmp_path), sources.EVENTS_SCHEMA).count()
+
+
+def test_string_event_time_in_a_stream(spark, tmp_path):
+    src, out = str(tmp_path / "text"), scratch_path(spark, "txt")
+    spark.createDataFrame([("h", "2024-01-01T00:00:01.500Z"), ("h", "2024-01-01T00:04:59.000Z"), ("h", "broken")],
+                          "host string, event_time string").write.parquet(src)
+    s = sources.parse_event_time(spark.readStream.schema("host string, event_time string").parquet(src))
+    counts = windows.tumbling_counts(s, ["host"])
+    sinks.run_available_now(counts, sinks.parquet_batch_writer(out), scratch_path(spark, "txt-ck"), mode="update")
+    assert [r.num_hits for r in sinks.latest_by_key(spark, out, ["event_hour", "host"]).collect()] == [2]
+
+
+def test_jdbc_writer_appends_a_replayed_batch_once(spark):
+    table, done = [], []
+
+    def write_table(frame, name, mode):
+        assert mode == "append" and name == "t"
+        table.extend(tuple(r) for r in frame.collect())
+        done.append(max(r[-1] for r in table))
+    write = sinks.jdbc_batch_writer("t", write_table, lambda: done[-1] if done else -1)
+    batch = spark.createDataFrame([(1,), (2,)], "x long")
+    write(batch, 0)
+    write(batch, 0)
+    write(batch, 1)
+    assert sorted(table) == [(1, 0), (1, 1), (2, 0), (2, 1)]
+
+
+def test_kafka_sink_frame(spark):
+    import json
+    df = spark.createDataFrame([("h", 3)], "host string, num_hits long")
+    r = sinks.kafka_sink_frame(df, key="host").first()
+    assert r["key"] == "h" and json.loads(r["value"]) == {"host": "h", "num_hits": 3}
