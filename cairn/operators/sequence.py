@@ -7,12 +7,12 @@ running sums with a distributed prefix sum instead:
 
 1. range-partition on (key, order...): a hot key is split over several
    partitions by its order columns;
-2. per partition, local positions and running sums (``mapInPandas`` over the
-   sorted partition; vectorised pandas, no per-row Python);
+2. per range, local positions and running sums (a window over (range, key), so
+   no window partition is larger than a range);
 3. per (partition, key) totals; only keys that span more than one partition
    need an offset, and at most one key can straddle each partition boundary,
-   so the offsets table has at most 2 x partitions rows (broadcast). The local
-   pass is checkpointed once, so the totals and the rows agree on partition ids;
+   so the offsets table has at most 2 x partitions rows (broadcast). The ranges
+   are written once, so the totals and the rows agree on range numbers;
 4. position = local position + offset.
 
 Rolling N-row sums are then ``cum(i) - cum(i - N)`` by an equi-join on
@@ -23,19 +23,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from cairn.session import written
 
 
-def _same(col: pd.Series, value):
-    """Element-wise equality with ``value`` where NULL equals NULL."""
-    if value is None or (isinstance(value, float) and value != value):
-        return col.isna().to_numpy()
-    return (col == value).fillna(False).to_numpy(dtype=bool)
-
 
 def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Join on ``keys`` where NULL matches NULL; the right side's key columns are dropped."""
@@ -48,48 +41,24 @@ def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def _local_running(key: str, values: Sequence[str]):
-    def fn(batches):
-        carry_key, carry_n, carry_s = None, 0, None
-        for pdf in batches:
-            if pdf.empty:
-                yield pdf.assign(_lidx=pd.Series(dtype="int64"),
-                                 **{f"_lcum_{v}": pd.Series(dtype="int64") for v in values})
-                continue
-            g = pdf.groupby(key, sort=False, dropna=False)          # a NULL key is a key too
-            idx = g.cumcount().astype("int64") + 1
-            cums = g[list(values)].cumsum()
-            if carry_key is not None:
-                m = _same(pdf[key], carry_key)
-                idx = idx + m * carry_n
-                for j, v in enumerate(values):
-                    cums[v] = cums[v] + m * carry_s[j]
-            out = pdf.assign(_lidx=idx.to_numpy(), **{f"_lcum_{v}": cums[v].to_numpy() for v in values})
-            last = out.iloc[-1]
-            carry_key, carry_n = last[key], int(last["_lidx"])
-            carry_s = [last[f"_lcum_{v}"] for v in values]
-            yield out
-    return fn
-
-
 def running_totals(df: DataFrame, key: str, order: Sequence[str], values: Sequence[str], *,
                    partitions: int | None = None, idx: str = "pos") -> DataFrame:
     """Add ``pos`` (1-based position within key by ``order``) and ``cum_<v>`` (inclusive
-    running sum of each integral value column). ``order`` must be a total order within key."""
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    running sum of each integral value column; NULL counts as 0). ``order`` must be a total order
+    within key; a NULL key is a key of its own."""
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cols = [key, *order, *values]
     df = df.select(key, *order, *[F.col(v).cast("bigint").alias(v) for v in values])
-    base = (df.repartitionByRange(n, key, *order).sortWithinPartitions(key, *order)
-            .withColumn("_pid", F.spark_partition_id()))
-    schema = T.StructType(base.schema.fields + [T.StructField("_lidx", T.LongType())]
-                          + [T.StructField(f"_lcum_{v}", T.LongType()) for v in values])
-    # The local pass is read twice (boundary totals, final rows). It is written once to the
-    # shared checkpoint folder: both reads then see the same partition ids, whatever the
-    # exchange-reuse setting, and the Python stage never runs twice.
-    local = base.mapInPandas(_local_running(key, values), schema).checkpoint(eager=True)
-    tot = local.groupBy("_pid", key).agg(F.max("_lidx").alias("_n"),
-                                         *[F.max(f"_lcum_{v}").alias(f"_s_{v}") for v in values])
+    # The ranges are written once: totals and rows are read back with the same range number,
+    # whatever a lost executor makes Spark compute again.
+    ranged = written(df.repartitionByRange(n, key, *order).withColumn("_pid", F.spark_partition_id()), "ranges")
+    # A hot key is spread over its ranges, so a window partition is at most one range.
+    w = Window.partitionBy("_pid", key).orderBy(*order)
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = ranged.withColumns({"_lidx": F.row_number().over(w),
+                                **{f"_lcum_{v}": F.sum(F.coalesce(v, F.lit(0))).over(upto) for v in values}})
+    tot = ranged.groupBy("_pid", key).agg(F.count(F.lit(1)).alias("_n"),
+                                          *[F.sum(F.coalesce(v, F.lit(0))).alias(f"_s_{v}") for v in values])
     wk = Window.partitionBy(key)
     wo = wk.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = (tot.withColumn("_parts", F.count(F.lit(1)).over(wk)).where(F.col("_parts") > 1)
@@ -101,11 +70,23 @@ def running_totals(df: DataFrame, key: str, order: Sequence[str], values: Sequen
     offs = F.broadcast(offs)
     j = _join_null_safe(local, offs, ["_pid", key])
     return j.select(*cols,
-                    (F.col("_lidx") + F.coalesce("_on", F.lit(0))).alias(idx),
+                    (F.col("_lidx") + F.coalesce("_on", F.lit(0))).cast("bigint").alias(idx),
                     *[(F.col(f"_lcum_{v}") + F.coalesce(f"_os_{v}", F.lit(0))).cast("bigint").alias(f"cum_{v}")
                       for v in values])
 
 
+def global_rank(df: DataFrame, order: Sequence, out: str = "rank") -> DataFrame:
+    """Number all rows from 1 in ``order`` (a total order) without a single-task window: a
+    distributed sort, then each row's place in its range plus the sizes of the ranges before."""
+    sorted_rows = written(df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id()), "ranked")
+    part, place = F.shiftright("_id", 33), F.col("_id").bitwiseAND((1 << 33) - 1)
+    sizes = sorted_rows.groupBy(part.alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offs = F.broadcast(sizes.select("_p", before.alias("_before")))      # one row per sort range
+    return (sorted_rows.withColumn("_p", part).join(offs, "_p")
+            .withColumn(out, (F.col("_before") + place + 1).cast("bigint")).select(*df.columns, out))
+
+
 def rolling_sum(df: DataFrame, key: str, order: Sequence[str], value: str, width: int, *,
                 out: str | None = None, partitions: int | None = None) -> DataFrame:
     """Sum of ``value`` over the current row and the ``width - 1`` rows before it, per key."""
@@ -126,68 +107,34 @@ def longest_run(df: DataFrame, key: str, order: Sequence[str], flag: str, *, out
     """
     f = df.withColumn("_miss", F.when(F.col(flag), 0).otherwise(1).cast("bigint"))
     rt = running_totals(f, key, order, ["_miss"], partitions=partitions)
-    runs = (rt.where(F.col("_miss") == 0).groupBy(key, "cum__miss").agg(F.count(F.lit(1)).alias("_len"))
-            .groupBy(key).agg(F.max("_len").alias("_best")))
-    keys = df.groupBy(key).agg(F.count(F.lit(1)).alias("games"))
-    return _join_null_safe(keys, runs, [key]).select(key, "games",
-                                                     F.coalesce("_best", F.lit(0)).cast("bigint").alias(out))
+    # one pass: runs, then per key the longest run and the number of rows
+    runs = rt.groupBy(key, "cum__miss").agg(F.count(F.lit(1)).alias("_rows"),
+                                            F.sum(1 - F.col("_miss")).alias("_len"))
+    return runs.groupBy(key).agg(F.sum("_rows").alias("games"), F.max("_len").cast("bigint").alias(out))
 
 
 # ------------------------------------------------------------------ sessions ---
 
-def _local_sessions(keys: Sequence[str], gap_us: int):
-    """Per sorted partition: ``_lnew`` = starts a session here (a partition's first row of a
-    key counts provisionally), ``_lsid`` = running session number of the key in this partition.
-    State carries across the Arrow batches of one partition."""
-    import numpy as np
-
-    def fn(batches):
-        carry = None                      # (key tuple, last micros, last local session id)
-        for pdf in batches:
-            if pdf.empty:
-                yield pdf.assign(_lnew=pd.Series(dtype="int64"), _lsid=pd.Series(dtype="int64"))
-                continue
-            kdf = pdf[list(keys)]
-            prev = kdf.shift(1)
-            same_prev = ((kdf == prev) | (kdf.isna() & prev.isna())).all(axis=1).to_numpy().copy()
-            same_prev[0] = False
-            gaps = pdf["_us"].diff().to_numpy().copy()
-            first = tuple(None if pd.isna(x) else x for x in kdf.iloc[0])
-            cont = carry is not None and first == carry[0]
-            if cont:
-                same_prev[0] = True
-                gaps[0] = pdf["_us"].iloc[0] - carry[1]
-            new = (~same_prev | (np.nan_to_num(gaps, nan=0.0) > gap_us)).astype("int64")
-            grp = np.cumsum(~same_prev)
-            lsid = pd.Series(new).groupby(grp).cumsum().to_numpy()
-            if cont:
-                lsid = lsid + (grp == grp[0]) * carry[2]
-            out = pdf.assign(_lnew=new, _lsid=lsid)
-            carry = (tuple(None if pd.isna(x) else x for x in kdf.iloc[-1]), int(pdf["_us"].iloc[-1]),
-                     int(lsid[-1]))
-            yield out
-    return fn
-
-
 def sessions_by_gap(df: DataFrame, keys: Sequence[str], ts: str, gap_seconds: int = 300, *,
                     partitions: int | None = None) -> DataFrame:
     """Sessions per keys (a gap longer than ``gap_seconds`` starts a new one): keys...,
     session_start, session_end (last event + gap), num_events.
 
-    Same result as grouping by ``session_window``, but a key holding most of the
+    Rows with a NULL time belong to no session. Same result as grouping by ``session_window``, but a key holding most of the
     events is split over several range partitions instead of one task.
     """
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     gap_us = int(gap_seconds) * 1_000_000
     tcol = F.col(ts).cast("timestamp")
-    base = (df.select(*keys, F.col(ts).alias("_ts"), F.unix_micros(tcol).alias("_us"))
-            .repartitionByRange(n, *keys, "_us").sortWithinPartitions(*keys, "_us")
-            .withColumn("_pid", F.spark_partition_id()))
-    schema = T.StructType(base.schema.fields + [T.StructField("_lnew", T.LongType()),
-                                                T.StructField("_lsid", T.LongType())])
-    # read twice (boundary table and final rows): written once to the shared checkpoint folder
-    local = base.mapInPandas(_local_sessions(keys, gap_us), schema).checkpoint(eager=True)
+    ranged = written(df.where(F.col(ts).isNotNull())
+                     .select(*keys, F.col(ts).alias("_ts"), F.unix_micros(tcol).alias("_us"))
+                     .repartitionByRange(n, *keys, "_us").withColumn("_pid", F.spark_partition_id()), "ranges")
+    wl = Window.partitionBy("_pid", *keys).orderBy("_us")
+    before = F.lag("_us").over(wl)
+    # a range's first row of a key starts a session provisionally
+    new = F.when(before.isNull() | (F.col("_us") - before > gap_us), 1).otherwise(0)
+    local = (ranged.withColumn("_new", new)
+             .withColumn("_lsid", F.sum("_new").over(wl.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
     # per (partition, key): first/last event, sessions started inside (the first row counts provisionally)
     tot = local.groupBy("_pid", *keys).agg(F.min("_us").alias("_first"), F.max("_us").alias("_last"),
                                            F.max("_lsid").alias("_n"))

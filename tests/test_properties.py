@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from cairn.operators import sequence
 
-ROWS = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.integers(0, 400), st.integers(0, 1)),
-                min_size=1, max_size=120)            # key None = a NULL key, which is a key like any other
+KEYS = st.one_of(st.none(), st.integers(0, 3))        # key None = a NULL key, which is a key like any other
+ROWS = st.lists(st.tuples(KEYS, st.integers(0, 400), st.integers(0, 1)), min_size=1, max_size=120)
+SIGNED = st.lists(st.tuples(KEYS, st.integers(0, 400), st.one_of(st.none(), st.integers(-5, 5))), min_size=1, max_size=120)
 SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
 
 
@@ -21,12 +22,12 @@ def _frame(spark, rows):
 
 
 @SETTINGS
-@given(rows=ROWS, parts=st.integers(1, 7), width=st.integers(1, 10))
+@given(rows=SIGNED, parts=st.integers(1, 7), width=st.integers(1, 10))
 def test_rolling_sum_matches_brute_force(spark, rows, parts, width):
     df = _frame(spark, rows)
     got = {(r.k, r.t, r.i): r.w for r in
            sequence.rolling_sum(df, "k", ["t", "i"], "v", width, out="w", partitions=parts).collect()}
-    pdf = pd.DataFrame([(k, t, i, v) for i, (k, t, v) in enumerate(rows)], columns=["k", "t", "i", "v"])
+    pdf = pd.DataFrame([(k, t, i, v or 0) for i, (k, t, v) in enumerate(rows)], columns=["k", "t", "i", "v"])
     pdf["k"] = pdf["k"].astype("float").fillna(-1)
     pdf = pdf.sort_values(["k", "t", "i"])
     pdf["w"] = pdf.groupby("k")["v"].transform(lambda s: s.rolling(width, min_periods=1).sum()).astype(int)
@@ -74,3 +75,16 @@ def test_sessions_match_brute_force(spark, rows, parts, gap):
             prev, n = ts, n + 1
         want.append((ip, start, n))
     assert got == sorted((ip, s.to_pydatetime(), n) for ip, s, n in want)
+
+
+def test_big_keys_beside_a_null_key(spark):
+    big = 2 ** 53 + 1
+    df = spark.createDataFrame([(big, 1, -1), (None, 1, -1), (big, 2, None), (None, 2, 5)], "k long, t long, v long")
+    got = {(r.k, r.t): (r.pos, r.cum_v) for r in sequence.running_totals(df, "k", ["t"], ["v"], partitions=3).collect()}
+    assert got == {(big, 1): (1, -1), (big, 2): (2, -1), (None, 1): (1, -1), (None, 2): (2, 4)}
+
+
+def test_sessions_leave_out_null_times(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([("a", t0), ("a", None), ("a", t0 + dt.timedelta(seconds=5)), ("b", None)], "ip string, ts timestamp_ntz")
+    assert [(r.ip, r.num_events) for r in sequence.sessions_by_gap(df, ["ip"], "ts", 60, partitions=2).collect()] == [("a", 2)]
