@@ -46,10 +46,14 @@ def change_flag(w, tracked: Sequence[str], first_is_change: bool = True) -> Colu
 
 
 def change_islands(df: DataFrame, keys: Sequence[str], order: str, tracked: Sequence[str],
-                   name: str = "island_id") -> DataFrame:
-    """Add ``name``: running count of changes per entity, constant within a spell."""
+                   name: str = "island_id", consecutive: bool = False) -> DataFrame:
+    """Add ``name``: running count of changes per entity, constant within a spell. With
+    ``consecutive``, a step of ``order`` by more than 1 is a change too."""
     w = Window.partitionBy(*keys).orderBy(order)
-    flag = change_flag(w, tracked).cast("int")
+    flag = change_flag(w, tracked)
+    if consecutive:
+        flag = flag | F.coalesce(F.col(order) - F.lag(order, 1).over(w) > 1, F.lit(False))
+    flag = flag.cast("int")
     return (df.withColumn("_chg", flag)
             .withColumn(name, F.sum("_chg").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
             .drop("_chg"))

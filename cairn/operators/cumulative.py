@@ -31,7 +31,7 @@ QUALITY_THRESHOLDS = ((8, "star"), (7, "good"), (6, "average"))
 
 def players_backfill(seasons: DataFrame, *, key: str = "player_name", period: str = "season",
                      attrs: Sequence[str] = ("college", "country"),
-                     stats: Sequence[str] = ("gp", "pts"),
+                     stats: Sequence[str] = ("gp", "pts"), metric: str = "pts",
                      thresholds=SCORING_THRESHOLDS, end_period=None, as_of=None) -> DataFrame:
     """players(t) for every t from each player's first season to ``end_period``
     (or only ``t = as_of`` when given: one row per player seen by then).
@@ -39,25 +39,29 @@ def players_backfill(seasons: DataFrame, *, key: str = "player_name", period: st
     Columns: key, attrs..., seasons (array of struct(season, stats...)),
     scoring_class, years_since_last_active, is_active, current_season.
     """
+    if as_of is not None:
+        seasons = seasons.where(F.col(period) <= F.lit(as_of))
     item = F.struct(F.col(period).alias("season"), *[F.col(s) for s in stats])
+    # an attribute is the first value the step would have met, and unknown before that period
+    known = [F.min(F.when(F.col(a).isNotNull(), F.struct(F.col(period).alias("since"), F.col(a).alias("value")))).alias(a)
+             for a in attrs]
     per = (seasons.groupBy(key)
            .agg(F.sort_array(F.collect_list(item)).alias("_hist"),
-                F.min(period).alias("_first"),
-                *[F.max(a).alias(a) for a in attrs]))
+                F.min(period).alias("_first"), *known))
     dtype = seasons.schema[period].dataType
     if as_of is not None:
-        spine = per.where(F.col("_first") <= F.lit(as_of)).select(
-            key, *attrs, "_hist", F.lit(as_of).cast(dtype).alias("current_season"))
+        spine = per.select(key, *attrs, "_hist", F.lit(as_of).cast(dtype).alias("current_season"))
     else:
         end = F.lit(end_period) if end_period is not None else seasons.select(F.max(period)).scalar()
         spine = per.select(key, *attrs, "_hist",
                            F.explode(F.sequence(F.col("_first"), end.cast(dtype))).alias("current_season"))
     hist = F.filter("_hist", lambda s: s["season"] <= F.col("current_season"))
-    out = spine.withColumn("seasons", hist).drop("_hist")
+    out = spine.withColumn("seasons", hist).drop("_hist").withColumns(
+        {a: F.when(F.col(f"{a}.since") <= F.col("current_season"), F.col(f"{a}.value")) for a in attrs})
     last = F.element_at("seasons", -1)
     return out.select(
         key, *attrs, "seasons",
-        threshold_class(last["pts"], thresholds, "bad").alias("scoring_class"),
+        threshold_class(last[metric], thresholds, "bad").alias("scoring_class"),
         (F.col("current_season") - last["season"]).alias("years_since_last_active"),
         (last["season"] == F.col("current_season")).alias("is_active"),
         "current_season")
@@ -66,7 +70,7 @@ def players_backfill(seasons: DataFrame, *, key: str = "player_name", period: st
 def players_step(prev: DataFrame | None, today: DataFrame, period_value: int, *,
                  key: str = "player_name", period: str = "season",
                  attrs: Sequence[str] = ("college", "country"), stats: Sequence[str] = ("gp", "pts"),
-                 thresholds=SCORING_THRESHOLDS) -> DataFrame:
+                 metric: str = "pts", thresholds=SCORING_THRESHOLDS) -> DataFrame:
     """players(t) = players(t-1) FULL OUTER JOIN player_seasons(t)."""
     ts = today.where(F.col(period) == F.lit(period_value)).select(
         key, *[F.col(a).alias(f"_t_{a}") for a in attrs], F.col(period).alias("_t_season"),
@@ -84,7 +88,7 @@ def players_step(prev: DataFrame | None, today: DataFrame, period_value: int, *,
         key,
         *[F.coalesce(F.col(f"_l_{a}"), F.col(f"_t_{a}")).alias(a) for a in attrs],
         append_history(F.col("_l_seasons"), item, active).alias("seasons"),
-        F.when(active, threshold_class(F.col("_t_pts"), thresholds, "bad"))
+        F.when(active, threshold_class(F.col(f"_t_{metric}"), thresholds, "bad"))
          .otherwise(F.col("_l_class")).alias("scoring_class"),
         F.when(active, F.lit(0)).otherwise(F.col("_l_years") + 1).cast("bigint").alias("years_since_last_active"),
         active.alias("is_active"),

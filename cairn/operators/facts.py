@@ -59,7 +59,8 @@ def monthly_arrays_step(yesterday: DataFrame | None, daily: DataFrame, keys: Seq
                         first_found: bool = False) -> DataFrame:
     """state(d) = state(d-1) FULL OUTER JOIN today's values; newcomers padded to d's index.
 
-    On the first day of a month ``yesterday`` is None (a new month starts empty).
+    ``yesterday`` is any earlier state of the month, None on its first day: days without a step in
+    between are padded, and rows of another month are left out (a new month starts empty).
     """
     d = F.to_date(F.lit(day))
     ms = F.trunc(d, "month")
@@ -72,7 +73,7 @@ def monthly_arrays_step(yesterday: DataFrame | None, daily: DataFrame, keys: Seq
         if first_found:
             j = j.withColumn("_y_first", F.lit(None).cast("date"))
     else:
-        y = yesterday.select(*keys, *[F.col(m).alias(f"_y_{m}") for m in metrics],
+        y = yesterday.where(F.col("month_start") == ms).select(*keys, *[F.col(m).alias(f"_y_{m}") for m in metrics],
                              *([F.col("first_found_date").alias("_y_first")] if first_found else []))
         j = y.join(t, list(keys), "full_outer")
     idx = F.datediff(d, ms)
@@ -80,7 +81,8 @@ def monthly_arrays_step(yesterday: DataFrame | None, daily: DataFrame, keys: Seq
     for m in metrics:
         today_val = F.coalesce(F.col(f"_t_{m}").cast(dtype), _fill(fill, dtype)) if fill is not None \
             else F.col(f"_t_{m}").cast(dtype)
-        prefix = F.coalesce(F.col(f"_y_{m}"), pad_array(idx, _fill(fill, dtype)))
+        known = F.coalesce(F.col(f"_y_{m}"), F.array().cast(f"array<{dtype}>"))
+        prefix = F.concat(known, pad_array(idx - F.size(known), _fill(fill, dtype)))
         cols.append(concat_safe(prefix, F.array(today_val)).alias(m))
     extra = []
     if first_found:

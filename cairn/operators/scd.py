@@ -2,7 +2,7 @@
 
 Semantics (fixed against the quirks of the original SQL):
 * a change is any null-safe difference of a tracked column from the previous
-  observed period of the same entity; a missing period does not end a spell;
+  observed period of the same entity; a missing period ends the spell too, in all three forms;
 * spells are grouped by island id, so two separate spells of one value stay
   two rows;
 * the incremental step keeps historical, unchanged, changed (old closed + new
@@ -32,7 +32,7 @@ def scd2_backfill(df: DataFrame, key: str, period: str, tracked: Sequence[str],
     """
     if as_of is not None:
         df = df.where(F.col(period) <= F.lit(as_of))
-    isl = change_islands(df.select(key, period, *tracked), [key], period, tracked, "_island")
+    isl = change_islands(df.select(key, period, *tracked), [key], period, tracked, "_island", consecutive=True)
     out = (isl.groupBy(key, "_island", *tracked)
            .agg(F.min(period).alias(start), F.max(period).alias(end))
            .drop("_island"))
@@ -93,26 +93,16 @@ def scd2_replay(df: DataFrame, key: str, period: str, tracked: Sequence[str], *,
                 end: str = "end_season", as_of: str = "as_of_season") -> DataFrame:
     """The SCD table as it stood at every as-of period, keyed by (key, start, as_of).
 
-    Set-based: each observed row is replicated to the as-of periods at or after
-    it (``explode(sequence)``), then islands are numbered per (key, as_of). The
-    loop of the original becomes one plan with one shuffle.
+    Set-based: spells are found once per entity, over one row per period. Then each spell is
+    repeated for the as-of periods from its start on, its end cut to the as-of period (a cut
+    end falls on an observed period, as a spell has no gaps).
     """
     last = df.select(F.max(period)).scalar() if as_of_periods is None else F.lit(max(as_of_periods))
-    rep = df.select(key, period, *tracked,
-                    F.explode(F.sequence(F.col(period), last.cast(df.schema[period].dataType))).alias(as_of))
+    spells = scd2_backfill(df, key, period, tracked, start=start, end=end, current=None)
+    out = spells.withColumn(as_of, F.explode(F.sequence(F.col(start), last.cast(df.schema[period].dataType))))
     if as_of_periods is not None:
-        rep = rep.where(F.col(as_of).isin(list(as_of_periods)))
-    w = Window.partitionBy(key, as_of).orderBy(period)
-    flag = None
-    for c in tracked:
-        d = ~F.col(c).eqNullSafe(F.lag(c, 1).over(w))
-        flag = d if flag is None else (flag | d)
-    flag = (flag | F.lag(F.lit(1), 1).over(w).isNull()).cast("int")
-    isl = rep.withColumn("_chg", flag).withColumn(
-        "_island", F.sum("_chg").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    return (isl.groupBy(key, as_of, "_island", *tracked)
-            .agg(F.min(period).alias(start), F.max(period).alias(end))
-            .drop("_island"))
+        out = out.where(F.col(as_of).isin(list(as_of_periods)))
+    return out.withColumn(end, F.least(F.col(end), F.col(as_of))).select(key, as_of, *tracked, start, end)
 
 
 def state_changes(df: DataFrame, key: str, period: str, active: str = "is_active",

@@ -181,3 +181,51 @@ def test_scd_spells_are_disjoint_and_cover_all_periods(spark):
             assert all(s <= e for s, e, _ in ss)
             assert all(ss[i][1] + 1 == ss[i + 1][0] for i in range(len(ss) - 1)), (name, k, ss)   # no gap, no overlap
             assert ss[-1][1] == ss[-1][2]                                                            # open up to as-of
+
+
+# ------------------------------------------------- step = backfill on uneven data
+
+def test_players_backfill_equals_loop_when_attributes_change(spark):
+    from cairn.operators import cumulative as cu
+    rows = [("A", None, "US", 2000, 5, 10), ("A", "New", "CA", 2001, 6, 30), ("A", "Newer", "MX", 2003, 6, 12),
+            ("B", "Col", "US", 2001, 1, 1)]
+    df = spark.createDataFrame(rows, "player_name string, college string, country string, season long, gp long, pts long")
+    for t in (2000, 2001, 2002, 2003):
+        loop = cu.players_loop(spark, df, list(range(2000, t + 1)))
+        back = cu.players_backfill(df, as_of=t).select(*loop.columns)
+        assert sorted(map(str, loop.collect())) == sorted(map(str, back.collect()))
+        whole = cu.players_backfill(df).where(F.col("current_season") == t).select(*loop.columns)
+        assert sorted(map(str, whole.collect())) == sorted(map(str, loop.collect()))
+    other = cu.players_backfill(df, stats=("gp",), metric="gp", as_of=2001)
+    assert {r.player_name: r.scoring_class for r in other.collect()} == {"A": "bad", "B": "bad"}
+
+
+def test_scd_forms_agree_over_a_missing_period(spark):
+    from cairn.operators import scd
+    rows = [("A", 1, "x"), ("A", 3, "x"), ("A", 4, "y"), ("B", 2, "x"), ("B", 3, "x")]
+    df = spark.createDataFrame(rows, "k string, p long, c string")
+    norm = lambda d: sorted((r.k, r.c, r.start_season, r.end_season) for r in d.collect())
+    state = scd.scd2_backfill(df, "k", "p", ["c"], as_of=1)
+    for t in (2, 3, 4):
+        state = scd.scd2_incremental(state, df, "k", "p", ["c"], t)
+        assert norm(state) == norm(scd.scd2_backfill(df, "k", "p", ["c"], as_of=t))
+        replay = scd.scd2_replay(df, "k", "p", ["c"]).where(F.col("as_of_season") == t)
+        assert norm(replay) == norm(state)
+    assert ("A", "x", 1, 1) in norm(state) and ("A", "x", 3, 3) in norm(state)
+
+
+def test_monthly_step_equals_backfill_over_missed_days_and_a_new_month(spark):
+    import datetime as dt
+    from cairn.operators import facts as fa
+    daily = spark.createDataFrame(
+        [(1, dt.date(2024, 1, 1), 3), (2, dt.date(2024, 1, 1), 4), (1, dt.date(2024, 1, 5), 7), (3, dt.date(2024, 1, 5), 1),
+         (1, dt.date(2024, 2, 1), 9)], "user_id long, date date, hits long")
+    norm = lambda d: sorted((r.user_id, str(r.month_start), list(r.hits)) for r in d.collect())
+    first = fa.monthly_arrays(daily, ["user_id"], ["hits"], "2024-01-01")
+    for fill in (0, None):
+        step = fa.monthly_arrays_step(first, daily, ["user_id"], ["hits"], "2024-01-05", fill=fill)
+        assert all(len(h) == 5 for _, _, h in norm(step))
+        if fill == 0:
+            assert norm(step) == norm(fa.monthly_arrays(daily.where("date < '2024-01-06'"), ["user_id"], ["hits"], "2024-01-05"))
+    new_month = fa.monthly_arrays_step(step, daily, ["user_id"], ["hits"], "2024-02-01")
+    assert norm(new_month) == [(1, "2024-02-01", [9])]
