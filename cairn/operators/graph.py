@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from cairn.functions.json import json_object
 from cairn.operators.core import dedupe
+from cairn.session import written
 
 
 def _s(c):
@@ -64,30 +65,23 @@ def plays_on_edges(details: DataFrame) -> DataFrame:
                       .alias("properties"))
 
 
-def player_pair_stats(details: DataFrame, hot_game_rows: int = 10_000) -> DataFrame:
+PAIR_SPREAD = 4
+
+
+def player_pair_stats(details: DataFrame, spread: int = PAIR_SPREAD) -> DataFrame:
     """(subject, object, edge_type) pair statistics over shared games.
 
-    The output is by definition one row per co-occurring pair, so pairs of one
-    game are the operator itself. What the plan controls is where they are made:
-    a game with more than ``hot_game_rows`` players gets S = ceil(rows / that)
-    salts. Its subject side is split by a hash of the player id and its object
-    side is replicated S times, so the game's pairs are made by S tasks rather
-    than one, and each pair still exactly once. Games below the threshold keep
-    salt 0 (no replication). The hot-game list is a partial aggregate.
+    The output is by definition one row per co-occurring pair, so pairs of one game are the
+    operator itself. Every game's pairs are made by ``spread`` tasks: its subject side is split by
+    a hash of the player id, its object side repeated for each part, and each pair is made exactly
+    once. The input is written once and read by both sides. Two players are told apart by their
+    id alone, so players of one name make pairs too.
     """
-    side = details.select("game_id", "player_id", "player_name", "team_abbreviation", "pts")
-    sizes = side.groupBy("game_id").agg(F.count(F.lit(1)).alias("_m"))
-    hot = sizes.where(F.col("_m") > hot_game_rows).select(
-        "game_id", F.ceil(F.col("_m") / F.lit(hot_game_rows)).cast("int").alias("_s"))
-    # plain join: AQE broadcasts the hot list once it has measured it (normally empty or tiny);
-    # a size probe here would compute the whole input once more
-    tagged = side.join(hot, "game_id", "left") \
-        .withColumn("_s", F.coalesce(F.col("_s"), F.lit(1)))
-    a = tagged.withColumn("_salt", F.pmod(F.hash("player_id"), F.col("_s"))).alias("a")
-    b = tagged.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_s") - 1))).alias("b")
+    side = written(details.select("game_id", "player_id", "player_name", "team_abbreviation", "pts"), "pair-input")
+    a = side.withColumn("_salt", F.pmod(F.hash("player_id"), F.lit(spread))).alias("a")
+    b = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))).alias("b")
     j = a.join(b, (F.col("a.game_id") == F.col("b.game_id")) & (F.col("a._salt") == F.col("b._salt"))
-               & (F.col("a.player_id") > F.col("b.player_id"))
-               & (F.col("a.player_name") != F.col("b.player_name")))
+               & (F.col("a.player_id") > F.col("b.player_id")))
     et = F.when(F.col("a.team_abbreviation") == F.col("b.team_abbreviation"), "shares_team").otherwise("plays_against")
     return (j.groupBy(F.col("a.player_id").alias("subject_player_id"), F.col("b.player_id").alias("object_player_id"),
                       et.alias("edge_type"))

@@ -8,13 +8,13 @@ a player's match row once per medal type).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cairn.plans.joins import sized_broadcast
+from cairn.operators.sequence import global_rank
+from cairn.session import written
 
 BUCKETS = 16
-DIM_MAX_ROWS = 100_000
 
 
 def avg_kills_per_player(match_details: DataFrame, matches: DataFrame, k: int = 10) -> DataFrame:
@@ -28,50 +28,38 @@ def avg_kills_per_player(match_details: DataFrame, matches: DataFrame, k: int =
 
 def matches_played_by(matches: DataFrame, match_details: DataFrame, dim_col: str, maps: DataFrame | None = None
                       ) -> DataFrame:
-    """Matches with details, counted per ``dim_col`` (playlist_id, or map_name via the maps dimension)."""
+    """Matches with details, counted per ``dim_col`` (playlist_id, or map_name via the maps dimension),
+    ranked by count (ties by name)."""
     m = matches.join(match_details.select("match_id"), "match_id", "left_semi")
     if maps is not None:
-        m = m.join(sized_broadcast(maps, DIM_MAX_ROWS), "mapid")
-    return m.groupBy(dim_col).agg(F.count(F.lit(1)).alias("match_count"))
+        m = m.join(maps, "mapid")
+    counts = m.groupBy(dim_col).agg(F.count(F.lit(1)).alias("match_count"))
+    return global_rank(counts, [F.col("match_count").desc(), F.col(dim_col)])
 
 
 def medal_count_by_map(medals_matches_players: DataFrame, medals: DataFrame, matches: DataFrame,
                        maps: DataFrame, medal_name: str) -> DataFrame:
-    """Total count of one medal per map."""
-    med = sized_broadcast(medals.where(F.col("name") == medal_name).select("medal_id"), DIM_MAX_ROWS)
+    """Total count of one medal per map, ranked (ties by name)."""
+    med = medals.where(F.col("name") == medal_name).select("medal_id")
     mmp = medals_matches_players.join(med, "medal_id")
     per_match = mmp.groupBy("match_id").agg(F.sum("count").alias("_n"))       # reduce before the join
-    j = per_match.join(matches.select("match_id", "mapid"), "match_id").join(sized_broadcast(maps, DIM_MAX_ROWS),
-                                                                               "mapid")
-    return j.groupBy("map_name").agg(F.sum("_n").cast("bigint").alias("total_medals"))
+    j = per_match.join(matches.select("match_id", "mapid"), "match_id").join(maps, "mapid")
+    totals = j.groupBy("map_name").agg(F.sum("_n").cast("bigint").alias("total_medals"))
+    return global_rank(totals, [F.col("total_medals").desc(), F.col("map_name")])
 
 
 # ------------------------------------------------------------ bucketed layout ---
 
-def bytes_on_storage(spark: SparkSession, paths: list[str]) -> int:
-    """Total size of the files under ``paths`` from the file system's metadata (no data read)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    total = 0
-    for p in paths:
-        path = jvm.org.apache.hadoop.fs.Path(p)
-        total += path.getFileSystem(conf).getContentSummary(path).getLength()
-    return int(total)
-
-
-def bucket_count(size_bytes: int, target_bytes: int = 1 << 30, minimum: int = BUCKETS) -> int:
-    """Buckets so that one bucket holds about ``target_bytes``: a power of two, at least ``minimum``
-    (16, the layout of the original job, at small sizes; 131,072 buckets for 100 TB at 1 GB each)."""
-    n = minimum
-    while size_bytes / n > target_bytes:
-        n *= 2
-    return n
-
-
 def write_bucketed(df: DataFrame, table: str, path: str, key: str | None = "match_id",
                    buckets: int = BUCKETS) -> None:
     """Parquet table at ``path`` (a shared folder), bucketed and sorted on ``key``
-    (plain when ``key`` is None), registered in the catalog as ``table``."""
+    (plain when ``key`` is None), registered in the catalog as ``table``.
+
+    Rows are dealt by the bucket key before the write, so a bucket is one file, not one per task.
+    ``buckets`` is a layout parameter: for production take the input's bytes over the size a bucket
+    should have (100 TB at 1 GB: 131,072)."""
+    if key is not None:
+        df = df.repartition(buckets, key)
     w = df.write.mode("overwrite").format("parquet").option("path", path)
     if key is not None:
         w = w.bucketBy(buckets, key).sortBy(key)
@@ -82,7 +70,7 @@ def bucketed_match_join(spark: SparkSession, details_table: str, matches_table:
                         maps: DataFrame, medals: DataFrame) -> DataFrame:
     """match_details JOIN matches JOIN medals_matches_players, all bucketed on match_id:
     the three scans are co-partitioned, so the joins need no exchange; the two
-    dimensions are broadcast after a size check.
+    dimensions are broadcast where their measured size allows.
 
     Joining on (match_id, player_gamertag) reuses the match_id bucketing when
     ``spark.sql.requireAllClusterKeysForCoPartition`` is false (set by this function).
@@ -92,9 +80,8 @@ def bucketed_match_join(spark: SparkSession, details_table: str, matches_table:
     m = spark.table(matches_table)
     mmp = spark.table(medals_table)
     j = md.join(m, "match_id").join(mmp, ["match_id", "player_gamertag"])
-    j = j.join(sized_broadcast(maps, DIM_MAX_ROWS), "mapid", "left")
-    j = j.join(sized_broadcast(medals.select("medal_id", F.col("name").alias("medal_name")), DIM_MAX_ROWS),
-               "medal_id", "left")
+    j = j.join(maps, "mapid", "left")
+    j = j.join(medals.select("medal_id", F.col("name").alias("medal_name")), "medal_id", "left")
     return j.select("match_id", "player_gamertag", "player_total_kills", "player_total_deaths", "mapid",
                     "map_name", "playlist_id", "is_team_game", "medal_id", "medal_name",
                     F.col("count").alias("medal_count"))
@@ -109,18 +96,50 @@ def bucket_filter_avg(spark: SparkSession, table: str, match_id: str, layout: st
 
 # --------------------------------------------------------------- layout size ---
 
-def layout_size_report(spark: SparkSession, df: DataFrame, root: str, partition_col: str, sort_cols: list[str],
-                       n: int = 4) -> DataFrame:
-    """Write ``df`` twice (repartitioned by ``partition_col``; once also sorted within
-    partitions by ``sort_cols``) and report bytes and files of each layout."""
-    base = df.repartition(n, F.col(partition_col))
-    base.write.mode("overwrite").parquet(f"{root}/unsorted")
-    base.sortWithinPartitions(*sort_cols).write.mode("overwrite").parquet(f"{root}/sorted")
+LAYOUTS = ("ranged", "sorted", "global")
+
+
+def write_layouts(df: DataFrame, root: str, sort_cols: list[str], n: int = 4) -> None:
+    """Write ``df`` in three layouts: dealt by ranges of ``sort_cols``, the same sorted within each
+    file, and globally sorted. Ranges of several columns split a hot value of the first. The input
+    is computed once."""
+    base = written(df, "layout-input")
+    ranged = base.repartitionByRange(n, *sort_cols)
+    ranged.write.mode("overwrite").parquet(f"{root}/ranged")
+    ranged.sortWithinPartitions(*sort_cols).write.mode("overwrite").parquet(f"{root}/sorted")
+    base.orderBy(*sort_cols).write.mode("overwrite").parquet(f"{root}/global")
+
+
+def layout_size_report(spark: SparkSession, root: str) -> DataFrame:
+    """Bytes and files of each layout ``write_layouts`` wrote."""
+    parts = [spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(f"{root}/{layout}").select("length")
+             .agg(F.sum("length").cast("bigint").alias("size_bytes"), F.count(F.lit(1)).alias("num_files"))
+             .select(F.lit(layout).alias("layout"), "size_bytes", "num_files") for layout in LAYOUTS]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def layout_order_report(spark: SparkSession, root: str, sort_cols: list[str]) -> DataFrame:
+    """What each layout promises, checked on its files: rows, first and last value of the first sort
+    column, rows out of order within their file, and files whose range overlaps another's."""
+    key = F.struct(*sort_cols)
     out = None
-    for layout in ("sorted", "unsorted"):
-        files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-                 .load(f"{root}/{layout}").select("length"))
-        r = files.agg(F.sum("length").cast("bigint").alias("size_bytes"), F.count(F.lit(1)).alias("num_files")) \
-            .select(F.lit(layout).alias("layout"), "size_bytes", "num_files")
+    for layout in LAYOUTS:
+        rows = spark.read.parquet(f"{root}/{layout}").select(
+            key.alias("k"), F.col("_metadata.file_name").alias("f"), F.col("_metadata.row_index").alias("i"))
+        first = f"k.{sort_cols[0]}"
+        if layout == "ranged":
+            late = F.lit(None).cast("bigint")                  # no order promised within a file
+            marked = rows.withColumn("late", F.lit(0))
+        else:
+            late = F.sum("late").cast("bigint")
+            back = F.col("k") < F.lag("k").over(Window.partitionBy("f").orderBy("i"))
+            marked = rows.withColumn("late", F.coalesce(back, F.lit(False)).cast("int"))
+        files = marked.groupBy("f").agg(F.count(F.lit(1)).alias("n"), F.sum("late").alias("late"), F.min("k").alias("lo"),
+                                        F.max("k").alias("hi"), F.min(first).alias("first"), F.max(first).alias("last"))
+        overlap = F.coalesce(F.col("lo") < F.lag("hi").over(Window.orderBy("lo", "hi")), F.lit(False))   # a row per file
+        r = (files.withColumn("overlap", overlap.cast("int"))
+             .agg(F.sum("n").cast("bigint").alias("n_rows"), F.min("first").alias("first_value"), F.max("last").alias("last_value"),
+                  late.alias("rows_out_of_order"), F.sum("overlap").cast("bigint").alias("overlapping_files"))
+             .select(F.lit(layout).alias("layout"), "*"))
         out = r if out is None else out.unionByName(r)
     return out

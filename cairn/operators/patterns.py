@@ -198,7 +198,7 @@ def traffic_windows(events: DataFrame, devices: DataFrame, *, min_total: int = 5
          .withColumn("weekly_rolling_count", F.sum("count").over(week))
          .withColumn("previous_weekly_rolling_count", F.sum("count").over(prev)))
     return (w.where((F.col("total_cumulative_sum") > min_total) & F.col("referrer").isNotNull())
-            .select("referrer", "url", "event_date", "count", "weekly_rolling_count",
+            .select("referrer", "url", "event_date", "count", "rolling_cumulative_sum", "weekly_rolling_count",
                     "previous_weekly_rolling_count",
                     (F.col("count") / F.col("monthly_cumulative_sum")).alias("pct_of_month"),
                     (F.col("count") / F.col("total_cumulative_sum")).alias("pct_of_total")))

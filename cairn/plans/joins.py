@@ -1,31 +1,10 @@
-"""Join planning helpers: size-checked broadcast and plan inspection."""
+"""Plan inspection. Join strategies are left to AQE, which broadcasts from measured sizes."""
 
 from __future__ import annotations
 
 import re
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-
-_SMALL: dict[tuple[int, int], bool] = {}
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast ``df`` only if it holds at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (a bounded job). Beyond the
-    bound the frame is returned unhinted, so the join stays a shuffle join
-    (which AQE may still demote to a broadcast from measured sizes). The answer
-    is remembered per (plan, bound) for the life of the process, so a dimension
-    read by many queries is probed once.
-    """
-    key = (df.semanticHash(), max_rows)
-    small = _SMALL.get(key)
-    if small is None:
-        small = df.limit(max_rows + 1).count() <= max_rows
-        _SMALL[key] = small
-    return F.broadcast(df) if small else df
 
 
 def plan_text(df: DataFrame, mode: str = "formatted") -> str:

@@ -25,7 +25,7 @@ from cairn.operators import quality as qa
 from cairn.operators import scd
 from cairn.operators import sequence as sq
 from cairn.plans.render import join_structs, join_values
-from cairn.session import scratch_path
+from cairn.session import scratch_path, written
 from cairn.sources import testdata as td
 from cairn.streaming import enrich as sen
 from cairn.streaming import sinks as ssk
@@ -97,7 +97,8 @@ def cumulative_entity_step(spark, sf_dir):
 @query
 def cumulative_entity_loop(spark, sf_dir):
     t = P["step_season"]
-    first = td.player_seasons(spark, sf_dir).agg(F.min("season")).first()[0]   # one scalar: the first period
+    orders = td.table(spark, sf_dir, "orders")
+    first = orders.agg(F.min(F.year("o_orderdate"))).first()[0]                # one scalar from the scan: the first period
     state = cu.players_loop(spark, lambda y: td.player_seasons(spark, sf_dir, first=y, last=y),
                             list(range(first, t + 1)), thresholds=P["player_thresholds"])
     return _players_rendered(state)
@@ -360,7 +361,8 @@ def fct_game_details(spark, sf_dir):
 @query
 def daily_devices_per_user(spark, sf_dir):
     e = td.web_events(spark, sf_dir).where(day_range("event_time", P["devices_day"]))
-    return e.groupBy("user_id").agg(F.count_distinct("device_id").alias("num_devices"))
+    counts = e.groupBy("user_id").agg(F.count_distinct("device_id").alias("num_devices"))
+    return sq.global_rank(counts, [F.col("num_devices").desc(), F.col("user_id").asc_nulls_last()])
 
 
 # ---------------------------------------------------------------- patterns ---
@@ -483,42 +485,37 @@ def _tag(sf_dir: str) -> str:
     return _hashlib.md5(sf_dir.rstrip("/").encode()).hexdigest()[:8]
 
 
+def _bucketed(spark, sf_dir, name: str, rows, key: str | None = "match_id") -> str:
+    """Name of the catalog table for ``rows``, built once per session and input folder."""
+    table = f"cairn_{name}_{'b' + str(mt.BUCKETS) if key else 'plain'}_{_tag(sf_dir)}"
+    if not spark.catalog.tableExists(table):
+        mt.write_bucketed(rows(spark, sf_dir), table, scratch_path(spark, name), key=key)
+    return table
+
+
 @query
 def match_joined(spark, sf_dir):
-    tag = _tag(sf_dir)
-    # one bucket count for all three tables (co-partitioning needs equal counts), sized from the
-    # largest input on storage: 16 at the test scales, more buckets as the data grows
-    n = mt.bucket_count(mt.bytes_on_storage(spark, [f"{sf_dir.rstrip('/')}/lineitem.parquet"]))
-    names = {k: f"cairn_{k}_b{n}_{tag}" for k in ("match_details", "matches", "medals_matches_players")}
-    mt.write_bucketed(td.match_details(spark, sf_dir), names["match_details"], scratch_path(spark, "md"), buckets=n)
-    mt.write_bucketed(td.matches(spark, sf_dir), names["matches"], scratch_path(spark, "m"), buckets=n)
-    mt.write_bucketed(td.medals_matches_players(spark, sf_dir), names["medals_matches_players"],
-                      scratch_path(spark, "mmp"), buckets=n)
-    return mt.bucketed_match_join(spark, names["match_details"], names["matches"], names["medals_matches_players"],
-                                  td.maps(spark, sf_dir), td.medals(spark, sf_dir))
+    names = [_bucketed(spark, sf_dir, n, rows) for n, rows in (
+        ("match_details", td.match_details), ("matches", td.matches), ("medals_matches_players", td.medals_matches_players))]
+    return mt.bucketed_match_join(spark, *names, td.maps(spark, sf_dir), td.medals(spark, sf_dir))
 
 
 @query
 def bucket_filter_avg(spark, sf_dir):
-    tag = _tag(sf_dir)
-    scores = td.match_scores(spark, sf_dir)
-    n = mt.bucket_count(mt.bytes_on_storage(spark, [f"{sf_dir.rstrip('/')}/lineitem.parquet"]))
-    mt.write_bucketed(scores, f"cairn_scores_b{n}_{tag}", scratch_path(spark, "scores-b"), buckets=n)
-    mt.write_bucketed(scores, f"cairn_scores_plain_{tag}", scratch_path(spark, "scores-plain"), key=None)
     m = P["bucket_match"]
-    return mt.bucket_filter_avg(spark, f"cairn_scores_b{n}_{tag}", m, "bucketed").unionByName(
-        mt.bucket_filter_avg(spark, f"cairn_scores_plain_{tag}", m, "plain"))
+    bucketed = _bucketed(spark, sf_dir, "scores", td.match_scores)
+    plain = _bucketed(spark, sf_dir, "scores", td.match_scores, key=None)
+    return mt.bucket_filter_avg(spark, bucketed, m, "bucketed").unionByName(
+        mt.bucket_filter_avg(spark, plain, m, "plain"))
 
 
 @query
 def layout_size_report(spark, sf_dir):
     e = td.web_events(spark, sf_dir).withColumn("event_date", F.to_date("event_time"))
     d = td.devices(spark, sf_dir).withColumnsRenamed({"browser_type": "browser_family", "os_type": "os_family"})
-    df = e.join(d, "device_id", "left")
-    # the original writes 4 files; keep ~1 GB per output partition as the data grows
-    n = max(4, -(-mt.bytes_on_storage(spark, [f"{sf_dir.rstrip('/')}/events.parquet"]) // (1 << 30)))
-    return mt.layout_size_report(spark, df, scratch_path(spark, "layout"), "event_date", ["event_date", "host"],
-                                 n=n)
+    root, order = scratch_path(spark, "layout"), ["event_date", "host", "event_time"]
+    mt.write_layouts(e.join(d, "device_id", "left"), root, order)
+    return mt.layout_order_report(spark, root, order)
 
 
 # ----------------------------------------------------------- quality/events ---
@@ -599,6 +596,17 @@ def sessionize(spark, sf_dir):
         F.col("session_end").cast("timestamp_ntz").alias("session_end"), "num_events")
 
 
+@query
+def stream_sessions(spark, sf_dir):
+    """Sessions over the stream by Spark's own ``session_window``: each is returned once it has closed."""
+    closed = swin.sessions(_event_stream(spark, sf_dir), ["ip", "host"], watermark="15 seconds")
+    out = scratch_path(spark, "stream-out")
+    ssk.run_available_now(closed, ssk.parquet_batch_writer(out), scratch_path(spark, "stream-ckpt"))
+    return ssk.read_batches(spark, out, closed.schema).select(
+        "ip", "host", F.col("session_start").cast("timestamp_ntz").alias("session_start"),
+        F.col("session_end").cast("timestamp_ntz").alias("session_end"), "num_events")
+
+
 @query
 def session_host_stats(spark, sf_dir):
     return swin.session_stats(_sessions(spark, sf_dir), "host")
@@ -619,11 +627,12 @@ def experiment_assignment(spark, sf_dir):
 @query
 def experiment_readout(spark, sf_dir):
     """Conversion: a purchase on the user's first active day."""
-    e = td.web_events(spark, sf_dir).where(F.col("user_id").isNotNull()).withColumn("date", F.to_date("event_time"))
-    first = e.groupBy("user_id").agg(F.min("date").alias("_first"))
-    conv = (e.where(F.col("url") == "/purchase").join(first, "user_id").where(F.col("date") == F.col("_first"))
-            .select("user_id").distinct())
-    return ex.readout(_assigned(spark, sf_dir), conv, P["experiment"])
+    day = F.to_date("event_time")
+    per_user = (td.web_events(spark, sf_dir).where(F.col("user_id").isNotNull()).groupBy("user_id")
+                .agg(F.min(day).alias("_first"), F.min(F.when(F.col("url") == "/purchase", day)).alias("_bought")))
+    per_user = written(per_user, "first-days")
+    conv = per_user.where(F.col("_bought") == F.col("_first")).select("user_id")
+    return ex.readout(ex.assign_cells(per_user.select("user_id"), P["experiment"]), conv, P["experiment"])
 
 
 @query

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cairn.functions.hashing import bucket_of
+
 
 def align_to(df: DataFrame, spark: SparkSession, table: str) -> DataFrame:
     """Columns of ``df`` reordered (and cast) to the target table's schema, by name."""
@@ -24,8 +26,13 @@ def align_to(df: DataFrame, spark: SparkSession, table: str) -> DataFrame:
 
 def overwrite_partitions(df: DataFrame, spark: SparkSession, table: str) -> None:
     """INSERT OVERWRITE of only the partitions present in ``df`` (dynamic mode)."""
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    align_to(df, spark, table).write.insertInto(table, overwrite=True)
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")                 # read when the write is planned, so only for this one
+    try:
+        align_to(df, spark, table).write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(key, before)
 
 
 def append(df: DataFrame, spark: SparkSession, table: str) -> None:
@@ -49,6 +56,10 @@ def upsert_period(state: DataFrame, spark: SparkSession, table: str) -> None:
     overwrite_partitions(state, spark, table)
 
 
-def with_partition_transforms(df: DataFrame, date_col: str) -> DataFrame:
-    """Derived layout columns: year of a date (``years(d)``)."""
-    return df.withColumn(f"{date_col}_year", F.year(date_col))
+def with_partition_transforms(df: DataFrame, date_col: str, bucket_col: str | None = None, buckets: int = 16) -> DataFrame:
+    """Derived layout columns: year of a date (``years(d)``) and, with ``bucket_col``, its bucket
+    (``bucket(16, k)``)."""
+    df = df.withColumn(f"{date_col}_year", F.year(date_col))
+    if bucket_col is not None:
+        df = df.withColumn(f"{bucket_col}_bucket", bucket_of(bucket_col, buckets))
+    return df

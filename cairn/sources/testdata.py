@@ -16,7 +16,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.plans.joins import sized_broadcast
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -37,11 +36,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _nation(spark, sf_dir) -> DataFrame:
-    return sized_broadcast(table(spark, sf_dir, "nation"), max_rows=10_000)
+    return table(spark, sf_dir, "nation")
 
 
 def _region(spark, sf_dir) -> DataFrame:
-    return sized_broadcast(table(spark, sf_dir, "region"), max_rows=10_000)
+    return table(spark, sf_dir, "region")
 
 
 def player_seasons(spark: SparkSession, sf_dir: str, first: int | None = None,
