@@ -2,7 +2,7 @@
 
 Semantics (fixed against the quirks of the original SQL):
 * a change is any null-safe difference of a tracked column from the previous
-  observed period of the same entity; a missing period ends the spell too, in all three forms;
+  observed period of the same entity; a missing period does not end a spell, in all three forms;
 * spells are grouped by island id, so two separate spells of one value stay
   two rows;
 * the incremental step keeps historical, unchanged, changed (old closed + new
@@ -32,7 +32,7 @@ def scd2_backfill(df: DataFrame, key: str, period: str, tracked: Sequence[str],
     """
     if as_of is not None:
         df = df.where(F.col(period) <= F.lit(as_of))
-    isl = change_islands(df.select(key, period, *tracked), [key], period, tracked, "_island", consecutive=True)
+    isl = change_islands(df.select(key, period, *tracked), [key], period, tracked, "_island")
     out = (isl.groupBy(key, "_island", *tracked)
            .agg(F.min(period).alias(start), F.max(period).alias(end))
            .drop("_island"))
@@ -53,15 +53,17 @@ def scd2_incremental(prev_scd: DataFrame, snapshot: DataFrame, key: str, period:
     """SCD(t-1) + snapshot(t) -> SCD(t).
 
     ``prev_scd``: key, tracked..., start, end (as of t-1). ``snapshot``: rows
-    with ``period`` and tracked columns; the rows of period t are used. Closed
-    history (end < t-1) passes through untouched; only open records meet the
-    snapshot, in one full outer join on ``key``, and each joined row expands to
-    one or two records.
+    with ``period`` and tracked columns; the rows of period t are used. An
+    entity's latest record is open, also if it was not seen of late; the records
+    before it pass through untouched. Open records meet the snapshot in one full
+    outer join on ``key`` (the window that finds them shares its partitioning),
+    and each joined row expands to one or two records.
     """
     t = F.lit(period_value)
     prev_scd = prev_scd.select(key, *tracked, start, end)
-    historical = prev_scd.where(F.col(end) < F.lit(period_value - 1))
-    ls = (prev_scd.where(F.col(end) >= F.lit(period_value - 1))
+    prev_scd = prev_scd.withColumn("_latest", F.max(start).over(Window.partitionBy(key)))
+    historical = prev_scd.where(F.col(start) < F.col("_latest")).drop("_latest")
+    ls = (prev_scd.where(F.col(start) == F.col("_latest"))
           .select(key, *[F.col(c).alias(f"_l_{c}") for c in tracked],
                   F.col(start).alias("_l_start"), F.col(end).alias("_l_end"), F.lit(True).alias("_in_l")))
     ts = (snapshot.where(F.col(period) == t)
@@ -93,16 +95,19 @@ def scd2_replay(df: DataFrame, key: str, period: str, tracked: Sequence[str], *,
                 end: str = "end_season", as_of: str = "as_of_season") -> DataFrame:
     """The SCD table as it stood at every as-of period, keyed by (key, start, as_of).
 
-    Set-based: spells are found once per entity, over one row per period. Then each spell is
-    repeated for the as-of periods from its start on, its end cut to the as-of period (a cut
-    end falls on an observed period, as a spell has no gaps).
+    Set-based: spells are found once per entity, over one row per period, and keep the periods
+    they were observed in. Then each spell is repeated for the as-of periods from its start on; it
+    ends at the last observed period up to each.
     """
     last = df.select(F.max(period)).scalar() if as_of_periods is None else F.lit(max(as_of_periods))
-    spells = scd2_backfill(df, key, period, tracked, start=start, end=end, current=None)
-    out = spells.withColumn(as_of, F.explode(F.sequence(F.col(start), last.cast(df.schema[period].dataType))))
+    isl = change_islands(df.select(key, period, *tracked), [key], period, tracked, "_island")
+    spells = isl.groupBy(key, "_island", *tracked).agg(F.collect_list(period).alias("_seen"))
+    out = spells.withColumn(start, F.array_min("_seen"))
+    out = out.withColumn(as_of, F.explode(F.sequence(F.col(start), last.cast(df.schema[period].dataType))))
     if as_of_periods is not None:
         out = out.where(F.col(as_of).isin(list(as_of_periods)))
-    return out.withColumn(end, F.least(F.col(end), F.col(as_of))).select(key, as_of, *tracked, start, end)
+    seen = F.array_max(F.filter("_seen", lambda p: p <= F.col(as_of)))
+    return out.select(key, as_of, *tracked, start, seen.alias(end))
 
 
 def state_changes(df: DataFrame, key: str, period: str, active: str = "is_active",
