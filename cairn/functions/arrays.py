@@ -15,12 +15,6 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def safe_get(arr, i: int, default=None) -> Column:
-    """0-based element ``i``; NULL (or ``default``) when the array is short."""
-    v = F.get(_c(arr), F.lit(i))
-    return v if default is None else F.coalesce(v, F.lit(default))
-
-
 def first_elem(arr) -> Column:
     return F.get(_c(arr), F.lit(0))
 
@@ -48,8 +42,3 @@ def pad_array(length, fill) -> Column:
     """``array_repeat(fill, length)`` with a NULL or negative length as empty."""
     n = F.greatest(F.coalesce(_c(length), F.lit(0)).cast("int"), F.lit(0))
     return F.array_repeat(_c(fill) if not isinstance(fill, (int, float)) else F.lit(fill), n)
-
-
-def array_of_strings(arr, fmt, sep: str = ",") -> Column:
-    """Render an array as text, ``fmt`` maps one element Column to a string Column."""
-    return F.array_join(F.transform(_c(arr), lambda x: fmt(x)), sep)

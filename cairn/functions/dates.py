@@ -13,10 +13,6 @@ LAST_7_DAYS_MASK = 4261412864      # 0b11111110 00000000 00000000 00000000
 PREVIOUS_WEEK_MASK = 33292288      # 0b00000001 11111100 00000000 00000000
 
 
-def days_between(later, earlier) -> Column:
-    return F.datediff(later, earlier)
-
-
 def date_bit(as_of: Column, day: Column) -> Column:
     """Bit for ``day`` in the mask as of ``as_of``: 1 << (31 - days since); 0 outside 0..31."""
     d = F.datediff(as_of, day)

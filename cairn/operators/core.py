@@ -53,8 +53,3 @@ def change_islands(df: DataFrame, keys: Sequence[str], order: str, tracked: Sequ
     return (df.withColumn("_chg", flag)
             .withColumn(name, F.sum("_chg").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
             .drop("_chg"))
-
-
-def key_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys that occur more than once, with their count (PRIMARY KEY audit)."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)

@@ -6,7 +6,6 @@ in the same cell, on any engine, without storing an assignment table.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -48,18 +47,6 @@ def readout(assigned: DataFrame, converted: DataFrame, experiment: str, *, user:
                     F.round(lift, 6).alias("lift"), F.round(z, 6).alias("z_score"))
 
 
-def z_critical(alpha: float = 0.05) -> float:
-    """Two-sided normal critical value (for reading z scores), by bisection on erf."""
-    lo, hi = 0.0, 10.0
-    for _ in range(100):
-        mid = (lo + hi) / 2
-        if math.erfc(mid / math.sqrt(2)) > alpha:
-            lo = mid
-        else:
-            hi = mid
-    return (lo + hi) / 2
-
-
 def daily_business_metrics(orders: DataFrame) -> DataFrame:
     """Per day: orders, revenue (cents), active and new customers.
 

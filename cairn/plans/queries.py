@@ -534,7 +534,7 @@ def events_enriched(spark, sf_dir):
 
 @query
 def user_device_rollups(spark, sf_dir):
-    counts = ev.user_device_counts(td.web_events(spark, sf_dir))
+    counts = written(ev.user_device_counts(td.web_events(spark, sf_dir)), "user-device-counts")   # read by both rollups
     per_user, per_device = ev.user_device_rollups(counts, td.devices(spark, sf_dir))
     u = per_user.select(F.lit("user").alias("rollup"), F.col("user_id").alias("id"),
                         F.lit(None).cast("string").alias("label"), F.col("total_hits").alias("n"),

@@ -41,7 +41,7 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
-def read_bucket(spark: SparkSession, table: str, key: str, value, buckets: int) -> DataFrame:
+def read_bucket(spark: SparkSession, table: str, key: str, value) -> DataFrame:
     """Rows of one key value from a bucketed table: the equality filter on the bucket
     column lets the scan read one bucket's files only."""
     return spark.table(table).where(F.col(key) == F.lit(value))

@@ -5,10 +5,8 @@ lazy DataFrame over the whole parquet tables, so its size grows with the scale
 factor. Metrics are integer-valued where a threshold or a sum depends on them,
 so that any engine computes the same values regardless of summation order.
 
-Dimensions of fixed size by definition (nation: 25 rows, region: 5) are joined
-through ``sized_broadcast``, which checks the row count before hinting a
-broadcast; everything else is a plain join that AQE may turn into a broadcast
-once it has measured the materialised side.
+Joins carry no hints: AQE turns one into a broadcast once it has measured the
+materialised side.
 """
 
 from __future__ import annotations

@@ -52,3 +52,37 @@ def test_period_overwrite_is_idempotent(spark):
     tables.overwrite_partitions(day2, spark, name)                                   # rerun of the same day
     assert spark.table(name).count() == 3
     assert spark.table(name).where("date = '2024-01-01'").first().n == 1
+
+
+def test_catalog_reads_views_and_spines(spark):
+    from cairn.operators.matches import write_bucketed
+    from cairn.sources import files
+    name = "t_read_" + scratch_path(spark, "x")[-6:]
+    rows = spark.createDataFrame([("M1", 5), ("M2", 6), ("M1", 7)], "match_id string, score long")
+    write_bucketed(rows, name, scratch_path(spark, "rb"))
+    assert files.read_table(spark, name).count() == 3
+    one = files.read_bucket(spark, name, "match_id", "M1")
+    assert sorted(r.score for r in one.collect()) == [5, 7]
+    files.register_view(rows, "t_scores_view")
+    assert spark.sql("SELECT sum(score) AS s FROM t_scores_view").first().s == 18
+    assert [r.season for r in files.season_spine(spark, 1996, 1999).orderBy("season").collect()] == [1996, 1997, 1998, 1999]
+
+
+def test_partitioned_table_append_and_upsert(spark):
+    name = "t_state_" + scratch_path(spark, "x")[-6:]
+    day1 = spark.createDataFrame([(1, "a"), (2, "b")], "id long, v string").withColumn("ds", F.lit("2024-01-01"))
+    tables.create_partitioned(day1, name, ["ds"], scratch_path(spark, "state"), sort_within=["id"])
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    day2 = spark.createDataFrame([(1, "c")], "id long, v string").withColumn("ds", F.lit("2024-01-02"))
+    tables.append(day2, spark, name)
+    tables.upsert_period(day2.unionByName(spark.createDataFrame([(3, "d", "2024-01-02")], day2.schema)), spark, name)
+    assert sorted((r.ds, r.id, r.v) for r in spark.table(name).collect()) == [
+        ("2024-01-01", 1, "a"), ("2024-01-01", 2, "b"), ("2024-01-02", 1, "c"), ("2024-01-02", 3, "d")]
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
+
+
+def test_partition_transforms(spark):
+    from cairn.functions.hashing import bucket_of
+    df = spark.createDataFrame([(1, "2024-03-01"), (2, "2023-01-01")], "id long, d string").withColumn("d", F.to_date("d"))
+    out = tables.with_partition_transforms(df, "d", "id", 16).withColumn("want", bucket_of(F.col("id"), 16))
+    assert sorted((r.id, r.d_year, r.id_bucket == r.want) for r in out.collect()) == [(1, 2024, True), (2, 2023, True)]
