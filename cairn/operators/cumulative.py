@@ -167,7 +167,12 @@ def actors_backfill(films: DataFrame, *, key: str = "actorid", thresholds=QUALIT
                     end_year=None, as_of=None, with_films: bool = True) -> DataFrame:
     """actors(y) for every y from the actor's first film year to ``end_year``
     (or only ``y = as_of``). ``with_films=False`` keeps only class and activity
-    (what an SCD needs), so no film arrays are collected."""
+    (what an SCD needs), so no film arrays are collected. Films after the last
+    year asked for are left out before anything is collected."""
+    if as_of is not None:
+        films = films.where(F.col("year") <= F.lit(as_of))
+    elif isinstance(end_year, int):
+        films = films.where(F.col("year") <= F.lit(end_year))
     if with_films:
         per = actor_year_facts(films, key)
         item = F.struct(F.col("year"), F.col("avg_rating"), F.col("films"))
@@ -176,8 +181,7 @@ def actors_backfill(films: DataFrame, *, key: str = "actorid", thresholds=QUALIT
         item = F.struct(F.col("year"), F.col("avg_rating"))
     agg = per.groupBy(key).agg(F.sort_array(F.collect_list(item)).alias("_hist"), F.min("year").alias("_first"))
     if as_of is not None:
-        spine = agg.where(F.col("_first") <= F.lit(as_of)).select(
-            key, "_hist", F.lit(as_of).cast("bigint").alias("current_year"))
+        spine = agg.select(key, "_hist", F.lit(as_of).cast("bigint").alias("current_year"))
     else:
         end = F.lit(end_year) if end_year is not None else films.select(F.max("year")).scalar()
         spine = agg.select(key, "_hist", F.explode(F.sequence("_first", end.cast("bigint"))).alias("current_year"))

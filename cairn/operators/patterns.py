@@ -104,17 +104,18 @@ def retention_curve(activity: DataFrame, *, user: str = "user_id", end=None) ->
 # ------------------------------------------------------------------ funnel ---
 
 def funnel_conversion(events: DataFrame, target: str, *, min_count: int = 100, user: str = "user_id",
-                      url: str = "url", host: str = "host", ts: str = "event_time") -> DataFrame:
+                      url: str = "url", ts: str = "event_time") -> DataFrame:
     """Per url: events followed later the same day (same user) by any event, and the
     share of those followed by ``target``.
 
     The self join of every event with all later events of its user-day becomes
     two aggregates per user-day (last event time, last target time) joined back:
     linear work, and a hot user-day is reduced map-side before the shuffle.
+    Maxima need no distinct rows, so they are taken from the raw events.
     """
-    dedup = events.where(F.col(user).isNotNull()).select(url, host, user, ts).distinct()
-    e = dedup.select(user, ts, url).distinct().withColumn("_day", F.to_date(ts))
-    last = (e.groupBy(user, "_day")
+    raw = events.where(F.col(user).isNotNull()).select(user, ts, url).withColumn("_day", F.to_date(ts))
+    e = raw.distinct()
+    last = (raw.groupBy(user, "_day")
             .agg(F.max(ts).alias("_last"), F.max(F.when(F.col(url) == target, F.col(ts))).alias("_last_t")))
     j = e.join(last, [user, "_day"]).where(F.col(ts) < F.col("_last"))
     conv = F.when(F.col(ts) < F.col("_last_t"), 1).otherwise(0)
