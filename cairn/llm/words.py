@@ -7,10 +7,10 @@ from collections.abc import Iterator
 import numpy as np
 
 SPACES = b" \t\n\x0b\x0c\r"
-STEP_BYTES = 1 << 20
+STEP_BYTES = 1 << 18
 
 
-def in_parts(texts: list[bytes | None], limit: int = 8 << 20) -> Iterator[tuple[int, int]]:
+def in_parts(texts: list[bytes | None], limit: int = 2 << 20) -> Iterator[tuple[int, int]]:
     """Bounds of runs of texts of about ``limit`` bytes, so that working memory does not follow the
     size of an Arrow batch."""
     lo = 0
@@ -28,7 +28,7 @@ def hashed_words(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
 
     Words are runs of bytes other than the six ASCII white-space characters. The hash is a
     polynomial over the word's bytes modulo 2**64 with a final mix, computed from prefix sums in
-    steps of about 1 MB cut at white space.
+    steps of about 256 KB cut at white space.
     """
     sizes = np.fromiter((len(t or b"") for t in texts), np.int64, len(texts))
     ends = np.cumsum(sizes + 1)
