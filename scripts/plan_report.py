@@ -9,12 +9,12 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from cairn.session import build_session  # noqa: E402
-import __spark_entry__ as E  # noqa: E402
+from cairn.plans.queries import QUERIES  # noqa: E402
 
 sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-spark = build_session(shuffle_partitions=8)
+spark = build_session(master="local[4]", shuffle_partitions=8)
 rows = []
-for name, q in E.queries().items():
+for name, q in QUERIES.items():
     df = q(spark, sf_dir)
     txt = df._jdf.queryExecution().executedPlan().toString()
     df.collect()                                  # run it: the adaptive plan becomes final
@@ -28,7 +28,7 @@ for name, q in E.queries().items():
     windows = len(re.findall(r"\bWindow \[", txt))
     smj = len(re.findall(r"SortMergeJoin", txt))
     bhj = len(re.findall(r"BroadcastHashJoin", txt))
-    py = len(re.findall(r"MapInPandas", txt))
+    py = len(re.findall(r"MapInPandas|MapInArrow", txt))
     pushed = sorted(set(re.findall(r"PushedFilters: \[([^\]]+)\]", txt)))
     pushed = [p for p in pushed if any(k in p for k in ("GreaterThan", "LessThan", "EqualTo", "In("))]
     buckets = sorted(set(re.findall(r"SelectedBucketsCount: (\d+ out of \d+)", txt)))
@@ -36,7 +36,7 @@ for name, q in E.queries().items():
                  "; ".join(p[:60] for p in pushed)[:120] + ("; buckets " + ", ".join(buckets) if buckets else "")))
 
 out = ["# PLANS", "",
-       "Physical-plan shape of every registered query at sf0.01 on `local[8]`, generated by",
+       "Physical-plan shape of every registered query at sf0.01 on `local[4]`, generated by",
        "`python scripts/plan_report.py`. The first columns come from the initial adaptive plan: hash,",
        "range and single-partition shuffle exchanges, and broadcast exchanges. Then, after running the",
        "query, the final plan: shuffle stages that ran (`ran`) and exchanges AQE reused (`reused`).",
