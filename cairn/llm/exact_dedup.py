@@ -20,7 +20,7 @@ exactly one is kept. Columns other than ``doc_id`` and ``text`` are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .tables import UPPER, written
 
@@ -46,17 +46,12 @@ def _block_names(rows: DataFrame) -> DataFrame:
         return plain
     shared = by_hash.filter("k > 1").select("h", "name")
     sub = (contents.join(shared, "h").select("h", "block", "name")
-           .withColumn("sub", F.dense_rank().over(_by("h", "block"))))
+           .withColumn("sub", F.dense_rank().over(Window.partitionBy("h").orderBy("block"))))
     told = (rows.join(sub, ["h", "block"])
             .select("row_id", "pos", "n", F.struct("name", "sub").alias("id")))
     return plain.unionByName(told)
 
 
-def _by(key: str, order: str):
-    from pyspark.sql import Window
-    return Window.partitionBy(key).orderBy(order)
-
-
 def identities(docs: DataFrame, block_bytes: int = BLOCK_BYTES, block_hash=F.xxhash64) -> DataFrame:
     """One row per input row: row_id, doc_id, text_sha256, level, id (struct of integers).
 

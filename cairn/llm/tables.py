@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
-from cairn.session import scratch_path
+from cairn.session import written  # noqa: F401  (the operators take it from here)
 
 # The white space that separates words and that line keys are stripped of.
 SPACE = " \t\n\x0b\f\r"
@@ -16,17 +16,6 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once below ``spark.checkpoint.dir`` and return the table read back.
-
-    Cuts lineage and survives lost executors; unlike ``checkpoint()`` the input is computed
-    once, and later joins see the measured file size.
-    """
-    path = scratch_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def schema_with(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
     """The schema of ``df`` followed by one more column."""
     return T.StructType([*df.schema.fields, T.StructField(name, kind)])
