@@ -2,16 +2,20 @@
 
 Two bigram models, one of toxic and one of ordinary labelled texts, score every word of a text:
 
-    P_c(w | v) = max(C_c(v w) - D, 0) / C_c(v) + rest(v) * P_c(w)
-    P_c(w)     = (max(K_c(w) - D, 0) + B(w)) / norm_c
-
-C counts bigrams (the texts that hold one, so that one repetitive text does not count as many), and
-K_c(w) the distinct words seen before w (Kneser-Ney continuation counts).
+    P_c(w | v) = (m_c(v w) + (SHARED + rest(v) * P(w)) * P_c(w) / P(w)) / norm_c(v)
+    P_c(w)     = (m_c(w) + B(w)) / norm_c
+
+m_c(v w) are the texts of class c that hold the bigram (so that one repetitive text does not count
+as many), less the discount D, and m_c(w) the distinct words seen before w (Kneser-Ney continuation
+counts), less D. P is the mean of both classes' P_c(w). Every counted bigram is kept. All rows of
+both classes are counted, so the counts are made comparable: bigrams by the classes' mass and then by
+the context's mass in both classes, and continuation counts, which grow slower than the mass, by what
+a sample of the smaller class's mass would be expected to show.
 ``B`` are backoff counts shared by both classes: the discounted mass spread by the pooled
-continuation counts, plus ``SHARED`` counts for every word. Bigrams seen fewer than ``PAIR_MIN``
-times in both classes together back off to the word, and ``rest`` is pooled too. What was seen too
-rarely to tell the classes apart therefore gets the same share of both, and its log-likelihood
-ratio stays near 0.
+continuation counts, plus ``SHARED`` counts for every word; bigrams get the pooled discounted mass
+``rest`` of their context and ``SHARED`` counts too. What was seen too rarely to tell the classes
+apart therefore gets the same share of both, and its log-likelihood ratio stays near 0; an unseen
+bigram has its word's ratio.
 
 Texts are compared by a length-normalised log-likelihood ratio. It is the mean per word over the
 text's most telling span, its two most toxic words, not over the whole text: a few insults make a
@@ -19,8 +23,8 @@ text toxic however long it is, and a mean over all words would let length dilute
 logistic curve, fitted on labelled rows that were not counted, turns it into the score.
 
 Fitting uses a bounded sample of labelled rows by smallest hash of the id: up to ``MAX_ROWS`` per
-class are counted, equally many of each, and up to ``MAX_ROWS`` per class of the others calibrate
-the curve, weighed back to the true shares. The ids are broadcast, at most 4 * ``MAX_ROWS``. Words live in hashed tables of fixed size (``WORD_BITS``,
+class are counted, equally many of each, and
+up to ``MAX_ROWS`` per class of the others calibrate the curve, weighed back to the true shares. The ids are broadcast, at most 4 * ``MAX_ROWS``. Words live in hashed tables of fixed size (``WORD_BITS``,
 ``PAIR_BITS``, ``CONTEXT_BITS``: 48 MB in all), which bounds the broadcast model whatever the
 sample holds. Counting is a Spark aggregate over (previous word, word) pairs.
 
@@ -45,9 +49,9 @@ MAX_ROWS = 20_000
 CALIBRATE_EVERY = 4
 DISCOUNT = 0.75
 SHARED = 4.0
-PAIR_MIN = 64
 WORD_BITS, PAIR_BITS, CONTEXT_BITS = 21, 21, 20
 THRESHOLD = 0.7
+PARTS = 1 << 20
 START = np.uint64(1)                       # the word before the first
 
 
@@ -128,32 +132,48 @@ def fit_counts(docs: DataFrame, sample: DataFrame) -> dict[str, np.ndarray]:
     pairs = _sampled(docs, sample).mapInArrow(_count, "v long, w long, n0 long, n1 long")
     pairs = written(pairs.groupBy("v", "w").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")), "toxic-pairs")
     slot = lambda c, bits: F.shiftrightunsigned(c, 64 - bits).alias("slot")
+    mass = pairs.agg(*(F.coalesce(F.sum(f"n{c}"), F.lit(0)).alias(f"n{c}") for c in (0, 1))).first()
+    part = [max(1, min(mass)) / max(1, m) for m in mass]          # the smaller class, as a share of this one
     seen = [F.sum((F.col(f"n{c}") > 0).cast("long")).alias(f"k{c}") for c in (0, 1)]
+    # whole parts, so that the sums don't depend on their order
+    seen += [F.sum(F.round((1 - F.pow(F.lit(1 - part[c]), F.col(f"n{c}"))) * PARTS).cast("long")).alias(f"e{c}") for c in (0, 1)]
     uses = [F.sum(f"n{c}").alias(f"c{c}") for c in (0, 1)]
-    k = _table(pairs.groupBy(slot("w", WORD_BITS)).agg(*seen), WORD_BITS, ["k0", "k1"])
-    ctx = _table(pairs.groupBy(slot("v", CONTEXT_BITS)).agg(*uses), CONTEXT_BITS, ["c0", "c1"])
-    often = pairs.filter(F.col("n0") + F.col("n1") >= PAIR_MIN)
-    kept = [F.sum(F.greatest(F.col(f"n{c}") - DISCOUNT, F.lit(0.0))).alias(f"c{c}") for c in (0, 1)]
-    ctx += _table(often.groupBy(slot("v", CONTEXT_BITS)).agg(*kept), CONTEXT_BITS, ["c0", "c1"])
+    k = _table(pairs.groupBy(slot("w", WORD_BITS)).agg(*seen), WORD_BITS, ["k0", "k1", "e0", "e1"])
+    k, even = k[:2], [x / PARTS for x in k[2:]]
+    kept = [F.sum(F.greatest(F.col(f"n{c}") - DISCOUNT, F.lit(0.0))).alias(f"m{c}") for c in (0, 1)]
+    ctx = _table(pairs.groupBy(slot("v", CONTEXT_BITS)).agg(*uses, *kept), CONTEXT_BITS, ["c0", "c1", "m0", "m1"])
+
+    used, held = ([x * np.float32(part[c]) for c, x in enumerate(t)] for t in (ctx[:2], ctx[2:]))
+    least = np.minimum(used[0], used[1])
+    level = [(least + SHARED) / (x + SHARED) for x in used]
+    given = docs.sparkSession.sparkContext.broadcast(level)   # fixed size
 
     def to_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             v, w = (b.column(c).to_numpy().view(np.uint64) for c in ("v", "w"))
-            yield pa.record_batch({"slot": _slots(v, w)[1], "n0": b.column("n0"), "n1": b.column("n1")})
+            _, pair, at = _slots(v, w)
+            m = [np.maximum(b.column(f"n{c}").to_numpy() - DISCOUNT, 0) * part[c] * given.value[c][at] for c in (0, 1)]
+            yield pa.record_batch({"slot": pair, **{f"m{c}": np.rint(x * PARTS).astype(np.int64) for c, x in enumerate(m)}})
 
-    big = _table(often.mapInArrow(to_slots, "slot long, n0 long, n1 long").groupBy("slot").agg(*kept), PAIR_BITS, ["c0", "c1"])
-    pooled = k[0] + k[1]
-    types = [max(1, int((x > 0).sum())) for x in k]
+    # each pair is brought to its own context's size before it meets others in a slot
+    big = _table(pairs.mapInArrow(to_slots, "slot long, m0 long, m1 long").groupBy("slot")
+                 .agg(F.sum("m0").alias("m0"), F.sum("m1").alias("m1")), PAIR_BITS, ["m0", "m1"])
+    given.unpersist()
+    pooled = even[0] + even[1]
+    types = [max(1.0, float(np.minimum(x, 1).sum())) for x in even]
     share = np.maximum(pooled - DISCOUNT, 0) + DISCOUNT * (pooled > 0).sum() / len(pooled)
     shared = DISCOUNT * sum(types) / 2 * share / max(1.0, float(share.sum())) + SHARED
-    scale = max(1.0, float(k[1].sum()))
+    scale = max(1.0, float(even[1].sum()))
     model = {}
     for c in (0, 1):
-        p = np.maximum(k[c] - DISCOUNT, 0) / max(1.0, float(k[c].sum())) * scale + shared
+        left = np.maximum(k[c] - DISCOUNT, 0) * even[c] / np.maximum(k[c], 1)
+        p = left / max(1.0, float(even[c].sum())) * scale + shared
         model[f"p{c}"] = (p / p.sum(dtype=np.float64)).astype(np.float32)
-        model[f"pair{c}"] = big[c]
-        model[f"total{c}"] = np.maximum(ctx[c], 1)
-    model["rest"] = np.clip(1 - (ctx[2] + ctx[3]) / np.maximum(ctx[0] + ctx[1], 1), 0.01, 1).astype(np.float32)
+        model[f"pair{c}"] = big[c] / np.float32(PARTS)
+    mean = (model["p0"] + model["p1"]) / 2
+    model["rest"] = (used[0] + used[1] - held[0] - held[1]) / 2
+    norm = [held[c] * level[c] + model["rest"] + SHARED * float((model[f"p{c}"] / mean).sum(dtype=np.float64)) for c in (0, 1)]
+    model["norm"] = np.log(norm[0] / norm[1]).astype(np.float32)
     return model
 
 
@@ -166,9 +186,11 @@ def ratios(texts: list[bytes | None], model: dict[str, np.ndarray]) -> np.ndarra
 def _ratios(texts: list[bytes | None], model: dict[str, np.ndarray]) -> np.ndarray:
     v, w, at = _pairs(texts)
     word, pair, ctx = _slots(v, w)
-    rest = model["rest"][ctx]
-    toxic, plain = (model[f"pair{c}"][pair] / model[f"total{c}"][ctx] + rest * model[f"p{c}"][word] for c in (1, 0))
-    ratio = np.log(toxic / plain).astype(np.float64)
+    plain, toxic = (model[f"p{c}"][word] for c in (0, 1))
+    mean = (plain + toxic) / 2
+    shared = (SHARED + model["rest"][ctx] * mean) / mean
+    toxic, plain = (model[f"pair{c}"][pair] + shared * p for c, p in ((1, toxic), (0, plain)))
+    ratio = (np.log(toxic / plain) + model["norm"][ctx]).astype(np.float64)
     n = np.diff(at)
     some = np.flatnonzero(n > 0)
     out = np.zeros(len(texts))

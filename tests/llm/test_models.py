@@ -210,6 +210,22 @@ def test_without_toxic_keeps_rows_and_columns(spark):
     assert len([i for i in ids if i is not None and i % 6]) >= 1245
 
 
+def test_toxic_phrase_of_ordinary_words_in_few_texts(spark):
+    rng = random.Random(12)
+    vocabulary = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(3, 7))) for _ in range(300)] + ["red", "door"]
+    data, sample = [], []
+    for i in range(600):
+        text = rng.choices(vocabulary, k=60)
+        if i % 3 == 0 and i < 120:             # 40 of the 200 toxic texts
+            text[30:30] = ["red", "door"]
+        data.append((i, " ".join(text)))
+        sample.append((i, int(i % 3 == 0), 1.0, 1))
+    model = toxicity.fit_counts(spark.createDataFrame(data, "doc_id long, text string"),
+                                spark.createDataFrame(sample, "id long, toxic int, weight double, part int"))
+    phrase, turned = toxicity.ratios([b"so red door", b"so door red"], model)
+    assert phrase > turned + 0.5
+
+
 # ---- decontamination ----------------------------------------------------------------------------
 
 def test_lcs_length():
