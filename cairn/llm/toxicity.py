@@ -23,7 +23,7 @@ text toxic however long it is, and a mean over all words would let length dilute
 logistic curve, fitted on labelled rows that were not counted, turns it into the score.
 
 Fitting uses a bounded sample of labelled rows by smallest hash of the id: up to ``MAX_ROWS`` per
-class are counted, equally many of each, and
+class are counted, however many the other class has (each class is normalised by its own mass), and
 up to ``MAX_ROWS`` per class of the others calibrate the curve, weighed back to the true shares. The ids are broadcast, at most 4 * ``MAX_ROWS``. Words live in hashed tables of fixed size (``WORD_BITS``,
 ``PAIR_BITS``, ``CONTEXT_BITS``: 48 MB in all), which bounds the broadcast model whatever the
 sample holds. Counting is a Spark aggregate over (previous word, word) pairs.
@@ -76,12 +76,11 @@ def labelled(labels: DataFrame, allowed: Column, max_rows: int = MAX_ROWS) -> Da
             .groupBy(F.col("doc_id").alias("id")).agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic")))
     rows = written(rows.withColumn("part", F.pmod(F.xxhash64("id", F.lit(7)), F.lit(CALIBRATE_EVERY)).cast("int")), "toxic-labels")
     n = {(r["toxic"], r["curve"]): r["count"] for r in rows.groupBy("toxic", (F.col("part") == 0).alias("curve")).count().collect()}
-    balanced = min(max_rows, n.get((0, False), 0), n.get((1, False), 0))
     picks = []
     for toxic in (0, 1):
         for curve in (False, True):
             have = n.get((toxic, curve), 0)
-            take = min(max_rows, have) if curve else balanced
+            take = min(max_rows, have)
             picks.append(rows.filter((F.col("toxic") == toxic) & ((F.col("part") == 0) == curve))
                          .orderBy(F.xxhash64("id"), "id").limit(take)
                          .withColumn("weight", F.lit(float(have) / max(1, take))))

@@ -210,6 +210,16 @@ def test_without_toxic_keeps_rows_and_columns(spark):
     assert len([i for i in ids if i is not None and i % 6]) >= 1245
 
 
+def test_toxicity_counts_all_ordinary_rows_below_the_bound(spark):
+    _, labels = labelled_corpus(spark)
+    sample = toxicity.labelled(labels, F.lit(True), 500).groupBy("toxic", (F.col("part") > 0).alias("counted")).count().collect()
+    rows = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").withColumn(
+        "counted", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(toxicity.CALIBRATE_EVERY)) > 0)
+    have = {(r.toxic, r.counted): r["count"] for r in rows.groupBy("toxic", "counted").count().collect()}
+    assert {(r.toxic, r.counted): r["count"] for r in sample} == {k: min(500, n) for k, n in have.items()}
+    assert have[0, True] > 500 > have[1, True]
+
+
 def test_toxic_phrase_of_ordinary_words_in_few_texts(spark):
     rng = random.Random(12)
     vocabulary = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(3, 7))) for _ in range(300)] + ["red", "door"]
