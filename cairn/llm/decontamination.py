@@ -21,7 +21,8 @@ collected but the table of frequencies, whose size is fixed.
 
 Defined results: null or empty texts and items match nothing; an empty benchmark or document table
 gives no pairs. Repeated rows give one pair per (doc_id, item_id), the best. Items with no word
-outside the stop words are compared with all their words. Other columns are ignored, and kept by
+outside the stop words, or too few for ``MIN_COSINE`` in a window of rare words, are compared with all
+their words at equal weights, in blocks of their own where a window's other words weigh nothing. Other columns are ignored, and kept by
 ``without_leaks``.
 """
 
@@ -89,11 +90,14 @@ def _passages(items: list[tuple[int, bytes, bytes | None]], idf: np.ndarray) ->
             h, _ = hashed_words([b" ".join(part)])
             slot = (h >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
             weight = idf[slot]
-            if not weight.any():
+            # what a paraphrase keeps might not reach MIN_COSINE of a window of the rarest words
+            flat = PARAPHRASE * np.sqrt(np.sum(weight ** 2)) < MIN_COSINE * np.sqrt(WINDOW) * idf.max()
+            if flat:
                 weight = np.ones(len(slot), np.float32)
             own, place = np.unique(slot, return_inverse=True)
             vector = np.bincount(place, weight).astype(np.float32)
-            out.append({"item": item, "words": part, "answer": told, "slots": own, "vector": vector / np.linalg.norm(vector)})
+            out.append({"item": item, "words": part, "answer": told, "told": bool(answer), "flat": flat, "slots": own,
+                        "vector": vector / np.linalg.norm(vector)})
     return out
 
 
@@ -150,6 +154,9 @@ def lcs_length(a: list[bytes], b: list[bytes]) -> int:
 
 
 def _checked(passage: dict, region: list[bytes]) -> tuple[float, bool] | None:
+    there = set(region)
+    if sum(w in there for w in passage["words"]) < PARAPHRASE * len(passage["words"]):
+        return None                            # the LCS can't be longer
     share = lcs_length(passage["words"], region) / len(passage["words"])
     if share < PARAPHRASE:
         return None
@@ -223,16 +230,18 @@ def _blocks(docs: DataFrame, benchmark: DataFrame, rank: int) -> Iterator[dict]:
     for part in range(parts):
         rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).toArrow().to_pylist()
         passages = _passages([(r["item_id"], r["text"], r["answer"]) for r in rows], idf)
-        for lo in range(0, len(passages), BLOCK_PASSAGES):
-            some = passages[lo:lo + BLOCK_PASSAGES]
-            slots, basis, at = _latent(spark, some, rank)
-            where = np.full(1 << SLOT_BITS, -1, np.int32)
-            where[slots] = np.arange(len(slots))
-            weight = idf.copy()
-            bare = slots[weight[slots] == 0]
-            used = np.unique(np.concatenate([p["slots"][p["vector"] > 0] for p in some]))
-            weight[np.intersect1d(bare, used)] = 1.0
-            yield {"idf": weight, "where": where, "basis": basis, "at": at, "passages": some}
+        for flat in (False, True):
+            mine = [p for p in passages if p["flat"] == flat]
+            for lo in range(0, len(mine), BLOCK_PASSAGES):
+                some = mine[lo:lo + BLOCK_PASSAGES]
+                slots, basis, at = _latent(spark, some, rank)
+                where = np.full(1 << SLOT_BITS, -1, np.int32)
+                where[slots] = np.arange(len(slots))
+                weight = idf
+                if flat:                       # their own words count 1, all others of a window nothing
+                    weight = np.zeros_like(idf)
+                    weight[slots] = 1.0
+                yield {"idf": weight, "where": where, "basis": basis, "at": at, "passages": some}
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> DataFrame:

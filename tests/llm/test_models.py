@@ -278,6 +278,21 @@ def test_leaks_found_and_clean_documents_left(spark):
     assert {r.doc_id for r in kept.collect()} == {d for d, *_ in data} - {d for d, _ in got}
 
 
+def test_short_item_in_a_third_of_the_documents(spark):
+    rng = random.Random(13)
+    item = [f"hot{k}" for k in range(9)]
+    data, want = [], set()
+    for d in range(900):
+        text = [f"rare{rng.randrange(10**6)}" for _ in range(150)]
+        if d % 3 == 0:
+            text[60:60] = [f"other{d}" if k in (2, 5) and d % 2 else w for k, w in enumerate(item)]
+            want.add(d)
+        data.append((d, " ".join(text)))
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    out = decontamination.leaks(docs, spark.createDataFrame([(1, " ".join(item))], "item_id long, text string"))
+    assert {r.doc_id for r in out.collect()} == want
+
+
 def test_randomised_svd_keeps_inner_products(spark):
     rng = np.random.default_rng(8)
     passages = []
