@@ -11,8 +11,9 @@
    ``MIN_COSINE`` of its norm cannot reach it, so skipping it loses nothing.
 4. A candidate is checked on the words themselves: the longest common subsequence (LCS) of the
    passage and the window with its neighbourhood must cover ``VERBATIM`` of the passage; or, for
-   paraphrases, ``PARAPHRASE`` of it, and the answer must occur there too (its own LCS, covered to
-   ``VERBATIM``). The answer is column ``answer``, or else the item's last ``ANSWER_WORDS`` words.
+   paraphrases, ``PARAPHRASE`` of it, and if the item has one, the answer (column ``answer``) must
+   occur there too (its own LCS, covered to ``VERBATIM``). Items without answer are accepted on the
+   LCS alone; for them the result's ``answer`` tells whether the last ``ANSWER_WORDS`` words occur.
 
 Sent to the tasks per block: the IDF table (2**``SLOT_BITS`` floats) and a basis of at most
 ``RANK`` columns over the block's words, at most ``BLOCK_PASSAGES * WINDOW`` rows. A benchmark of
@@ -161,7 +162,7 @@ def _checked(passage: dict, region: list[bytes]) -> tuple[float, bool] | None:
     if share < PARAPHRASE:
         return None
     answer = lcs_length(passage["answer"], region) >= VERBATIM * len(passage["answer"])
-    return (share, answer) if share >= VERBATIM or answer else None
+    return (share, answer) if share >= VERBATIM or answer or not passage["told"] else None
 
 
 def _search(texts: list[bytes | None], block: dict) -> list[tuple[int, int, float, float, bool]]:

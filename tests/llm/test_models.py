@@ -293,6 +293,25 @@ def test_short_item_in_a_third_of_the_documents(spark):
     assert {r.doc_id for r in out.collect()} == want
 
 
+def test_paraphrases_with_any_words_replaced_against_brute_force(spark):
+    rng = random.Random(14)
+    vocabulary = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(3, 9))) for _ in range(3000)]
+    items = [rng.choices(vocabulary, k=rng.randint(15, 32)) for _ in range(20)]
+    data = []
+    for d in range(120):
+        text, item = rng.choices(vocabulary, k=rng.randint(0, 60)), list(items[d % 20])
+        for k in rng.sample(range(len(item)), int(len(item) * rng.choice([.22, .3, .38, .6]))):
+            item[k] = "x" + rng.choice(vocabulary)
+        text[len(text) // 2:len(text) // 2] = item
+        data.append((d, " ".join(text)))
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string")
+    want = {(d, i) for d, text in data for i, t in enumerate(items)
+            if decontamination.lcs_length([w.encode() for w in t], text.encode().split()) >= 0.6 * len(t)}
+    assert len(want) > 60
+    assert {(r.doc_id, r.item_id) for r in decontamination.leaks(docs, bench).collect()} == want
+
+
 def test_randomised_svd_keeps_inner_products(spark):
     rng = np.random.default_rng(8)
     passages = []
