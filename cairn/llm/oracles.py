@@ -29,7 +29,7 @@ WITH l AS (
          unnest(string_split(coalesce(text, ''), chr(10))) AS line
   FROM documents),
 k AS (
-  SELECT *, translate(regexp_replace(regexp_replace(line, '^[\\x20\\x09-\\x0D]+', ''), '[\\x20\\x09-\\x0D]+$', ''),
+  SELECT *, translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''),
                       '{UPPER}', '{LOWER}') AS key
   FROM l),
 c AS (
@@ -100,10 +100,71 @@ SELECT conv_id, count(*) AS n_turns,
        sum(chars)::BIGINT AS formatted_chars
 FROM w GROUP BY conv_id"""
 
+# crc32 bit by bit; a path is the list of its turns' numbers, compared whole.
+TRIE = r"""
+WITH RECURSIVE t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role COLLATE "C" NULLS FIRST, text COLLATE "C" NULLS FIRST) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+o AS (
+  SELECT conv_id, list(k ORDER BY pos) AS own
+  FROM (SELECT conv_id, pos, dense_rank() OVER (ORDER BY role COLLATE "C", text COLLATE "C") AS k FROM t) GROUP BY conv_id),
+h AS (
+  SELECT conv_id, own,
+         (xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(range(1, length(conv_id::VARCHAR) + 1),
+           lambda i: ascii(substr(conv_id::VARCHAR, i, 1))::BIGINT)),
+           lambda c, b: list_reduce(list_concat([xor(c, b)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+             lambda x, y: xor(x >> 1, 3988292384 * (x & 1))))) % 4)::INTEGER AS n_head
+  FROM o),
+r AS (
+  SELECT h.conv_id, list_concat(list_slice(coalesce(b.own, []), 1, h.n_head), list_slice(h.own, h.n_head + 1, length(h.own))) AS path
+  FROM h LEFT JOIN o b ON b.conv_id = h.conv_id - h.conv_id % 20),
+w AS (
+  SELECT k, any_value(words) AS words
+  FROM (SELECT dense_rank() OVER (ORDER BY role COLLATE "C", text COLLATE "C") AS k,
+               len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words FROM t) GROUP BY k),
+m AS (SELECT conv_id, path, d AS depth, list_slice(path, 1, d) AS node FROM r, unnest(range(0, length(path) + 1)) u(d)),
+n AS (
+  SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (length(path) = depth), '')) AS ends_sha256
+  FROM m GROUP BY node, depth),
+v AS (
+  SELECT n.*, coalesce((n_convs - 1) * words, 0) AS saved,
+         (SELECT count(*) FROM n c WHERE c.depth = n.depth + 1 AND list_slice(c.node, 1, n.depth) = n.node) AS n_children
+  FROM n LEFT JOIN w ON w.k = n.node[n.depth]),
+s AS (
+  SELECT list_slice(node, 1, d) AS node, sum((n_children = 0)::INTEGER)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+  FROM v, unnest(range(0, depth + 1)) u(d) GROUP BY ALL)
+SELECT v.conv_id, v.depth, p.conv_id AS parent_conv_id, v.n_convs, v.n_children, s.n_leaves, s.saved_tokens, v.ends_sha256
+FROM v JOIN s ON s.node = v.node LEFT JOIN n p ON p.depth = v.depth - 1 AND p.node = list_slice(v.node, 1, v.depth - 1)"""
+
+FILL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h,
+         regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u FROM documents),
+n AS (
+  SELECT doc_id, text, u, length(u) AS n, ('0x' || substr(h, 1, 8))::BIGINT % (length(u) + 1) AS a,
+         ('0x' || substr(h, 9, 8))::BIGINT % (length(u) + 1) AS b, ('0x' || substr(h, 17, 8))::BIGINT % 100 AS c,
+         ('0x' || substr(h, 25, 8))::BIGINT % 100 AS e FROM d),
+f AS (
+  SELECT doc_id, text, n, CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR c >= 50
+                               THEN 'plain' WHEN e < 80 THEN 'spm' ELSE 'psm' END AS form,
+         array_to_string(list_slice(u, 1, least(a, b)), '') AS pre,
+         array_to_string(list_slice(u, least(a, b) + 1, greatest(a, b)), '') AS mid,
+         array_to_string(list_slice(u, greatest(a, b) + 1, n), '') AS suf FROM n)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                        ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM f"""
+
 ORACLES = {
     "op1_extendible_sharding": shard_sql(64 << 20),
     "op2_line_dedup": LINES,
     "op4_source_mixing": MIXING,
     "op8_exact_dedup": EXACT,
     "op9_chat_format": CHAT,
+    "op11_prefix_trie": TRIE,
+    "op13_fill_in_middle": FILL,
 }

@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, context_mixing, decontamination, exact_dedup, line_dedup, mixing, sharding, simhash, token_counts, toxicity
+from . import (chat, context_mixing, decontamination, exact_dedup, fill_middle, line_dedup, mixing, packing, prefix_trie,
+               sharding, simhash, token_counts, toxicity)
 from .tables import read
 
 
@@ -68,6 +69,19 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(read(spark, sf_dir, "conversations")).drop("turn_id", "words")
+
+
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digests(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_extendible_sharding, op2_line_dedup, op3_token_counts, op4_source_mixing,
-    op5_context_mixing, op6_decontamination, op7_simhash, op8_exact_dedup, op9_chat_format, op10_toxicity)}
+    op5_context_mixing, op6_decontamination, op7_simhash, op8_exact_dedup, op9_chat_format, op10_toxicity,
+    op11_prefix_trie, op12_best_fit_packing, op13_fill_in_middle)}
