@@ -6,7 +6,7 @@ and ``with_inputs`` prepends their definitions.
 
 from __future__ import annotations
 
-from cairn.sources.testdata import REFERRER_BY_K
+from cairn.sources.testdata import RANGE_LENGTHS, REFERRER_BY_K
 
 _REF_CASE = "CASE " + " ".join(
     f"WHEN (k % 7) = {i} THEN '{u}'" for i, u in enumerate(REFERRER_BY_K)) + " END"
@@ -64,6 +64,16 @@ SELECT c.c_custkey AS user_id,
        CAST(json_object('country', n.n_name, 'state', r.r_name, 'city', c.c_mktsegment) AS VARCHAR) AS geodata
 FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
 WHERE c.c_acctbal >= 0""",
+    "ip_events": """
+SELECT event_id, ts AS event_time,
+       CASE WHEN k % 31 = 0 THEN 'unknown' WHEN k % 37 <> 1 THEN concat_ws('.', 10, user_id % 256, user_id % 7, k + 1) END AS ip
+FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events) e""",
+    "ip_ranges": f"""
+SELECT concat_ws('.', 10, c_custkey % 200, c_custkey % 7, c_custkey % 100 + 1) AS address,
+       CAST({list(RANGE_LENGTHS)}[c_custkey % {len(RANGE_LENGTHS)} + 1] AS INTEGER) AS bits,
+       CAST(json_object('country', n_name, 'state', r_name, 'city', c_mktsegment) AS VARCHAR) AS geodata
+FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+WHERE c_acctbal >= 0""",
     "devices": """
 SELECT c.c_custkey AS device_id, n.n_name AS browser_type, r.r_name AS os_type, c.c_mktsegment AS device_type
 FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey""",

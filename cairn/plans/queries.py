@@ -18,6 +18,7 @@ from cairn.operators import cumulative as cu
 from cairn.operators import events as ev
 from cairn.operators import experiments as ex
 from cairn.operators import facts as fa
+from cairn.operators import geo
 from cairn.operators import graph as gr
 from cairn.operators import matches as mt
 from cairn.operators import patterns as pt
@@ -583,6 +584,25 @@ def stream_geo_enrich(spark, sf_dir):
                           "referrer", "host", "url", "geodata")
 
 
+@query
+def geo_by_ip(spark, sf_dir):
+    """Each event's location by the longest range that holds its address."""
+    out = geo.locate(td.ip_events(spark, sf_dir), td.ip_ranges(spark, sf_dir))
+    return out.select("event_id", "ip", "geodata", "prefix_length")
+
+
+@query
+def stream_geo_by_ip(spark, sf_dir):
+    """The same over a stream: every micro-batch is located and written as a whole."""
+    events = td.ip_events_from(ssrc.file_stream(spark, sf_dir, "events"))
+    ranges, out = td.ip_ranges(spark, sf_dir), scratch_path(spark, "stream-out")
+    sink = ssk.parquet_batch_writer(out)
+    ssk.run_available_now(events, lambda batch, n: sink(geo.locate(written(batch, "ip-batch"), ranges), n),
+                          scratch_path(spark, "stream-ckpt"))
+    schema = geo.locate(spark.createDataFrame([], events.schema), ranges).schema
+    return ssk.read_batches(spark, out, schema).select("event_id", "ip", "geodata", "prefix_length")
+
+
 def _sessions(spark, sf_dir):
     """Batch sessions through the range-partitioned operator (a hot (ip, host) spans tasks);
     equal to grouping by ``session_window`` (tested)."""

@@ -182,6 +182,36 @@ def geo_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        F.col("c_mktsegment").alias("city"))).alias("geodata"))
 
 
+def ip_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """event_id, ip, event_time: a fuller spread of addresses than ``web_events`` (whose mapping is fixed)."""
+    return ip_events_from(table(spark, sf_dir, "events"))
+
+
+def ip_events_from(e: DataFrame) -> DataFrame:
+    """The address projection of ``events``, batch or stream: some rows have no address, some no valid one."""
+    k = F.get_json_object("props", "$.k").cast("bigint")
+    octets = [F.lit("10"), (F.col("user_id") % 256).cast("string"), (F.col("user_id") % 7).cast("string"), (k + 1).cast("string")]
+    ip = F.when(k % 31 == 0, F.lit("unknown")).when(k % 37 != 1, F.concat_ws(".", *octets))
+    return e.select("event_id", ip.alias("ip"), F.col("ts").alias("event_time"))
+
+
+# Prefix lengths of the address ranges, dealt by customer number.
+RANGE_LENGTHS = (14, 16, 20, 24, 32)
+
+
+def ip_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """cidr -> geodata JSON: overlapping ranges of several lengths, one per customer with a balance."""
+    c = table(spark, sf_dir, "customer").where(F.col("c_acctbal") >= 0)
+    j = (c.join(_nation(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"))
+         .join(_region(spark, sf_dir), F.col("n_regionkey") == F.col("r_regionkey")))
+    key = F.col("c_custkey")
+    octets = [F.lit("10"), *(x.cast("string") for x in (key % 200, key % 7, key % 100 + 1))]
+    length = F.element_at(F.array(*map(F.lit, RANGE_LENGTHS)), (key % len(RANGE_LENGTHS) + 1).cast("int"))
+    return j.select(F.concat(F.concat_ws(".", *octets), F.lit("/"), length.cast("string")).alias("cidr"),
+                    F.to_json(F.struct(F.col("n_name").alias("country"), F.col("r_name").alias("state"),
+                                       F.col("c_mktsegment").alias("city"))).alias("geodata"))
+
+
 def devices(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     n = _nation(spark, sf_dir)
