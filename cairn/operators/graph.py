@@ -65,29 +65,54 @@ def plays_on_edges(details: DataFrame) -> DataFrame:
                       .alias("properties"))
 
 
-PAIR_SPREAD = 4
+PAIR_BLOCK = 2048
 
 
-def player_pair_stats(details: DataFrame, spread: int = PAIR_SPREAD) -> DataFrame:
-    """(subject, object, edge_type) pair statistics over shared games.
+def pair_cells(side: DataFrame, block: int = PAIR_BLOCK) -> tuple[DataFrame, DataFrame]:
+    """The two sides of a pair join inside games, cut so that no task meets more than about
+    ``block`` x ``block`` pairs: ``side`` with ``i`` and ``j``, to be joined on (game_id, i, j).
+
+    Group sizes are measured once, and only games of more than ``block`` players are kept, a small
+    written table that the planner broadcasts by its measured size. Such a game's players are dealt
+    to ceil(m / block) blocks by a hash, and each block meets each other in a cell of its own; all
+    other games are one cell, and none of their rows is repeated.
+    """
+    large = written(side.groupBy("game_id").agg(F.count(F.lit(1)).alias("_m")).where(F.col("_m") > block)
+                    .select("game_id", F.ceil(F.col("_m") / block).cast("int").alias("_parts")), "large-games")
+    parts = F.coalesce("_parts", F.lit(1))
+    cut = side.join(large, "game_id", "left").withColumn("_b", F.pmod(F.xxhash64("player_id"), parts).cast("int"))
+    low = cut.select(*side.columns, F.col("_b").alias("i"), F.explode(F.sequence(F.col("_b"), parts - 1)).alias("j"))
+    high = cut.select(*side.columns, F.explode(F.sequence(F.lit(0), F.col("_b"))).alias("i"), F.col("_b").alias("j"))
+    return low, high
+
+
+def player_pair_stats(details: DataFrame, block: int = PAIR_BLOCK) -> DataFrame:
+    """(subject, object, edge_type) pair statistics over shared games; the subject has the greater id.
 
     The output is by definition one row per co-occurring pair, so pairs of one game are the
-    operator itself. Every game's pairs are made by ``spread`` tasks: its subject side is split by
-    a hash of the player id, its object side repeated for each part, and each pair is made exactly
-    once. The input is written once and read by both sides. Two players are told apart by their
-    id alone, so players of one name make pairs too.
+    operator itself; large games are joined block by block (``pair_cells``), each pair once. The
+    input is written once and read by both sides. Two players are told apart by their id alone, so
+    players of one name make pairs too.
     """
     side = written(details.select("game_id", "player_id", "player_name", "team_abbreviation", "pts"), "pair-input")
-    a = side.withColumn("_salt", F.pmod(F.hash("player_id"), F.lit(spread))).alias("a")
-    b = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))).alias("b")
-    j = a.join(b, (F.col("a.game_id") == F.col("b.game_id")) & (F.col("a._salt") == F.col("b._salt"))
-               & (F.col("a.player_id") > F.col("b.player_id")))
+    low, high = pair_cells(side, block)
+    a, b = low.alias("a"), high.alias("b")
+    later = F.col("a.player_id") > F.col("b.player_id")
+    j = a.join(b, (F.col("a.game_id") == F.col("b.game_id")) & (F.col("a.i") == F.col("b.i")) & (F.col("a.j") == F.col("b.j"))
+               & (later | ((F.col("a.i") < F.col("a.j")) & (F.col("a.player_id") < F.col("b.player_id")))))
     et = F.when(F.col("a.team_abbreviation") == F.col("b.team_abbreviation"), "shares_team").otherwise("plays_against")
-    return (j.groupBy(F.col("a.player_id").alias("subject_player_id"), F.col("b.player_id").alias("object_player_id"),
-                      et.alias("edge_type"))
-            .agg(F.max("a.player_name").alias("subject_player_name"), F.max("b.player_name").alias("object_player_name"),
-                 F.count(F.lit(1)).alias("num_games"), F.sum("a.pts").cast("bigint").alias("subject_points"),
-                 F.sum("b.pts").cast("bigint").alias("object_points")))
+
+    def sided(name: str, greater: bool):
+        first, second = (F.col(f"{s}.{name}") for s in ("ab" if greater else "ba"))
+        return F.when(later, first).otherwise(second)
+
+    pairs = j.select(sided("player_id", True).alias("subject_player_id"), sided("player_id", False).alias("object_player_id"),
+                     et.alias("edge_type"), sided("player_name", True).alias("_sn"), sided("player_name", False).alias("_on"),
+                     sided("pts", True).alias("_sp"), sided("pts", False).alias("_op"))
+    return (pairs.groupBy("subject_player_id", "object_player_id", "edge_type")
+            .agg(F.max("_sn").alias("subject_player_name"), F.max("_on").alias("object_player_name"),
+                 F.count(F.lit(1)).alias("num_games"), F.sum("_sp").cast("bigint").alias("subject_points"),
+                 F.sum("_op").cast("bigint").alias("object_points")))
 
 
 def player_player_edges(details: DataFrame) -> DataFrame:

@@ -25,8 +25,10 @@ from cairn.operators import patterns as pt
 from cairn.operators import quality as qa
 from cairn.operators import scd
 from cairn.operators import sequence as sq
+from cairn.operators import uniques as un
 from cairn.plans.render import join_structs, join_values
 from cairn.session import scratch_path, written
+from cairn.sinks.keyed import KeyedTable
 from cairn.sources import testdata as td
 from cairn.streaming import enrich as sen
 from cairn.streaming import sinks as ssk
@@ -52,6 +54,7 @@ P = {
     "as_of_day": "2024-01-30",
     "growth_day": "2024-01-10",
     "devices_day": "2024-01-15",
+    "upsert_day": "2024-01-15",
     "traffic_min_total": 200,
     "funnel_target": "/purchase",
     "funnel_min_count": 100,
@@ -519,6 +522,54 @@ def layout_size_report(spark, sf_dir):
     return mt.layout_order_report(spark, root, order)
 
 
+# ------------------------------------------------------------ keyed tables ---
+
+@query
+def upsert_by_key(spark, sf_dir):
+    """Totals per user, created before a day and merged with two days' users; the first merge comes
+    twice, as after a lost acknowledgement."""
+    e = td.web_events(spark, sf_dir).where(F.col("user_id").isNotNull())
+    day = _dt.date.fromisoformat(P["upsert_day"])
+
+    def totals(until: _dt.date) -> DataFrame:
+        return (e.where(F.col("event_time") < F.lit(until.isoformat()).cast("timestamp_ntz")).groupBy("user_id")
+                .agg(F.count(F.lit(1)).alias("hits"), F.max("event_time").alias("last_seen"),
+                     F.max_by("url", F.struct("event_time", "url")).alias("last_url")))
+
+    def changed(on: _dt.date) -> DataFrame:
+        active = e.where(day_range("event_time", on.isoformat())).select("user_id")
+        return totals(on + _dt.timedelta(days=1)).join(active, "user_id", "left_semi")
+
+    table = KeyedTable(spark, scratch_path(spark, "keyed"), ("user_id",))
+    table.create(totals(day))
+    for on, again in ((day, 2), (day + _dt.timedelta(days=1), 1)):
+        for _ in range(again):
+            table.merge(changed(on), merge_id=on.isoformat())
+    return table.read()
+
+
+# ------------------------------------------------------------ distinct users ---
+
+@query
+def distinct_users_by_span(spark, sf_dir):
+    """Exact distinct users per host and day, week, month and rolling 7 days, from daily bitmaps."""
+    days = written(un.daily_bitmaps(td.web_events(spark, sf_dir), ["host"], "user_id", "event_time"), "daily-bitmaps")
+    return un.distinct_by_span(days, ["host"])
+
+
+@query
+def approx_distinct_users(spark, sf_dir):
+    """Distinct users and devices per host: exact from bitmaps, and whether merged daily sketches agree."""
+    e, out = td.web_events(spark, sf_dir), None
+    for what, col in (("users", "user_id"), ("devices", "device_id")):
+        bits = un.daily_bitmaps(e, ["host"], col, "event_time")
+        sketches = un.daily_sketches(e, ["host"], col, "event_time")
+        exact = un.distinct_in(bits, ["host"], "exact").join(un.estimated_in(sketches, ["host"], "estimate"), "host")
+        r = exact.select("host", F.lit(what).alias("what"), "exact", un.within_bound(F.col("estimate"), F.col("exact")).alias("within_bound"))
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
 # ----------------------------------------------------------- quality/events ---
 
 @query

@@ -38,6 +38,8 @@ def test_scd_backfill_single_shuffle_on_key(spark):
                                   "growth_accounting"])
 def test_no_size_probe_while_planning(spark, name):
     """Building a plan starts no job that counts a join side (streams run their batches)."""
+    for t in td.TABLES:
+        td.table(spark, SF_SMALL, t)                       # footers are read once a session
     group = f"plan-{name}"
     spark.sparkContext.setJobGroup(group, group)
     E.queries()[name](spark, SF_SMALL)
@@ -142,12 +144,32 @@ def test_running_totals_without_exchange_reuse(spark):
         spark.conf.set("spark.sql.exchange.reuse", "true")
 
 
-def test_pair_stats_salting_is_exact(spark):
+@pytest.mark.parametrize("block", [1, 2, 3])
+def test_pairs_block_by_block_are_exact(spark, block):
     from cairn.operators import facts, graph
     dd = facts.dedupe_game_details(td.game_details(spark, SF_SMALL))
-    plain, salted = graph.player_pair_stats(dd, spread=1), graph.player_pair_stats(dd, spread=5)
+    plain, cut = graph.player_pair_stats(dd), graph.player_pair_stats(dd, block=block)
     assert plain.count() > 0
-    assert plain.exceptAll(salted).count() == 0 and salted.exceptAll(plain).count() == 0
+    assert plain.exceptAll(cut).count() == 0 and cut.exceptAll(plain).count() == 0
+
+
+def test_large_game_is_spread_and_small_games_are_not_repeated(spark):
+    from cairn.operators import graph
+    big = spark.range(20_000).select(F.lit(1).cast("long").alias("game_id"), F.col("id").alias("player_id"))
+    small = spark.range(30_000).select((F.col("id") / 10 + 2).cast("long").alias("game_id"), F.col("id").alias("player_id"))
+    side = big.unionByName(small)
+    low, high = graph.pair_cells(side, 1000)
+    for cells in (low, high):
+        sizes = cells.groupBy("game_id", "i", "j").count()
+        assert sizes.where("game_id = 1").count() == 20 * 21 // 2
+        assert sizes.agg(F.max("count")).first()[0] <= 1200              # 1000 a block, dealt by a hash
+        assert cells.where("game_id <> 1").count() == 30_000
+
+
+def test_pairs_without_players_in_common(spark):
+    from cairn.operators import graph
+    none = spark.createDataFrame([], "game_id long, player_id long, player_name string, team_abbreviation string, pts long")
+    assert graph.player_pair_stats(none).count() == 0
 
 
 def test_players_of_one_name_make_pairs(spark):
