@@ -15,6 +15,17 @@ from cairn.operators.sequence import global_rank
 from cairn.session import written
 
 BUCKETS = 16
+BUCKET_BYTES = 1 << 30
+
+
+def bucket_count(df: DataFrame, bucket_bytes: int = BUCKET_BYTES, least: int = BUCKETS) -> int:
+    """Buckets of about ``bucket_bytes`` for a table, a power of two so that tables of unequal counts
+    can still be joined bucket by bucket. The size is the optimizer's estimate; nothing is run."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    n = least
+    while n * bucket_bytes < size and n < 1 << 17:
+        n *= 2
+    return n
 
 
 def avg_kills_per_player(match_details: DataFrame, matches: DataFrame, k: int = 10) -> DataFrame:
@@ -56,8 +67,7 @@ def write_bucketed(df: DataFrame, table: str, path: str, key: str | None = "matc
     (plain when ``key`` is None), registered in the catalog as ``table``.
 
     Rows are dealt by the bucket key before the write, so a bucket is one file, not one per task.
-    ``buckets`` is a layout parameter: for production take the input's bytes over the size a bucket
-    should have (100 TB at 1 GB: 131,072)."""
+    ``buckets`` is a layout parameter, e.g. ``bucket_count(df)`` (100 TB at 1 GB: 131,072)."""
     if key is not None:
         df = df.repartition(buckets, key)
     w = df.write.mode("overwrite").format("parquet").option("path", path)
@@ -87,6 +97,28 @@ def bucketed_match_join(spark: SparkSession, details_table: str, matches_table:
                     F.col("count").alias("medal_count"))
 
 
+def unequal_bucket_join(spark: SparkSession, left_table: str, right_table: str, key: str) -> DataFrame:
+    """INNER JOIN of two tables bucketed on ``key`` into different numbers of buckets.
+
+    Where the larger number is a multiple of the smaller, Spark reads several buckets of the finer
+    table as one (``spark.sql.bucketing.coalesceBucketsInJoin.enabled``, set by this function, as it
+    is read when the returned frame is planned), and neither side is shuffled. The ratio is bounded
+    by ``...maxBucketRatio``, raised here to the tables' own ratio: tasks are as many as the coarser
+    table has buckets.
+    """
+    counts = sorted(_buckets(spark, t) for t in (left_table, right_table))
+    if counts[1] % counts[0] == 0:
+        spark.conf.set("spark.sql.bucketing.coalesceBucketsInJoin.enabled", "true")
+        ratio = max(counts[1] // counts[0], int(spark.conf.get("spark.sql.bucketing.coalesceBucketsInJoin.maxBucketRatio")))
+        spark.conf.set("spark.sql.bucketing.coalesceBucketsInJoin.maxBucketRatio", str(ratio))
+    return spark.table(left_table).join(spark.table(right_table), key)
+
+
+def _buckets(spark: SparkSession, table: str) -> int:
+    told = spark.sql(f"DESCRIBE EXTENDED {table}").where("col_name = 'Num Buckets'").first()
+    return int(told.data_type)
+
+
 def bucket_filter_avg(spark: SparkSession, table: str, match_id: str, layout: str) -> DataFrame:
     """Mean score of one match id; on a bucketed table the filter prunes to one bucket."""
     t = spark.table(table).where(F.col("match_id") == match_id)
@@ -99,12 +131,13 @@ def bucket_filter_avg(spark: SparkSession, table: str, match_id: str, layout: st
 LAYOUTS = ("ranged", "sorted", "global")
 
 
-def write_layouts(df: DataFrame, root: str, sort_cols: list[str], n: int = 4) -> None:
-    """Write ``df`` in three layouts: dealt by ranges of ``sort_cols``, the same sorted within each
-    file, and globally sorted. Ranges of several columns split a hot value of the first. The input
-    is computed once."""
+def write_layouts(df: DataFrame, root: str, sort_cols: list[str], n: int | None = None) -> None:
+    """Write ``df`` in three layouts: dealt by ``n`` ranges of ``sort_cols`` (the session's shuffle
+    partitions by default, so ranges follow the size the session is set up for), the same sorted
+    within each file, and globally sorted. Ranges of several columns split a hot value of the first.
+    The input is computed once."""
     base = written(df, "layout-input")
-    ranged = base.repartitionByRange(n, *sort_cols)
+    ranged = base.repartitionByRange(n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *sort_cols)
     ranged.write.mode("overwrite").parquet(f"{root}/ranged")
     ranged.sortWithinPartitions(*sort_cols).write.mode("overwrite").parquet(f"{root}/sorted")
     base.orderBy(*sort_cols).write.mode("overwrite").parquet(f"{root}/global")

@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cairn.operators import cumulative as cu
 from cairn.operators import events as ev
@@ -28,8 +29,12 @@ from cairn.operators import sequence as sq
 from cairn.operators import uniques as un
 from cairn.plans.render import join_structs, join_values
 from cairn.session import scratch_path, written
+from cairn.sinks import tables
 from cairn.sinks.keyed import KeyedTable
+from cairn.sources import files
+from cairn.sources import footers as ft
 from cairn.sources import testdata as td
+from cairn.sources.files import path_version
 from cairn.streaming import enrich as sen
 from cairn.streaming import sinks as ssk
 from cairn.streaming import sources as ssrc
@@ -55,6 +60,8 @@ P = {
     "growth_day": "2024-01-10",
     "devices_day": "2024-01-15",
     "upsert_day": "2024-01-15",
+    "order_range": ("1998-06-15", "2000-01-01"),
+    "order_customer": 7,
     "traffic_min_total": 200,
     "funnel_target": "/purchase",
     "funnel_min_count": 100,
@@ -485,15 +492,19 @@ def match_top_medal_map(spark, sf_dir):
                                  td.matches(spark, sf_dir), td.maps(spark, sf_dir), P["medal"])
 
 
-def _tag(sf_dir: str) -> str:
-    return _hashlib.md5(sf_dir.rstrip("/").encode()).hexdigest()[:8]
+def _tag(spark, sf_dir: str) -> str:
+    """Names the state of the input tables, so that a table built from them is not taken for newer input."""
+    state = [sf_dir.rstrip("/"), *(path_version(spark, f"{sf_dir.rstrip('/')}/{t}.parquet") for t in ("orders", "lineitem", "part"))]
+    return _hashlib.md5("".join(state).encode()).hexdigest()[:8]
 
 
-def _bucketed(spark, sf_dir, name: str, rows, key: str | None = "match_id") -> str:
-    """Name of the catalog table for ``rows``, built once per session and input folder."""
-    table = f"cairn_{name}_{'b' + str(mt.BUCKETS) if key else 'plain'}_{_tag(sf_dir)}"
+def _bucketed(spark, sf_dir, name: str, rows, key: str | None = "match_id", buckets: int | None = None) -> str:
+    """Name of the catalog table for ``rows``, built once per session and state of the input."""
+    df = rows(spark, sf_dir)
+    n = buckets or mt.bucket_count(df)
+    table = f"cairn_{name}_{f'b{n}' if key else 'plain'}_{_tag(spark, sf_dir)}"
     if not spark.catalog.tableExists(table):
-        mt.write_bucketed(rows(spark, sf_dir), table, scratch_path(spark, name), key=key)
+        mt.write_bucketed(df, table, scratch_path(spark, name), key=key, buckets=n)
     return table
 
 
@@ -504,6 +515,16 @@ def match_joined(spark, sf_dir):
     return mt.bucketed_match_join(spark, *names, td.maps(spark, sf_dir), td.medals(spark, sf_dir))
 
 
+@query
+def bucket_join_unequal(spark, sf_dir):
+    """Kills per map from match details in few buckets and matches in four times as many."""
+    n = mt.bucket_count(td.matches(spark, sf_dir))
+    details = _bucketed(spark, sf_dir, "match_details", td.match_details, buckets=n)
+    j = mt.unequal_bucket_join(spark, details, _bucketed(spark, sf_dir, "matches", td.matches, buckets=4 * n), "match_id")
+    return j.groupBy("mapid", "playlist_id").agg(F.count_distinct("match_id").alias("matches"),
+                                                 F.sum("player_total_kills").cast("bigint").alias("kills"))
+
+
 @query
 def bucket_filter_avg(spark, sf_dir):
     m = P["bucket_match"]
@@ -522,6 +543,87 @@ def layout_size_report(spark, sf_dir):
     return mt.layout_order_report(spark, root, order)
 
 
+@query
+def layout_footer_report(spark, sf_dir):
+    """Three layouts of the events, judged from their files' footers: rows stored, rows of one day as
+    found in the row groups a reader would not skip, whether at least half of them is skipped, and
+    whether the sorted columns take less room than in rows dealt by user."""
+    e = written(td.web_events(spark, sf_dir).withColumn("event_date", F.to_date("event_time")), "footer-input")
+    root, order = scratch_path(spark, "footers"), ["event_date", "host", "event_time"]
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = e.repartitionByRange(n, *order)
+    for name, rows in (("dealt", e.repartition(n, "user_id", "event_time")), ("ranged", ranged), ("sorted", ranged.sortWithinPartitions(*order))):
+        rows.write.option("parquet.block.size", str(8 << 20)).parquet(f"{root}/{name}")
+    low, high = ft.micros(P["devices_day"]), ft.micros(_day(P["devices_day"], 1))
+    out = None
+    for name in ("dealt", "ranged", "sorted"):
+        groups = written(ft.row_groups(ft.footers(spark, f"{root}/{name}"), "event_time", low, high, order[:2]), "row-groups")
+        day = (spark.read.schema(e.schema).parquet(f"{root}/{name}").where(day_range("event_time", P["devices_day"]))
+               .select(F.col("_metadata.file_name").alias("file_name")))
+        found = day.join(groups.where("read"), "file_name", "left_semi").select(F.count(F.lit(1))).scalar()
+        r = ft.layout_facts(groups).select(F.lit(name).alias("layout"), "*", found.alias("rows_of_day"))
+        out = r if out is None else out.unionByName(r)
+    facts = written(out, "footer-facts")
+    dealt = facts.where("layout = 'dealt'").select("of_bytes").scalar()
+    return facts.select("layout", "n_rows", "rows_of_day", (F.col("rows_read") >= F.col("rows_of_day")).alias("reads_enough"),
+                        (F.col("groups_read") * 2 <= F.col("n_row_groups")).alias("skips_half"), (F.col("of_bytes") < dealt).alias("smaller_than_dealt"))
+
+
+@query
+def staged_days_pruned(spark, sf_dir):
+    """Hits per host on weekend days, from a staging table partitioned by day: the days come from a
+    filtered calendar joined on the partition column, so only their folders are read."""
+    e = td.web_events(spark, sf_dir).withColumn("ds", F.to_date("event_time"))
+    path = scratch_path(spark, "staged")
+    e.repartition("ds").write.partitionBy("ds").parquet(path)
+    staged = spark.read.schema(e.schema).parquet(path)
+    calendar = written(e.select("ds").distinct().withColumn("weekday", F.weekday("ds")), "calendar")
+    weekend = calendar.where(F.col("weekday") >= 5)
+    return staged.join(F.broadcast(weekend), "ds").groupBy("ds", "host").agg(F.count(F.lit(1)).alias("hits"))    # a row per day
+
+
+@query
+def orders_pruned_by_transforms(spark, sf_dir):
+    """A table laid out by year of the day and bucket of the customer, read for a range of days and
+    for one customer; both filters are turned into filters on the folders."""
+    rows = td.order_revenue(spark, sf_dir)
+    laid = tables.with_partition_transforms(rows, "order_date", "customer_id", 16)
+    path, cols = scratch_path(spark, "transforms"), ["order_date_year", "customer_id_bucket"]
+    laid.repartition(*cols).write.partitionBy(*cols).parquet(path)
+    table = spark.read.schema(laid.schema).parquet(path)
+    kept = (("range", table.where(tables.in_date_range("order_date", *P["order_range"]))),
+            ("customer", table.where(tables.of_key("customer_id", P["order_customer"]))))
+    out = None
+    for name, t in kept:
+        r = t.groupBy(F.trunc("order_date", "month").alias("month")).agg(
+            F.count(F.lit(1)).alias("orders"), F.sum("net_cents").cast("bigint").alias("net_cents")).select(F.lit(name).alias("filter"), "*")
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+@query
+def land_and_read_back(spark, sf_dir):
+    """Events landed as CSV text, read by contract, kept as a table partitioned by day, whose last day
+    is appended and then overwritten; returns what a reader finds per day and host."""
+    e = td.web_events(spark, sf_dir)
+    land, staged = scratch_path(spark, "landing"), scratch_path(spark, "staged-days")
+    e.select("user_id", "device_id", "host", "referrer", F.date_format("event_time", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("event_time")) \
+        .write.option("header", "true").csv(land)
+    text = files.read_csv_as_strings(spark, land, {"user": ("user_id", "bigint"), "device": ("device_id", "bigint"), "host": ("host", "string"),
+                                                   "referrer": ("referrer", "string"), "at": ("event_time", "timestamp_ntz")})
+    contract = T.StructType([T.StructField("user", T.LongType(), False), T.StructField("device", T.LongType()), T.StructField("host", T.StringType(), False),
+                             T.StructField("referrer", T.StringType()), T.StructField("at", T.TimestampNTZType(), False)])
+    rows = written(files.read_typed(text.where("user IS NOT NULL"), contract).withColumn("ds", F.to_date("at")), "landed")
+    last = rows.select(F.max("ds")).first()[0]
+    name = f"cairn_staged_{_hashlib.md5(staged.encode()).hexdigest()[:8]}"
+    tables.create_partitioned(rows.where(F.col("ds") < last), name, ["ds"], staged, sort_within=["at"])
+    tables.append(rows.where((F.col("ds") == last) & (F.hour("at") < 12)), spark, name)  # a day that came in part
+    tables.overwrite_partitions(rows.where(F.col("ds") == last), spark, name)           # and then as a whole
+    view = files.register_view(files.read_table(spark, name), f"{name}_view")
+    return view.groupBy("ds", "host").agg(F.count(F.lit(1)).alias("hits"), F.count("referrer").alias("referred"),
+                                          F.count_distinct("user").alias("users"))
+
+
 # ------------------------------------------------------------ keyed tables ---
 
 @query

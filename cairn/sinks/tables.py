@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.functions.hashing import bucket_of
@@ -63,3 +63,18 @@ def with_partition_transforms(df: DataFrame, date_col: str, bucket_col: str | No
     if bucket_col is not None:
         df = df.withColumn(f"{bucket_col}_bucket", bucket_of(bucket_col, buckets))
     return df
+
+
+def in_date_range(date_col: str, low: str, high: str) -> Column:
+    """``low <= date_col < high`` for a table laid out by ``with_partition_transforms``: the same range
+    on the derived year, which prunes partitions, and on the date itself, which prunes row groups."""
+    day, year = F.col(date_col), F.col(f"{date_col}_year")
+    last = F.year(F.date_sub(F.lit(high).cast("date"), 1))
+    return (year >= F.year(F.lit(low).cast("date"))) & (year <= last) & (day >= F.lit(low).cast("date")) & (day < F.lit(high).cast("date"))
+
+
+def of_key(bucket_col: str, value, buckets: int = 16, kind: str = "bigint") -> Column:
+    """``bucket_col = value`` for such a table: reads the folder of the value's bucket only."""
+    v = F.lit(value).cast(kind)
+    return (F.col(f"{bucket_col}_bucket") == bucket_of(v, buckets)) & (F.col(bucket_col) == v)
+

@@ -3,6 +3,7 @@ generated rows and date spines."""
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -69,3 +70,11 @@ def season_spine(spark: SparkSession, first: int, last: int, name: str = "season
 def register_view(df: DataFrame, name: str) -> DataFrame:
     df.createOrReplaceTempView(name)
     return df
+
+
+def path_version(spark: SparkSession, path: str) -> str:
+    """A digest of the names, sizes and change times of the file or folder at ``path`` (metadata only)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    listed = [(f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(p)]
+    return hashlib.md5(repr(sorted(listed)).encode()).hexdigest()[:12]

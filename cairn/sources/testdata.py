@@ -14,18 +14,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cairn.sources.files import path_version
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
-_READS: dict[tuple[str, str], DataFrame] = {}
+_READS: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The parquet table ``name``; the (lazy, immutable) DataFrame is reused per session and path,
-    so its file listing and footer read happen once."""
+    """The parquet table ``name``; the (lazy, immutable) DataFrame is reused per session and path as
+    long as its files are the same, so their footers are read once."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
+    key = (spark.sparkContext.applicationId, path, path_version(spark, path))
     df = _READS.get(key)
     if df is None or df.sparkSession is not spark:
         df = spark.read.parquet(path)
