@@ -83,3 +83,61 @@ def monthly_business_metrics(orders: DataFrame) -> DataFrame:
     return monthly.join(first, "month", "left").select(
         "month", "orders", "revenue_cents", "active_customers",
         F.coalesce("new_customers", F.lit(0)).cast("bigint").alias("new_customers"))
+
+
+# ------------------------------------------------------------ leading and lagging metrics ---
+
+def cell_moments(assigned: DataFrame, per_user: DataFrame, metrics: Sequence[tuple[str, str, str, str | None]], *,
+                 user: str = "user_id") -> DataFrame:
+    """Per (metric, cell): users and the sums that means, variances and covariances follow from.
+
+    ``metrics``: (name, kind, numerator, denominator) over integer columns of ``per_user``; without a
+    denominator the metric is a mean per user. Users without a row count as zeros. Sums of parts
+    (days, shards) add up, so moments can be kept and merged.
+    """
+    j = assigned.select(user, "cell").join(per_user, user, "left")
+    sides = []
+    for name, kind, num, den in metrics:
+        x = F.coalesce(F.col(num), F.lit(0)).cast("bigint")
+        y = F.lit(1).cast("bigint") if den is None else F.coalesce(F.col(den), F.lit(0)).cast("bigint")
+        sides.append(F.struct(F.lit(name).alias("metric"), F.lit(kind).alias("kind"), F.lit(den is not None).alias("ratio"),
+                              x.alias("x"), y.alias("y")))
+    rows = j.select("cell", F.explode(F.array(*sides)).alias("m")).select("cell", "m.*")
+    x, y = F.col("x"), F.col("y")
+    sums = {"sx": x, "sy": y, "sxx": x * x, "syy": y * y, "sxy": x * y}
+    return rows.groupBy("metric", "kind", "ratio", "cell").agg(
+        F.count(F.lit(1)).alias("users"), *[F.sum(c).cast("bigint").alias(n) for n, c in sums.items()])
+
+
+def merged_moments(moments: DataFrame) -> DataFrame:
+    """Moments of parts of the users, added up."""
+    names = ["users", "sx", "sy", "sxx", "syy", "sxy"]
+    return moments.groupBy("metric", "kind", "ratio", "cell").agg(*[F.sum(n).cast("bigint").alias(n) for n in names])
+
+
+def metric_readout(moments: DataFrame, *, control: str = "control") -> DataFrame:
+    """Per metric and cell: value, standard error, difference to control, its t score and the
+    degrees of freedom.
+
+    A mean's error is its sample standard deviation over sqrt(n); a ratio's follows from the delta
+    method. Scores are Welch's (no equal variances assumed), degrees of freedom Satterthwaite's.
+    They are NULL where a cell has fewer than two users or a difference has no error.
+    """
+    n = F.col("users").cast("double")
+    r = F.col("sx") / F.when(F.col("sy") != 0, F.col("sy"))
+    # sum over users of (x - r y)^2: the spread of the linearised metric about its mean, which is 0
+    spread = F.col("sxx") - 2 * r * F.col("sxy") + r * r * F.col("syy")
+    mean_y = F.col("sy") / n
+    error2 = F.when(n >= 2, spread / (n - 1) / (n * mean_y * mean_y))
+    per = moments.select("metric", "kind", "cell", "users", r.alias("value"), error2.alias("_e2"))
+    c = per.where(F.col("cell") == control).select("metric", F.col("value").alias("_cv"), F.col("_e2").alias("_ce2"),
+                                                   F.col("users").alias("_cn"))
+    j = per.join(c, "metric", "left")
+    other = F.col("cell") != control
+    both = F.col("_e2") + F.col("_ce2")
+    t = F.when(other & (both > 0), (F.col("value") - F.col("_cv")) / F.sqrt(both))
+    df = F.when(other & (both > 0), both * both / (F.col("_e2") * F.col("_e2") / (F.col("users") - 1)
+                                                  + F.col("_ce2") * F.col("_ce2") / (F.col("_cn") - 1)))
+    return j.select("metric", "kind", "cell", "users", F.round("value", 6).alias("value"), F.round(F.sqrt("_e2"), 6).alias("std_error"),
+                    F.round(F.when(other, F.col("value") - F.col("_cv")), 6).alias("difference"),
+                    F.round(t, 4).alias("t_score"), F.round(df, 3).alias("degrees"))

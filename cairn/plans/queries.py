@@ -35,6 +35,7 @@ from cairn.sources import files
 from cairn.sources import footers as ft
 from cairn.sources import testdata as td
 from cairn.sources.files import path_version
+from cairn.streaming import commits as sco
 from cairn.streaming import enrich as sen
 from cairn.streaming import sinks as ssk
 from cairn.streaming import sources as ssrc
@@ -68,6 +69,8 @@ P = {
     "medal": "Brand#7",
     "bucket_match": "M1",
     "experiment": "checkout_button_v1",
+    "metrics": (("hits_per_user", "leading", "hits", None), ("days_per_user", "leading", "days", None),
+                ("purchases_per_hit", "lagging", "purchase", "hits"), ("errors_per_view", "lagging", "error", "view")),
 }
 
 
@@ -737,6 +740,51 @@ def stream_geo_enrich(spark, sf_dir):
                           "referrer", "host", "url", "geodata")
 
 
+def _committed_counts(spark, stream, keys_of: dict[str, list[str]]):
+    """Run a stream of web events into one store: per-batch window counts for every set of keys."""
+    store = sco.BatchStore(spark, scratch_path(spark, "batches"))
+    outputs = {name: sco.partial_counts(keys, ts="event_timestamp") for name, keys in keys_of.items()}
+    sink = store.writer(outputs, ts="event_timestamp", window_seconds=300, delay_seconds=15)
+    ssk.run_available_now(stream, sink, scratch_path(spark, "stream-ckpt"))
+    return store
+
+
+def _counts_schema(keys) -> T.StructType:
+    return T.StructType([T.StructField("event_hour", T.TimestampType()), *(T.StructField(k, T.StringType()) for k in keys),
+                         T.StructField("num_hits", T.LongType())])
+
+
+@query
+def stream_two_sinks(spark, sf_dir):
+    """Window counts by host and by host and referrer from one pass over the stream, committed together."""
+    keys_of = {"host": ["host"], "host_referrer": ["host", "referrer"]}
+    store, out = _committed_counts(spark, _event_stream(spark, sf_dir), keys_of), None
+    for name, keys in keys_of.items():
+        store.compact(name, _counts_schema(keys), sco.added_up(keys))
+        rows = sco.added_up(keys)(store.read(name, _counts_schema(keys)))
+        ref = F.col("referrer") if "referrer" in keys else F.lit(None).cast("string")
+        r = rows.select(F.lit(name).alias("sink"), F.col("event_hour").cast("timestamp_ntz").alias("event_hour"), "host",
+                        ref.alias("referrer"), "num_hits")
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+@query
+def stream_late_audit(spark, sf_dir):
+    """Events that arrive in weekly files, every tenth one a file late: rows in time, late but counted,
+    and dropped, per file."""
+    e = td.table(spark, sf_dir, "events")
+    first = e.select(F.min(F.to_date("ts"))).scalar()
+    week = (F.datediff(F.to_date("ts"), first) / 7).cast("int")
+    landing = scratch_path(spark, "arrivals")
+    arrivals = written(e.withColumn("_file", week + F.when(F.col("event_id") % 10 == 3, 1).otherwise(0)), "arrivals")
+    for (n,) in sorted(arrivals.select("_file").distinct().collect()):                 # a file per week
+        arrivals.where(F.col("_file") == n).drop("_file").coalesce(1).write.mode("append").parquet(f"{landing}/events.parquet")
+    stream = swin.event_time(td.web_events_from(ssrc.file_stream(spark, landing, "events", max_files_per_trigger=1)))
+    store = _committed_counts(spark, stream, {"host": ["host"]})
+    return store.audit().select("batch", "in_time", "late", "dropped")
+
+
 @query
 def geo_by_ip(spark, sf_dir):
     """Each event's location by the longest range that holds its address."""
@@ -808,6 +856,18 @@ def experiment_readout(spark, sf_dir):
     return ex.readout(ex.assign_cells(per_user.select("user_id"), P["experiment"]), conv, P["experiment"])
 
 
+@query
+def experiment_metrics(spark, sf_dir):
+    """Leading and lagging metrics per cell: hits and distinct days per user (means), purchases per
+    hit and errors per view (ratios)."""
+    e = td.web_events(spark, sf_dir).where(F.col("user_id").isNotNull())
+    per_user = written(e.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("hits"), F.count_distinct(F.to_date("event_time")).alias("days"),
+        *[F.count_if(F.col("url") == f"/{u}").alias(u) for u in ("purchase", "error", "view")]), "user-metrics")
+    moments = ex.cell_moments(ex.assign_cells(per_user.select("user_id"), P["experiment"]), per_user, P["metrics"])
+    return ex.metric_readout(moments)
+
+
 @query
 def business_metrics(spark, sf_dir):
     return ex.daily_business_metrics(td.order_revenue(spark, sf_dir))
