@@ -179,30 +179,25 @@ def traffic_windows(events: DataFrame, devices: DataFrame, *, min_total: int = 5
     week. ``referrer_match='host'`` classifies by the referrer's host instead of a
     substring anywhere in the URL."""
     label = classify_referrer(F.col("referrer"), match=referrer_match)
-    aug = events.join(devices, "device_id").select(
-        "url", label.alias("referrer"), F.to_date("event_time").alias("event_date"))
-    agg = aug.groupBy("url", "referrer", "event_date").agg(F.count(F.lit(1)).alias("count"))
-    base = Window.partitionBy("referrer", "url")
-    ordered = base.orderBy("event_date")
-    month = Window.partitionBy("referrer", "url", F.trunc("event_date", "month"))
-    if frame == "range":
-        agg = agg.withColumn("_day", F.unix_date("event_date"))
-        by_day = base.orderBy("_day")
-        week, prev = by_day.rangeBetween(-6, 0), by_day.rangeBetween(*prev_week)
-    else:
-        week, prev = ordered.rowsBetween(-6, 0), ordered.rowsBetween(*prev_week)
-    w = (agg
-         .withColumn("total_cumulative_sum", F.sum("count").over(base))
-         .withColumn("monthly_cumulative_sum", F.sum("count").over(month))
-         .withColumn("rolling_cumulative_sum",
-                     F.sum("count").over(ordered.rangeBetween(Window.unboundedPreceding, Window.currentRow)))
-         .withColumn("weekly_rolling_count", F.sum("count").over(week))
-         .withColumn("previous_weekly_rolling_count", F.sum("count").over(prev)))
-    return (w.where((F.col("total_cumulative_sum") > min_total) & F.col("referrer").isNotNull())
-            .select("referrer", "url", "event_date", "count", "rolling_cumulative_sum", "weekly_rolling_count",
-                    "previous_weekly_rolling_count",
-                    (F.col("count") / F.col("monthly_cumulative_sum")).alias("pct_of_month"),
-                    (F.col("count") / F.col("total_cumulative_sum")).alias("pct_of_total")))
+    hits = (events.join(devices, "device_id").where(label.isNotNull())
+            .groupBy(label.alias("referrer"), "url", F.to_date("event_time").alias("event_date"))
+            .agg(F.count(F.lit(1)).alias("count")))
+    page = Window.partitionBy("referrer", "url")
+    place = F.unix_date("event_date")
+    days = page.orderBy(place)
+
+    def stretch(first: int, last: int):
+        return days.rangeBetween(first, last) if frame == "range" else days.rowsBetween(first, last)
+
+    def hits_in(window):
+        return F.sum("count").over(window)
+
+    measured = hits.select(
+        "*", hits_in(days.rowsBetween(Window.unboundedPreceding, 0)).alias("rolling_cumulative_sum"),
+        hits_in(stretch(-6, 0)).alias("weekly_rolling_count"), hits_in(stretch(*prev_week)).alias("previous_weekly_rolling_count"),
+        (F.col("count") / hits_in(Window.partitionBy("referrer", "url", F.trunc("event_date", "month")))).alias("pct_of_month"),
+        (F.col("count") / hits_in(page)).alias("pct_of_total"), hits_in(page).alias("_whole"))
+    return measured.where(F.col("_whole") > min_total).drop("_whole")
 
 
 # ------------------------------------------------------------ team records ---
