@@ -293,23 +293,101 @@ def test_short_item_in_a_third_of_the_documents(spark):
     assert {r.doc_id for r in out.collect()} == want
 
 
-def test_paraphrases_with_any_words_replaced_against_brute_force(spark):
-    rng = random.Random(14)
+def plain_leaks(docs, items):
+    """The rule read off the page: every document, passage and place, with exact words."""
+    words = {d: (t or "").lower().split() for d, t in docs}
+    n = len(words)
+    df = collections.Counter(w for t in words.values() for w in set(t))
+    cf = collections.Counter(w for t in words.values() for w in t)
+    total = sum(cf.values())
+    idf = lambda w: max(math.log((n + 1) / df.get(w, 1)), 0.25)
+    nats = lambda w: math.log(total / cf.get(w, 1))
+    ways = lambda n, k: math.log(math.comb(n, k))
+    bound = math.log(total) + math.log(sum(len(t.encode()) / 32 + 1 for _, t in items)) - math.log(0.01)
+    out = set()
+    for item, text in items:
+        t = text.split()
+        last = max(0, len(t) - 32)
+        for lo in {*range(0, last, 32), last}:
+            p = t[lo:lo + 32]
+            for d, w in words.items():
+                for start in range(0, len(w), len(p)):
+                    near = w[start:start + 2 * len(p)]
+                    here = [x for x in p if x in set(near)]
+                    k = decontamination.lcs_length([x.encode() for x in p], [x.encode() for x in near])
+                    if k < 0.6 * len(p):
+                        continue
+                    light = sorted(map(idf, here))[:k]
+                    whole = k == len(p) and any(near[i:i + k] == p for i in range(len(near)))
+                    sure = sum(sorted(map(nats, here))[:k]) - (0 if whole else ways(len(near), k) + ways(len(p), k))
+                    if sure >= bound and (k == len(p) or sum(light) >= 0.4 * sum(map(idf, p))):
+                        out.add((d, item))
+    return out
+
+
+@pytest.mark.parametrize("zipf", [False, True])
+def test_leaks_against_brute_force_over_all_places(spark, zipf):
+    rng = random.Random(14 + zipf)
     vocabulary = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(3, 9))) for _ in range(3000)]
-    items = [rng.choices(vocabulary, k=rng.randint(15, 32)) for _ in range(20)]
+    weights = [1 / (i + 1) for i in range(3000)] if zipf else None
+    say = lambda n: rng.choices(vocabulary, weights, k=n)
+    items = [say(n) for n in [*range(1, 15), *(rng.randint(15, 70) for _ in range(12))]]
     data = []
-    for d in range(120):
-        text, item = rng.choices(vocabulary, k=rng.randint(0, 60)), list(items[d % 20])
-        for k in rng.sample(range(len(item)), int(len(item) * rng.choice([.22, .3, .38, .6]))):
+    for d in range(130):
+        text, item = say(rng.randint(0, 150)), list(items[d % len(items)])
+        for k in rng.sample(range(len(item)), int(len(item) * rng.choice([0, .1, .22, .3, .38, .6]))):
             item[k] = "x" + rng.choice(vocabulary)
-        text[len(text) // 2:len(text) // 2] = item
+        at = rng.randint(0, len(text))
+        text[at:at] = item
         data.append((d, " ".join(text)))
+    bench = [(i, " ".join(t)) for i, t in enumerate(items)]
+    want = plain_leaks(data, bench)
+    assert len(want) > 30
+    out = decontamination.leaks(spark.createDataFrame(data, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in out.collect()} == want
+
+
+def test_independent_items_of_any_length_match_nothing(spark):
+    rng = np.random.default_rng(15)
+    p = 1 / np.arange(1, 20_001)
+    say = lambda n: " ".join(f"w{k}" for k in rng.choice(20_000, n, p=p / p.sum()))
+    docs = spark.createDataFrame([(d, say(400)) for d in range(1000)], "doc_id long, text string")
+    items = spark.createDataFrame([(100 * n + i, say(n)) for n in range(1, 21) for i in range(6)], "item_id long, text string")
+    assert decontamination.leaks(docs, items).count() == 0
+    assert decontamination.without_leaks(docs, items).count() == 1000
+
+
+def test_short_planted_items_are_found(spark):
+    rng = np.random.default_rng(16)
+    p = 1 / np.arange(1, 5001)
+    say = lambda n: [f"w{k}" for k in rng.choice(5000, n, p=p / p.sum())]
+    items = [[f"rare{n}x{k}" if k % 2 else say(1)[0] for k in range(n)] for n in range(1, 15)]
+    data, want = [], set()
+    for d in range(700):
+        text = say(300 if d else 200_000)                  # one very long document
+        if d % 10 == 0:
+            text[150:150] = items[d // 10 % 14]
+            want.add((d, d // 10 % 14))
+        data.append((d, " ".join(text)))
+    out = decontamination.leaks(spark.createDataFrame(data, "doc_id long, text string"),
+                                spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string"))
+    got = {(r.doc_id, r.item_id) for r in out.collect()}
+    assert got <= want
+    assert {(d, i) for d, i in want if i >= 7} <= got      # eight words, four of them rare, and more
+    assert not any(i == 0 for _, i in got)                 # a word proves nothing
+
+
+def test_benchmark_of_several_groups(spark, monkeypatch):
+    monkeypatch.setattr(decontamination, "GROUP_BLOCKS", 2)
+    rng = random.Random(17)
+    vocabulary = ["".join(rng.choices("abcdefghijklmnop", k=6)) for _ in range(4000)]
+    items = [rng.choices(vocabulary, k=20) for _ in range(1500)]
+    data = [(d, " ".join(rng.choices(vocabulary, k=50) + (items[d * 4] if d % 2 else []) + rng.choices(vocabulary, k=50))) for d in range(300)]
     docs = spark.createDataFrame(data, "doc_id long, text string")
     bench = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string")
-    want = {(d, i) for d, text in data for i, t in enumerate(items)
-            if decontamination.lcs_length([w.encode() for w in t], text.encode().split()) >= 0.6 * len(t)}
-    assert len(want) > 60
+    want = {(d, d * 4) for d in range(300) if d % 2}
     assert {(r.doc_id, r.item_id) for r in decontamination.leaks(docs, bench).collect()} == want
+    assert {r.doc_id for r in decontamination.without_leaks(docs, bench).collect()} == {d for d in range(300) if d % 2 == 0}
 
 
 def test_randomised_svd_keeps_inner_products(spark):
