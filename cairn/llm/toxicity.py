@@ -3,7 +3,7 @@
 Two bigram models, one of toxic and one of ordinary labelled texts, score every word of a text:
 
     P_c(w | v) = (m_c(v w) + (SHARED + rest(v) * P(w)) * P_c(w) / P(w)) / norm_c(v)
-    P_c(w)     = (m_c(w) + B(w)) / norm_c
+    P_c(w)     = (m_c(w) + 2 B(w) S_c(w)) / norm_c
 
 m_c(v w) are the texts of class c that hold the bigram (so that one repetitive text does not count
 as many), less the discount D, and m_c(w) the distinct words seen before w (Kneser-Ney continuation
@@ -13,9 +13,17 @@ the context's mass in both classes, and continuation counts, which grow slower t
 a sample of the smaller class's mass would be expected to show.
 ``B`` are backoff counts shared by both classes: the discounted mass spread by the pooled
 continuation counts, plus ``SHARED`` counts for every word; bigrams get the pooled discounted mass
-``rest`` of their context and ``SHARED`` counts too. What was seen too rarely to tell the classes
-apart therefore gets the same share of both, and its log-likelihood ratio stays near 0; an unseen
-bigram has its word's ratio.
+``rest`` of their context and ``SHARED`` counts too. An unseen bigram has its word's ratio.
+
+A rare or unseen word backs off to the words that begin like it, so inflected forms share their
+counts: S_c(w) is class c's share of the backoff counts, taken from the texts that hold a word with
+the same first bytes. Prefixes of ``PREFIXES`` bytes are smoothed one by the next shorter, the shortest
+by an even share, each with ``STEM`` counts:
+
+    S_c(prefix) = (n_c(prefix) + STEM * S_c(shorter prefix)) / (n_0 + n_1 + STEM)
+
+What was seen too rarely in any form to tell the classes apart gets an even share, and its
+log-likelihood ratio stays near 0.
 
 Texts are compared by a length-normalised log-likelihood ratio. It is the mean per word over the
 text's most telling span, its two most toxic words, not over the whole text: a few insults make a
@@ -25,7 +33,7 @@ logistic curve, fitted on labelled rows that were not counted, turns it into the
 Fitting uses a bounded sample of labelled rows by smallest hash of the id: up to ``MAX_ROWS`` per
 class are counted, however many the other class has (each class is normalised by its own mass), and
 up to ``MAX_ROWS`` per class of the others calibrate the curve, weighed back to the true shares. The ids are broadcast, at most 4 * ``MAX_ROWS``. Words live in hashed tables of fixed size (``WORD_BITS``,
-``PAIR_BITS``, ``CONTEXT_BITS``: 48 MB in all), which bounds the broadcast model whatever the
+``PAIR_BITS``, ``CONTEXT_BITS``, ``PREFIX_BITS``: 68 MB in all), which bounds the broadcast model whatever the
 sample holds. Counting is a Spark aggregate over (previous word, word) pairs.
 
 Defined results: null and empty texts get the score of a zero ratio; a doc_id with several
@@ -43,25 +51,28 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .tables import schema_with, written
-from .words import hashed_words, in_parts, mixed
+from .words import hashed_prefixes, in_parts, mixed
 
 MAX_ROWS = 20_000
 CALIBRATE_EVERY = 4
 DISCOUNT = 0.75
 SHARED = 4.0
-WORD_BITS, PAIR_BITS, CONTEXT_BITS = 21, 21, 20
+STEM = 2.0
+PREFIXES = (4, 6, 8)
+WORD_BITS, PAIR_BITS, CONTEXT_BITS, PREFIX_BITS = 21, 21, 20, 19
 THRESHOLD = 0.7
 PARTS = 1 << 20
 START = np.uint64(1)                       # the word before the first
+STEMS = tuple(range(2, 2 + len(PREFIXES)))  # in its place for rows that count prefixes
 
 
-def _pairs(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of all words and of the words before them, and the texts' bounds."""
-    w, at = hashed_words(texts)
+def _pairs(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Hashes of all words and of the words before them, the texts' bounds, and hashes of the prefixes."""
+    (w, *stems), at = hashed_prefixes(texts, (None, *PREFIXES))
     v = np.empty_like(w)
     v[1:] = w[:-1]
     v[at[:-1][np.diff(at) > 0]] = START
-    return v, w, at
+    return v, w, at, stems
 
 
 def _slots(v: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -101,9 +112,11 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _counted(texts: list[bytes | None], toxic: np.ndarray) -> pa.RecordBatch:
-    """Per pair of words how many ordinary and toxic texts hold it."""
-    v, w, at = _pairs(texts)
+    """Per pair of words, and per prefix of words, how many ordinary and toxic texts hold it."""
+    v, w, at, stems = _pairs(texts)
     doc = np.repeat(np.arange(len(texts)), np.diff(at))
+    v = np.concatenate([v, *(np.full(len(x), k, np.uint64) for k, x in zip(STEMS, stems))])
+    w, doc = np.concatenate([w, *stems]), np.tile(doc, 1 + len(stems))
     order = np.lexsort((doc, w, v))
     v, w, doc = v[order], w[order], doc[order]
     new = np.ones(len(v), bool)
@@ -129,7 +142,8 @@ def _table(rows: DataFrame, bits: int, columns: list[str]) -> list[np.ndarray]:
 def fit_counts(docs: DataFrame, sample: DataFrame) -> dict[str, np.ndarray]:
     """The two models as hashed tables of fixed size."""
     pairs = _sampled(docs, sample).mapInArrow(_count, "v long, w long, n0 long, n1 long")
-    pairs = written(pairs.groupBy("v", "w").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")), "toxic-pairs")
+    counted = written(pairs.groupBy("v", "w").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")), "toxic-pairs")
+    pairs = counted.filter(~F.col("v").isin(*STEMS))
     slot = lambda c, bits: F.shiftrightunsigned(c, 64 - bits).alias("slot")
     mass = pairs.agg(*(F.coalesce(F.sum(f"n{c}"), F.lit(0)).alias(f"n{c}") for c in (0, 1))).first()
     part = [max(1, min(mass)) / max(1, m) for m in mass]          # the smaller class, as a share of this one
@@ -163,15 +177,21 @@ def fit_counts(docs: DataFrame, sample: DataFrame) -> dict[str, np.ndarray]:
     share = np.maximum(pooled - DISCOUNT, 0) + DISCOUNT * (pooled > 0).sum() / len(pooled)
     shared = DISCOUNT * sum(types) / 2 * share / max(1.0, float(share.sum())) + SHARED
     scale = max(1.0, float(even[1].sum()))
-    model = {}
+    model, whole = {}, []
     for c in (0, 1):
-        left = np.maximum(k[c] - DISCOUNT, 0) * even[c] / np.maximum(k[c], 1)
-        p = left / max(1.0, float(even[c].sum())) * scale + shared
-        model[f"p{c}"] = (p / p.sum(dtype=np.float64)).astype(np.float32)
+        left = np.maximum(k[c] - DISCOUNT, 0) * even[c] / np.maximum(k[c], 1) / max(1.0, float(even[c].sum())) * scale
+        whole.append(float((left + shared).sum(dtype=np.float64)))
+        model[f"own{c}"] = (left / whole[c]).astype(np.float32)
         model[f"pair{c}"] = big[c] / np.float32(PARTS)
-    mean = (model["p0"] + model["p1"]) / 2
+    model["shared"] = (shared / (sum(whole) / 2)).astype(np.float32)
+    for level_of, cut in zip(STEMS, PREFIXES):
+        stems = counted.filter(F.col("v") == level_of).groupBy(slot("w", PREFIX_BITS)).agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+        for c, n in enumerate(_table(stems, PREFIX_BITS, ["n0", "n1"])):
+            model[f"stem{cut}_{c}"] = n * np.float32(part[c])
+    p = [model[f"own{c}"] + model["shared"] for c in (0, 1)]
+    mean = (p[0] + p[1]) / 2
     model["rest"] = (used[0] + used[1] - held[0] - held[1]) / 2
-    norm = [held[c] * level[c] + model["rest"] + SHARED * float((model[f"p{c}"] / mean).sum(dtype=np.float64)) for c in (0, 1)]
+    norm = [held[c] * level[c] + model["rest"] + SHARED * float((p[c] / mean).sum(dtype=np.float64)) for c in (0, 1)]
     model["norm"] = np.log(norm[0] / norm[1]).astype(np.float32)
     return model
 
@@ -182,10 +202,21 @@ def ratios(texts: list[bytes | None], model: dict[str, np.ndarray]) -> np.ndarra
     return np.concatenate([np.zeros(0), *parts])
 
 
+def _toxic_share(stems: list[np.ndarray], model: dict[str, np.ndarray]) -> np.ndarray:
+    """Per word the toxic class's share of its backoff counts, from words that begin like it."""
+    share = np.float32(0.5)
+    for cut, h in zip(PREFIXES, stems):
+        at = (h >> np.uint64(64 - PREFIX_BITS)).astype(np.int64)
+        plain, toxic = model[f"stem{cut}_0"][at], model[f"stem{cut}_1"][at]
+        share = (toxic + np.float32(STEM) * share) / (plain + toxic + np.float32(STEM))
+    return share
+
+
 def _ratios(texts: list[bytes | None], model: dict[str, np.ndarray]) -> np.ndarray:
-    v, w, at = _pairs(texts)
+    v, w, at, stems = _pairs(texts)
     word, pair, ctx = _slots(v, w)
-    plain, toxic = (model[f"p{c}"][word] for c in (0, 1))
+    share = _toxic_share(stems, model)
+    plain, toxic = (model[f"own{c}"][word] + 2 * s * model["shared"][word] for c, s in ((0, 1 - share), (1, share)))
     mean = (plain + toxic) / 2
     shared = (SHARED + model["rest"][ctx] * mean) / mean
     toxic, plain = (model[f"pair{c}"][pair] + shared * p for c, p in ((1, toxic), (0, plain)))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 
@@ -24,7 +24,14 @@ def in_parts(texts: list[bytes | None], limit: int = 2 << 20) -> Iterator[tuple[
 
 
 def hashed_words(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words of all texts, A-Z lower-cased, and the texts' bounds in them.
+    """64-bit hashes of all words of all texts, A-Z lower-cased, and the texts' bounds in them."""
+    (h,), at = hashed_prefixes(texts, (None,))
+    return h, at
+
+
+def hashed_prefixes(texts: list[bytes | None], cuts: Sequence[int | None]) -> tuple[list[np.ndarray], np.ndarray]:
+    """For each of ``cuts`` the hashes of all words' first ``cut`` bytes (None: of whole words), and the
+    texts' bounds in them.
 
     Words are runs of bytes other than the six ASCII white-space characters. The hash is a
     polynomial over the word's bytes modulo 2**64 with a final mix, computed from prefix sums in
@@ -36,7 +43,7 @@ def hashed_words(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     raw = np.frombuffer(joined, np.uint8)
     gap = np.zeros(256, bool)
     gap[list(SPACES)] = True
-    hashes, starts, lo, n = [], [], 0, len(raw)
+    hashes, starts, lo, n = [[] for _ in cuts], [], 0, len(raw)
     power = inverse = None
     while lo < n:
         hi = min(n, lo + STEP_BYTES)
@@ -53,11 +60,12 @@ def hashed_words(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         edge = np.diff(np.concatenate([[0], word.view(np.int8), [0]]))
         first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
         total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((part.astype(np.uint64) + np.uint64(1)) * power[:len(part)])])
-        h = (total[last] - total[first]) * inverse[first]
-        hashes.append(mixed(h))
+        for cut, found in zip(cuts, hashes):
+            end = last if cut is None else np.minimum(last, first + cut)
+            found.append(mixed((total[end] - total[first]) * inverse[first]))
         starts.append(first + lo)
         lo = hi
-    h = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
+    h = [np.concatenate(x) if x else np.zeros(0, np.uint64) for x in hashes]
     at = np.concatenate(starts) if starts else np.zeros(0, np.int64)
     return h, np.concatenate([[0], np.searchsorted(at, ends)]).astype(np.int64)
 

@@ -236,6 +236,71 @@ def test_toxic_phrase_of_ordinary_words_in_few_texts(spark):
     assert phrase > turned + 0.5
 
 
+def plain_ratio(train, text):
+    """The model's formulas over exact words: (text, toxic) rows, then one text's two most toxic words."""
+    d, shared_n, stem, parts = toxicity.DISCOUNT, toxicity.SHARED, toxicity.STEM, toxicity.PARTS
+    n = [collections.Counter(), collections.Counter()]
+    stems = [collections.Counter(), collections.Counter()]
+    for t, y in train:
+        w = t.split()
+        n[y].update(set(zip(["<s>", *w], w)))
+        stems[y].update({(cut, x[:cut]) for x in w for cut in toxicity.PREFIXES})
+    mass = [sum(x.values()) for x in n]
+    part = [min(mass) / m for m in mass]
+    k, e = ([collections.Counter(), collections.Counter()] for _ in range(2))
+    used, held = ([collections.Counter(), collections.Counter()] for _ in range(2))
+    for c in (0, 1):
+        for (v, w), m in n[c].items():
+            k[c][w] += 1
+            e[c][w] += round((1 - (1 - part[c]) ** m) * parts) / parts
+            used[c][v] += m * part[c]
+            held[c][v] += max(m - d, 0) * part[c]
+    words = set(e[0]) | set(e[1])
+    pooled = {w: e[0][w] + e[1][w] for w in words}
+    slots = 1 << toxicity.WORD_BITS
+    spread = sum(max(x - d, 0) for x in pooled.values()) + d * len(words)
+    types = sum(max(1, sum(min(x, 1) for x in y.values())) for y in e)
+    shared = lambda w: d * types / 2 * (max(pooled.get(w, 0) - d, 0) + d * len(words) / slots) / spread + shared_n
+    left = lambda c, w: max(k[c][w] - d, 0) * e[c][w] / max(k[c][w], 1) / sum(e[c].values()) * sum(e[1].values())
+    rest_of_slots = (slots - len(words)) * shared(None)
+    whole = [sum(left(c, w) + shared(w) for w in words) + rest_of_slots for c in (0, 1)]
+    both = sum(whole) / 2
+    base = lambda c, w: left(c, w) / whole[c] + shared(w) / both
+    tilt = [sum(base(c, w) / (base(0, w) + base(1, w)) * 2 for w in words) + slots - len(words) for c in (0, 1)]
+
+    def ratio(v, w):
+        s = 0.5
+        for cut in toxicity.PREFIXES:
+            a, b = (stems[c][cut, w[:cut]] * part[c] for c in (0, 1))
+            s = (b + stem * s) / (a + b + stem)
+        p = [left(c, w) / whole[c] + 2 * x * shared(w) / both for c, x in ((0, 1 - s), (1, s))]
+        mean = sum(p) / 2
+        rest = sum(used[c][v] - held[c][v] for c in (0, 1)) / 2
+        least = min(used[0][v], used[1][v])
+        level = [(least + shared_n) / (used[c][v] + shared_n) for c in (0, 1)]
+        up = [max(n[c][v, w] - d, 0) * part[c] * level[c] + (shared_n + rest * mean) / mean * p[c] for c in (0, 1)]
+        norm = [held[c][v] * level[c] + rest + shared_n * tilt[c] for c in (0, 1)]
+        return math.log(up[1] / up[0]) + math.log(norm[0] / norm[1])
+    w = text.split()
+    top = sorted((ratio(v, x) for v, x in zip(["<s>", *w], w)), reverse=True)[:2]
+    return sum(top) / len(top) if top else 0.0
+
+
+def test_toxicity_model_against_plain_formulas(spark):
+    rng = random.Random(18)
+    stems = ["scoun", "blight", "murk", "vile", "house", "river", "garden", "letter", "quiet"]
+    word = lambda toxic: rng.choice(stems[:4] if toxic and rng.random() < 0.2 else stems[4:]) + rng.choice(["", "er", "ing", "ful", "ness", "ish"])
+    train = [(" ".join(word(i % 4 == 0) for _ in range(rng.randint(3, 30))), int(i % 4 == 0)) for i in range(160)]
+    model = toxicity.fit_counts(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(train)], "doc_id long, text string"),
+                                spark.createDataFrame([(i, y, 1.0, 1) for i, (_, y) in enumerate(train)], "id long, toxic int, weight double, part int"))
+    texts = [t for t, _ in train[:10]] + ["scounable riverside", "unknown words only", "blighted", "house vileful garden", ""]
+    got = toxicity.ratios([t.encode() for t in texts], model)
+    for t, r in zip(texts, got):
+        assert abs(r - plain_ratio(train, t)) < 2e-3, t
+    form, none = toxicity.ratios([b"scounless", b"zzyzx"], model)          # a form never seen, and a word like no other
+    assert form > 0.5 > abs(none)
+
+
 # ---- decontamination ----------------------------------------------------------------------------
 
 def test_lcs_length():
