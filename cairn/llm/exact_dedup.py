@@ -22,6 +22,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from cairn.operators.lookups import lookup_join
+
 from .tables import UPPER, written
 
 BLOCK_BYTES = 8192
@@ -95,6 +97,7 @@ def exact_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES, block_hash
     ids = written(identities(docs, block_bytes, block_hash), "identities")
     best = F.max(F.struct("doc_id", "row_id")).alias("best")
     groups = ids.groupBy("level", "id").agg(F.count("*").alias("group_size"), best)
-    return ids.join(groups, ["level", "id"]).select(
+    # a text that many rows share is looked up where its rows lie
+    return lookup_join(ids, written(groups, "groups"), ["level", "id"]).select(
         "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size",
         (F.col("best.row_id") == F.col("row_id")).alias("kept"), "text_sha256")
