@@ -28,6 +28,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
+from cairn.operators.lookups import lookup_join
+
 from .tables import SPACE, written
 
 MIN_CHARS = 20
@@ -65,8 +67,9 @@ def deduplicate_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int
     """Per input row: doc_id, n_lines, n_dropped, kept (the text that stays)."""
     pairs = written(key_pairs(docs, min_chars), "line-keys")
     common = (pairs.groupBy("key").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("keeper"))
-              .filter(F.col("n_docs") >= min_docs).select("key", "keeper"))
-    drops = (pairs.join(common, "key").filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))
+              .filter(F.col("n_docs") >= min_docs).select("key", "keeper", F.lit(True).alias("common")))
+    # a line that many documents share is looked up where its pairs lie
+    drops = (lookup_join(pairs, written(common, "common-lines"), ["key"]).filter(F.col("common") & ~F.col("doc_id").eqNullSafe(F.col("keeper")))
              .groupBy(F.col("doc_id").alias("drop_id")).agg(F.collect_list("key").alias("drop_keys")))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     joined = (texts.join(drops, F.col("doc_id").eqNullSafe(F.col("drop_id")), "left")
