@@ -28,3 +28,28 @@ def test_pipeline_stages(spark):
     copies = mixed.groupBy("doc_id").count().agg({"count": "max"}).first()[0]
     assert copies <= 3
     assert sharded.select(*docs.columns).exceptAll(mixed).isEmpty() and sharded.count() == mixed.count()
+
+
+def test_pipeline_on_messy_rows(spark):
+    """Nulls, empty, very long and repeated texts, repeated ids, clashing columns: each stage keeps the
+    columns, and what stays is what a plain reading of the stage leaves."""
+    from tests.llm.test_models import groups, plain_fingerprint
+    from tests.llm.test_oracles import messy
+    bench = [r.text for r in read(spark, SF_SMALL, "benchmark").limit(3).collect()]
+    more = spark.createDataFrame([(2000 + i, f"{'some other words here ' * i}\n{t}\n{'and more of them ' * i}") for i, t in enumerate(bench)]
+                                 + [(5, "a repeated id"), (5, "a repeated id"), (3000, None), (3001, "")], "doc_id long, text string")
+    docs = messy(spark).unionByName(more, allowMissingColumns=True)
+    frames = [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        frames.append(written(stage(spark, frames[-1], SF_SMALL), f"messy-{name}"))
+    start, calm, single, clean, mixed, sharded = frames
+    assert all(f.columns == docs.columns for f in frames[:-1])
+    rows = sorted(((r.doc_id, r.text) for r in calm.collect()), key=lambda r: r[0])
+    assert len(rows) == start.count()                                    # none of them is toxic
+    first = sorted(rows[g][0] for g in set(groups([plain_fingerprint(t) for _, t in rows], 3)))
+    assert sorted(r.doc_id for r in single.collect()) == first           # two texts may have one id
+    leaked = {2000 + i for i in range(len(bench))}
+    assert sorted(r.doc_id for r in clean.collect()) == [d for d in first if d not in leaked]
+    assert {r.doc_id for r in mixed.collect()} <= set(first) - leaked
+    kept = [c for c in docs.columns if c != "shard"]                     # the last stage sets its own
+    assert sharded.count() == mixed.count() and sharded.select(*kept).exceptAll(mixed.select(*kept)).isEmpty()
