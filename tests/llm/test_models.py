@@ -509,15 +509,125 @@ def test_bit_model_is_a_distribution_and_learns():
 
 def test_document_adaptation_equals_word_by_word():
     rng = random.Random(9)
-    p = {"a": .5, "b": .3, "c": 1e-9}
-    text = [rng.choice("aabbbc") for _ in range(60)]
-    seen, bits = collections.Counter(), 0.0
-    for i, w in enumerate(text):
-        bits -= math.log2((context_mixing.MEMORY * p[w] + seen[w]) / (context_mixing.MEMORY + i))
-        seen[w] += 1
-    kinds = sorted(seen)
-    got = context_mixing.adapted_bits(np.zeros(len(kinds), int), np.array([seen[k] for k in kinds]), np.log([p[k] for k in kinds]), 1)
-    assert abs(got[0] - bits) < 1e-6
+    p = [.5, .3, 1e-9]
+    texts = [[rng.choice([0, 0, 0, 1, 1, 2]) for _ in range(n)] for n in (60, 1, 7)]
+    want = []
+    for text in texts:
+        seen, bits = collections.Counter(), 0.0
+        for i, w in enumerate(text):
+            bits -= math.log2((context_mixing.MEMORY * p[w] + seen[w]) / (context_mixing.MEMORY + i))
+            seen[w] += 1
+        want.append(bits)
+    flat = np.concatenate(texts)
+    got = context_mixing.adapted_bits(np.array([60, 1, 7]), flat, np.log(np.array(p)[flat]))
+    assert np.allclose(got, want, atol=1e-6)
+
+
+def _texts(lines: list[str]) -> context_mixing.Texts:
+    words = [b"", *sorted({w.encode() for t in lines for w in t.split()})]
+    tokens = [[words.index(w.encode()) for w in t.split()] + [0] for t in lines]
+    return context_mixing.Texts(0, list(range(len(lines))), np.array([len(t) for t in lines]),
+                                np.array([len(t) for t in tokens]), words, np.concatenate(tokens).astype(np.int32))
+
+
+def _word_model(lines: list[str], top: int):
+    """Code, counts and a mixer whose weights are not the starting ones."""
+    t = _texts(lines)
+    c = np.bincount(t.tokens, minlength=len(t.words))
+    best = sorted(range(len(c)), key=lambda i: (-c[i], t.words[i]))[:top]
+    code = context_mixing.prefix_code([t.words[i] for i in best], c[best].tolist(), int(c.sum() - c[best].sum()), (12, 12, 11))
+    counts = np.zeros((2, int(code.starts[-1])), np.float32)
+    context_mixing.count_words(code, context_mixing.in_line(code, t), counts)
+    mixer = context_mixing.new_word_mixer()
+    context_mixing.learn_words(code, context_mixing.in_line(code, t), counts, mixer, group=64)
+    return t, code, counts, mixer
+
+
+LINES = [" ".join(random.Random(i).choices("the a cat dog sat ran on of mat rug xylophone".split(), [9, 8, 4, 4, 3, 3, 3, 3, 2, 2, 1], k=i % 17))
+         for i in range(200)]
+
+
+def test_words_are_scored_as_by_a_plain_loop_over_bits():
+    """Every token's bits against scalar arithmetic, one decision after another, the contexts and hashes spelled out."""
+    t, code, counts, mixer = _word_model(LINES, 8)
+    got = context_mixing.path_bits(code, context_mixing.in_line(code, t), counts, mixer)
+    full, at, levels = (1 << 64) - 1, 0, [.5, 1.5, 7.5, 63.5]
+    for n in t.lengths.tolist():
+        before = [0, 0]                                                  # the words two back and one back
+        for k in t.tokens[at:at + n].tolist():
+            two, one = before
+            odd, spread = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
+            contexts = [one * odd & full, ((one * spread + two) * odd + 1) & full, (two * odd + 2) & full]
+            leaf = code.leaf.get(t.words[k], len(code.first) - 1)
+            bits = 0.0
+            for depth in range(code.size[leaf]):
+                step = code.first[leaf] + depth
+                node, bit = int(code.node[step]), int(code.bit[step])
+                slots, start = [node], len(code.first) - 1
+                for context, b in zip(contexts, code.bits):
+                    h = (context ^ ((node + 1) * spread & full)) * odd & full
+                    slots.append((((h ^ (h >> 31)) * odd & full) >> (64 - b)) + start)
+                    start += 1 << b
+                inputs = [math.log((counts[1][s] + .1) / (counts[0][s] + .1)) for s in slots] + [1.0]
+                level = [sum(counts[0][s] + counts[1][s] > x for x in levels) for s in slots]
+                gate = (level[2] * 5 + level[1]) * 4 + min(depth // 3, 3)
+                dot = min(max(sum(w * x for w, x in zip(mixer["weights"][gate], inputs)), -8), 8)
+                x = (dot + 8) * 2
+                low = min(int(x), 31)
+                table = mixer["refine"][min(depth, 7)]
+                refined = table[low] * (1 - x + low) + table[low + 1] * (x - low)
+                p = min(max((1 / (1 + math.exp(-dot)) + refined) / 2, 1e-6), 1 - 1e-6)
+                bits -= math.log2(p if bit else 1 - p)
+            assert abs(bits - got[at]) < 1e-3 * max(1, bits)
+            before = [one, zlib.crc32(t.words[k]) + 1]
+            at += 1
+
+
+def test_paths_are_a_distribution_given_the_words_before():
+    t, code, counts, mixer = _word_model(LINES, 8)
+    for context in ("the cat", "", "xylophone of"):
+        ends = [w.decode() for w in code.leaf if w] + ["unheard"]
+        total = 0.0
+        for w in [*ends, None]:
+            one = _texts([f"{context} {w}" if w else context])
+            bits = context_mixing.path_bits(code, context_mixing.in_line(code, one), counts, mixer)
+            total += 2 ** -bits[len(context.split())]
+        assert abs(total - 1) < 1e-4
+
+
+def test_one_word_code_and_no_words():
+    code = context_mixing.prefix_code([], [], 0, (12, 12, 12))
+    line = context_mixing.in_line(code, _texts(["a b", ""]))
+    counts = np.zeros((2, int(code.starts[-1])), np.float32)
+    assert not context_mixing.path_bits(code, line, counts, context_mixing.new_word_mixer()).any()
+    context_mixing.learn_words(code, line, counts, context_mixing.new_word_mixer())
+
+
+def test_score_depends_on_the_order_of_words_and_beats_the_base(spark):
+    rng = random.Random(4)
+    chains = [[f"w{i}x{j}" for j in range(6)] for i in range(12)]
+    texts = [" ".join(w for _ in range(8) for w in rng.choice(chains)) for _ in range(400)]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    mixed = [(10_000 + i, " ".join(rng.sample(t.split(), 48))) for i, t in rows[:200]]
+    held = lambda i: zlib.crc32(str(i).encode()) % 10 == 0
+    rows += [(i, t) for i, t in mixed if held(i)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'x' AS batch", "1 AS word", "'y' AS bits", "2 AS c")
+    out = context_mixing.score(docs).toPandas()
+    out = out[out.held_out]
+    usual, shuffled = out[out.doc_id < 10_000], out[out.doc_id >= 10_000]
+    assert len(usual) and len(shuffled)
+    assert usual.score.mean() > usual.base_score.mean() / 2              # the next word of a chain is known
+    assert usual.score.min() > shuffled.score.max()
+    assert abs(usual.base_score.mean() - shuffled.base_score.mean()) < 5
+
+
+def test_counts_above_float_precision(spark):
+    big = (1 << 24) + 1
+    rows = spark.createDataFrame([(b"aa", 1 << 24), (b"aa", 1), (b"ab", 3)], "word binary, c long").coalesce(1)
+    counts = context_mixing.context_counts(rows)
+    grid, length, _ = context_mixing._pieces([b"aa"])
+    _, _, slots, one = next(context_mixing._steps(grid, length))
+    assert counts[one[0], slots[0, 0]] == np.float32(big + 3)
 
 
 def test_language_model_prefers_text_of_its_kind(spark):
