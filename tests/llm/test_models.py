@@ -547,17 +547,18 @@ LINES = [" ".join(random.Random(i).choices("the a cat dog sat ran on of mat rug
          for i in range(200)]
 
 
-def test_words_are_scored_as_by_a_plain_loop_over_bits():
+def test_words_are_scored_as_by_a_plain_loop_over_bits(monkeypatch):
     """Every token's bits against scalar arithmetic, one decision after another, the contexts and hashes spelled out."""
+    monkeypatch.setattr(context_mixing, "COMMON", 3)
     t, code, counts, mixer = _word_model(LINES, 8)
     got = context_mixing.path_bits(code, context_mixing.in_line(code, t), counts, mixer)
     full, at, levels = (1 << 64) - 1, 0, [.5, 1.5, 7.5, 63.5]
     for n in t.lengths.tolist():
-        before = [0, 0]                                                  # the words two back and one back
+        before, common = [0, 0], 0                                       # the words two back and one back
         for k in t.tokens[at:at + n].tolist():
             two, one = before
             odd, spread = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
-            contexts = [one * odd & full, ((one * spread + two) * odd + 1) & full, (two * odd + 2) & full]
+            contexts = [one * odd & full, ((one * spread + two) * odd + 1) & full, (common * odd + 2) & full]
             leaf = code.leaf.get(t.words[k], len(code.first) - 1)
             bits = 0.0
             for depth in range(code.size[leaf]):
@@ -580,6 +581,7 @@ def test_words_are_scored_as_by_a_plain_loop_over_bits():
                 bits -= math.log2(p if bit else 1 - p)
             assert abs(bits - got[at]) < 1e-3 * max(1, bits)
             before = [one, zlib.crc32(t.words[k]) + 1]
+            common = before[1] if code.leaf.get(t.words[k], 99) < 3 and t.words[k] else common
             at += 1
 
 
@@ -623,8 +625,8 @@ def test_score_depends_on_the_order_of_words_and_beats_the_base(spark):
 
 def test_counts_above_float_precision(spark):
     big = (1 << 24) + 1
-    rows = spark.createDataFrame([(b"aa", 1 << 24), (b"aa", 1), (b"ab", 3)], "word binary, c long").coalesce(1)
-    counts = context_mixing.context_counts(rows)
+    rows = spark.createDataFrame([(b"aa", 1 << 24), (b"aa", 1), (b"ab", 3)], "word binary, c long")
+    counts = context_mixing.context_counts(rows, 130)                     # more tables than are added at a time
     grid, length, _ = context_mixing._pieces([b"aa"])
     _, _, slots, one = next(context_mixing._steps(grid, length))
     assert counts[one[0], slots[0, 0]] == np.float32(big + 3)
