@@ -551,7 +551,7 @@ def test_words_are_scored_as_by_a_plain_loop_over_bits(monkeypatch):
     """Every token's bits against scalar arithmetic, one decision after another, the contexts and hashes spelled out."""
     monkeypatch.setattr(context_mixing, "COMMON", 3)
     t, code, counts, mixer = _word_model(LINES, 8)
-    got = context_mixing.path_bits(code, context_mixing.in_line(code, t), counts, mixer)
+    got = context_mixing.path_bits(code, context_mixing.in_line(code, t), context_mixing.looked_up(counts), mixer)
     full, at, levels = (1 << 64) - 1, 0, [.5, 1.5, 7.5, 63.5]
     for n in t.lengths.tolist():
         before, common = [0, 0], 0                                       # the words two back and one back
@@ -592,7 +592,7 @@ def test_paths_are_a_distribution_given_the_words_before():
         total = 0.0
         for w in [*ends, None]:
             one = _texts([f"{context} {w}" if w else context])
-            bits = context_mixing.path_bits(code, context_mixing.in_line(code, one), counts, mixer)
+            bits = context_mixing.path_bits(code, context_mixing.in_line(code, one), context_mixing.looked_up(counts), mixer)
             total += 2 ** -bits[len(context.split())]
         assert abs(total - 1) < 1e-4
 
@@ -601,7 +601,7 @@ def test_one_word_code_and_no_words():
     code = context_mixing.prefix_code([], [], 0, (12, 12, 12))
     line = context_mixing.in_line(code, _texts(["a b", ""]))
     counts = np.zeros((2, int(code.starts[-1])), np.float32)
-    assert not context_mixing.path_bits(code, line, counts, context_mixing.new_word_mixer()).any()
+    assert not context_mixing.path_bits(code, line, context_mixing.looked_up(counts), context_mixing.new_word_mixer()).any()
     context_mixing.learn_words(code, line, counts, context_mixing.new_word_mixer())
 
 
