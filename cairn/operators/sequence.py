@@ -15,8 +15,8 @@ running sums with a distributed prefix sum instead:
    are written once, so the totals and the rows agree on range numbers;
 4. position = local position + offset.
 
-Rolling N-row sums are then ``cum(i) - cum(i - N)`` by an equi-join on
-(key, position), and runs of a flag are groups of equal "zeros so far".
+Runs of a flag are then groups of equal "zeros so far". Rolling N-row sums use the
+same ranges, each with the N - 1 rows before it lent by the ranges it follows.
 """
 
 from __future__ import annotations
@@ -89,13 +89,41 @@ def global_rank(df: DataFrame, order: Sequence, out: str = "rank") -> DataFrame:
 
 def rolling_sum(df: DataFrame, key: str, order: Sequence[str], value: str, width: int, *,
                 out: str | None = None, partitions: int | None = None) -> DataFrame:
-    """Sum of ``value`` over the current row and the ``width - 1`` rows before it, per key."""
+    """Sum of ``value`` (integral, NULL counts as 0) over the current row and the ``width - 1`` rows
+    before it, per key, and each row's ``pos`` in its key. ``order`` must be a total order within key;
+    a NULL key is a key of its own.
+
+    Rows are sorted into ranges and written once. A key that goes on in a later range lends it its
+    last ``width - 1`` rows, from several ranges where these are shorter than that; so one window
+    over (range, key) sees every row it needs, and lent rows are at most ranges x (width - 1).
+    """
     out = out or f"rolling_{value}"
-    rt = running_totals(df, key, order, [value], partitions=partitions)   # reads a checkpoint twice
-    back = rt.select(key, (F.col("pos") + width).alias("pos"), F.col(f"cum_{value}").alias("_back"))
-    return (_join_null_safe(rt, back, [key, "pos"])
-            .select(key, *order, value, "pos",
-                    (F.col(f"cum_{value}") - F.coalesce("_back", F.lit(0))).alias(out)))
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = written(df.select(key, *order, F.col(value).cast("bigint").alias(value))
+                   .repartitionByRange(n, key, *order).sortWithinPartitions(key, *order)
+                   .withColumn("_id", F.monotonically_increasing_id()), "ranges")
+    rows = rows.withColumn("_pid", F.shiftright("_id", 33))
+    # At most 2(n - 1) rows: only a key on both sides of one of the n - 1 boundaries is in several ranges.
+    wk = Window.partitionBy(key)
+    wo = wk.orderBy("_pid")
+    parts = (rows.groupBy("_pid", key).agg(F.count(F.lit(1)).alias("_n"), F.max("_id").alias("_last"))
+             .withColumn("_parts", F.count(F.lit(1)).over(wk)).where("_parts > 1")
+             .withColumn("_before", F.coalesce(F.sum("_n").over(wo.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))))
+    # A range of at least one row lends to at most the width - 1 next ones.
+    later = F.collect_list(F.struct("_pid", "_before")).over(wo.rowsBetween(1, max(1, width - 1)))
+    lends = (parts.withColumn("_later", later).withColumn("_to", F.explode("_later"))
+             .withColumn("_take", width - 1 - (F.col("_to._before") - F.col("_before") - F.col("_n")))
+             .where("_take > 0").select("_pid", key, F.col("_to._pid").alias("_for"), "_last", "_take"))
+    lent = (_join_null_safe(rows, F.broadcast(lends), ["_pid", key], "inner")
+            .where(F.col("_id") > F.col("_last") - F.col("_take"))
+            .select(key, *order, value, "_id", F.col("_for").alias("_pid"), F.lit(1).alias("_lent")))
+    w = Window.partitionBy("_pid", key).orderBy("_id")
+    summed = (rows.withColumn("_lent", F.lit(0)).unionByName(lent)
+              .withColumns({out: F.sum(F.coalesce(value, F.lit(0))).over(w.rowsBetween(1 - width, Window.currentRow)),
+                            "_place": F.sum(1 - F.col("_lent")).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))})
+              .where("_lent = 0"))
+    return (_join_null_safe(summed, F.broadcast(parts.select("_pid", key, "_before")), ["_pid", key])
+            .select(key, *order, value, (F.col("_place") + F.coalesce("_before", F.lit(0))).cast("bigint").alias("pos"), out))
 
 
 def longest_run(df: DataFrame, key: str, order: Sequence[str], flag: str, *, out: str = "longest_streak",

@@ -89,6 +89,27 @@ def test_rolling_and_streak_match_window(spark):
     assert streak.count() == 3
 
 
+def test_rolling_sum_over_ranges_shorter_than_its_width(spark):
+    """A hot key over 40 ranges of about 10 rows: a sum of 60 rows needs the rows of several ranges before its own."""
+    from pyspark.sql import Window
+    df = spark.range(400).select(F.when(F.col("id") % 10 > 0, "hot").alias("k"), F.col("id").alias("t"),
+                                 F.when(F.col("id") % 7 > 0, F.hash("id") % 9).cast("long").alias("v"))
+    w = Window.partitionBy("k").orderBy("t")
+    want = df.withColumns({"pos": F.row_number().over(w).cast("long"), "w": F.sum(F.coalesce("v", F.lit(0))).over(w.rowsBetween(-59, 0))})
+    got = sequence.rolling_sum(df, "k", ["t"], "v", 60, out="w", partitions=40)
+    assert got.schema.names == ["k", "t", "v", "pos", "w"] and got.count() == 400
+    assert got.exceptAll(want).count() == 0
+    assert sequence.rolling_sum(df.limit(0), "k", ["t"], "v", 60, out="w").count() == 0
+    alone = sequence.rolling_sum(df, "k", ["t"], "v", 1, out="w", partitions=40)
+    assert alone.where("w <> coalesce(v, 0)").count() == 0
+
+
+def test_rolling_sum_joins_rows_with_broadcasts_only(spark):
+    df = spark.range(1000).select((F.col("id") % 3).alias("k"), F.col("id").alias("t"), F.col("id").alias("v"))
+    plan = sequence.rolling_sum(df, "k", ["t"], "v", 90, out="w", partitions=6)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan and plan.count("BroadcastHashJoin") == 2
+
+
 def test_sessions_by_gap_equals_session_window_on_hot_key(spark):
     import datetime as dt
     from cairn.streaming import windows
