@@ -103,12 +103,15 @@ def rolling_sum(df: DataFrame, key: str, order: Sequence[str], value: str, width
                    .repartitionByRange(n, key, *order).sortWithinPartitions(key, *order)
                    .withColumn("_id", F.monotonically_increasing_id()), "ranges")
     rows = rows.withColumn("_pid", F.shiftright("_id", 33))
-    # At most 2(n - 1) rows: only a key on both sides of one of the n - 1 boundaries is in several ranges.
+    # At most 2(n - 1) rows, as only a key on both sides of one of the n - 1 boundaries is in several
+    # ranges; written, as they are read twice and the rows need not be counted again.
     wk = Window.partitionBy(key)
     wo = wk.orderBy("_pid")
-    parts = (rows.groupBy("_pid", key).agg(F.count(F.lit(1)).alias("_n"), F.max("_id").alias("_last"))
-             .withColumn("_parts", F.count(F.lit(1)).over(wk)).where("_parts > 1")
-             .withColumn("_before", F.coalesce(F.sum("_n").over(wo.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))))
+    parts = written(
+        rows.groupBy("_pid", key).agg(F.count(F.lit(1)).alias("_n"), F.max("_id").alias("_last"))
+        .withColumn("_parts", F.count(F.lit(1)).over(wk)).where("_parts > 1")
+        .withColumn("_before", F.coalesce(F.sum("_n").over(wo.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))),
+        "range-parts")
     # A range of at least one row lends to at most the width - 1 next ones.
     later = F.collect_list(F.struct("_pid", "_before")).over(wo.rowsBetween(1, max(1, width - 1)))
     lends = (parts.withColumn("_later", later).withColumn("_to", F.explode("_later"))
