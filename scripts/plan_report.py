@@ -60,8 +60,8 @@ NOTES = """
 * Hash exchanges follow the entity key of each pipeline, and each one carries partially
   aggregated rows (map-side combine): dedupe, date lists, arrays, audits. Windows sit only on
   per-(entity, period) rows, so a window partition is bounded by the number of periods.
-* The distributed prefix sums (`max_wins_90`, `longest_streak`, `sessionize`,
-  `session_host_stats`) range-partition once and use windows inside ranges. They replace
+* The distributed prefix sums (`longest_streak`, `sessionize`, `session_host_stats`) and the rolling
+  sums (`max_wins_90`, whose ranges lend each other their last rows) range-partition once and use windows inside ranges. They replace
   per-team, per-player and per-(ip, host) windows, which would run one task per key. Where their
   result is read twice it is checkpointed to the shared folder, so the table shows only the plan
   after the checkpoint.
