@@ -20,8 +20,10 @@ BUCKET_BYTES = 1 << 30
 
 def bucket_count(df: DataFrame, bucket_bytes: int = BUCKET_BYTES, least: int = BUCKETS) -> int:
     """Buckets of about ``bucket_bytes`` for a table, a power of two so that tables of unequal counts
-    can still be joined bucket by bucket. The size is the optimizer's estimate; nothing is run."""
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    can still be joined bucket by bucket. The size is that of all the tables ``df`` reads, nothing is
+    run: the optimizer's estimate of a join is the product of its sides, far above what it returns."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
     n = least
     while n * bucket_bytes < size and n < 1 << 17:
         n *= 2
@@ -67,9 +69,13 @@ def write_bucketed(df: DataFrame, table: str, path: str, key: str | None = "matc
     (plain when ``key`` is None), registered in the catalog as ``table``.
 
     Rows are dealt by the bucket key before the write, so a bucket is one file, not one per task.
-    ``buckets`` is a layout parameter, e.g. ``bucket_count(df)`` (100 TB at 1 GB: 131,072)."""
+    ``buckets`` is a layout parameter, e.g. ``bucket_count(df)`` (100 TB at 1 GB: 131,072); Spark's
+    bound on it is raised to it where it is lower, as it is read when the write is planned."""
     if key is not None:
         df = df.repartition(buckets, key)
+        spark = df.sparkSession
+        most = max(buckets, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
+        spark.conf.set("spark.sql.sources.bucketing.maxBuckets", str(most))
     w = df.write.mode("overwrite").format("parquet").option("path", path)
     if key is not None:
         w = w.bucketBy(buckets, key).sortBy(key)

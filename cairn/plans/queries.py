@@ -513,8 +513,9 @@ def _bucketed(spark, sf_dir, name: str, rows, key: str | None = "match_id", buck
 
 @query
 def match_joined(spark, sf_dir):
-    names = [_bucketed(spark, sf_dir, n, rows) for n, rows in (
-        ("match_details", td.match_details), ("matches", td.matches), ("medals_matches_players", td.medals_matches_players))]
+    sides = (("match_details", td.match_details), ("matches", td.matches), ("medals_matches_players", td.medals_matches_players))
+    n = max(mt.bucket_count(rows(spark, sf_dir)) for _, rows in sides)       # one count, so that no side is shuffled
+    names = [_bucketed(spark, sf_dir, name, rows, buckets=n) for name, rows in sides]
     return mt.bucketed_match_join(spark, *names, td.maps(spark, sf_dir), td.medals(spark, sf_dir))
 
 

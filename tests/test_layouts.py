@@ -124,6 +124,24 @@ def test_bucket_count_follows_the_size(spark):
     assert mt.bucket_count(df, bucket_bytes=1) == 1 << 17
 
 
+def test_bucket_count_of_a_join_follows_its_tables(spark):
+    """Not the product of their sizes, which asks for more buckets than Spark allows."""
+    rows = spark.range(1_000_000).join(spark.range(100_000), "id").groupBy("id").count()
+    assert mt.bucket_count(rows, bucket_bytes=100_000) == 128          # 8.8 MB
+
+
+def test_more_buckets_than_the_session_allows_are_written(spark):
+    key = "spark.sql.sources.bucketing.maxBuckets"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "8")
+    try:
+        name = f"t_most_{scratch_path(spark, 'x')[-6:]}"
+        mt.write_bucketed(spark.range(500).withColumnRenamed("id", "match_id"), name, scratch_path(spark, "most"), buckets=16)
+        assert spark.table(name).count() == 500 and len(spark.table(name).inputFiles()) == 16
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_new_input_is_not_served_from_older_tables(spark, tmp_path):
     for t in td.TABLES:
         spark.read.parquet(f"{SF_SMALL}/{t}.parquet").write.parquet(str(tmp_path / f"{t}.parquet"))
