@@ -202,21 +202,22 @@ def ratios(texts: list[bytes | None], model: dict[str, np.ndarray]) -> np.ndarra
     return np.concatenate([np.zeros(0), *parts])
 
 
-def _toxic_share(stems: list[np.ndarray], model: dict[str, np.ndarray]) -> np.ndarray:
-    """Per word the toxic class's share of its backoff counts, from words that begin like it."""
-    share = np.float32(0.5)
+def _shares(stems: list[np.ndarray], model: dict[str, np.ndarray]) -> list[np.ndarray]:
+    """Per word each class's share of its backoff counts, from words that begin like it. Each is smoothed
+    by itself: 1 less the other is 0 in short floats where thousands of texts of one class hold a word
+    and none of the other."""
+    shares = [np.float32(0.5)] * 2
     for cut, h in zip(PREFIXES, stems):
         at = (h >> np.uint64(64 - PREFIX_BITS)).astype(np.int64)
-        plain, toxic = model[f"stem{cut}_0"][at], model[f"stem{cut}_1"][at]
-        share = (toxic + np.float32(STEM) * share) / (plain + toxic + np.float32(STEM))
-    return share
+        counts = [model[f"stem{cut}_{c}"][at] for c in (0, 1)]
+        shares = [(n + np.float32(STEM) * s) / (counts[0] + counts[1] + np.float32(STEM)) for n, s in zip(counts, shares)]
+    return shares
 
 
 def _ratios(texts: list[bytes | None], model: dict[str, np.ndarray]) -> np.ndarray:
     v, w, at, stems = _pairs(texts)
     word, pair, ctx = _slots(v, w)
-    share = _toxic_share(stems, model)
-    plain, toxic = (model[f"own{c}"][word] + 2 * s * model["shared"][word] for c, s in ((0, 1 - share), (1, share)))
+    plain, toxic = (model[f"own{c}"][word] + 2 * s * model["shared"][word] for c, s in enumerate(_shares(stems, model)))
     mean = (plain + toxic) / 2
     shared = (SHARED + model["rest"][ctx] * mean) / mean
     toxic, plain = (model[f"pair{c}"][pair] + shared * p for c, p in ((1, toxic), (0, plain)))

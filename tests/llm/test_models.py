@@ -286,6 +286,18 @@ def plain_ratio(train, text):
     return sum(top) / len(top) if top else 0.0
 
 
+def test_toxicity_where_thousands_of_texts_of_one_class_hold_a_word(spark):
+    """The other class's share of such a word is small, not 0: its ratio and all scores are finite and rank held-out rows."""
+    names = ["door", "river", "stone", "cloud", "bread", "paper"]
+    data = [(i, f"{names[i % 6]} {'scoundrel' if i % 2 else 'neighbour'} {names[i // 6 % 6]}") for i in range(3600)]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, i % 2) for i, _ in data], "doc_id long, quality int, toxic int")
+    model = toxicity.fit_counts(docs, labels.selectExpr("doc_id AS id", "toxic", "1D AS weight", "1 AS part"))
+    assert np.isfinite(toxicity.ratios([t.encode() for _, t in data[:12]], model)).all()
+    held = [r for r in toxicity.toxicity(docs, labels).collect() if r.held_out]
+    assert min(r.score for r in held if r.doc_id % 2) > 0.7 > max(r.score for r in held if r.doc_id % 2 == 0)
+
+
 def test_toxicity_model_against_plain_formulas(spark):
     rng = random.Random(18)
     stems = ["scoun", "blight", "murk", "vile", "house", "river", "garden", "letter", "quiet"]
