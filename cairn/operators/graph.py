@@ -86,15 +86,16 @@ def pair_cells(side: DataFrame, block: int = PAIR_BLOCK) -> tuple[DataFrame, Dat
     return low, high
 
 
-def player_pair_stats(details: DataFrame, block: int = PAIR_BLOCK) -> DataFrame:
+def player_pair_stats(details: DataFrame, block: int = PAIR_BLOCK, stored: bool = False) -> DataFrame:
     """(subject, object, edge_type) pair statistics over shared games; the subject has the greater id.
 
     The output is by definition one row per co-occurring pair, so pairs of one game are the
     operator itself; large games are joined block by block (``pair_cells``), each pair once. The
-    input is written once and read by both sides. Two players are told apart by their id alone, so
-    players of one name make pairs too.
+    input is written once and read by both sides, unless it is ``stored`` already. Two players are
+    told apart by their id alone, so players of one name make pairs too.
     """
-    side = written(details.select("game_id", "player_id", "player_name", "team_abbreviation", "pts"), "pair-input")
+    side = details.select("game_id", "player_id", "player_name", "team_abbreviation", "pts")
+    side = side if stored else written(side, "pair-input")
     low, high = pair_cells(side, block)
     a, b = low.alias("a"), high.alias("b")
     later = F.col("a.player_id") > F.col("b.player_id")
@@ -115,8 +116,8 @@ def player_pair_stats(details: DataFrame, block: int = PAIR_BLOCK) -> DataFrame:
                  F.sum("_op").cast("bigint").alias("object_points")))
 
 
-def player_player_edges(details: DataFrame) -> DataFrame:
-    p = player_pair_stats(details)
+def player_player_edges(details: DataFrame, stored: bool = False) -> DataFrame:
+    p = player_pair_stats(details, stored=stored)
     return p.select(_s("subject_player_id").alias("subject_identifier"), F.lit("player").alias("subject_type"),
                     _s("object_player_id").alias("object_identifier"), F.lit("player").alias("object_type"),
                     "edge_type",
@@ -125,15 +126,15 @@ def player_player_edges(details: DataFrame) -> DataFrame:
 
 
 def matchups(vertices: DataFrame, edges: DataFrame) -> DataFrame:
-    """Player vertex joined to its player-player edges on (identifier, type); JSON fields read back."""
+    """Player vertex joined to its player-player edges on (identifier, type); JSON fields read back,
+    a vertex's once and not per edge, an edge's in one pass."""
+    games = F.get_json_object("properties", "$.number_of_games").cast("double")
+    pts = F.get_json_object("properties", "$.total_points").cast("double")
     v = vertices.select(F.col("identifier").alias("_id"), F.col("type").alias("_type"),
-                        F.col("properties").alias("_vp"))
-    e = edges.where(F.col("object_type") == "player")
+                        F.get_json_object("properties", "$.player_name").alias("player_name"),
+                        (games / F.when(pts == 0, F.lit(1.0)).otherwise(pts)).alias("game_point_ratio"))
+    told = F.from_json("properties", "subject_points string, num_games string")
+    e = edges.where(F.col("object_type") == "player").withColumn("_told", told)
     j = v.join(e, (v["_id"] == e["subject_identifier"]) & (v["_type"] == e["subject_type"]))
-    games = F.get_json_object("_vp", "$.number_of_games").cast("double")
-    pts = F.get_json_object("_vp", "$.total_points").cast("double")
-    return j.select(F.get_json_object("_vp", "$.player_name").alias("player_name"),
-                    F.col("object_identifier").alias("opponent_id"),
-                    (games / F.when(pts == 0, F.lit(1.0)).otherwise(pts)).alias("game_point_ratio"),
-                    F.get_json_object("properties", "$.subject_points").alias("player_points"),
-                    F.get_json_object("properties", "$.num_games").alias("matchup_games"))
+    return j.select("player_name", F.col("object_identifier").alias("opponent_id"), "game_point_ratio",
+                    F.col("_told.subject_points").alias("player_points"), F.col("_told.num_games").alias("matchup_games"))

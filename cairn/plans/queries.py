@@ -467,8 +467,9 @@ def edges_plays_on(spark, sf_dir):
 
 @query
 def graph_matchups(spark, sf_dir):
-    dd = _dd(spark, sf_dir)
-    return gr.matchups(gr.player_vertices(dd), gr.player_player_edges(dd))
+    dd = _dd(spark, sf_dir).select("game_id", "player_id", "player_name", "team_id", "team_abbreviation", "pts")
+    dd = written(dd, "matchup-details")                          # read by the vertices and by the edges
+    return gr.matchups(gr.player_vertices(dd), gr.player_player_edges(dd, stored=True))
 
 
 # ----------------------------------------------------------------- matches ---

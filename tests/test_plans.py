@@ -212,3 +212,16 @@ def test_bucket_of_matches_writer_buckets(spark):
                    bucket_of(F.col("match_id"), 16).alias("computed")))
     assert got.where(F.col("file_bucket") != F.col("computed")).count() == 0
     assert got.select("file_bucket").distinct().count() > 1
+
+
+def test_matchups_compute_the_details_once_and_read_a_vertex_once(spark):
+    df = E.queries()["graph_matchups"](spark, SF_SMALL)
+    assert not [f for f in df.inputFiles() if "lineitem" in f]
+    above_join = df._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]
+    assert "get_json_object" not in above_join
+    text = "identifier string, type string, properties string"
+    v = spark.createDataFrame([("1", "player", '{"player_name":"a","number_of_games":3,"total_points":0}')], text)
+    e = spark.createDataFrame([("1", "player", "2", "player", '{"num_games":2,"subject_points":null,"object_points":4}')],
+                              "subject_identifier string, subject_type string, object_identifier string, object_type string, properties string")
+    from cairn.operators import graph
+    assert [tuple(r) for r in graph.matchups(v, e).collect()] == [("a", "2", 3.0, None, "2")]
