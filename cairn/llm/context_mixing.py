@@ -21,13 +21,13 @@ gives total bits per byte. (It adds up to a little less than 1: spellings of kno
 1. ``encoded``: one pass over the texts; per batch of documents its distinct words and the tokens as
    numbers of these, in order. Written once.
 2. ``vocabulary``: exact training counts per word, summed over batches. It grows with the corpus.
-3. Spelling: counts from the whole vocabulary, weights from one training word of ``LEARN_OF``. Only
-   words that training has not seen are spelled.
+3. Spelling: counts and weights from the whole vocabulary. Only words that training has not seen are
+   spelled.
 4. Counts of the word contexts from every training text: each task counts in tables whose size
    follows the corpus up to ``CONTEXT_BITS``, in 64-bit integers; Spark sums their slots.
-5. Weights and refinement, online over the training texts in order, each decision predicted
-   without itself (leave-one-out): one training document of ``LEARN_OF`` by its id's checksum, at every
-   size. Tasks learn apart, and the few hundred weights are averaged.
+5. Weights and refinement, online over all training texts in order, each decision predicted
+   without itself (leave-one-out), from tables of what a slot says without the decision at hand.
+   Tasks learn apart, and the few hundred weights are averaged.
 6. Words outside the code join their counts and spellings and come back to their batch, where the
    texts are scored in order.
 
@@ -56,7 +56,6 @@ from .tables import written
 from .words import in_parts
 
 HELD_OUT_OF = 10
-LEARN_OF = 10                              # one in so many training documents and words teaches the weights
 FREQUENT = 1 << 16                         # words with a path of their own in the code
 CONTEXT_BITS = (21, 21, 21)                # tables of one word before, two words before, the last common word
 COMMON = 32                                # so many words are common
@@ -81,10 +80,6 @@ def _held_out(doc_id: int | None) -> bool:
     return _checksum(doc_id) % HELD_OUT_OF == 0
 
 
-def _teaches(checksum: int) -> bool:
-    return checksum // HELD_OUT_OF % LEARN_OF == 0
-
-
 # ---- texts as numbered words ----------------------------------------------------------------
 
 TEXTS = "batch long, ids array<long>, sizes array<long>, lengths array<long>, words binary, tokens binary"
@@ -306,24 +301,57 @@ def path_bits(code: Code, line: Line, seen: tuple[np.ndarray, np.ndarray], mixer
     return bits
 
 
+def left_out(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What learning reads of each slot and the bit to come (place 2 * slot + bit): the slot's prediction
+    in the logistic domain and how often it was seen (as a place in ``SEEN``), without that decision."""
+    stretch, level = np.empty((counts.shape[1], 2), np.float32), np.empty((counts.shape[1], 2), np.uint8)
+    for lo in range(0, len(level), SLICE):
+        for bit in (0, 1):
+            zero, ones = counts[:, lo:lo + SLICE].astype(np.float32)
+            if bit:
+                ones = np.maximum(ones - 1, 0)
+            else:
+                zero = np.maximum(zero - 1, 0)
+            stretch[lo:lo + SLICE, bit] = np.log((ones + np.float32(DELTA)) / (zero + np.float32(DELTA)))
+            level[lo:lo + SLICE, bit] = np.searchsorted(SEEN, zero + ones)
+    return stretch.reshape(-1), level.reshape(-1)
+
+
+def _step(mixer: dict, gate: np.ndarray, inputs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The mixed prediction of a 1 and its place in the refining table."""
+    weights = mixer["weights"].T.astype(np.float32)
+    dot = weights[-1].take(gate)
+    for w, x in zip(weights, inputs):
+        dot += w.take(gate) * x
+    np.clip(dot, -8, 8, out=dot)
+    x = (dot + np.float32(8)) * np.float32((LEVELS - 1) / 16)
+    low = np.minimum(x.astype(np.int64), LEVELS - 2)
+    return 1 / (1 + np.exp(-dot)), low, x - low
+
+
 def learn_words(code: Code, line: Line, counts: np.ndarray, mixer: dict, group: int = GROUP) -> None:
     """One online pass over the tokens in order, a group at a time, each without itself."""
+    learn_line(code, line, left_out(counts), mixer, group)
+
+
+def learn_line(code: Code, line: Line, left: tuple[np.ndarray, np.ndarray], mixer: dict, group: int = GROUP) -> None:
+    """``learn_words`` from the tables of ``left_out``."""
+    stretch, level = left
+    gates = len(mixer["weights"])
     for lo in range(0, len(line.leaf), group):
-        at, depth, slots, one = decisions(code, line, lo, min(lo + group, len(line.leaf)))
-        if not len(at):
+        _, depth, slots, one = decisions(code, line, lo, min(lo + group, len(line.leaf)))
+        if not len(one):
             continue
-        hit, slots = one.astype(np.float32), np.stack(slots, 1)
-        zero = np.maximum(counts[0][slots] - (1 - hit)[:, None], 0)
-        ones = np.maximum(counts[1][slots] - hit[:, None], 0)
-        inputs = np.ones((len(at), slots.shape[1] + 1), np.float32)
-        inputs[:, :-1] = np.log((ones + np.float32(DELTA)) / (zero + np.float32(DELTA)))
+        hit, places = one.astype(np.float32), [2 * s + one for s in slots]
+        inputs = [stretch.take(x) for x in places]
         row = np.minimum(depth, DEPTHS - 1)
-        gate = word_gate(np.searchsorted(SEEN, (zero + ones)[:, 1:3].T), depth)
-        p, _, low, part = _mixed(mixer, gate, row, inputs, 0)
-        mass = np.bincount(gate, minlength=len(mixer["weights"]))
-        step = (hit - p)[:, None] * np.clip(inputs, -4, 4)
-        for i in range(inputs.shape[1]):
-            mixer["weights"][:, i] += LEARN_WORDS * np.bincount(gate, step[:, i], minlength=len(mass)) / np.maximum(mass, 32)
+        gate = word_gate([level.take(x).astype(np.int64) for x in places[1:3]], depth)
+        p, low, part = _step(mixer, gate, inputs)
+        mass = np.maximum(np.bincount(gate, minlength=gates), 32)
+        step = hit - p
+        for i, x in enumerate(inputs):
+            mixer["weights"][:, i] += LEARN_WORDS * np.bincount(gate, step * np.clip(x, -4, 4), minlength=gates) / mass
+        mixer["weights"][:, -1] += LEARN_WORDS * np.bincount(gate, step, minlength=gates) / mass
         table = mixer["refine"].reshape(-1)
         for place, share in ((row * LEVELS + low, 1 - part), (row * LEVELS + low + 1, part)):
             pull = np.bincount(place, share, minlength=len(table))
@@ -379,8 +407,11 @@ def _steps(grid: np.ndarray, length: np.ndarray) -> Iterator[tuple[int, int, np.
 
 def _gate(seen: np.ndarray, bit: int) -> np.ndarray:
     """Which weights to use: how often the two longest contexts were seen, and if a byte begins."""
-    level = np.searchsorted(SEEN, seen)
-    return (level[:, 1] * 5 + level[:, 0]) * 2 + (bit == 0)
+    return _placed(np.searchsorted(SEEN, seen), bit)
+
+
+def _placed(level: np.ndarray, bit: int) -> np.ndarray:
+    return (level[:, 1].astype(np.int64) * 5 + level[:, 0]) * 2 + (bit == 0)
 
 
 SEEN = np.array([0.5, 1.5, 7.5, 63.5], np.float32)
@@ -435,20 +466,23 @@ def word_bits(words: list[bytes], counts: np.ndarray, mixer: dict) -> np.ndarray
 
 def learn(words: list[bytes], c: np.ndarray, counts: np.ndarray, mixer: dict, group: int = 4096) -> None:
     """One online pass: weights and refinement follow the words in order, a group at a time."""
+    learn_spelling(words, c, left_out(counts), mixer, group)
+
+
+def learn_spelling(words: list[bytes], c: np.ndarray, left: tuple[np.ndarray, np.ndarray], mixer: dict, group: int = 4096) -> None:
+    """``learn`` from the tables of ``left_out``: each decision without the word itself."""
     done, mixer = mixer, {k: v.astype(np.float32) for k, v in mixer.items()}
-    side_by_side = np.ascontiguousarray(counts.T)
+    stretch, level = left
     for lo in range(0, len(words), group):
         grid, length, owner = _pieces(words[lo:lo + group])
         root = np.sqrt(c[lo:lo + group][owner]).astype(np.float32)
         none = np.zeros(len(TABLE_BITS) + 1, np.float32)
         for live, bit, slots, one in _steps(grid, length):
             hit = one.astype(np.float32)
-            n = side_by_side[slots]
-            zero = np.maximum(n[..., 0] - (1 - hit)[:, None], 0)         # without the word itself
-            ones = np.maximum(n[..., 1] - hit[:, None], 0)
+            place = 2 * slots + one[:, None]
             inputs = np.ones((live, len(none)), np.float32)
-            inputs[:, :-1] = np.log((ones + np.float32(DELTA)) / (zero + np.float32(DELTA)))
-            gate = _gate((zero + ones)[:, -2:], bit)
+            inputs[:, :-1] = stretch.take(place)
+            gate = _placed(level.take(place[:, -2:]), bit)
             p, final, low, part = _mixed(mixer, gate, bit, inputs, none)
             w = root[:live]
             mass = np.bincount(gate, w, minlength=GATES)
@@ -561,26 +595,27 @@ def _fitted(rows: DataFrame, online, new) -> dict[str, np.ndarray]:
     return mixer
 
 
-def fit_spelling(trained: DataFrame, counts) -> dict[str, np.ndarray]:
+def fit_spelling(trained: DataFrame, left) -> dict[str, np.ndarray]:
+    """The weights, learned from every training word."""
     def online(batches, mixer) -> int:
         seen = 0
         for b in batches:
             words, c = b.column("word").to_pylist(), b.column("c").to_numpy()
-            keep = np.array([_teaches(zlib.crc32(w)) for w in words], bool)
-            learn([w for w, k in zip(words, keep) if k], c[keep], counts.value, mixer)
-            seen += int(keep.sum())
+            learn_spelling(words, c, left.value, mixer)
+            seen += len(words)
         return seen
 
     return _fitted(trained, online, new_mixer)
 
 
-def fit_words(texts: DataFrame, code, counts) -> dict[str, np.ndarray]:
+def fit_words(texts: DataFrame, code, left) -> dict[str, np.ndarray]:
+    """The weights, learned from every training text."""
     def online(batches, mixer) -> int:
         seen, paths = 0, Code(*code.value)
         for b in batches:
             for t in Texts.of(b):
-                t = t.only(np.array([not _held_out(i) and _teaches(_checksum(i)) for i in t.ids], bool))
-                learn_words(paths, in_line(paths, t), counts.value, mixer)
+                t = t.training()
+                learn_line(paths, in_line(paths, t), left.value, mixer)
                 seen += len(t.tokens)
         return seen
 
@@ -636,8 +671,11 @@ def score(docs: DataFrame) -> DataFrame:
     code = spark.sparkContext.broadcast(tuple(prefix_code(top.column("word").to_pylist(), known, others, bits)))
 
     trained = vocab.filter("c > 0")
-    letters = spark.sparkContext.broadcast(context_counts(trained, max(4, -(-distinct // WORDS_A_TABLE))))  # 32 MB
-    mixer = fit_spelling(trained.repartition(max(4, -(-distinct // WORDS_A_TASK))), letters)
+    letter_counts = context_counts(trained, max(4, -(-distinct // WORDS_A_TABLE)))
+    learning = spark.sparkContext.broadcast(left_out(letter_counts))      # fixed size, 40 MB
+    mixer = fit_spelling(trained.repartition(max(4, -(-distinct // WORDS_A_TASK))), learning)
+    learning.destroy()                                                    # the weights are here
+    letters = spark.sparkContext.broadcast(letter_counts)                 # fixed size, 32 MB
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -650,7 +688,7 @@ def score(docs: DataFrame) -> DataFrame:
     letters.destroy()                                                     # the table is written: nothing reads it again
 
     contexts = word_counts(texts, code, max(4, -(-n // TOKENS_A_TABLE)))
-    learning = spark.sparkContext.broadcast(contexts)                     # fixed size, 52 MB
+    learning = spark.sparkContext.broadcast(left_out(contexts))           # fixed size, 64 MB
     word_mixer = fit_words(texts, code, learning)
     learning.destroy()                                                    # the weights are here
     near = spark.sparkContext.broadcast(looked_up(contexts))              # fixed size, 33 MB

@@ -617,6 +617,34 @@ def test_one_word_code_and_no_words():
     context_mixing.learn_words(code, line, counts, context_mixing.new_word_mixer())
 
 
+def test_every_training_text_and_word_teaches_the_weights(spark):
+    """Texts and words one by one: each moves its task's weights, whatever its checksum."""
+    line, broadcast = "the cat sat on the mat the cat ran", spark.sparkContext.broadcast
+    sums = {i: zlib.crc32(str(i).encode()) for i in range(60)}
+    teaches = [i for i, x in sums.items() if x % 10 and x // 10 % 10]
+    t, code, counts, _ = _word_model([line] * 3, 4)
+    given, left = broadcast(tuple(code)), broadcast(context_mixing.left_out(counts))
+    start = context_mixing.new_word_mixer()["weights"]
+    for i in (teaches[:3], [j for j, x in sums.items() if x % 10 == 0]):
+        texts = context_mixing.encoded(spark.createDataFrame([(j, line) for j in i], "doc_id long, text string"))
+        assert (context_mixing.fit_words(texts, given, left)["weights"] != start).any() == (i[0] in teaches)
+    slots = sum(1 << b for b in context_mixing.TABLE_BITS)
+    words = [w for w in (f"w{i}".encode() for i in range(40)) if zlib.crc32(w) // 10 % 10][:3]      # not one of ten by checksum
+    rows = spark.createDataFrame([(bytearray(w), 2) for w in words], "word binary, c long")
+    got = context_mixing.fit_spelling(rows, broadcast(context_mixing.left_out(np.ones((2, slots), np.float32))))
+    assert (got["weights"] != context_mixing.new_mixer()["weights"]).any()
+
+
+def test_left_out_tables_are_the_counts_less_the_decision():
+    counts = np.array([[0, 1, 5, 70], [2, 0, 3, 1]], np.float32)
+    stretch, level = context_mixing.left_out(counts)
+    for slot in range(4):
+        for bit in (0, 1):
+            zero, one = max(counts[0, slot] - (1 - bit), 0), max(counts[1, slot] - bit, 0)
+            assert abs(stretch[2 * slot + bit] - math.log((one + .1) / (zero + .1))) < 1e-5
+            assert level[2 * slot + bit] == sum(zero + one > x for x in (.5, 1.5, 7.5, 63.5))
+
+
 def test_score_depends_on_the_order_of_words_and_beats_the_base(spark):
     rng = random.Random(4)
     chains = [[f"w{i}x{j}" for j in range(6)] for i in range(12)]
