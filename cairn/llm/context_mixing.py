@@ -43,23 +43,24 @@ from __future__ import annotations
 import heapq
 import itertools
 import zlib
-from collections import defaultdict
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from .tables import written
-from .words import in_parts
+from .words import SPACES, in_parts
 
 HELD_OUT_OF = 10
 FREQUENT = 1 << 16                         # words with a path of their own in the code
 CONTEXT_BITS = (21, 21, 21)                # tables of one word before, two words before, the last common word
 COMMON = 32                                # so many words are common
 PIECE = 40
+MERGED = 3                                 # bytes in which many words of a group agree
 TABLE_BITS = (16, 18, 19, 20, 21)          # contexts of 1, 2, 3, 4 bytes and of the whole word so far
 DELTA = 0.1                                # what both bits have before anything is seen
 LEARN_WORDS, LEARN, ADAPT, REFINE = 0.1, 0.02, 0.005, 0.02
@@ -69,6 +70,7 @@ DEPTHS = 8                                 # depths in the code that the refinem
 BATCH_BYTES = 6 << 20
 TOKENS_A_TABLE, WORDS_A_TABLE, WORDS_A_TASK = 8_000_000, 500_000, 100_000
 LANES, STEP, GROUP, SLICE, FAN_IN = 8192, 16384, 1024, 1 << 16, 64
+PLAIN = bytes(32 if i in SPACES else i for i in bytes(range(256)).lower())                   # A-Z lower-cased, white space a space
 ODD, SPREAD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -110,6 +112,25 @@ class Texts(NamedTuple):
         return self.only(np.array([not _held_out(i) for i in self.ids], bool))
 
 
+def numbered(texts: list[bytes | None]) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """The distinct words of some texts, the end first, then as they come, a space between; the tokens as
+    numbers of these; how many tokens each text has."""
+    flat = np.frombuffer(b"".join(x for t in texts for x in (t or b"", b" ")).translate(PLAIN), np.uint8)
+    end = np.cumsum(np.fromiter((len(t or b"") + 1 for t in texts), np.int64, len(texts)))
+    letter = flat != 32
+    first = letter.copy()
+    first[1:] &= ~letter[:-1]
+    first = np.flatnonzero(first)                                        # where words begin
+    last = np.flatnonzero(letter[:-1] & ~letter[1:]) + 1                 # a text has a space after it
+    before = np.searchsorted(first, end)                                 # words up to the end of each text
+    sizes = np.insert(last - first, before, 0)                           # an end after them
+    at = np.concatenate([[0, 0], np.cumsum(sizes)])                      # one end more in front, to be number 0
+    flat = flat[letter]
+    coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at), pa.py_buffer(flat)]).dictionary_encode()
+    words = pc.binary_join(pa.ListArray.from_arrays([0, len(coded.dictionary)], coded.dictionary), pa.scalar(b" ", pa.large_binary()))
+    return words[0].as_py(), coded.indices.to_numpy()[1:], np.diff(before, prepend=0) + 1
+
+
 def encoded(docs: DataFrame) -> DataFrame:
     """One row per batch of documents (``TEXTS``); a word has no space, so one space parts them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,15 +139,13 @@ def encoded(docs: DataFrame) -> DataFrame:
             texts = b.column("text").cast(pa.large_binary()).to_pylist()
             ids = b.column("doc_id").to_pylist()
             for lo, hi in in_parts(texts, BATCH_BYTES):
-                number: dict[bytes, int] = defaultdict(itertools.count().__next__)
-                number[b""]                                              # the end
-                tokens = [np.fromiter(map(number.__getitem__, (t or b"").lower().split() + [b""]), np.int32) for t in texts[lo:hi]]
+                words, tokens, lengths = numbered(texts[lo:hi])
                 yield pa.record_batch({
                     "batch": [batch], "ids": pa.array([ids[lo:hi]], pa.list_(pa.int64())),
                     "sizes": pa.array([[len(t or b"") for t in texts[lo:hi]]], pa.list_(pa.int64())),
-                    "lengths": pa.array([list(map(len, tokens))], pa.list_(pa.int64())),
-                    "words": pa.array([b" ".join(number)], pa.binary()),
-                    "tokens": pa.array([np.concatenate(tokens).astype("<i4").tobytes()], pa.binary())})
+                    "lengths": pa.array([lengths], pa.list_(pa.int64())),
+                    "words": pa.array([words], pa.binary()),
+                    "tokens": pa.array([tokens.astype("<i4").tobytes()], pa.binary())})
                 batch += 1
 
     return docs.selectExpr("CAST(doc_id AS BIGINT) AS doc_id", "text").mapInArrow(run, TEXTS)
@@ -155,6 +174,7 @@ class Code(NamedTuple):
     size: np.ndarray
     node: np.ndarray
     bit: np.ndarray
+    way: np.ndarray                        # per step: node * 64 + depth as the gate tells it apart * 16 + as the refinement does * 2 + bit
     bits: tuple[int, ...]                  # of the context tables
 
     @property
@@ -177,7 +197,7 @@ def prefix_code(words: list[bytes], c: list[int], others: int, bits: tuple[int,
             up[i], side[i] = inner, s
             total += w
         heapq.heappush(heap, (total, inner))
-    first, size, node, bit = [], [], [], []
+    first, size, node, bit, depth = [], [], [], [], []
     for i in range(leaves):
         path, at = [], i
         while at != 2 * leaves - 2:
@@ -187,63 +207,130 @@ def prefix_code(words: list[bytes], c: list[int], others: int, bits: tuple[int,
         size.append(len(path))
         node += [n for n, _ in reversed(path)]
         bit += [s for _, s in reversed(path)]
+        depth += range(len(path))
+    node, bit, depth = (np.array(x, np.int32) for x in (node, bit, depth))
+    way = node * 64 + np.minimum(depth // 3, 3) * 16 + np.minimum(depth, DEPTHS - 1) * 2 + bit
     return Code({w: i for i, w in enumerate(words)}, np.array([*c, 0], np.int64), np.array(first, np.int64),
-                np.array(size, np.int64), np.array(node, np.int64), np.array(bit, np.int64), bits)
+                np.array(size, np.int64), node, bit, way, bits)
 
 
 class Line(NamedTuple):
-    """Tokens of documents one after another: their leaves, and hashes of the contexts before them."""
+    """Tokens of documents one after another: their leaves, hashes of the contexts of one and two words
+    before them, and the last common word before (its leaf + 1; 0: none)."""
     leaf: np.ndarray
     context: list[np.ndarray]
+    last: np.ndarray
 
 
 def in_line(code: Code, t: Texts) -> Line:
     other = len(code.first) - 1
-    leaf = np.fromiter((code.leaf.get(w, other) for w in t.words), np.int64, len(t.words))[t.tokens]
+    leaf = np.fromiter(map(code.leaf.get, t.words, itertools.repeat(other)), np.int64, len(t.words)).take(t.tokens)
     name = np.fromiter(map(zlib.crc32, t.words), np.uint64, len(t.words)) + np.uint64(1)
-    name = name[t.tokens]
-    place = np.arange(len(leaf)) - np.repeat(np.cumsum(t.lengths) - t.lengths, t.lengths)
-    before = []
-    for back in (1, 2):
-        word = np.zeros(len(leaf), np.uint64)                            # 0: before the text begins
-        word[back:] = name[:-back]
-        word[place < back] = 0
-        before.append(word)
-    one, two = before
-    last = np.maximum.accumulate(np.where((leaf < min(COMMON, other)) & (t.tokens > 0), np.arange(len(leaf)), -1))
-    last = np.concatenate([[-1], last])[:len(leaf)]                      # the last common word before
-    common = np.where(last >= np.arange(len(leaf)) - place, name[last], np.uint64(0)) if len(leaf) else name
-    return Line(leaf, [one * ODD, (one * SPREAD + two) * ODD + np.uint64(1), common * ODD + np.uint64(2)])
-
-
-def decisions(code: Code, line: Line, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]:
-    """All bits of tokens lo to hi: the token of each (from 0), its depth, its slots (per predictor,
-    in the joined tables) and the bit."""
+    one, two = np.zeros(len(leaf), np.uint64), np.zeros(len(leaf), np.uint64)                # 0: before the text begins
+    start = np.cumsum(t.lengths) - t.lengths
+    one[1:] = name.take(t.tokens[:-1])
+    one[start] = 0
+    two[1:] = one[:-1]
+    two[start] = 0
+    common = np.flatnonzero((leaf < min(COMMON, other)) & (t.tokens > 0))                # never the last of a text, its end
+    shift = COMMON.bit_length()
+    last = np.zeros(len(leaf), np.int64)                                 # place << shift | leaf + 1, carried on to the next
+    last[start] = start << shift
+    last[common + 1] = (common + 1) << shift | leaf[common] + 1
+    np.maximum.accumulate(last, out=last)
+    last &= (1 << shift) - 1
+    return Line(leaf, [one * ODD, (one * SPREAD + two) * ODD + np.uint64(1)], last)
+
+
+def hashed(context: np.ndarray, spread: np.ndarray, bits: int) -> np.ndarray:
+    """Slots, in their table, of decisions in a context; changes ``context``."""
+    context ^= spread
+    context *= ODD
+    context ^= context >> np.uint64(31)
+    context *= ODD
+    context >>= np.uint64(64 - bits)
+    return context.view(np.int64)
+
+
+def common_slots(code: Code) -> np.ndarray:
+    """Slots, in their table, of the last common word (a row each, none first) and the place in the code."""
+    words = list(itertools.islice(code.leaf, min(COMMON, len(code.first) - 1)))
+    name = np.array([0, *(zlib.crc32(w) + 1 for w in words)], np.uint64)
+    spread = np.arange(1, int(code.starts[1]) + 1, dtype=np.uint64) * SPREAD
+    return np.stack([hashed(np.full(len(spread), x), spread, code.bits[2]) for x in name * ODD + np.uint64(2)])
+
+
+class Decisions(NamedTuple):
+    """All bits of some tokens in order: the token of each (from 0), the step of its path (``Code.way``),
+    the place in the code, the slots of the contexts of one and two words (in their tables)."""
+    at: np.ndarray
+    way: np.ndarray
+    node: np.ndarray
+    slots: list[np.ndarray]
+
+
+def decisions(code: Code, line: Line, lo: int, hi: int) -> Decisions:
+    """The decisions of tokens lo to hi."""
     leaf = line.leaf[lo:hi]
-    size = code.size[leaf]
-    before = np.cumsum(size) - size
+    size = code.size.take(leaf)
+    step = np.repeat(code.first.take(leaf) - np.cumsum(size) + size, size)
+    step += np.arange(len(step))
     at = np.repeat(np.arange(hi - lo), size)
-    depth = np.arange(len(at)) - before.take(at)
-    step = depth + code.first[leaf].take(at)
-    node = code.node.take(step)
-    slots, spread = [node], (node + 1).view(np.uint64) * SPREAD
-    for context, bits, start in zip(line.context, code.bits, code.starts[1:]):
-        h = context[lo:hi].take(at)
-        h ^= spread
-        h *= ODD
-        h ^= h >> np.uint64(31)
-        h *= ODD
-        h >>= np.uint64(64 - bits)
-        h = h.view(np.int64)
-        h += start
-        slots.append(h)
-    return at, depth, slots, code.bit.take(step)
-
-
-def word_gate(level: list[np.ndarray], depth: np.ndarray) -> np.ndarray:
-    """Which weights to use: how often the contexts of one and two words were seen (as places in
-    ``SEEN``), and the depth."""
-    return (level[1] * 5 + level[0]) * 4 + np.minimum(depth // 3, 3)
+    way = code.way.take(step, mode="clip")                               # (in bounds: without a check it is faster)
+    node = (way >> 6).astype(np.int64)
+    spread = (node + 1).view(np.uint64)
+    spread *= SPREAD
+    return Decisions(at, way, node, [hashed(c[lo:hi].take(at), spread, b) for c, b in zip(line.context, code.bits)])
+
+
+class Lookup(NamedTuple):
+    """What decisions read, in as few places as can be. Of a slot of the contexts of one and two words, side
+    by side: its prediction in the logistic domain and its share of the gate, that is how often it was
+    seen (as a place in ``SEEN``) times 4 or 20. Of the place in the code, alone and with each common word: the
+    prediction. ``sides`` is 2 if the tables tell apart which bit is to come."""
+    near: list[np.ndarray]
+    node: np.ndarray
+    common: np.ndarray
+    sides: int
+
+
+def lookup(code: Code, seen: tuple) -> Lookup:
+    """``looked_up`` or ``left_out`` arranged for ``predictions``; a ``Lookup`` (out of a broadcast, a tuple) is one already."""
+    if len(seen) == len(Lookup._fields):
+        return Lookup(*seen)
+    stretch, level = seen
+    sides = len(stretch) // int(code.starts[-1])
+    start = (code.starts * sides).tolist()
+    near = []
+    for i, times in ((1, 4), (2, 20)):
+        both = np.zeros((start[i + 1] - start[i], 2), np.float32)
+        both[:, 0] = stretch[start[i]:start[i + 1]]
+        both.view(np.uint32)[:, 1] = level[start[i]:start[i + 1]] * np.uint8(times)
+        near.append(both.view(np.uint64).reshape(-1))
+    common = stretch[start[3]:].reshape(-1, sides).take(common_slots(code), 0)
+    return Lookup(near, stretch[:start[1]], common.reshape(-1), sides)
+
+
+def predictions(code: Code, line: Line, table: Lookup, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Of the decisions of tokens lo to hi: the token, the step of the path, which weights to use (by how often
+    the contexts of one and two words were seen, and the depth) and the prediction of each context."""
+    at, way, node, slots = decisions(code, line, lo, hi)
+    gate = (way >> 4).astype(np.uint8)
+    gate &= np.uint8(3)
+    place = (line.last[lo:hi] * int(code.starts[1])).take(at)
+    place += node
+    places = [*slots, node, place]
+    if table.sides == 2:
+        one = (way & 1).astype(np.int64)
+        for x in places:
+            x <<= 1
+            x |= one
+    inputs = []
+    for x, both in zip(slots, table.near):
+        both = both.take(x, mode="clip")
+        inputs.append(np.ascontiguousarray(both.view(np.float32)[::2]))
+        gate += both.view(np.uint32)[1::2].astype(np.uint8)
+    return at, way, gate, [table.node.take(node, mode="clip"), *inputs, table.common.take(place, mode="clip")]
 
 
 def new_word_mixer() -> dict[str, np.ndarray]:
@@ -255,12 +342,36 @@ def new_word_mixer() -> dict[str, np.ndarray]:
 
 def count_words(code: Code, line: Line, counts: np.ndarray) -> None:
     """Add what followed each context to ``counts`` (two rows of all slots)."""
-    flat = counts.reshape(-1)
+    count_common(code, count_near(code, line, counts), counts)
+
+
+def count_near(code: Code, line: Line, counts: np.ndarray) -> np.ndarray:
+    """Add what followed the contexts of one and two words, decision by decision. The other contexts are few: how
+    often each leaf followed each of them is returned."""
+    flat, start = counts.reshape(-1), code.starts
     for lo in range(0, len(line.leaf), STEP):
-        _, _, slots, one = decisions(code, line, lo, min(lo + STEP, len(line.leaf)))
-        one *= counts.shape[1]
-        for at in slots:
-            np.add.at(flat, at + one, 1)
+        _, way, _, slots = decisions(code, line, lo, min(lo + STEP, len(line.leaf)))
+        side = (way & 1).astype(np.int64)
+        side *= counts.shape[1]
+        for at, first in zip(slots, start[1:]):
+            at += side
+            at += first
+            np.add.at(flat, at, 1)
+    return np.bincount(line.last * len(code.first) + line.leaf, minlength=(COMMON + 1) * len(code.first))
+
+
+def count_common(code: Code, followed: np.ndarray, counts: np.ndarray) -> None:
+    """Add what followed the place in the code, and it with the last common word, from ``count_near``."""
+    flat, start, slots = counts.reshape(-1), code.starts, common_slots(code)
+    pairs = np.flatnonzero(followed)
+    for lo in range(0, len(pairs), STEP):
+        last, leaf = np.divmod(pairs[lo:lo + STEP], len(code.first))
+        size = code.size[leaf]
+        step = np.repeat(code.first[leaf] - np.cumsum(size) + size, size) + np.arange(size.sum())
+        node, side = code.node[step], code.bit[step].astype(np.int64) * counts.shape[1]
+        often = np.repeat(followed[pairs[lo:lo + STEP]], size)
+        np.add.at(flat, node + side, often)
+        np.add.at(flat, slots[np.repeat(last, size), node] + start[3] + side, often)
 
 
 def looked_up(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -281,23 +392,29 @@ def costs(mixer: dict) -> np.ndarray:
     return -np.log2(np.stack([1 - final, final], 1)).astype(np.float32)
 
 
-def path_bits(code: Code, line: Line, seen: tuple[np.ndarray, np.ndarray], mixer: dict) -> np.ndarray:
+def path_bits(code: Code, line: Line, seen: tuple, mixer: dict) -> np.ndarray:
     """Bits of each token's path given the words before it. The mixed prediction is taken at the
     nearest of ``FINE`` steps, whose costs are computed once."""
     bits = np.zeros(len(line.leaf))
-    stretch, level = seen
+    table = lookup(code, seen)
     cost = costs(mixer).reshape(-1)
     weights = [np.ascontiguousarray(w) for w in (mixer["weights"].T * (FINE / 16)).astype(np.float32)]
     for lo in range(0, len(bits), STEP):
         hi = min(lo + STEP, len(bits))
-        at, depth, slots, one = decisions(code, line, lo, hi)
-        gate = word_gate([level.take(x).astype(np.int64) for x in slots[1:3]], depth)
+        at, way, gate, inputs = predictions(code, line, table, lo, hi)
+        gate = gate.astype(np.int64)
         dot = weights[-1].take(gate)
-        for w, x in zip(weights, slots):
-            dot += w.take(gate) * stretch.take(x)
-        step = np.clip(dot + np.float32(FINE / 2 + 0.5), 0, FINE).astype(np.int64)
-        step += (np.minimum(depth, DEPTHS - 1) * 2 + one) * (FINE + 1)
-        bits[lo:hi] = np.bincount(at, cost.take(step), minlength=hi - lo)
+        for w, x in zip(weights, inputs):
+            w = w.take(gate)
+            w *= x
+            dot += w
+        dot += np.float32(FINE / 2 + 0.5)
+        np.clip(dot, 0, FINE, out=dot)
+        step = dot.astype(np.int64)
+        way &= 15
+        way *= FINE + 1
+        step += way
+        bits[lo:hi] = np.bincount(at, cost.take(step, mode="clip"), minlength=hi - lo)
     return bits
 
 
@@ -317,46 +434,66 @@ def left_out(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return stretch.reshape(-1), level.reshape(-1)
 
 
-def _step(mixer: dict, gate: np.ndarray, inputs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The mixed prediction of a 1 and its place in the refining table."""
-    weights = mixer["weights"].T.astype(np.float32)
-    dot = weights[-1].take(gate)
-    for w, x in zip(weights, inputs):
-        dot += w.take(gate) * x
-    np.clip(dot, -8, 8, out=dot)
-    x = (dot + np.float32(8)) * np.float32((LEVELS - 1) / 16)
-    low = np.minimum(x.astype(np.int64), LEVELS - 2)
-    return 1 / (1 + np.exp(-dot)), low, x - low
-
-
 def learn_words(code: Code, line: Line, counts: np.ndarray, mixer: dict, group: int = GROUP) -> None:
     """One online pass over the tokens in order, a group at a time, each without itself."""
-    learn_line(code, line, left_out(counts), mixer, group)
-
-
-def learn_line(code: Code, line: Line, left: tuple[np.ndarray, np.ndarray], mixer: dict, group: int = GROUP) -> None:
-    """``learn_words`` from the tables of ``left_out``."""
-    stretch, level = left
-    gates = len(mixer["weights"])
-    for lo in range(0, len(line.leaf), group):
-        _, depth, slots, one = decisions(code, line, lo, min(lo + group, len(line.leaf)))
-        if not len(one):
-            continue
-        hit, places = one.astype(np.float32), [2 * s + one for s in slots]
-        inputs = [stretch.take(x) for x in places]
-        row = np.minimum(depth, DEPTHS - 1)
-        gate = word_gate([level.take(x).astype(np.int64) for x in places[1:3]], depth)
-        p, low, part = _step(mixer, gate, inputs)
-        mass = np.maximum(np.bincount(gate, minlength=gates), 32)
-        step = hit - p
-        for i, x in enumerate(inputs):
-            mixer["weights"][:, i] += LEARN_WORDS * np.bincount(gate, step * np.clip(x, -4, 4), minlength=gates) / mass
-        mixer["weights"][:, -1] += LEARN_WORDS * np.bincount(gate, step, minlength=gates) / mass
-        table = mixer["refine"].reshape(-1)
-        for place, share in ((row * LEVELS + low, 1 - part), (row * LEVELS + low + 1, part)):
-            pull = np.bincount(place, share, minlength=len(table))
-            goal = np.bincount(place, share * hit, minlength=len(table))
-            table += REFINE * np.where(pull > 0, goal / np.maximum(pull, 1e-9) - table, 0) * np.minimum(pull, 1)
+    learn_line(code, line, lookup(code, left_out(counts)), mixer, group)
+
+
+def learn_line(code: Code, line: Line, table: Lookup, mixer: dict, group: int = GROUP) -> None:
+    """``learn_words`` from the tables of ``left_out``. A group's decisions are sorted by their weights, so
+    that what pulls at each is summed in one run."""
+    block = max(1, STEP // group) * group
+    for start in range(0, len(line.leaf), block):
+        at, way, gate, inputs = predictions(code, line, table, start, min(start + block, len(line.leaf)))
+        cuts = np.searchsorted(at, np.arange(0, block + group, group)).tolist()
+        for lo, hi in itertools.pairwise(cuts):
+            if lo == hi:
+                continue
+            order = np.argsort(gate[lo:hi], kind="stable")
+            of = gate[lo:hi].take(order)
+            first = np.concatenate([[0], np.flatnonzero(of[1:] != of[:-1]) + 1])
+            of, often = of[first], np.diff(first, append=hi - lo)
+            weights = np.repeat(mixer["weights"][of].T.astype(np.float32), often, 1)
+            x = np.empty_like(weights)
+            for row, given in zip(x, inputs):
+                given[lo:hi].take(order, out=row, mode="clip")
+            weights[:-1] *= x[:-1]
+            dot = weights[-1]
+            for pull in weights[:-1]:
+                dot += pull
+            np.clip(dot, -8, 8, out=dot)
+            step = np.exp(-dot)
+            step += 1
+            np.divide(1, step, out=step)
+            kind = way[lo:hi].take(order)
+            np.subtract((kind & 1).astype(np.float32), step, out=step)
+            np.clip(x[:-1], -4, 4, out=x[:-1])
+            x[:-1] *= step
+            x[-1] = step
+            pulls = np.add.reduceat(x.astype(np.float64), first, 1)
+            mixer["weights"][of] += (LEARN_WORDS * pulls / np.maximum(often, 32)).T
+            dot += 8
+            dot *= np.float32((LEVELS - 1) / 16)
+            low = np.minimum(dot.astype(np.int32), LEVELS - 2)
+            dot -= low
+            low *= 16
+            low += kind & 15                                             # place, depth and bit
+            refine(mixer["refine"], low, dot)
+
+
+def refine(table: np.ndarray, place: np.ndarray, part: np.ndarray) -> None:
+    """Draw the refinement (a row for each of ``DEPTHS``) towards the bits that came. ``place``: the lower of two
+    neighbours * 16 + row * 2 + bit; ``part``: how near the upper one is."""
+    n, upper = (np.bincount(place, x, 16 * LEVELS).reshape(LEVELS, DEPTHS, 2).transpose(1, 0, 2) for x in (None, part))
+    _draw(table, n - upper, upper)
+
+
+def _draw(table: np.ndarray, lower: np.ndarray, upper: np.ndarray) -> None:
+    """One step of a refinement: shares of decisions, by the lower of their two places and the bit."""
+    for share, part in ((lower[..., :-1, :], table[..., :-1]), (upper[..., :-1, :], table[..., 1:])):
+        goal = share[..., 1]
+        pull = share[..., 0] + goal
+        part += REFINE * (goal / np.maximum(pull, 1e-9) - part) * np.minimum(pull, 1)
 
 
 # ---- the spelling of new words, many words at once ------------------------------------------
@@ -376,33 +513,45 @@ def _pieces(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return grid[order], length[order], np.array(owner, np.int64)[order]
 
 
-def _steps(grid: np.ndarray, length: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def _steps(grid: np.ndarray, length: np.ndarray, weight: np.ndarray | None = None) -> Iterator[tuple]:
     """For each bit of each byte: how many rows still run, the bit's position, the rows' slots in
-    the joined tables (one column per predictor) and the bits to come."""
+    the joined tables (one column per predictor) and the bits to come. Given weights, rows that agree in
+    up to ``MERGED`` bytes, and so in all their contexts, are taken as one, and their summed weights come first."""
     k = len(TABLE_BITS)
-    start = np.concatenate([[0], np.cumsum([1 << b for b in TABLE_BITS])[:-1]])
-    shift = [np.uint64(64 - b) for b in TABLE_BITS]
+    start = np.cumsum([0, *(1 << b for b in TABLE_BITS[:-1])])[:, None]
+    shift = np.array([[64 - b] for b in TABLE_BITS], np.uint64)
     whole = np.full(len(grid), 0xCBF29CE484222325, np.uint64)
+    column = grid.T.astype(np.uint64, order="C")
     for j in range(grid.shape[1]):
         live = int(np.searchsorted(-length, -j, side="left"))
-        byte = grid[:live, j].astype(np.uint64)
-        context, recent = [], np.zeros(live, np.uint64)
+        rows, mass = slice(live), live if weight is None else weight[:live]
+        if weight is not None and j < MERGED:
+            prefix = column[0, :live]
+            for other in column[1:j + 1, :live]:
+                prefix = prefix << np.uint64(8) | other
+            _, rows, of = np.unique(prefix, return_index=True, return_inverse=True)
+            mass = np.bincount(of, mass).astype(weight.dtype)
+        byte = column[j][rows]
+        context, recent = np.empty((k, len(byte)), np.uint64), np.zeros(len(byte), np.uint64)
         for back in range(1, k):
-            last = grid[:live, j - back].astype(np.uint64) if j >= back else np.zeros(live, np.uint64)
-            recent = (recent << np.uint64(8)) | last
-            context.append((recent + np.uint64(back << 40)) * ODD)
-        context.append(whole[:live])
-        known = np.ones(live, np.uint64)
+            recent <<= np.uint64(8)
+            if j >= back:
+                recent |= column[j - back][rows]
+            context[back - 1] = (recent + np.uint64(back << 40)) * ODD
+        context[-1] = whole[rows]
+        known = np.ones(len(byte), np.uint64)
         for bit in range(8):
-            slots = np.empty((live, k), np.int64)
-            spread = known * SPREAD
-            for i in range(k):
-                h = (context[i] ^ spread) * ODD
-                slots[:, i] = ((h ^ (h >> np.uint64(31))) * ODD >> shift[i]).astype(np.int64) + start[i]
+            h = context ^ known * SPREAD
+            h *= ODD
+            h ^= h >> np.uint64(31)
+            h *= ODD
+            h >>= shift
+            slots = h.view(np.int64)
+            slots += start
             one = (byte >> np.uint64(7 - bit)) & np.uint64(1)
-            yield live, bit, slots, one.astype(np.int64)
+            yield mass, bit, slots.T, one.view(np.int64)
             known = (known << np.uint64(1)) | one
-        whole[:live] = (whole[:live] ^ byte) * np.uint64(0x100000001B3) + np.uint64(j)
+        whole[:live] = (whole[:live] ^ column[j, :live]) * np.uint64(0x100000001B3) + np.uint64(j)
 
 
 def _gate(seen: np.ndarray, bit: int) -> np.ndarray:
@@ -411,7 +560,7 @@ def _gate(seen: np.ndarray, bit: int) -> np.ndarray:
 
 
 def _placed(level: np.ndarray, bit: int) -> np.ndarray:
-    return (level[:, 1].astype(np.int64) * 5 + level[:, 0]) * 2 + (bit == 0)
+    return level[1] * 10 + level[0] * 2 + (bit == 0)
 
 
 SEEN = np.array([0.5, 1.5, 7.5, 63.5], np.float32)
@@ -429,12 +578,6 @@ def _even() -> np.ndarray:
     return 1 / (1 + np.exp(-np.linspace(-8, 8, LEVELS)))
 
 
-def _mixed(mixer: dict, gate: np.ndarray, bit: int | np.ndarray, inputs: np.ndarray, own: np.ndarray | float):
-    """Prediction of a 1: mixed, refined, and the place in the refining table."""
-    dot = np.clip(np.einsum("ij,ij->i", mixer["weights"][gate] + own, inputs), -8, 8)
-    return _refined(mixer["refine"], bit, dot)
-
-
 def _refined(table: np.ndarray, row: int | np.ndarray, dot: np.ndarray):
     p = 1 / (1 + np.exp(-dot))
     x = (dot + 8) * ((LEVELS - 1) / 16)
@@ -449,17 +592,23 @@ def word_bits(words: list[bytes], counts: np.ndarray, mixer: dict) -> np.ndarray
     bits = np.zeros(len(words))
     mixer = {k: v.astype(np.float32) for k, v in mixer.items()}
     stretch, seen = np.log((counts[1] + DELTA) / (counts[0] + DELTA)), counts[0] + counts[1]
+    weights = np.ascontiguousarray(mixer["weights"].T)
     for lo in range(0, len(words), LANES):
         grid, length, owner = _pieces(words[lo:lo + LANES])
-        own = np.zeros((len(grid), len(TABLE_BITS) + 1), np.float32)
+        own = np.zeros((len(TABLE_BITS) + 1, len(grid)), np.float32)
         cost = np.zeros(len(grid))
         for live, bit, slots, one in _steps(grid, length):
-            inputs = np.ones((live, own.shape[1]), np.float32)
-            inputs[:, :-1] = stretch[slots]
-            gate = _gate(seen[slots[:, -2:]], bit)
-            p, final, _, _ = _mixed(mixer, gate, bit, inputs, own[:live])
+            inputs = np.ones((len(own), live), np.float32)
+            stretch.take(slots.T, out=inputs[:-1], mode="clip")
+            gate = _gate(seen.take(slots.T[-2:]), bit)
+            dot = weights.take(gate, 1)
+            dot += own[:, :live]
+            dot *= inputs
+            p, final, _, _ = _refined(mixer["refine"], bit, np.clip(dot.sum(0), -8, 8))
             cost[:live] -= np.log2(np.where(one == 1, final, 1 - final))
-            own[:live] += np.float32(ADAPT) * (one.astype(np.float32) - p)[:, None] * np.clip(inputs, -4, 4)
+            np.clip(inputs, -4, 4, out=inputs)
+            inputs *= np.float32(ADAPT) * (one.astype(np.float32) - p)
+            own[:, :live] += inputs
         bits[lo:lo + LANES] = np.bincount(owner, cost, minlength=min(LANES, len(words) - lo))
     return bits
 
@@ -471,31 +620,44 @@ def learn(words: list[bytes], c: np.ndarray, counts: np.ndarray, mixer: dict, gr
 
 def learn_spelling(words: list[bytes], c: np.ndarray, left: tuple[np.ndarray, np.ndarray], mixer: dict, group: int = 4096) -> None:
     """``learn`` from the tables of ``left_out``: each decision without the word itself."""
-    done, mixer = mixer, {k: v.astype(np.float32) for k, v in mixer.items()}
     stretch, level = left
+    weights, table = np.ascontiguousarray(mixer["weights"].T, np.float32), mixer["refine"].astype(np.float32)
+    k = len(weights)
+    bins = 4 * GATES                                                     # four sums of each, as runs of one bin are slow
     for lo in range(0, len(words), group):
         grid, length, owner = _pieces(words[lo:lo + group])
         root = np.sqrt(c[lo:lo + group][owner]).astype(np.float32)
-        none = np.zeros(len(TABLE_BITS) + 1, np.float32)
-        for live, bit, slots, one in _steps(grid, length):
-            hit = one.astype(np.float32)
-            place = 2 * slots + one[:, None]
-            inputs = np.ones((live, len(none)), np.float32)
-            inputs[:, :-1] = stretch.take(place)
-            gate = _placed(level.take(place[:, -2:]), bit)
-            p, final, low, part = _mixed(mixer, gate, bit, inputs, none)
-            w = root[:live]
-            mass = np.bincount(gate, w, minlength=GATES)
-            step = ((hit - p) * w)[:, None] * np.clip(inputs, -4, 4)
-            for i in range(len(none)):
-                mixer["weights"][:, i] += LEARN * np.bincount(gate, step[:, i], minlength=GATES) / np.maximum(mass, 1)
-            table = mixer["refine"][bit]
-            for place, share in ((low, 1 - part), (low + 1, part)):
-                pull = np.bincount(place, w * share, minlength=LEVELS)
-                goal = np.bincount(place, w * share * hit, minlength=LEVELS)
-                table += REFINE * np.where(pull > 0, goal / np.maximum(pull, 1e-9) - table, 0) * np.minimum(pull, 1)
-    for k, v in mixer.items():
-        done[k][:] = v
+        lane = np.arange(len(grid)) % 4 * GATES
+        for w, bit, slots, one in _steps(grid, length, root):
+            live, place = len(w), slots.T
+            place <<= 1
+            place |= one
+            gate = _placed(level.take(place[-2:], mode="clip"), bit)
+            x = np.empty((k + 1, live), np.float32)                      # what pulls at each weight, and how much counts
+            stretch.take(place, out=x[:k - 1], mode="clip")
+            dot = weights.take(gate, 1)
+            dot[:-1] *= x[:k - 1]
+            dot = np.clip(dot.sum(0), -8, 8)
+            step = one.astype(np.float32)
+            step -= 1 / (1 + np.exp(-dot))
+            step *= w
+            np.clip(x[:k - 1], -4, 4, out=x[:k - 1])
+            x[:k - 1] *= step
+            x[-2], x[-1] = step, w
+            gate = lane[:live] + gate
+            sums = np.bincount((gate + np.arange(0, (k + 1) * bins, bins)[:, None]).reshape(-1), x.reshape(-1), (k + 1) * bins)
+            sums = sums.reshape(k + 1, 4, GATES).sum(1)
+            weights += LEARN * sums[:-1] / np.maximum(sums[-1], 1)
+            dot += 8
+            dot *= np.float32((LEVELS - 1) / 16)
+            low = np.minimum(dot.astype(np.int64), LEVELS - 2)
+            dot -= low
+            dot *= w
+            low <<= 1
+            low |= one
+            n, upper = (np.bincount(low, share, 2 * LEVELS).reshape(LEVELS, 2) for share in (w, dot))
+            _draw(table[bit], n - upper, upper)
+    mixer["weights"][:], mixer["refine"][:] = weights.T, table
 
 
 def adapted_bits(lengths: np.ndarray, words: np.ndarray, log_p: np.ndarray) -> np.ndarray:
@@ -508,9 +670,11 @@ def adapted_bits(lengths: np.ndarray, words: np.ndarray, log_p: np.ndarray) -> n
     fresh = np.flatnonzero(np.diff(key[order], prepend=-1))
     met = np.empty(len(key), np.int64)                                   # earlier in the same document
     met[order] = np.arange(len(key)) - np.repeat(fresh, np.diff(np.append(fresh, len(key))))
-    with np.errstate(divide="ignore"):
-        adapted = np.logaddexp(np.log(MEMORY) + log_p, np.log(met)) - np.log(MEMORY + np.arange(len(key)) - start[doc])
-    return -np.bincount(doc, adapted, minlength=len(lengths)) / np.log(2)
+    adapted = log_p + np.log(MEMORY)                                     # of new ones, however small
+    again = np.flatnonzero(met)
+    adapted[again] = np.log(np.exp(adapted[again]) + met[again])
+    adapted -= np.log(MEMORY + np.arange(len(key)) - np.repeat(start, lengths))
+    return -np.add.reduceat(adapted, start) / np.log(2)                  # every text has an end
 
 
 # ---- training and scoring as Spark jobs -----------------------------------------------------
@@ -558,10 +722,11 @@ def context_counts(trained: DataFrame, tasks: int = 4) -> np.ndarray:
             for lo in range(0, len(words), LANES):
                 grid, length, owner = _pieces(words[lo:lo + LANES])
                 weight = c[lo:lo + LANES][owner]
-                for live, _, at, one in _steps(grid, length):
-                    at += (one * slots)[:, None]
-                    for column in at.T:
-                        np.add.at(n.reshape(-1), column, weight[:live])
+                for often, _, at, one in _steps(grid, length, weight):
+                    side = one * slots
+                    for row in at.T:
+                        row += side
+                        np.add.at(n.reshape(-1), row, often)
         yield from _sliced(n)
 
     return _summed(trained.repartition(tasks).mapInArrow(run, TABLE), tasks, slots)
@@ -573,9 +738,11 @@ def word_counts(texts: DataFrame, code, tasks: int = 4) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, paths = np.zeros((2, slots), np.int64), Code(*code.value)
+        followed = np.zeros((COMMON + 1) * len(paths.first), np.int64)
         for b in batches:
             for t in Texts.of(b):
-                count_words(paths, in_line(paths, t.training()), n)
+                followed += count_near(paths, in_line(paths, t.training()), n)
+        count_common(paths, followed, n)
         yield from _sliced(n)
 
     return _summed(texts.coalesce(tasks).mapInArrow(run, TABLE), tasks, slots)
@@ -612,10 +779,11 @@ def fit_words(texts: DataFrame, code, left) -> dict[str, np.ndarray]:
     """The weights, learned from every training text."""
     def online(batches, mixer) -> int:
         seen, paths = 0, Code(*code.value)
+        table = lookup(paths, left.value)
         for b in batches:
             for t in Texts.of(b):
                 t = t.training()
-                learn_line(paths, in_line(paths, t), left.value, mixer)
+                learn_line(paths, in_line(paths, t), table, mixer)
                 seen += len(t.tokens)
         return seen
 
@@ -688,12 +856,15 @@ def score(docs: DataFrame) -> DataFrame:
     letters.destroy()                                                     # the table is written: nothing reads it again
 
     contexts = word_counts(texts, code, max(4, -(-n // TOKENS_A_TABLE)))
-    learning = spark.sparkContext.broadcast(left_out(contexts))           # fixed size, 64 MB
+    paths = Code(*code.value)
+    learning = spark.sparkContext.broadcast(tuple(lookup(paths, left_out(contexts))))     # fixed size, 85 MB
     word_mixer = fit_words(texts, code, learning)
     learning.destroy()                                                    # the weights are here
-    near = spark.sparkContext.broadcast(looked_up(contexts))              # fixed size, 33 MB
+    near = spark.sparkContext.broadcast(tuple(lookup(paths, looked_up(contexts))))        # fixed size, 43 MB
     floor = n + 0.1 * (distinct + 1)
 
+    del paths                                                             # tasks make it from the broadcast
+
     def total(left: pa.Table, right: pa.Table) -> pa.Table:
         t, paths = next(Texts.of(left)), Code(*code.value)
         line = in_line(paths, t)
@@ -705,11 +876,11 @@ def score(docs: DataFrame) -> DataFrame:
                                     np.log(fresh) - bits * np.log(2))
         path = path_bits(paths, line, near.value, word_mixer)
         bits = adapted_bits(t.lengths, t.tokens, log_rest[t.tokens] - path * np.log(2))
-        doc, c = np.repeat(np.arange(len(t.ids)), t.lengths), c[t.tokens]
-        sums = lambda x: np.bincount(doc, x, minlength=len(t.ids))
+        start = np.cumsum(t.lengths) - t.lengths
+        sums = lambda x: np.add.reduceat(x.take(t.tokens), start)
         return pa.table({
             "doc_id": pa.array(t.ids, pa.int64()), "held_out": pa.array([_held_out(i) for i in t.ids], pa.bool_()),
-            "n_tokens": t.lengths, "n_known": sums(c > 0).astype(np.int64),
+            "n_tokens": t.lengths, "n_known": sums((c > 0).astype(np.int64)),
             "train_tokens": pa.array([n] * len(t.ids), pa.int64()),
             "base_score": sums(np.log10((c + 0.1) / floor)), "score": -bits * np.log10(2),
             "bits_per_byte": bits / np.maximum(t.sizes, 1)})

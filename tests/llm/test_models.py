@@ -609,6 +609,98 @@ def test_paths_are_a_distribution_given_the_words_before():
         assert abs(total - 1) < 1e-4
 
 
+def test_word_contexts_are_counted_as_by_a_plain_loop(monkeypatch):
+    """Contexts that are few are counted by leaf and those of words before decision by decision: both are the plain counts."""
+    monkeypatch.setattr(context_mixing, "COMMON", 3)
+    t, code, counts, _ = _word_model(LINES, 8)
+    want, full, at = np.zeros_like(counts), (1 << 64) - 1, 0
+    odd, spread = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
+    for n in t.lengths.tolist():
+        one = two = common = 0
+        for k in t.tokens[at:at + n].tolist():
+            leaf, start = code.leaf.get(t.words[k], len(code.first) - 1), len(code.first) - 1
+            contexts = [one * odd & full, ((one * spread + two) * odd + 1) & full, (common * odd + 2) & full]
+            for step in range(code.first[leaf], code.first[leaf] + code.size[leaf]):
+                node, bit, begin = int(code.node[step]), int(code.bit[step]), start
+                want[bit, node] += 1
+                for context, b in zip(contexts, code.bits):
+                    h = (context ^ ((node + 1) * spread & full)) * odd & full
+                    want[bit, (((h ^ (h >> 31)) * odd & full) >> (64 - b)) + begin] += 1
+                    begin += 1 << b
+            two, one = one, zlib.crc32(t.words[k]) + 1
+            common = one if leaf < 3 and t.words[k] else common
+        at += n
+    assert (counts == want).all()
+    line = context_mixing.in_line(code, t)
+    few = np.zeros_like(counts)
+    context_mixing.count_near(code, line, few)                           # as they are many, only these go one by one
+    assert few.sum() == counts.sum() / 2 == 2 * code.size[line.leaf].sum()
+
+
+def test_weights_are_learned_as_by_a_plain_loop():
+    """A group's pull at each weight and place of the refinement, decision by decision."""
+    t, code, counts, mixer = _word_model(LINES, 8)
+    line, group = context_mixing.in_line(code, t), 64
+    got = {k: v.copy() for k, v in mixer.items()}
+    context_mixing.learn_line(code, line, context_mixing.lookup(code, context_mixing.left_out(counts)), got, group)
+    stretch, level = context_mixing.left_out(counts)
+    start, nodes = code.starts, int(code.starts[1])
+    common = context_mixing.common_slots(code)
+    for lo in range(0, len(line.leaf), group):
+        hi = min(lo + group, len(line.leaf))
+        pulls, mass = np.zeros((100, 5)), np.zeros(100)
+        lower, upper = np.zeros((2, 8, 33)), np.zeros((2, 8, 33))
+        at, way, node, slots = context_mixing.decisions(code, line, lo, hi)
+        depth = 0
+        for i in range(len(at)):
+            depth = depth + 1 if i and at[i] == at[i - 1] else 0
+            bit = int(way[i]) & 1
+            where = [int(node[i]), int(slots[0][i] + start[1]), int(slots[1][i] + start[2]), int(common[line.last[lo + at[i]], node[i]] + start[3])]
+            x = np.array([*(stretch[2 * s + bit] for s in where), 1.0])
+            gate = (int(level[2 * where[2] + bit]) * 5 + int(level[2 * where[1] + bit])) * 4 + min(depth // 3, 3)
+            dot = min(max(float(mixer["weights"][gate] @ x), -8), 8)
+            pulls[gate] += (bit - 1 / (1 + math.exp(-dot))) * np.clip(x, -4, 4)
+            mass[gate] += 1
+            low = min(int((dot + 8) * 2), 31)
+            for share, y in ((lower, 1 - (dot + 8) * 2 + low), (upper, (dot + 8) * 2 - low)):
+                share[bit, min(depth, 7), low] += y
+        mixer["weights"] += context_mixing.LEARN_WORDS * pulls / np.maximum(mass, 32)[:, None]
+        for share in (lower, np.roll(upper, 1, 2)):
+            pull = share.sum(0)
+            goal = share[1] / np.maximum(pull, 1e-9)
+            mixer["refine"] += context_mixing.REFINE * np.where(pull > 0, goal - mixer["refine"], 0) * np.minimum(pull, 1)
+    assert nodes == len(code.first) - 1
+    assert np.allclose(got["weights"], mixer["weights"], atol=1e-4) and np.allclose(got["refine"], mixer["refine"], atol=1e-4)
+
+
+def test_words_that_begin_alike_are_spelled_as_one():
+    rng = random.Random(2)
+    some = ["".join(rng.choices("abc", k=rng.randint(0, 9))).encode() for _ in range(500)] + [b"x" * 95, b"ab"]
+    c = np.array([rng.randint(1, 9) for _ in some])
+    grid, length, owner = context_mixing._pieces(some)
+    plain, merged = (np.zeros((2, sum(1 << b for b in context_mixing.TABLE_BITS)), np.int64) for _ in range(2))
+    rows = [0, 0]
+    for live, _, slots, one in context_mixing._steps(grid, length):
+        np.add.at(plain, (one[:, None], slots), c[owner][:live, None])
+        rows[0] += live
+    for often, _, slots, one in context_mixing._steps(grid, length, c[owner]):
+        np.add.at(merged, (one[:, None], slots), often[:, None])
+        rows[1] += len(often)
+    assert (plain == merged).all() and rows[1] < .7 * rows[0]
+
+
+def test_texts_are_numbered_as_by_splitting_them():
+    rng = random.Random(3)
+    for _ in range(300):
+        texts = [None if rng.random() < .1 else bytes(rng.choices(b"aBZ \t\n\x0b\x0c\r\xc3\xa9\x00\x1c\x85\xa0", k=rng.choice([0, 1, 2, 5, 30])))
+                 for _ in range(rng.randint(1, 6))]
+        number, want = {b"": 0}, []
+        for text in texts:
+            want.append([number.setdefault(w, len(number)) for w in [*(text or b"").lower().split(), b""]])
+        distinct, got, sizes = context_mixing.numbered(texts)
+        assert distinct == b" ".join(number) and got.tolist() == sum(want, []) and sizes.tolist() == list(map(len, want))
+
+
 def test_one_word_code_and_no_words():
     code = context_mixing.prefix_code([], [], 0, (12, 12, 12))
     line = context_mixing.in_line(code, _texts(["a b", ""]))
